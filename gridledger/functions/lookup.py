@@ -1,0 +1,6 @@
+"""Whitelisted request word -> column lookups."""
+
+
+def pick_column(mapping, key, default=None):
+    """The mapped column for a request word, else the default."""
+    return mapping.get(key, default)
