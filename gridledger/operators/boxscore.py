@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from gridledger.functions.numeric import column_or, round_ratio, sum_or_zero
 from gridledger.operators.clean import union_seasons, where
 
-PLAYER_SEASON = ["player_id", "team_id", "season"]
+PLAYER_TEAM_SEASON = ["player_id", "team_id", "season"]
+PLAYER_SEASON = ["player_id", "season"]
 
 
 def _total(df, name):
@@ -27,14 +28,27 @@ def _games():
     return F.countDistinct("week").cast("long").alias("games_played")
 
 
-def box_passing(resolved):
-    """Passing by (player, team, season); input of ``resolve_dims``."""
+def _season(resolved, by, *aggregates):
+    """Group by the keys; without the team as key, keep the latest week's team."""
+    extra = []
+    if "team_id" not in by:
+        extra = [F.max(F.struct("week", "team_id"))["team_id"].alias("team_id")]
+    return resolved.groupBy(*by).agg(_games(), *aggregates, *extra)
+
+
+def box_passing(resolved, by=PLAYER_TEAM_SEASON):
+    """Passing season totals; the input comes from ``resolve_dims``.
+
+    ``by=PLAYER_SEASON`` gives one row per player and season, as an upsert on
+    that key needs.
+    """
     totals = [
         "completions", "attempts", "passing_yards", "passing_tds", "interceptions",
         "sacks", "sack_yards", "first_downs", "fourth_qtr_comebacks", "game_winning_drives",
     ]
-    grouped = resolved.groupBy(*PLAYER_SEASON).agg(
-        _games(),
+    grouped = _season(
+        resolved,
+        by,
         *[_total(resolved, c) for c in totals],
         _mean2(resolved, "passer_rating"),
         _mean2(resolved, "qbr"),
@@ -44,9 +58,10 @@ def box_passing(resolved):
     return grouped.withColumn("completion_pct", pct)
 
 
-def box_rushing(resolved):
-    grouped = resolved.groupBy(*PLAYER_SEASON).agg(
-        _games(),
+def box_rushing(resolved, by=PLAYER_TEAM_SEASON):
+    grouped = _season(
+        resolved,
+        by,
         *[_total(resolved, c) for c in ("carries", "rushing_yards", "rushing_tds")],
         _longest(resolved, "longest_rush"),
     )
@@ -59,9 +74,10 @@ def box_rushing(resolved):
     )
 
 
-def box_receiving(resolved):
-    grouped = resolved.groupBy(*PLAYER_SEASON).agg(
-        _games(),
+def box_receiving(resolved, by=PLAYER_TEAM_SEASON):
+    grouped = _season(
+        resolved,
+        by,
         *[
             _total(resolved, c)
             for c in ("targets", "receptions", "receiving_yards", "receiving_tds")

@@ -31,16 +31,17 @@ def add_missing(dim, facts, fact_key, key="name"):
     )
 
 
-def unique_dim(dim, key):
-    """The dimension, failing the job if a key value occurs twice."""
-    others = [c for c in dim.columns if c != key]
+def unique_rows(df, keys):
+    """The same rows, failing the job if a key occurs twice."""
+    others = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in others])
-    counted = dim.groupBy(key).agg(F.any_value(row).alias("row"), F.count("*").alias("copies"))
-    message = F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))
+    counted = df.groupBy(*keys).agg(F.any_value(row).alias("row"), F.count("*").alias("copies"))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    error = F.raise_error(F.concat(F.lit(f"{', '.join(keys)} not unique: "), shown))
     guarded = F.when(F.col("copies") == 1, F.col("row")).otherwise(
-        F.raise_error(message).cast(counted.schema["row"].dataType)
+        error.cast(counted.schema["row"].dataType)
     )
-    return counted.select(key, guarded.alias("row")).select(key, "row.*")
+    return counted.select(*keys, guarded.alias("row")).select(*keys, "row.*")
 
 
 def resolve_dims(weekly, players, teams, player_key, team_key, check_unique=False):
@@ -55,12 +56,12 @@ def resolve_dims(weekly, players, teams, player_key, team_key, check_unique=Fals
     people = players.select(
         F.col(player_dim).alias("_player_key"), F.col("gsis_id").alias("player_id")
     )
-    squads = teams.select(F.col(team_dim).alias("_team_key"), F.col("team_id").alias("team_id"))
+    squads = teams.select(F.col(team_dim).alias("_team_key"), "team_id")
     if check_unique:
-        people, squads = unique_dim(people, "_player_key"), unique_dim(squads, "_team_key")
-    facts = weekly.drop("player_id", "team_id") if player_fact != "player_id" else weekly
-    facts = facts.withColumnsRenamed({player_fact: "_player_key"})
-    facts = facts.withColumn("_team_key", F.col(team_fact))
+        people, squads = unique_rows(people, ["_player_key"]), unique_rows(squads, ["_team_key"])
+    facts = weekly.withColumns(
+        {"_player_key": F.col(player_fact), "_team_key": F.col(team_fact)}
+    ).drop("player_id", "team_id")
     return facts.join(people, "_player_key").join(squads, "_team_key").drop(
         "_player_key", "_team_key"
     )

@@ -46,9 +46,20 @@ def duck_rows(connection, sql):
     return [names[i] for i in order], sorted(rows, key=repr), types
 
 
+SQL_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "array<int>": "INTEGER[]", "array<string>": "VARCHAR[]",
+}
+
+
 def compare(spark, connection, sf_dir, key, function, sql):
-    names, rows = spark_rows(function(spark, sf_dir))
-    other_names, other_rows, _ = duck_rows(connection, sql)
+    df = function(spark, sf_dir)
+    names, rows = spark_rows(df)
+    other_names, other_rows, types = duck_rows(connection, sql)
+    for name, kind in df.dtypes:
+        if name in types and SQL_TYPES.get(kind) != types[name]:
+            print(f"  type of {key}.{name}: {kind} vs {types[name]}")
     if names != other_names:
         return f"{key}: columns differ {set(names) ^ set(other_names)}"
     if rows != other_rows:
