@@ -3,6 +3,9 @@
 Views are shared as WITH lists; the definitions mirror ``views.py``.
 """
 
+from gridledger import fixed_values as fv
+from gridledger.plans.views import TEMPLATES
+
 PLAYERS = """players AS (
   SELECT s_suppkey AS gsis_id, p_name AS name,
          CASE p_type WHEN 'ECONOMY' THEN 'QB' WHEN 'SMALL' THEN 'RB' WHEN 'STANDARD' THEN 'RB'
@@ -534,5 +537,291 @@ KB = f"""kb AS (
   ORDER BY fantasy_points DESC NULLS LAST, p.gsis_id LIMIT 500)"""
 
 
+
+
+def _questions_view():
+    """The question templates as SQL, from the same template list."""
+    rows = ", ".join(
+        "({}, '{}')".format(i, t.replace("'", "''")) for i, t in enumerate(TEMPLATES)
+    )
+    filled = "template"
+    for slot, column in (
+        ("x", "a.name"), ("y", "b.name"), ("x_first", "split_part(a.name, ' ', 1)"),
+        ("x_last", "split_part(a.name, ' ', -1)"), ("y_first", "split_part(b.name, ' ', 1)"),
+    ):
+        filled = f"replace({filled}, '{{{slot}}}', {column})"
+    return f"""pairs AS ({PAIRS}),
+templates(t, template) AS (VALUES {rows}),
+questions AS (
+  SELECT p1 * {len(TEMPLATES)} + t AS q_id, {filled} AS text
+  FROM pairs JOIN players a ON a.gsis_id = p1 JOIN players b ON b.gsis_id = p2, templates)"""
+
+
+ALL_TEXTS = """all_texts AS (
+  SELECT q_id, text FROM questions
+  UNION ALL SELECT -1 - conv_id * 1000 - turn, text FROM conversations)"""
+
+YEARS = "199[0-9]|200[0-9]"
+
+
+def _has(column, words):
+    return "(" + " OR ".join(f"contains({column}, '{w}')" for w in words) + ")"
+
+
+def _position(column, te):
+    cases = [
+        f"WHEN {_has(column, words)} THEN '{p}'"
+        for p, words in fv.POSITION_WORDS.items()
+        if te or p != "TE"
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _links(texts, key, out):
+    """Best linked player per text, by class then knowledge-base rank."""
+    return f"""{out}_words AS (
+  SELECT {key}, unnest(regexp_split_to_array(lower(text), '\\s+')) AS word FROM {texts}),
+{out}_hits AS (
+  SELECT {key}, 1 AS link_class, kb_rank FROM {texts}, kb
+    WHERE contains(lower(text), lower(name))
+  UNION ALL SELECT {key}, 2, kb_rank FROM {out}_words, kb
+    WHERE word = lower(split_part(name, ' ', -1))
+  UNION ALL SELECT {key}, 3, kb_rank FROM {out}_words, kb
+    WHERE word = lower(split_part(name, ' ', 1))),
+{out} AS (
+  SELECT {key}, kb.gsis_id, kb.name, CAST(link_class AS INT) AS link_class
+  FROM (SELECT {key}, min(link_class * 1000 + kb_rank) AS best FROM {out}_hits GROUP BY {key})
+  JOIN kb ON kb_rank = best % 1000
+  JOIN (VALUES (1), (2), (3)) c(link_class) ON link_class = best // 1000)"""
+
+
+TRADE = fv.TRADE_PATTERN
+
+
+def _routes():
+    low = "lower(text)"
+    marked = (
+        f"{_has(low, fv.COMPARE_MARKERS)} AND NOT regexp_matches({low}, '{TRADE}')"
+        f" AND NOT {_has(low, fv.LIST_WORDS)}"
+    )
+    return ",\n".join([
+        _links("questions", "q_id", "links"),
+        f"""cut AS (SELECT q_id, string_split_regex({low}, '{fv.COMPARE_SPLIT_PATTERN}') AS parts
+  FROM questions WHERE {marked}),
+parts AS (SELECT q_id * 100 + i AS part_id, parts[i] AS text
+  FROM cut, range(1, 20) r(i) WHERE i <= len(parts))""",
+        _links("parts", "part_id", "part_links"),
+        """firsts AS (SELECT part_id // 100 AS q_id, gsis_id, name, min(part_id) AS part_id
+  FROM part_links GROUP BY 1, 2, 3),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY part_id) AS n FROM firsts),
+two AS (SELECT q_id, max(gsis_id) FILTER (n = 1) AS id1, max(name) FILTER (n = 1) AS name1,
+    max(gsis_id) FILTER (n = 2) AS id2, max(name) FILTER (n = 2) AS name2
+  FROM ordered GROUP BY q_id HAVING count(*) >= 2)""",
+        f"""routes AS (
+  SELECT q_id, text, links.gsis_id, links.name, id1, name1, id2, name2,
+    CASE WHEN regexp_matches({low}, '{TRADE}') THEN 'trade'
+         WHEN {_has(low, fv.LIST_WORDS)} THEN 'list'
+         WHEN id2 IS NOT NULL THEN 'comparison'
+         WHEN lower(trim(regexp_replace(text, '[^a-zA-Z\\s]', '', 'g')))
+              IN (lower(links.name), 'who is ' || lower(links.name)) THEN 'profile'
+         WHEN links.gsis_id IS NOT NULL THEN 'answer' ELSE 'fallback' END AS route
+  FROM questions LEFT JOIN links USING (q_id) LEFT JOIN two USING (q_id))""",
+    ])
+
+
+def _best(lookups, out, season="l.season"):
+    """Best scorer of the season per distinct lookup (q, season)."""
+    return f"""{out} AS (
+  SELECT l.q, l.season, p.gsis_id, p.name, p.position, p.team_id, s.fantasy_points
+  FROM (SELECT DISTINCT q, season FROM {lookups}) l
+  JOIN players p ON p.name ILIKE '%' || l.q || '%'
+  LEFT JOIN stats s ON s.gsis_id = p.gsis_id AND s.season = l.season
+  QUALIFY row_number() OVER (PARTITION BY l.q, l.season
+    ORDER BY s.fantasy_points DESC NULLS LAST, p.gsis_id) = 1)"""
+
+
+def _season_case():
+    return f"""CAST(CASE WHEN regexp_extract(text, '{YEARS}') <> ''
+      THEN CAST(regexp_extract(text, '{YEARS}') AS INT)
+    WHEN contains(lower(text), 'last year') THEN {SEASON - 1}
+    WHEN contains(lower(text), 'two years ago') THEN {SEASON - 2} ELSE {SEASON} END AS INT)"""
+
+
+def _answer_intent():
+    cases = " ".join(
+        f"WHEN {_has('lower(text)', words)} THEN '{intent}'"
+        for intent, words in fv.ANSWER_INTENT_WORDS.items()
+    )
+    return f"CASE {cases} ELSE '{fv.ANSWER_INTENT_DEFAULT}' END"
+
+
+def _points_text(column):
+    cents = f"CAST(round({column} * 100) AS BIGINT)"
+    return (
+        f"regexp_replace(CAST(CAST({cents} AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))::VARCHAR,"
+        f" '0$', '')"
+    )
+
+
+def _one_decimal(cents):
+    """Hundredths to text with one decimal, halves away from zero."""
+    tenths = f"((abs({cents}) + 5) // 10)"
+    return (
+        f"(CASE WHEN {cents} < 0 AND {tenths} > 0 THEN '-' ELSE '' END"
+        f" || CAST({tenths} // 10 AS VARCHAR) || '.' || CAST({tenths} % 10 AS VARCHAR))"
+    )
+
+
+def _text_queries():
+    sql = {}
+    questions = [PLAYERS, PLAYS, STATS, KB, _questions_view()]
+    sql["entity_links"] = with_views(*questions, _links("questions", "q_id", "links")) + """
+SELECT q_id, gsis_id, name, link_class FROM questions LEFT JOIN links USING (q_id)"""
+    sql["entity_links_joined"] = with_views(
+        *questions, _links("questions", "q_id", "links")
+    ) + "SELECT * FROM links"
+    sql["question_routes"] = with_views(*questions, _routes()) + f"""
+SELECT q_id, route,
+  CASE route WHEN 'trade' THEN trim(regexp_extract(lower(text), '{TRADE}', 1)) END AS give,
+  CASE route WHEN 'trade' THEN trim(regexp_extract(lower(text), '{TRADE}', 2)) END AS receive,
+  CASE route WHEN 'list' THEN {_position('lower(text)', False)} END AS position,
+  CASE WHEN route = 'comparison' THEN id1 WHEN route IN ('profile', 'answer') THEN gsis_id END
+    AS player1_id,
+  CASE WHEN route = 'comparison' THEN name1 WHEN route IN ('profile', 'answer') THEN name END
+    AS player1_name,
+  CASE route WHEN 'comparison' THEN id2 END AS player2_id,
+  CASE route WHEN 'comparison' THEN name2 END AS player2_name
+FROM routes"""
+    groups = " ".join(
+        "WHEN regexp_matches({}, '{}') THEN '{}'".format(
+            "lower(text)", "|".join(f"(?:{p})" for p in patterns), intent
+        )
+        for intent, patterns in fv.INTENT_PATTERNS.items()
+    )
+    metrics = " ".join(
+        f"WHEN contains(lower(text), '{word}') THEN '{column}'"
+        for word, column in fv.METRIC_WORDS.items()
+    )
+    texts = [PLAYERS, _questions_view(), ALL_TEXTS]
+    stripped = "(SELECT q_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM all_texts)"
+    sql["intent_classes"] = with_views(*texts) + f"""
+SELECT q_id, CASE {groups} ELSE 'unknown' END AS intent,
+  {_position('lower(text)', True)} AS position,
+  CASE {metrics} ELSE '{fv.METRIC_DEFAULT}' END AS metric FROM {stripped}"""
+    sql["answer_intents"] = with_views(*texts) + f"""
+SELECT q_id, {_answer_intent()} AS intent, {_season_case()} AS season FROM all_texts"""
+    stop = "\\b(?:" + "|".join(fv.STOP_WORDS) + ")\\b"
+    sql["name_chunks"] = with_views(PLAYERS, _questions_view()) + f"""
+SELECT q_id, array_to_string(list_filter(list_transform(
+    CASE WHEN contains(t, ' or ') THEN string_split(t, ' or ')
+         WHEN contains(t, ' vs ') THEN string_split(t, ' vs ')
+         WHEN contains(t, ' and ') THEN string_split(t, ' and ') ELSE [t] END,
+    lambda c: trim(regexp_replace(regexp_replace(c, '{stop}', ' ', 'g'), '\\s+', ' ', 'g'))),
+  lambda c: length(c) > 1), '|') AS names
+FROM (SELECT q_id, trim(lower(text)) AS t FROM questions)"""
+    lookups = f"""lookups AS (
+  SELECT DISTINCT q, season FROM (
+    SELECT unnest([name, split_part(name, ' ', -1), upper(split_part(name, ' ', 1)),
+      substr(name, 2, 3), substr(name, 3, 1), substr(name, 1, 2) || '%' || substr(name, -3, 3),
+      '_' || substr(name, 2, 5), name || '?']) AS q FROM players),
+    (VALUES ({SEASON}), (1998), (2020)) s(season))"""
+    stats = [PLAYERS, PLAYS, STATS]
+    sql["name_matches"] = with_views(*stats, lookups, _best("lookups", "best")) + """
+SELECT q, CAST(season AS INT) AS season, gsis_id, name, position, team_id, fantasy_points
+FROM lookups LEFT JOIN best USING (q, season)"""
+
+    requests = f"""requests AS (
+  SELECT q_id, name AS q, {_season_case()} AS season, {_answer_intent()} AS intent
+  FROM routes WHERE route = 'answer')"""
+    year = "CAST(r.season AS VARCHAR)"
+    sql["fact_sentences"] = with_views(
+        *questions, _routes(), requests, _best("requests", "best")
+    ) + f"""
+SELECT q_id, r.q, r.season, intent, b.gsis_id,
+  CASE WHEN b.gsis_id IS NULL THEN 'I couldn''t find stats for ' || r.q || ' in ' || {year} || '.'
+    WHEN s.gsis_id IS NULL THEN
+      'Info: ' || name || ' has no recorded stats for the ' || {year} || ' season.'
+    WHEN intent = 'touchdowns' THEN 'In ' || {year} || ', ' || name || ' scored ' ||
+      (passing_tds + rushing_tds + receiving_tds) || ' total touchdowns (' || rushing_tds ||
+      ' rushing, ' || receiving_tds || ' receiving, ' || passing_tds || ' passing).'
+    WHEN intent = 'rushing' THEN 'In ' || {year} || ', ' || name || ' rushed for ' ||
+      rushing_yards || ' yards and ' || rushing_tds || ' touchdowns.'
+    WHEN intent = 'passing' THEN 'In ' || {year} || ', ' || name || ' threw for ' ||
+      passing_yards || ' yards and ' || passing_tds || ' touchdowns.'
+    WHEN intent = 'receiving' THEN 'In ' || {year} || ', ' || name || ' caught ' ||
+      receiving_yards || ' receiving yards and ' || receiving_tds || ' touchdowns.'
+    ELSE 'In ' || {year} || ', ' || name || ' scored ' || {_points_text('s.fantasy_points')} ||
+      ' fantasy points.' END AS sentence
+FROM requests r LEFT JOIN best b USING (q, season)
+LEFT JOIN stats s ON s.gsis_id = b.gsis_id AND s.season = r.season"""
+
+    trades = f"""trades AS (
+  SELECT q_id, trim(regexp_extract(lower(text), '{TRADE}', 1)) AS give,
+    trim(regexp_extract(lower(text), '{TRADE}', 2)) AS receive
+  FROM questions WHERE regexp_matches(lower(text), '{TRADE}')),
+sides AS (SELECT give AS q, {SEASON} AS season FROM trades
+          UNION SELECT receive, {SEASON} FROM trades)"""
+    sql["trade_verdicts"] = with_views(*questions, trades, _best("sides", "best")) + f"""
+, decided AS (
+  SELECT q_id, give, receive, g.gsis_id AS give_id, r.gsis_id AS receive_id,
+    g.position AS gp, r.position AS rp, g.name AS gn, r.name AS rn,
+    CAST(round(coalesce(r.fantasy_points, 0) * 100) - round(coalesce(g.fantasy_points, 0) * 100)
+      AS BIGINT) AS gain,
+    CASE WHEN g.gsis_id IS NULL OR r.gsis_id IS NULL THEN NULL
+         WHEN g.position IS DISTINCT FROM r.position THEN 'MISMATCH'
+         WHEN gain > 2000 THEN 'WIN' WHEN gain < -2000 THEN 'LOSS' ELSE 'FAIR' END AS verdict
+  FROM trades LEFT JOIN best g ON g.q = give LEFT JOIN best r ON r.q = receive)
+SELECT q_id, give, receive, give_id, receive_id, verdict,
+  CASE WHEN verdict = 'MISMATCH' THEN 0.0::DOUBLE
+       WHEN verdict IS NOT NULL THEN CAST(gain AS DOUBLE) / 100 END AS diff,
+  CASE WHEN verdict IS NULL
+      THEN 'I couldn''t identify one of those players. Try using full names.'
+    WHEN verdict = 'MISMATCH' THEN 'Trade Rejected: You cannot trade a ' || gp || ' (' || gn ||
+      ') for a ' || rp || ' (' || rn || '). Positions must match.'
+    WHEN verdict = 'WIN' THEN 'You gain ' || {_one_decimal('gain')} ||
+      ' points. This is a clear upgrade.'
+    WHEN verdict = 'LOSS' THEN 'You lose ' || {_one_decimal('(-gain)')} ||
+      ' points. Do not accept this.'
+    ELSE 'The difference is only ' || {_one_decimal('gain')} ||
+      ' points. It is a fair trade.' END AS advice
+FROM decided"""
+    sql["qa_corpus"] = with_views(*stats) + f"""
+, best AS (SELECT CAST(row_number() OVER (ORDER BY fantasy_points DESC, gsis_id) AS INT) AS rank,
+    name, position, p.team_id, fantasy_points FROM stats JOIN players p USING (gsis_id)
+  WHERE season = {SEASON} ORDER BY fantasy_points DESC, gsis_id LIMIT 50)
+SELECT rank, 0 AS line_no, 'Question: Who is ' || name || '? Answer: ' || name || ' is a ' ||
+  position || ' for the ' || team_id || '.' AS value FROM best
+UNION ALL SELECT rank, 1, 'Question: How many points did ' || name || ' score in {SEASON}? Answer: '
+  || name || ' scored ' || {_points_text('fantasy_points')} || ' fantasy points.' FROM best"""
+
+    lines = """cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, CAST(i - 1 AS INT) AS line_no, parts[i] AS value
+  FROM cut, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i)),
+vocab AS (SELECT ch, CAST(row_number() OVER (ORDER BY ch) AS INT) AS idx
+  FROM (SELECT DISTINCT unnest(string_split(value, '')) AS ch FROM lines) WHERE ch <> '')"""
+    sql["char_vocab"] = with_views(lines) + "SELECT * FROM vocab"
+    encoded = """chars AS (SELECT doc_id, line_no, i,
+    CASE WHEN i <= length(value) THEN substr(value, CAST(i AS BIGINT), 1) END AS ch
+  FROM lines, range(1, 65) r(i)),
+ids AS (SELECT doc_id, line_no, i, coalesce(idx, 0) AS id FROM chars LEFT JOIN vocab USING (ch))"""
+    sql["encoded_text"] = with_views(lines, encoded) + """
+SELECT doc_id, line_no,
+  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (i < 64) AS input_ids,
+  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (i > 1) AS target_ids
+FROM ids GROUP BY 1, 2"""
+    sql["decoded_text"] = with_views(lines) + """
+SELECT doc_id, line_no, substr(value, 1, 64) AS decoded FROM lines"""
+    sql["season_week_of_date"] = """
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
+  year(o_orderdate) - CASE WHEN month(o_orderdate) < 3 THEN 1 ELSE 0 END AS season FROM orders)
+SELECT o_orderkey, CAST(season AS INT) AS season,
+  CAST(CASE WHEN d < make_date(season, 9, 5) THEN 1
+       ELSE least((d - make_date(season, 9, 5)) // 7 + 1, 18) END AS INT) AS week FROM d"""
+    sql["slugify_names"] = """
+SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' ' || p_brand || ' ' || p_type),
+  '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part"""
+    return sql
+
+
 def all_sql():
-    return {**_basic(), **_box(), **_ranked()}
+    return {**_basic(), **_box(), **_ranked(), **_text_queries()}

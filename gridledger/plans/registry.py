@@ -6,10 +6,17 @@ read queries select (one season's leaderboard, two seasons' difference).
 
 from pyspark.sql import functions as F
 
+from gridledger.functions import dates
+from gridledger.functions import text as tx
 from gridledger.operators import (
+    answers,
     boxscore,
+    corpus,
     dims,
+    linking,
+    names,
     profile,
+    questions,
     ranking,
     roles,
     teams,
@@ -42,14 +49,6 @@ def offense_plays(spark, sf_dir):
     return views.plays(spark, sf_dir, defteam=False)
 
 
-def pairs(spark, sf_dir):
-    supplier = views.table(spark, sf_dir, "supplier")
-    count = supplier.agg(F.count("*")).scalar()
-    return supplier.select(
-        F.col("s_suppkey").alias("p1"), ((F.col("s_suppkey") * 7 + 3) % count).alias("p2")
-    )
-
-
 # --- player lines ----------------------------------------------------------
 
 
@@ -228,7 +227,7 @@ def three_way_totals(spark, sf_dir):
 def compare_players(spark, sf_dir):
     totals = boxscore.three_way_totals(**_weekly_tables(spark, sf_dir), season=SEASON)
     return profile.compare_players(
-        pairs(spark, sf_dir), totals, views.players(spark, sf_dir).drop("headshot_url")
+        views.pairs(spark, sf_dir), totals, views.players(spark, sf_dir).drop("headshot_url")
     )
 
 
@@ -345,7 +344,7 @@ def profiles(spark, sf_dir):
 @query
 def head_to_head(spark, sf_dir):
     return profile.head_to_head(
-        pairs(spark, sf_dir), season_totals(spark, sf_dir), views.players(spark, sf_dir), SEASON
+        views.pairs(spark, sf_dir), season_totals(spark, sf_dir), views.players(spark, sf_dir), SEASON
     )
 
 
@@ -393,3 +392,163 @@ def new_players_anti(spark, sf_dir):
     long_passers = plays.filter((F.col("season") == SEASON) & (F.col("passing_yards") >= 49))
     receivers = plays.select(F.col("receiver_player_id").alias("gsis_id"))
     return dims.anti_by_key(receivers, long_passers, "gsis_id", "passer_player_id")
+
+
+# --- text ------------------------------------------------------------------
+
+# The test tables' seasons, as a year pattern for the season detector.
+YEARS = "199[0-9]|200[0-9]"
+
+
+def _kb(spark, sf_dir):
+    return ranking.knowledge_base(
+        views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
+    )
+
+
+@query
+def entity_links(spark, sf_dir):
+    return linking.link_entities(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")
+
+
+@query
+def entity_links_joined(spark, sf_dir):
+    """The join form of the linker, for knowledge bases of any size."""
+    return linking.link_by_join(views.questions(spark, sf_dir), _kb(spark, sf_dir))
+
+
+@query
+def question_routes(spark, sf_dir):
+    return questions.route(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")
+
+
+def _all_texts(spark, sf_dir):
+    """Generated questions and every turn of the conversations."""
+    turns = views.table(spark, sf_dir, "conversations").select(
+        (F.lit(-1) - F.col("conv_id") * 1000 - F.col("turn")).alias("q_id"), "text"
+    )
+    return views.questions(spark, sf_dir).unionByName(turns)
+
+
+@query
+def intent_classes(spark, sf_dir):
+    parsed = questions.parse(_all_texts(spark, sf_dir))
+    return parsed.select("q_id", "intent", "position", "metric")
+
+
+@query
+def name_chunks(spark, sf_dir):
+    parsed = questions.parse(views.questions(spark, sf_dir))
+    return parsed.select("q_id", F.array_join("player_names", "|").alias("names"))
+
+
+@query
+def answer_intents(spark, sf_dir):
+    text = F.col("text")
+    return _all_texts(spark, sf_dir).select(
+        "q_id",
+        tx.answer_intent(text).alias("intent"),
+        tx.detect_season(text, SEASON, YEARS).alias("season"),
+    )
+
+
+@query
+def name_matches(spark, sf_dir):
+    """Substring lookups of full, last and first names and of short fragments."""
+    people = views.players(spark, sf_dir)
+    name = F.col("name")
+    lookups = people.select(
+        F.explode(
+            F.array(
+                name,
+                F.substring_index(name, " ", -1),
+                F.upper(F.substring_index(name, " ", 1)),
+                F.substring(name, 2, 3),
+                F.substring(name, 3, 1),
+                F.concat(F.substring(name, 1, 2), F.lit("%"), F.substring(name, -3, 3)),
+                F.concat(F.lit("_"), F.substring(name, 2, 5)),
+                F.concat(name, F.lit("?")),
+            )
+        ).alias("q"),
+        F.explode(F.array(F.lit(SEASON), F.lit(1998), F.lit(2020))).alias("season"),
+    ).distinct()
+    return names.best_match(lookups, people, season_totals(spark, sf_dir))
+
+
+@query
+def fact_sentences(spark, sf_dir):
+    routed = questions.route(views.questions(spark, sf_dir), _kb(spark, sf_dir))
+    text = F.col("text")
+    requests = routed.filter(F.col("route") == questions.ANSWER).select(
+        "q_id", F.col("player1_name").alias("q"),
+        tx.detect_season(text, SEASON, YEARS).alias("season"),
+        tx.answer_intent(text).alias("intent"),
+    )
+    return answers.fact_sentences(
+        requests, views.players(spark, sf_dir), season_totals(spark, sf_dir)
+    )
+
+
+@query
+def trade_verdicts(spark, sf_dir):
+    text = F.col("text")
+    trades = views.questions(spark, sf_dir).filter(tx.is_trade(text)).select(
+        "q_id", tx.trade_side(text, 1).alias("give"), tx.trade_side(text, 2).alias("receive")
+    )
+    return answers.trade_verdicts(
+        trades, views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
+    )
+
+
+@query
+def qa_corpus(spark, sf_dir):
+    return answers.qa_corpus(
+        views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
+    )
+
+
+def _document_lines(spark, sf_dir):
+    return corpus.text_lines(views.table(spark, sf_dir, "documents"), "doc_id")
+
+
+@query
+def char_vocab(spark, sf_dir):
+    return corpus.char_vocab(_document_lines(spark, sf_dir))
+
+
+def _ids_text(column):
+    return F.array_join(F.transform(column, lambda i: i.cast("string")), " ")
+
+
+@query
+def encoded_text(spark, sf_dir):
+    lines = _document_lines(spark, sf_dir)
+    encoded = corpus.encode_shift(lines, corpus.char_vocab(lines))
+    return encoded.select(
+        "doc_id", "line_no", _ids_text("input_ids").alias("input_ids"),
+        _ids_text("target_ids").alias("target_ids"),
+    )
+
+
+@query
+def decoded_text(spark, sf_dir):
+    lines = _document_lines(spark, sf_dir)
+    vocab = corpus.char_vocab(lines)
+    decoded = corpus.decode(corpus.encode(lines, vocab), vocab)
+    return decoded.select("doc_id", "line_no", "decoded")
+
+
+@query
+def season_week_of_date(spark, sf_dir):
+    date = F.to_date("o_orderdate")
+    return views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", dates.season_of(date).alias("season"), dates.week_of(date).alias("week")
+    )
+
+
+@query
+def slugify_names(spark, sf_dir):
+    return views.table(spark, sf_dir, "part").select(
+        "p_partkey",
+        tx.slugify(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("slug"),
+    )

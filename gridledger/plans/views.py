@@ -168,3 +168,58 @@ def weekly_receiving(spark, sf_dir):
             F.max("receiving_yards").alias("longest_reception"),
         ],
     )
+
+
+# Question templates over two players' names, with their last and first words.
+TEMPLATES = [
+    "Trade {x} for {y}",
+    "{x} vs {y}",
+    "Top QB this year",
+    "Who is {x}?",
+    "How many touchdowns did {x} score in 1998?",
+    "{x}",
+    "compare {x} and {y}",
+    "did {x_last} rush better last year",
+    "How many points did {x_first} score",
+    "tell me about the weather",
+    "Which receiver is best, {x} or {y}?",
+    "trade {x_last} for {y_first}",
+    "{x_last} , {y} or {x}",
+    "how did {y} throw two years ago",
+    "show me {x} running in 2000",
+]
+
+
+def pairs(spark, sf_dir):
+    """Every player with another one, ids wrapping around."""
+    supplier = table(spark, sf_dir, "supplier")
+    count = supplier.agg(F.count("*")).scalar()
+    return supplier.select(
+        F.col("s_suppkey").alias("p1"), ((F.col("s_suppkey") * 7 + 3) % count).alias("p2")
+    )
+
+
+def questions(spark, sf_dir):
+    """All templates for all pairs: (q_id, text)."""
+    names = players(spark, sf_dir).select("gsis_id", "name")
+    both = (
+        pairs(spark, sf_dir)
+        .join(names.toDF("p1", "x"), "p1")
+        .join(names.toDF("p2", "y"), "p2")
+        .withColumns(
+            {
+                "x_first": F.substring_index("x", " ", 1),
+                "x_last": F.substring_index("x", " ", -1),
+                "y_first": F.substring_index("y", " ", 1),
+            }
+        )
+    )
+    texts = []
+    for template in TEMPLATES:
+        filled = F.lit(template)
+        for slot in ("x", "y", "x_first", "x_last", "y_first"):
+            filled = F.replace(filled, F.lit("{%s}" % slot), F.col(slot))
+        texts.append(filled)
+    return both.select("p1", F.posexplode(F.array(*texts)).alias("t", "text")).select(
+        (F.col("p1") * len(TEMPLATES) + F.col("t")).alias("q_id"), "text"
+    )
