@@ -51,27 +51,28 @@ def to_number(column):
     return F.coalesce(column.try_cast("double"), F.lit(0.0))
 
 
+# Hundredths of a point per unit.
+POINT_WEIGHTS = {
+    "passing_yards": 4,
+    "passing_tds": 400,
+    "interceptions": -200,
+    "rushing_yards": 10,
+    "rushing_tds": 600,
+    "receiving_yards": 10,
+    "receiving_tds": 600,
+    "receptions": 100,
+    "fumbles_lost": -200,
+}
+
+
 def fantasy_cents(df, fumbles=True):
-    """Fantasy points in hundredths, exact for whole yards and counts."""
-    # Hundredths of a point per unit.
-    weights = {
-        "passing_yards": 4,
-        "passing_tds": 400,
-        "interceptions": -200,
-        "rushing_yards": 10,
-        "rushing_tds": 600,
-        "receiving_yards": 10,
-        "receiving_tds": 600,
-        "receptions": 100,
-        "fumbles_lost": -200,
-    }
-    total = F.lit(0).cast("long")
-    for name, weight in weights.items():
-        if name == "fumbles_lost" and not fumbles:
-            continue
-        if name in df.columns:
-            total = total + zero(F.col(name).cast("long")) * weight
-    return total
+    """Fantasy points in hundredths, exact for whole yards and counts.
+
+    Columns the frame lacks count 0.
+    """
+    names = [n for n in POINT_WEIGHTS if n in df.columns and (fumbles or n != "fumbles_lost")]
+    terms = [f"{POINT_WEIGHTS[n]} * coalesce(cast({n} AS bigint), 0)" for n in names]
+    return F.expr(" + ".join(terms or ["0L"]))
 
 
 def points_from_cents(cents):

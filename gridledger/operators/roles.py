@@ -7,7 +7,7 @@ its role rows and grouped once: one scan, one shuffle of pre-summed rows.
 
 from pyspark.sql import functions as F
 
-from gridledger.functions.numeric import column_or, fantasy_points_full, sum_or_zero
+from gridledger.functions.numeric import fantasy_points_full
 from gridledger.operators.clean import drop_empty_lines
 from gridledger.operators.dims import enrich_roster
 
@@ -74,8 +74,23 @@ def role_lines(plays, keys, roles=ROLES):
     return lines.filter(F.col("gsis_id").isNotNull())
 
 
-def _by_role(df, role, source):
-    return F.when(F.col("role") == role, column_or(df, source))
+def _by_role(lines, role, source):
+    """SQL text of a play column where the line has that role."""
+    return f"CASE WHEN role = '{role}' THEN {source if source in lines.columns else 'NULL'} END"
+
+
+def _sums(lines, sums):
+    return [
+        F.expr(f"cast(coalesce(sum({_by_role(lines, *spec)}), 0) AS bigint) AS {out}")
+        for out, spec in sums.items()
+    ]
+
+
+def _means(lines, means):
+    return [
+        F.expr(f"avg(cast({_by_role(lines, *spec)} AS double)) AS {out}")
+        for out, spec in means.items()
+    ]
 
 
 def _group(lines, keys, sums):
@@ -85,10 +100,7 @@ def _group(lines, keys, sums):
     rows are first summed by (id, keys, name) in a hash aggregate and the name
     is settled on the already summed rows.
     """
-    aggregates = [
-        sum_or_zero(_by_role(lines, role, source)).alias(out)
-        for out, (role, source) in sums.items()
-    ]
+    aggregates = _sums(lines, sums)
     latest = []
     if "team_id" in keys and "week" in lines.columns:
         latest = [F.max("week").alias("last_week")]
@@ -141,16 +153,10 @@ def weekly_lines(plays, roles=ROLES, targets="rows"):
     by = ("season", "week", "team_id")
     plays = _with_team(plays, by)
     lines = role_lines(plays, by, roles).drop("player_name")
-    aggregates = [
-        sum_or_zero(_by_role(lines, role, source)).alias(out)
-        for out, (role, source) in WEEK_SUMS.items()
-        if role in roles
-    ]
-    aggregates += [
-        F.avg(_by_role(lines, role, source).cast("double")).alias(out)
-        for out, (role, source) in WEEK_MEANS.items()
-        if role in roles
-    ]
+    def of_roles(measures):
+        return {out: spec for out, spec in measures.items() if spec[0] in roles}
+
+    aggregates = _sums(lines, of_roles(WEEK_SUMS)) + _means(lines, of_roles(WEEK_MEANS))
     if RECEIVING in roles:
         is_target = F.col("role") == RECEIVING
         if targets == "attempts":

@@ -823,5 +823,178 @@ SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' ' || p_brand |
     return sql
 
 
+def _projection_views():
+    """Least squares by orthogonalising the features one after another.
+
+    Rows to predict (``fit`` false) go through the same linear steps, so the
+    prediction is the mean plus each orthogonal part times its coefficient.
+    """
+    features = fv.PROJECTION_FEATURES
+    steps = [f"""d0 AS (
+  SELECT gsis_id, season, true AS fit, fantasy_points AS y,
+    {', '.join(f'CAST({f} AS DOUBLE) AS x{i}' for i, f in enumerate(features))} FROM stats
+  UNION ALL
+  SELECT gsis_id, season, false, NULL, {', '.join(f'CAST({f} AS DOUBLE) / 17' for f in features)}
+  FROM stats),
+d AS (SELECT gsis_id, season, fit, y, 0::DOUBLE AS p, {', '.join(
+    f'x{i} - (SELECT avg(x{i}) FROM d0 WHERE fit) AS x{i}' for i in range(len(features)))}
+  FROM d0)"""]
+    last = "d"
+    for i in range(len(features)):
+        square = f"(SELECT nullif(sum(x{i} * x{i}), 0) FROM {last} WHERE fit)"
+
+        def slope(other, last=last, i=i, square=square):
+            return f"coalesce((SELECT sum({other} * x{i}) FROM {last} WHERE fit) / {square}, 0)"
+
+        rest = "".join(
+            f", x{j} - {slope(f'x{j}')} * x{i} AS x{j}" for j in range(i + 1, len(features))
+        )
+        steps.append(
+            f"e{i} AS MATERIALIZED (SELECT gsis_id, season, fit, y,"
+            f" p + {slope('y')} * x{i} AS p{rest} FROM {last})"
+        )
+        last = f"e{i}"
+    steps.append(f"""projected AS (
+  SELECT gsis_id, season,
+    round(p + (SELECT avg(fantasy_points) FROM stats), 2) AS projected_fantasy_points
+  FROM {last} WHERE NOT fit)""")
+    return ",\n".join(steps)
+
+
+def _stored(sql):
+    """Cleaning, stored tables, quality and projection."""
+    out = {}
+    box = with_views(PLAYERS, TEAMS, PLAYS, BOX)
+    named = (
+        "SELECT b.*, name AS player_name FROM box_p b JOIN players ON gsis_id = player_id"
+    )
+    out["normalized_boxscore"] = box + f"""
+SELECT player_name, CAST(player_id AS VARCHAR) AS pfr_player_id,
+  {_long('completions', 'completions')}, {_long('attempts', 'attempts')},
+  {_long('passing_yards', 'passing_yards')}, {_long('sacks', 'sacks')},
+  CAST(passer_rating AS DOUBLE) AS rate__pct, team, opponent, longest_pass AS long_pass,
+  season AS season_played, week AS week_played, {SEASON} AS season, 1 AS week
+FROM ({named}) WHERE attempts > 0"""
+    out["html_box_scores"] = box + f"""
+SELECT player_id || '-' || team || '-' || opponent || '-' || season || '-' || week AS page_id,
+  0 AS row_no, player_name, 'P' || player_id AS pfr_player_id, team, opponent,
+  {_long('completions', 'completions')}, {_long('attempts', 'attempts')},
+  {_long('passing_yards', 'passing_yards')}, {_long('passing_tds', 'passing_tds')}
+FROM ({named})"""
+    out["page_links"] = """
+WITH cut AS (SELECT page_id,
+    regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+                       '(?s)<a [^>]*href="[^"]*"[^>]*>.*?</a>') AS links FROM pages),
+each AS (SELECT page_id, i, links[i] AS link
+  FROM cut, LATERAL (SELECT unnest(range(1, len(links) + 1)) AS i)),
+parsed AS (SELECT page_id, CAST(i - 1 AS INT) AS pos,
+    regexp_extract(link, 'href="([^"]*)"', 1) AS href,
+    trim(regexp_replace(regexp_extract(link, '(?s)<a [^>]*>(.*)</a>', 1), '<[^>]*>', '', 'g'))
+      AS link_text FROM each)
+SELECT *, replace(split_part(href, '/', -1), '.htm', '') AS target_id FROM parsed"""
+    out["roster_players"] = """
+SELECT s_suppkey AS gsis_id, p_name AS name, s_nationkey + p_size AS team_id
+FROM part JOIN supplier ON s_suppkey = p_partkey % (SELECT count(*) FROM supplier)
+QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY p_name, s_nationkey + p_size) = 1"""
+    stats = with_views(PLAYERS, PLAYS, STATS)
+    directory = """SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, name,
+  CASE WHEN position = 'WR' THEN 'N/A' ELSE position END AS position,
+  CAST(team_id AS VARCHAR) AS team_id, headshot_url, 'N/A' AS espn_id, 'N/A' AS sleeper_id,
+  'N/A' AS yahoo_id
+FROM players WHERE gsis_id IN (SELECT gsis_id FROM stats WHERE receptions > 30)"""
+    out["rebuilt_directory"] = stats + directory
+    out["synced_players"] = box + """
+, qbs AS (SELECT DISTINCT name, 'QB' AS position FROM players WHERE position = 'QB')
+SELECT * FROM qbs
+UNION ALL SELECT DISTINCT name, 'Unknown' FROM box_c JOIN players ON gsis_id = player_id
+  WHERE name NOT IN (SELECT name FROM qbs)"""
+    weekly = with_views(PLAYS, WEEKLY)
+    numbers = [c for c in fv.WEEKLY_STATS_COLUMNS if c not in (
+        "gsis_id", "season", "week", "team_id", "passing_epa", "rushing_epa", "receiving_epa",
+        "wopr", "target_share", "air_yards_share")]
+    out["weekly_rebuild"] = weekly + f"""
+SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, season, week, CAST(team_id AS VARCHAR) AS team_id,
+  {', '.join(numbers)}, round(passing_epa, 9) AS passing_epa,
+  round(rushing_epa, 9) AS rushing_epa, round(receiving_epa, 9) AS receiving_epa,
+  CASE WHEN season < 1998 THEN 0 ELSE round(wopr, 9) END AS wopr,
+  round(target_share, 9) AS target_share, round(air_yards_share, 9) AS air_yards_share
+FROM weekly"""
+    out["swap_week"] = weekly + f"""
+SELECT season, week, gsis_id, team_id, passing_yards AS yards FROM wp
+WHERE season <> {SEASON} OR week NOT IN (SELECT week FROM wr WHERE season = {SEASON})
+UNION ALL
+SELECT season, week, gsis_id, team_id, rushing_yards FROM wr WHERE season = {SEASON}"""
+
+    def season_rushing(name, condition):
+        return f"""{name} AS (
+  SELECT *, {ratio('rushing_yards', 'carries', 2)} AS yards_per_carry,
+    {ratio('rushing_yards', 'games_played', 1)} AS rushing_yards_per_game
+  FROM (SELECT player_id, season, CAST(count(DISTINCT week) AS BIGINT) AS games_played,
+      {_long('sum(carries)', 'carries')}, {_long('sum(rushing_yards)', 'rushing_yards')},
+      {_long('sum(rushing_tds)', 'rushing_tds')},
+      CAST(max(longest_rush) AS INT) AS longest_rush, arg_max(team_id, week) AS team_id
+    FROM box_r WHERE {condition} GROUP BY 1, 2))"""
+
+    kept = ["games_played", "longest_rush", "team_id", "yards_per_carry", "rushing_yards_per_game"]
+    out["upsert_season"] = box + ", " + season_rushing("half", "week <= 26 AND season < 2001") + (
+        ", " + season_rushing("whole", "true")
+    ) + f"""
+SELECT w.player_id, w.season, w.carries, w.rushing_yards, w.rushing_tds,
+  {', '.join(f'CASE WHEN h.player_id IS NULL THEN w.{c} ELSE h.{c} END AS {c}' for c in kept)}
+FROM whole w LEFT JOIN half h ON h.player_id = w.player_id AND h.season = w.season"""
+    out["incremental_weeks"] = """
+SELECT event_id, user_id, event_type, value, CAST(hour(ts) AS INT) AS hour,
+  CAST(year(ts) AS INT) AS season, CAST((dayofyear(ts) - 1) // 7 + 1 AS INT) AS week FROM events"""
+    out["quality_report"] = f"""
+SELECT 'negative_rushing_yards' AS "check", count(*) FILTER (rushing_yards < 0) AS issues
+FROM ({sql['box_rushing']})
+UNION ALL SELECT 'null_names', count(*) FILTER (p_name IS NULL)
+FROM supplier JOIN part ON p_partkey = s_suppkey
+UNION ALL SELECT 'stale_passers', count(*) FILTER (passing_yards = 0 AND games_played > 0)
+FROM ({sql['box_passing']})"""
+    columns = "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,"
+        f" count(*) FILTER ({c} = 0) AS zeros FROM plays"
+        for c in ("sack", "epa", "air_yards", "rushing_yards")
+    )
+    out["null_zero_profile"] = with_views(PLAYS) + columns
+    out["null_rate"] = with_views(PLAYS) + """
+SELECT round(avg(CASE WHEN epa IS NULL THEN 1.0::DOUBLE ELSE 0 END), 9) AS null_rate FROM plays"""
+    out["placeholder_names"] = stats + f"""
+SELECT 'placeholder_names' AS "check", count(*) FILTER (name = 'N/A') AS issues
+FROM ({directory})"""
+    out["projections"] = with_views(PLAYS, STATS, _projection_views()) + "SELECT * FROM projected"
+    lookups = f"""lookups AS (SELECT DISTINCT q, {SEASON} AS season
+  FROM (SELECT unnest([name, name || 'x']) AS q FROM players))"""
+    out["projections_by_name"] = with_views(
+        PLAYERS, PLAYS, STATS, lookups, _best("lookups", "best"), _projection_views()
+    ) + f"""
+SELECT q, gsis_id, name, team_id, projected_fantasy_points,
+  CASE WHEN gsis_id IS NULL THEN 'Player not found'
+    WHEN projected_fantasy_points IS NULL
+      THEN 'No {SEASON} stats available to base prediction on.'
+    ELSE 'Projection based on {SEASON} per-game averages using Linear Regression model.' END AS note
+FROM lookups LEFT JOIN best USING (q, season) LEFT JOIN projected USING (gsis_id, season)"""
+
+    out["chat_answers"] = f"""
+SELECT q_id, CASE WHEN verdict IS NOT NULL THEN 'trade_analysis' END AS type, advice AS response,
+  give_id AS player1_id, receive_id AS player2_id, verdict, diff, NULL::VARCHAR AS position
+FROM ({sql['trade_verdicts']})
+UNION ALL
+SELECT q_id, 'text_only', sentence, gsis_id, NULL, NULL, NULL, NULL FROM ({sql['fact_sentences']})
+UNION ALL
+SELECT q_id, CASE route WHEN 'list' THEN 'draft_board' WHEN 'comparison' THEN 'comparison'
+    WHEN 'profile' THEN 'player_profile' END,
+  CASE route WHEN 'list' THEN 'Here are the top ' || coalesce(position, 'players')
+      || ' for {SEASON}:'
+    WHEN 'comparison' THEN 'Comparing ' || player1_name || ' and ' || player2_name || '...'
+    WHEN 'profile' THEN 'Here is the profile for ' || player1_name || ':'
+    ELSE 'Try ''Trade Lamar for CMC'' or ''How many points did Saquon score?''' END,
+  player1_id, player2_id, NULL, NULL, position
+FROM ({sql['question_routes']}) WHERE route NOT IN ('trade', 'answer')"""
+    return out
+
+
 def all_sql():
-    return {**_basic(), **_box(), **_ranked(), **_text_queries()}
+    sql = {**_basic(), **_box(), **_ranked(), **_text_queries()}
+    return {**sql, **_stored(sql)}

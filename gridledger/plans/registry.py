@@ -6,24 +6,31 @@ read queries select (one season's leaderboard, two seasons' difference).
 
 from pyspark.sql import functions as F
 
+from gridledger import fixed_values as fv
 from gridledger.functions import dates
 from gridledger.functions import text as tx
 from gridledger.operators import (
     answers,
     boxscore,
+    clean,
     corpus,
     dims,
     linking,
     names,
     profile,
+    projection,
+    quality,
     questions,
     ranking,
     roles,
     teams,
     usage,
 )
-from gridledger.plans import views
+from gridledger.plans import chat, views, weekly
 from gridledger.plans.oracle import SEASON, SEASON_PAIR
+from gridledger.session import scratch_dir
+from gridledger.sources import html_tables, plays, tables
+from gridledger.streaming import weeks
 
 REGISTRY = {}
 
@@ -45,6 +52,11 @@ def season_totals(spark, sf_dir):
     )
 
 
+def stored_totals(spark, sf_dir):
+    """The same as a stored table, for queries that read it several times."""
+    return tables.materialize(season_totals(spark, sf_dir), "season_totals")
+
+
 def offense_plays(spark, sf_dir):
     return views.plays(spark, sf_dir, defteam=False)
 
@@ -372,10 +384,10 @@ def week_coverage(spark, sf_dir):
 
 @query
 def latest_games(spark, sf_dir):
-    plays = views.plays(spark, sf_dir).withColumnsRenamed(
+    games = views.plays(spark, sf_dir).withColumnsRenamed(
         {"posteam": "home_team", "defteam": "away_team"}
     )
-    return ranking.latest_games(plays)
+    return ranking.latest_games(games)
 
 
 @query
@@ -388,9 +400,9 @@ def roster_semi(spark, sf_dir):
 
 @query
 def new_players_anti(spark, sf_dir):
-    plays = views.plays(spark, sf_dir, posteam=False, defteam=False)
-    long_passers = plays.filter((F.col("season") == SEASON) & (F.col("passing_yards") >= 49))
-    receivers = plays.select(F.col("receiver_player_id").alias("gsis_id"))
+    rows = views.plays(spark, sf_dir, posteam=False, defteam=False)
+    long_passers = rows.filter((F.col("season") == SEASON) & (F.col("passing_yards") >= 49))
+    receivers = rows.select(F.col("receiver_player_id").alias("gsis_id"))
     return dims.anti_by_key(receivers, long_passers, "gsis_id", "passer_player_id")
 
 
@@ -472,21 +484,15 @@ def name_matches(spark, sf_dir):
         ).alias("q"),
         F.explode(F.array(F.lit(SEASON), F.lit(1998), F.lit(2020))).alias("season"),
     ).distinct()
-    return names.best_match(lookups, people, season_totals(spark, sf_dir))
+    return names.best_match(lookups, people, stored_totals(spark, sf_dir))
 
 
 @query
 def fact_sentences(spark, sf_dir):
-    routed = questions.route(views.questions(spark, sf_dir), _kb(spark, sf_dir))
-    text = F.col("text")
-    requests = routed.filter(F.col("route") == questions.ANSWER).select(
-        "q_id", F.col("player1_name").alias("q"),
-        tx.detect_season(text, SEASON, YEARS).alias("season"),
-        tx.answer_intent(text).alias("intent"),
-    )
-    return answers.fact_sentences(
-        requests, views.players(spark, sf_dir), season_totals(spark, sf_dir)
-    )
+    people, stats = views.players(spark, sf_dir), stored_totals(spark, sf_dir)
+    kb = ranking.knowledge_base(people, stats, SEASON)
+    routed = chat.routed_questions(views.questions(spark, sf_dir), kb)
+    return answers.fact_sentences(chat.fact_requests(routed, SEASON, YEARS), people, stats)
 
 
 @query
@@ -496,7 +502,7 @@ def trade_verdicts(spark, sf_dir):
         "q_id", tx.trade_side(text, 1).alias("give"), tx.trade_side(text, 2).alias("receive")
     )
     return answers.trade_verdicts(
-        trades, views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
+        trades, views.players(spark, sf_dir), stored_totals(spark, sf_dir), SEASON
     )
 
 
@@ -552,3 +558,197 @@ def slugify_names(spark, sf_dir):
         "p_partkey",
         tx.slugify(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("slug"),
     )
+
+
+@query
+def chat_answers(spark, sf_dir):
+    people, stats = views.players(spark, sf_dir), stored_totals(spark, sf_dir)
+    kb = ranking.knowledge_base(people, stats, SEASON)
+    return chat.answer_questions(
+        views.questions(spark, sf_dir), kb, people, stats, SEASON, year_pattern=YEARS
+    )
+
+
+# --- cleaning and HTML -----------------------------------------------------
+
+
+@query
+def normalized_boxscore(spark, sf_dir):
+    """Weekly passing under raw headers, cleaned back to canonical columns."""
+    line = views.weekly_passing(spark, sf_dir)
+    raw = line.select(
+        F.col("player_name").alias("player"),
+        F.when(F.col("attempts") > 0, F.col("player_id").cast("string")).alias("pfr_player_id"),
+        F.col("completions").alias("pass_cmp"), F.col("attempts").alias("att"),
+        F.col("interceptions").alias("cmp"), F.col("passing_yards").alias("yds"),
+        F.col("sacks").alias("sk"), F.col("passer_rating").alias("Rate %"),
+        F.col("team").alias("tm"), F.col("opponent").alias("opp"),
+        F.col("longest_pass").alias("Long Pass+"), F.col("season").alias("season_played"),
+        F.col("week").alias("week_played"),
+    )
+    return clean.normalize(raw, fv.PASSING_ALIASES, season=SEASON, week=1)
+
+
+@query
+def html_box_scores(spark, sf_dir):
+    """Pages rendered from weekly lines, read back and cleaned."""
+    rows = html_tables.extract_tables(views.box_pages(spark, sf_dir), fv.PASSING_TABLE_IDS)
+    cells = html_tables.cell_columns(
+        rows,
+        ["player", "pfr_player_id", "team", "opp", "pass_cmp", "pass_att", "pass_yds", "pass_td"],
+    )
+    named = clean.rename_present(cells, fv.PASSING_ALIASES)
+    counts = ["completions", "attempts", "passing_yards", "passing_tds"]
+    return named.withColumns({c: F.col(c).try_cast("long") for c in counts})
+
+
+@query
+def page_links(spark, sf_dir):
+    links = html_tables.page_links(views.table(spark, sf_dir, "pages"))
+    return links.withColumn("target_id", tx.id_from_href(F.col("href")))
+
+
+@query
+def roster_players(spark, sf_dir):
+    """A roster with repeated ids reduced to one row per player."""
+    supplier, part = (views.table(spark, sf_dir, t) for t in ("supplier", "part"))
+    count = supplier.agg(F.count("*")).scalar()
+    rows = part.withColumn("s_suppkey", F.col("p_partkey") % count).join(supplier, "s_suppkey")
+    roster = rows.select(
+        F.col("s_suppkey").alias("gsis_id"), F.col("p_name").alias("full_name"),
+        F.col("p_type").alias("position"), (F.col("s_nationkey") + F.col("p_size")).alias("team"),
+    )
+    return plays.players_from_roster(roster).select("gsis_id", "name", "team_id")
+
+
+@query
+def rebuilt_directory(spark, sf_dir):
+    directory = views.players(spark, sf_dir).select(
+        "gsis_id", F.col("name").alias("display_name"), F.col("team_id").alias("latest_team"),
+        F.col("headshot_url").alias("headshot"),
+        F.when(F.col("position") != "WR", F.col("position")).alias("position"),
+    )
+    receivers = season_totals(spark, sf_dir).filter("receptions > 30")
+    return dims.rebuild_directory(directory, receivers)
+
+
+@query
+def synced_players(spark, sf_dir):
+    """Directory of one position's names completed by the names seen weekly."""
+    known = views.players(spark, sf_dir).filter(F.col("position") == "QB")
+    known = known.groupBy("name").agg(F.max("position").alias("position"))
+    return dims.add_missing(known, views.weekly_receiving(spark, sf_dir), "player_name")
+
+
+# --- stored tables and incremental loads -----------------------------------
+
+
+@query
+def weekly_rebuild(spark, sf_dir):
+    """History under its own column names, then the plays of later seasons."""
+    all_plays = offense_plays(spark, sf_dir)
+    old, new = all_plays.filter("season < 1998"), all_plays.filter("season >= 1998")
+    history = usage.weekly_stats(old).drop("wopr").withColumnsRenamed(
+        {"gsis_id": "player_id", "team_id": "recent_team", "fantasy_points": "fantasy_points_ppr"}
+    )
+    return rounded(
+        weekly.rebuild_weekly(new, history),
+        "passing_epa", "rushing_epa", "receiving_epa", "wopr", "target_share", "air_yards_share",
+    )
+
+
+@query
+def swap_week(spark, sf_dir):
+    """Stored weeks replaced by fresh ones where there are any."""
+    path = scratch_dir(spark, "swap_week")
+    rows = offense_plays(spark, sf_dir)
+    keys = ["season", "week", "gsis_id", "team_id"]
+    stale = roles.passing_weekly(rows).select(*keys, F.col("passing_yards").alias("yards"))
+    fresh = roles.rushing_weekly(rows).select(*keys, F.col("rushing_yards").alias("yards"))
+    tables.swap_partitions(stale, path, ["season", "week"])
+    tables.swap_partitions(
+        fresh.filter(F.col("season") == SEASON), path, ["season", "week"]
+    )
+    return spark.read.parquet(path).select(*keys, "yards")
+
+
+@query
+def upsert_season(spark, sf_dir):
+    """Half-season totals in store, refreshed from the full season."""
+    root = scratch_dir(spark, "upsert_season")
+    resolved = _resolved(spark, sf_dir, views.weekly_rushing(spark, sf_dir))
+    half = resolved.filter("week <= 26 AND season < 2001")
+    tables.write_replace(boxscore.box_rushing(half, boxscore.PLAYER_SEASON), root)
+    merged = tables.upsert(
+        tables.read_table(spark, root),
+        boxscore.box_rushing(resolved, boxscore.PLAYER_SEASON),
+        boxscore.PLAYER_SEASON,
+        fv.RUSHING_UPDATES,
+    )
+    tables.write_replace(merged, root)
+    return tables.read_table(spark, root)
+
+
+@query
+def incremental_weeks(spark, sf_dir):
+    """Events delivered in two parts per week, loaded as they arrive."""
+    base = scratch_dir(spark, "incremental_weeks")
+    source, target, checkpoint = (f"{base}/{p}" for p in ("source", "target", "checkpoint"))
+    ts = F.col("ts").cast("timestamp")
+    events = views.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", F.hour(ts).alias("hour"),
+        F.year(ts).alias("season"),
+        (F.call_function("div", F.dayofyear(ts) - 1, F.lit(7)) + 1).cast("int").alias("week"),
+    )
+    for delivery in (F.col("hour") < 12, F.col("hour") >= 12):
+        part = events.filter(delivery).hint("rebalance", F.col("season"), F.col("week"))
+        part.write.mode("append").partitionBy("season", "week").parquet(source)
+        weeks.stream_weeks(spark, source, target, checkpoint, events.schema)
+    return spark.read.schema(events.schema).parquet(target)
+
+
+# --- quality and projection ------------------------------------------------
+
+
+@query
+def quality_report(spark, sf_dir):
+    return quality.quality_report(
+        box_rushing(spark, sf_dir), views.players(spark, sf_dir), box_passing(spark, sf_dir),
+        min_games=0,
+    )
+
+
+@query
+def null_zero_profile(spark, sf_dir):
+    rows = views.plays(spark, sf_dir)
+    return quality.null_zero_profile(rows, ["sack", "epa", "air_yards", "rushing_yards"])
+
+
+@query
+def null_rate(spark, sf_dir):
+    rows = views.plays(spark, sf_dir, posteam=False, defteam=False)
+    return rounded(quality.null_rate(rows, "epa"), "null_rate")
+
+
+@query
+def placeholder_names(spark, sf_dir):
+    return quality.placeholder_names(rebuilt_directory(spark, sf_dir))
+
+
+@query
+def projections(spark, sf_dir):
+    stats = stored_totals(spark, sf_dir)
+    model = projection.train_projection(stats)
+    return projection.project_next_game(model, stats).select(
+        "gsis_id", "season", "projected_fantasy_points"
+    )
+
+
+@query
+def projections_by_name(spark, sf_dir):
+    stats, people = stored_totals(spark, sf_dir), views.players(spark, sf_dir)
+    lookups = people.select(F.explode(F.array("name", F.concat("name", F.lit("x")))).alias("q"))
+    model = projection.train_projection(stats)
+    return projection.project_by_name(lookups.distinct(), people, stats, model, SEASON).select(
+        "q", "gsis_id", "name", "team_id", "projected_fantasy_points", "note"
+    )

@@ -9,9 +9,29 @@ from pyspark.sql import functions as F
 
 POSITIONS = {"ECONOMY": "QB", "SMALL": "RB", "STANDARD": "RB", "PROMO": "TE"}
 
+# Declared, so that building a query reads no file footers.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def players(spark, sf_dir):
@@ -58,53 +78,44 @@ def plays(spark, sf_dir, posteam=True, defteam=True):
         )
         line = line.join(owners, "l_orderkey", "left").join(customers, "o_custkey", "left")
 
-    flag, status, number = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
-    target, run = flag == "A", flag == "R"
-    complete = target & (status == "F")
-    sack = (flag == "N") & (number <= 3)
-    yards = F.col("l_quantity").cast("int")
-    caught = F.when(complete, yards)
-    rushed = F.when(run, yards - 5)
-    pass_td, rush_td = complete & (number == 1), run & (number == 1)
     players_count = supplier.agg(F.count("*")).scalar()
-    epa = (F.col("l_discount").cast("decimal(5,2)") - F.lit(0.05).cast("decimal(5,2)")).cast(
-        "double"
-    )
+    target, run = "l_returnflag = 'A'", "l_returnflag = 'R'"
+    complete = f"({target} AND l_linestatus = 'F')"
+    sack = "(l_returnflag = 'N' AND l_linenumber <= 3)"
+    yards = "cast(l_quantity AS int)"
+    pass_td, rush_td = f"{complete} AND l_linenumber = 1", f"{run} AND l_linenumber = 1"
 
     def bit(condition):
-        return condition.cast("int")
+        return f"cast({condition} AS int)"
 
-    shown = [F.col("posteam")] if posteam else []
-    shown += [F.col("defteam")] if defteam else []
-    return line.select(
-        F.year("l_shipdate").alias("season"),
-        F.call_function("div", F.dayofyear("l_shipdate") - 1, F.lit(7))
-        .cast("int")
-        .__add__(1)
-        .alias("week"),
-        *shown,
-        F.when(run, "run").otherwise("pass").alias("play_type"),
-        F.when(~run, F.col("l_suppkey")).alias("passer_player_id"),
-        F.when(run, F.col("l_suppkey")).alias("rusher_player_id"),
-        F.when(target, (F.col("l_suppkey") + F.col("l_partkey")) % players_count).alias(
-            "receiver_player_id"
-        ),
-        caught.alias("passing_yards"),
-        rushed.alias("rushing_yards"),
-        caught.alias("receiving_yards"),
-        F.coalesce(caught, rushed, F.lit(0)).alias("yards_gained"),
-        F.when(target, number * 3).alias("air_yards"),
-        F.when(complete, yards % 7).alias("yards_after_catch"),
-        F.when(F.col("l_tax") != 0, epa).alias("epa"),
-        bit(pass_td).alias("pass_touchdown"),
-        bit(rush_td).alias("rush_touchdown"),
-        bit(pass_td | rush_td).alias("touchdown"),
-        bit(target & (status == "O") & (number == 2)).alias("interception"),
-        bit(run & (number == 7)).alias("fumble_lost"),
-        bit(sack).alias("sack"),
-        bit(complete).alias("complete_pass"),
-        bit(~run & ~sack).alias("pass_attempt"),
-        bit(run).alias("rush_attempt"),
+    columns = {
+        "season": "year(l_shipdate)",
+        "week": "cast((dayofyear(l_shipdate) - 1) div 7 + 1 AS int)",
+        "play_type": f"if({run}, 'run', 'pass')",
+        "passer_player_id": f"if({run}, NULL, l_suppkey)",
+        "rusher_player_id": f"if({run}, l_suppkey, NULL)",
+        "receiver_player_id": f"if({target}, receiver, NULL)",
+        "passing_yards": f"if({complete}, {yards}, NULL)",
+        "rushing_yards": f"if({run}, {yards} - 5, NULL)",
+        "receiving_yards": f"if({complete}, {yards}, NULL)",
+        "yards_gained": f"if({complete}, {yards}, if({run}, {yards} - 5, 0))",
+        "air_yards": f"if({target}, 3 * l_linenumber, NULL)",
+        "yards_after_catch": f"if({complete}, {yards} % 7, NULL)",
+        "epa": "if(l_tax <> 0, cast(cast(l_discount AS decimal(5,2)) - 0.05 AS double), NULL)",
+        "pass_touchdown": bit(pass_td),
+        "rush_touchdown": bit(rush_td),
+        "touchdown": bit(f"({pass_td}) OR ({rush_td})"),
+        "interception": bit(f"{target} AND l_linestatus = 'O' AND l_linenumber = 2"),
+        "fumble_lost": bit(f"{run} AND l_linenumber = 7"),
+        "sack": bit(sack),
+        "complete_pass": bit(complete),
+        "pass_attempt": bit(f"NOT ({run}) AND NOT {sack}"),
+        "rush_attempt": bit(run),
+    }
+    shown = [c for c, kept in (("posteam", posteam), ("defteam", defteam)) if kept]
+    receiver = (F.col("l_suppkey") + F.col("l_partkey")) % players_count
+    return line.withColumn("receiver", receiver).selectExpr(
+        *shown, *[f"{expression} AS {name}" for name, expression in columns.items()]
     )
 
 
@@ -223,3 +234,43 @@ def questions(spark, sf_dir):
     return both.select("p1", F.posexplode(F.array(*texts)).alias("t", "text")).select(
         (F.col("p1") * len(TEMPLATES) + F.col("t")).alias("q_id"), "text"
     )
+
+
+def box_pages(spark, sf_dir):
+    """One HTML page per weekly passing line: (page_id, html).
+
+    Pages of odd weeks show the table, with the id as a cell attribute; in
+    even weeks it sits in a comment and the id only in the link.
+    """
+    line = weekly_passing(spark, sf_dir)
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in line.columns}
+
+    def cell(stat, column):
+        return F.concat(F.lit(f'<td data-stat="{stat}"> '), text[column], F.lit("</td>"))
+
+    cells = F.concat(
+        cell("team", "team"), cell("opp", "opponent"), cell("pass_cmp", "completions"),
+        cell("pass_att", "attempts"), cell("pass_yds", "passing_yards"),
+        cell("pass_td", "passing_tds"), F.lit("<td>note</td>"),
+    )
+    link = F.concat(F.lit('<a href="/players/P'), text["player_id"], F.lit('.htm">'),
+                    text["player_name"], F.lit("</a>"))
+    header = F.lit(
+        '<thead><tr><th data-stat="player">Player</th></tr></thead><tbody>'
+        '<tr class="over thead"><th data-stat="player">Player</th></tr><tr>'
+    )
+    shown = F.concat(
+        F.lit('<html><table id="scores"><tbody><tr><td data-stat="player">x</td></tr></tbody>'
+              '</table><table class="stats" id="passing">'), header,
+        F.lit('<th data-stat="player" data-append-csv="P'), text["player_id"], F.lit('">'), link,
+        F.lit("</th>"), cells, F.lit("</tr></tbody></table></html>"),
+    )
+    hidden = F.concat(
+        F.lit('<html><p>stats</p><!-- no table --><!-- <div><table id="qb_stats">'), header,
+        F.lit('<th data-stat="player">'), link, F.lit("</th>"), cells,
+        F.lit("</tr></tbody></table></div> --></html>"),
+    )
+    return line.select(
+        F.concat_ws("-", "player_id", "team", "opponent", "season", "week").alias("page_id"),
+        F.when(F.col("week") % 2 == 1, shown).otherwise(hidden).alias("html"),
+    )
