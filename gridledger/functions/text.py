@@ -112,11 +112,26 @@ def is_trade(text):
     return F.rlike(F.lower(text), F.lit(_UNIX_LINES + fv.TRADE_PATTERN))
 
 
+def stop_word_patterns():
+    """Stop words as few patterns: plain words together, others on their own.
+
+    Words removed earlier can change what touches a later question mark, so
+    the listed order is kept between the groups.
+    """
+    groups = [[]]
+    for word in fv.STOP_WORDS:
+        if word.isalnum():
+            groups[-1].append(word)
+        else:
+            groups += [[word], []]
+    return [r"\b(?:" + "|".join(g) + r")\b" for g in groups if g]
+
+
 def name_chunks(text):
     """Candidate names: split at the first delimiter kind present, drop stop words.
 
-    One alternation replaces the stop words; a listed question mark only goes
-    where word characters touch it on both sides, so a trailing one stays.
+    A question mark is only dropped where word characters touch it on both
+    sides, so a trailing one stays.
     """
     lowered = strip(F.lower(text))
     parts = None
@@ -125,6 +140,11 @@ def name_chunks(text):
         hit = F.contains(lowered, F.lit(delimiter))
         parts = F.when(hit, cut) if parts is None else parts.when(hit, cut)
     parts = parts.otherwise(F.array(lowered))
-    stop = r"(?U)\b(?:" + "|".join(fv.STOP_WORDS) + r")\b"
-    cleaned = F.transform(parts, lambda part: squeeze(F.regexp_replace(part, stop, " ")))
+
+    def without_stop_words(part):
+        for pattern in stop_word_patterns():
+            part = F.regexp_replace(part, "(?U)" + pattern, " ")
+        return squeeze(part)
+
+    cleaned = F.transform(parts, without_stop_words)
     return F.filter(cleaned, lambda chunk: F.length(chunk) > 1)

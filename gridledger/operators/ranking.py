@@ -91,9 +91,11 @@ def draft_suggestions(
     """
     category, metric = pick_column(fv.DRAFT_CATEGORIES, position, (None, None))
     if category is None:
-        any_weekly = next(iter(weekly_by_category.values()))
-        some_metric = next(c for c in any_weekly.columns if c.endswith("_yards"))
-        totals = category_totals(any_weekly, players, some_metric, season, player_key).limit(0)
+        nothing = F.lit(None).cast("long")
+        totals = players.select(
+            F.col("gsis_id").alias("player_id"), "name", F.col("team_id").alias("team"),
+            nothing.alias("value"),
+        ).limit(0)
     else:
         totals = category_totals(weekly_by_category[category], players, metric, season, player_key)
     return top_n(totals, "value", n, tie="player_id").select(

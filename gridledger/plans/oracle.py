@@ -4,6 +4,7 @@ Views are shared as WITH lists; the definitions mirror ``views.py``.
 """
 
 from gridledger import fixed_values as fv
+from gridledger.functions.text import stop_word_patterns
 from gridledger.plans.views import TEMPLATES
 
 PLAYERS = """players AS (
@@ -710,13 +711,15 @@ SELECT q_id, CASE {groups} ELSE 'unknown' END AS intent,
   CASE {metrics} ELSE '{fv.METRIC_DEFAULT}' END AS metric FROM {stripped}"""
     sql["answer_intents"] = with_views(*texts) + f"""
 SELECT q_id, {_answer_intent()} AS intent, {_season_case()} AS season FROM all_texts"""
-    stop = "\\b(?:" + "|".join(fv.STOP_WORDS) + ")\\b"
+    cleaned = "c"
+    for pattern in stop_word_patterns():
+        cleaned = f"regexp_replace({cleaned}, '{pattern}', ' ', 'g')"
     sql["name_chunks"] = with_views(PLAYERS, _questions_view()) + f"""
 SELECT q_id, array_to_string(list_filter(list_transform(
     CASE WHEN contains(t, ' or ') THEN string_split(t, ' or ')
          WHEN contains(t, ' vs ') THEN string_split(t, ' vs ')
          WHEN contains(t, ' and ') THEN string_split(t, ' and ') ELSE [t] END,
-    lambda c: trim(regexp_replace(regexp_replace(c, '{stop}', ' ', 'g'), '\\s+', ' ', 'g'))),
+    lambda c: trim(regexp_replace({cleaned}, '\\s+', ' ', 'g'))),
   lambda c: length(c) > 1), '|') AS names
 FROM (SELECT q_id, trim(lower(text)) AS t FROM questions)"""
     lookups = f"""lookups AS (
