@@ -27,20 +27,43 @@ def char_vocab(lines, text="value"):
     return letters.select("ch", F.row_number().over(Window.orderBy("ch")).alias("idx"))
 
 
-def _with_vocab(df, vocab, key, value):
-    """Add the vocabulary as one map value, evaluated once per query."""
-    entries = F.collect_list(F.struct(key, value))
-    return df.withColumn("_vocab", vocab.agg(F.map_from_entries(entries)).scalar())
+def _code_blocks(vocab):
+    """Ids by code point: block (code div 256) -> slot (code mod 256) -> id.
+
+    A two-step array lookup per character, however large the vocabulary. It is
+    bounded by the number of characters that exist, not by the text.
+    """
+    code = F.ascii("ch")
+    coded = vocab.select(
+        F.shiftright(code, 8).alias("block"), F.pmod(code, F.lit(256)).alias("slot"), "idx"
+    )
+    slots = F.map_from_entries(F.collect_list(F.struct("slot", "idx")))
+    blocks = coded.groupBy("block").agg(slots.alias("slots"))
+    blocks = blocks.select(
+        "block",
+        F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.col("slots")[i]).alias("ids"),
+    )
+    table = blocks.agg(
+        F.map_from_entries(F.collect_list(F.struct("block", "ids"))).alias("table"),
+        F.coalesce(F.max("block"), F.lit(0)).alias("last"),
+    )
+    dense = F.transform(F.sequence(F.lit(0), F.col("last")), lambda b: F.col("table")[b])
+    return table.select(dense).scalar()
 
 
 def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded"):
     """Ids of the first ``max_len`` characters, padded with 0 to that length."""
-    table = F.col("_vocab")
-    kept = F.slice(characters(F.col(text)), 1, max_len)
-    kept = F.filter(kept, lambda c: c != "")
-    ids = F.transform(kept, lambda c: F.coalesce(F.element_at(table, c), F.lit(PAD)))
+    blocks = F.col("_blocks")
+
+    def char_id(character):
+        code = F.ascii(character)
+        block = F.get(blocks, F.shiftright(code, 8))
+        return F.coalesce(F.get(block, F.pmod(code, F.lit(256))), F.lit(PAD))
+
+    kept = F.filter(characters(F.substring(text, 1, max_len)), lambda c: c != "")
+    ids = F.transform(kept, char_id)
     padded = F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(ids)))
-    return _with_vocab(lines, vocab, "ch", "idx").withColumn(out, padded).drop("_vocab")
+    return lines.withColumn("_blocks", _code_blocks(vocab)).withColumn(out, padded).drop("_blocks")
 
 
 def encode_shift(lines, vocab, max_len=MAX_LEN, text="value"):
@@ -56,7 +79,9 @@ def encode_shift(lines, vocab, max_len=MAX_LEN, text="value"):
 
 def decode(encoded, vocab, ids="encoded", out="decoded"):
     """Ids back to text; unknown ids and padding become nothing."""
-    table = F.col("_vocab")
-    letters = F.transform(F.col(ids), lambda i: F.coalesce(F.element_at(table, i), F.lit("")))
-    held = _with_vocab(encoded, vocab, "idx", "ch")
-    return held.withColumn(out, F.array_join(letters, "")).drop("_vocab")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("idx", "ch"))), lambda e: e["ch"])
+    table = encoded.withColumn("_chars", vocab.agg(ordered).scalar())
+    letters = F.transform(
+        F.col(ids), lambda i: F.coalesce(F.get(F.col("_chars"), i - 1), F.lit(""))
+    )
+    return table.withColumn(out, F.array_join(letters, "")).drop("_chars")

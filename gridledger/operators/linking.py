@@ -2,15 +2,17 @@
 
 Priority: the text contains the full name, else one of its words is a last
 name, else a first name; within a class the better ranked player wins.
+
+Nothing compares every text with every player. Last and first names join on
+the text's words; a full name is found through its rarest three-character part
+among the text's own parts and then verified. The knowledge base may have any
+size: a small one ends up on the broadcast side of these equi-joins by itself.
 """
 
 from pyspark.sql import functions as F
 
 from gridledger.functions.text import words
-from gridledger.operators.names import GRAM, _bind, _entries
-
-# A knowledge base of up to this many rows travels inside the plan.
-INLINE_ROWS = 1000
+from gridledger.operators.names import GRAM, entries
 
 
 def _keyed(kb):
@@ -21,105 +23,53 @@ def _keyed(kb):
     ).filter(F.col("lname").isNotNull() & (F.col("lname") != ""))
 
 
-def with_inline_kb(texts, kb, bound, out="_kb"):
-    """Add the knowledge base as one array value in rank order.
+def _rarest_parts(known):
+    """One part per full name, the one fewest names share.
 
-    At most ``bound`` rows: one more makes the job fail instead of dropping
-    players. It is a scalar subquery, so Spark evaluates it once.
+    Names shorter than a full part are keyed by their first character.
     """
-    entry = F.struct("kb_rank", "gsis_id", "name", "lname", "last", "first")
-    rows = _keyed(kb).limit(bound + 1).agg(
-        F.sort_array(F.collect_list(entry)).alias("rows"), F.count("*").alias("found")
-    )
-    too_many = F.raise_error(F.lit(f"knowledge base exceeds {bound} rows"))
-    checked = F.when(F.col("found") <= bound, F.col("rows")).otherwise(
-        too_many.cast(rows.schema["rows"].dataType)
+    short = F.array(F.struct(F.lit(1).alias("size"), F.substring("lname", 1, 1).alias("gram")))
+    part = F.when(F.length("lname") >= GRAM, entries(F.col("lname"), [GRAM])).otherwise(short)
+    parts = known.select("kb_rank", "lname", F.inline(part))
+    spread = parts.groupBy("size", "gram").agg(F.count("*").alias("names"))
+    return (
+        parts.join(spread, ["size", "gram"])
+        .groupBy("kb_rank", "lname")
+        .agg(F.min(F.struct("names", "size", "gram")).alias("rare"))
+        .select("kb_rank", "lname", "rare.size", "rare.gram")
     )
-    return texts.withColumn(out, rows.select(checked.alias("kb")).scalar())
-
-
-def link_expression(text, kb):
-    """Struct (gsis_id, name, link_class) of a text's player, or NULL.
-
-    An expression over the knowledge-base array: no join, no shuffle,
-    and the later classes are only tried when the earlier ones fail.
-    """
-
-    def linked(entry, number):
-        return F.when(
-            entry.isNotNull(),
-            F.struct(
-                entry["gsis_id"].alias("gsis_id"), entry["name"].alias("name"),
-                F.lit(number).alias("link_class"),
-            ),
-        )
 
-    def pick(t):
-        def first_entry(test):
-            return F.get(F.filter(kb, test), F.lit(0))
 
-        return F.coalesce(
-            linked(first_entry(lambda e: F.contains(t["text"], e["lname"])), 1),
-            linked(first_entry(lambda e: F.array_contains(t["words"], e["last"])), 2),
-            linked(first_entry(lambda e: F.array_contains(t["words"], e["first"])), 3),
-        )
-
-    lowered = F.lower(text)
-    return _bind(F.struct(lowered.alias("text"), words(lowered).alias("words")), pick)
-
-
-def link_by_join(texts, kb, key="q_id", text="text"):
-    """The same for a knowledge base of any size, by equi-joins.
-
-    Last and first names join on the text's words. A full name is looked up by
-    its rarest three-character part among the text's own parts, then verified.
-    Returns (key, gsis_id, name, link_class) for linked texts only.
-    """
+def link_texts(texts, kb, key="q_id", text="text"):
+    """(key, gsis_id, name, link_class) of the texts that name a player."""
     known = _keyed(kb)
     lowered = texts.select(key, F.lower(text).alias("lowered"))
     word = lowered.select(key, F.explode(F.array_distinct(words(F.col("lowered")))).alias("word"))
 
-    def by_word(part, number):
+    def by_word(part, link_class):
         best = known.groupBy(F.col(part).alias("word")).agg(F.min("kb_rank").alias("kb_rank"))
-        return word.join(best, "word").select(key, F.lit(number).alias("link_class"), "kb_rank")
+        return best.select("word", F.struct(F.lit(link_class).alias("link_class"),
+                                            "kb_rank").alias("hit"))
 
-    part = F.when(
-        F.length("lname") >= GRAM, _entries(F.col("lname"), [GRAM])
-    ).otherwise(F.array(F.struct(F.length("lname").alias("size"), F.col("lname").alias("gram"))))
-    name_parts = known.select("kb_rank", "lname", F.inline(part))
-    spread = name_parts.groupBy("size", "gram").agg(F.count("*").alias("names"))
-    rarest = (
-        name_parts.join(spread, ["size", "gram"])
-        .groupBy("kb_rank", "lname")
-        .agg(F.min(F.struct("names", "size", "gram")).alias("rare"))
-        .select("kb_rank", "lname", "rare.size", "rare.gram")
-    )
-    text_parts = lowered.select(key, "lowered", F.inline(_entries(F.col("lowered"), (1, 2, 3))))
+    named = by_word("last", 2).unionByName(by_word("first", 3))
+    named = named.groupBy("word").agg(F.min("hit").alias("hit"))
+    parts = lowered.select(key, "lowered", F.inline(entries(F.col("lowered"), (1, GRAM))))
     full = (
-        text_parts.join(rarest, ["size", "gram"])
+        parts.join(_rarest_parts(known), ["size", "gram"])
         .filter(F.contains("lowered", "lname"))
-        .select(key, F.lit(1).alias("link_class"), "kb_rank")
+        .select(key, F.struct(F.lit(1).alias("link_class"), "kb_rank").alias("hit"))
     )
     best = (
-        full.unionByName(by_word("last", 2))
-        .unionByName(by_word("first", 3))
+        full.unionByName(word.join(named, "word").select(key, "hit"))
         .groupBy(key)
-        .agg(F.min(F.struct("link_class", "kb_rank")).alias("best"))
+        .agg(F.min("hit").alias("best"))
         .select(key, "best.link_class", "best.kb_rank")
     )
     return best.join(known.select("kb_rank", "gsis_id", "name"), "kb_rank").drop("kb_rank")
 
 
-def link_entities(texts, kb, bound=500, key="q_id", text="text"):
-    """Every text with the linked player's gsis_id, name and link_class.
-
-    ``bound`` is the proven size of the knowledge base; up to INLINE_ROWS it is
-    inlined, beyond that joined.
-    """
-    if bound <= INLINE_ROWS:
-        link = link_expression(F.col(text), F.col("_kb"))
-        linked = with_inline_kb(texts, kb, bound).withColumn("_link", link)
-        return linked.select(*texts.columns, "_link.gsis_id", "_link.name", "_link.link_class")
-    return texts.join(link_by_join(texts, kb, key, text), key, "left").select(
+def link_entities(texts, kb, key="q_id", text="text"):
+    """Every text with the linked player's gsis_id, name and link_class."""
+    return texts.join(link_texts(texts, kb, key, text), key, "left").select(
         *texts.columns, "gsis_id", "name", "link_class"
     )

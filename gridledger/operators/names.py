@@ -19,11 +19,6 @@ GRAM = 3
 ANY_SEASON = -1
 
 
-def _bind(value, body):
-    """Evaluate ``value`` once and hand it to ``body``."""
-    return F.transform(F.array(value), body)[0]
-
-
 def grams(column, size):
     """Distinct substrings of the given size."""
     count = F.length(column) - (size - 1)
@@ -34,7 +29,7 @@ def grams(column, size):
     return F.array_distinct(F.when(count >= 1, cut).otherwise(F.array().cast("array<string>")))
 
 
-def _entries(column, sizes):
+def entries(column, sizes):
     """Index entries of one text: structs (size, gram)."""
 
     def sized(size):
@@ -105,7 +100,7 @@ def _literal_entries(lq):
     parts = F.flatten(
         F.transform(
             runs,
-            lambda run: F.when(F.length(run) >= GRAM, _entries(run, [GRAM])).otherwise(
+            lambda run: F.when(F.length(run) >= GRAM, entries(run, [GRAM])).otherwise(
                 F.array(F.struct(F.length(run).alias("size"), run.alias("gram")))
             ),
         )
@@ -124,12 +119,12 @@ def match_names(lookups, players, stats):
     season.
     """
     names = _ranked_names(players, stats)
-    entries = names.select(
+    indexed = names.select(
         "scope", "lname", "best",
-        F.inline(F.concat(_length_entries(F.col("lname")), _entries(F.col("lname"), (1, 2, 3)))),
+        F.inline(F.concat(_length_entries(F.col("lname")), entries(F.col("lname"), (1, 2, 3)))),
     )
     keys = ["scope", "size", "gram"]
-    index = entries.groupBy(*keys).agg(F.min("best").alias("best"), F.count("*").alias("names"))
+    index = indexed.groupBy(*keys).agg(F.min("best").alias("best"), F.count("*").alias("names"))
 
     asked = _lookups(lookups)
     underscores = F.length(F.regexp_replace("lq", "[^_]", "")).cast("string")
@@ -153,7 +148,7 @@ def match_names(lookups, players, stats):
     )
     pattern = F.concat(F.lit("%"), F.col("lq"), F.lit("%"))
     hit = F.when(F.col("plain"), F.contains("lname", "lq")).otherwise(F.like("lname", pattern))
-    verified = rarest.join(entries, keys).filter(hit).select("q", "season", "best")
+    verified = rarest.join(indexed, keys).filter(hit).select("q", "season", "best")
 
     return (
         found.unionByName(verified)

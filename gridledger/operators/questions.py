@@ -1,15 +1,11 @@
 """Question routing over a table of questions (q_id, text)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
 from gridledger.functions import text as tx
-from gridledger.operators.linking import (
-    INLINE_ROWS,
-    link_by_join,
-    link_expression,
-    with_inline_kb,
-)
+from gridledger.operators.linking import link_texts
 
 TRADE, LIST, COMPARE, PROFILE, ANSWER, FALLBACK = (
     "trade", "list", "comparison", "profile", "answer", "fallback",
@@ -31,70 +27,47 @@ def comparison_parts(text):
     return F.split(F.lower(text), fv.COMPARE_SPLIT_PATTERN)
 
 
-def _first_two(links):
-    """The first two distinct linked players, in the order of the question."""
-    found = F.filter(links, lambda link: link.isNotNull())
-    slim = F.transform(
-        found, lambda e: F.struct(e["gsis_id"].alias("gsis_id"), e["name"].alias("name"))
-    )
-    return F.slice(F.array_distinct(slim), 1, 2)
-
-
-def _linked_inline(questions, kb, bound):
-    text, array = F.col("text"), F.col("_kb")
-    parts = F.transform(comparison_parts(text), lambda p: link_expression(p, array))
-    return (
-        with_inline_kb(questions, kb, bound)
-        .withColumns(
-            {
-                "_pair": F.when(_may_compare(text), _first_two(parts)),
-                "_link": link_expression(text, array),
-            }
-        )
-        .drop("_kb")
-    )
-
+def _linked_pairs(questions, kb):
+    """(q_id, pair): the first two distinct players named by a question's parts.
 
-def _linked_by_join(questions, kb):
-    whole = link_by_join(questions, kb).select(
-        "q_id", F.struct("gsis_id", "name", "link_class").alias("_link")
-    )
+    Only questions that may be comparisons are split.
+    """
     parts = questions.filter(_may_compare(F.col("text"))).select(
         "q_id", F.posexplode(comparison_parts(F.col("text"))).alias("part_no", "part")
     )
     parts = parts.withColumn("part_key", F.struct("q_id", "part_no"))
-    linked = link_by_join(parts, kb, key="part_key", text="part").select(
+    linked = link_texts(parts, kb, key="part_key", text="part").select(
         F.col("part_key.q_id").alias("q_id"), F.col("part_key.part_no").alias("part_no"),
         "gsis_id", "name",
     )
-    # A question has few parts, so the list per question is short.
-    pairs = linked.groupBy("q_id").agg(
-        _first_two(F.sort_array(F.collect_list(F.struct("part_no", "gsis_id", "name")))).alias(
-            "_pair"
-        )
+    first = linked.groupBy("q_id", "gsis_id", "name").agg(F.min("part_no").alias("part_no"))
+    order = Window.partitionBy("q_id").orderBy("part_no")
+    two = first.withColumn("n", F.row_number().over(order)).filter("n <= 2")
+    player = F.struct("gsis_id", "name")
+    return two.groupBy("q_id").agg(
+        F.max(F.when(F.col("n") == 1, player)).alias("_one"),
+        F.max(F.when(F.col("n") == 2, player)).alias("_two"),
     )
-    return questions.join(pairs, "q_id", "left").join(whole, "q_id", "left")
 
 
-def route(questions, kb, bound=500):
+def route(questions, kb):
     """Each question with its route and what the route needs.
 
     First rule wins: trade, list, comparison of two linked players, profile
     (the text is a name, or "who is" and a name), answer about a linked
-    player, fallback. With a knowledge base small enough to be inlined the
-    whole router is a projection.
+    player, fallback.
     """
-    if bound <= INLINE_ROWS:
-        linked = _linked_inline(questions, kb, bound)
-    else:
-        linked = _linked_by_join(questions, kb)
+    whole = link_texts(questions, kb).select("q_id", F.struct("gsis_id", "name").alias("_link"))
+    linked = questions.join(
+        whole.join(_linked_pairs(questions, kb), "q_id", "full_outer"), "q_id", "left"
+    )
     text, name = F.col("text"), F.lower(F.col("_link.name"))
     letters = F.lower(tx.strip(F.regexp_replace(text, r"(?U)[^a-zA-Z\s]", "")))
     is_profile = (letters == name) | (letters == F.concat(F.lit("who is "), name))
     chosen = (
         F.when(tx.is_trade(text), TRADE)
         .when(_is_list(text), LIST)
-        .when(F.size("_pair") >= 2, COMPARE)
+        .when(F.col("_two").isNotNull(), COMPARE)
         .when(is_profile, PROFILE)
         .when(F.col("_link").isNotNull(), ANSWER)
         .otherwise(FALLBACK)
@@ -105,19 +78,22 @@ def route(questions, kb, bound=500):
         return F.when(F.col("route").isin(*routes), value)
 
     single = [PROFILE, ANSWER]
-    pair = F.col("_pair")
+
+    def player(field):
+        return F.coalesce(
+            on([COMPARE], F.col(f"_one.{field}")), on(single, F.col(f"_link.{field}"))
+        )
+
     return routed.select(
         *questions.columns,
         "route",
         on([TRADE], tx.trade_side(text, 1)).alias("give"),
         on([TRADE], tx.trade_side(text, 2)).alias("receive"),
         on([LIST], tx.detect_position(text)).alias("position"),
-        F.coalesce(on([COMPARE], F.get(pair, F.lit(0))["gsis_id"]),
-                   on(single, F.col("_link.gsis_id"))).alias("player1_id"),
-        F.coalesce(on([COMPARE], F.get(pair, F.lit(0))["name"]),
-                   on(single, F.col("_link.name"))).alias("player1_name"),
-        on([COMPARE], F.get(pair, F.lit(1))["gsis_id"]).alias("player2_id"),
-        on([COMPARE], F.get(pair, F.lit(1))["name"]).alias("player2_name"),
+        player("gsis_id").alias("player1_id"),
+        player("name").alias("player1_name"),
+        on([COMPARE], F.col("_two.gsis_id")).alias("player2_id"),
+        on([COMPARE], F.col("_two.name")).alias("player2_name"),
     )
 
 

@@ -13,9 +13,9 @@ from gridledger.sources.tables import materialize
 FALLBACK_TEXT = "Try 'Trade Lamar for CMC' or 'How many points did Saquon score?'"
 
 
-def routed_questions(asked, kb, bound=500):
+def routed_questions(asked, kb):
     """Questions routed once and stored by route, for the branches to read."""
-    return materialize(questions.route(asked, kb, bound), "routed", partition_by=["route"])
+    return materialize(questions.route(asked, kb), "routed", partition_by=["route"])
 
 
 def fact_requests(routed, season, year_pattern=fv.YEAR_PATTERN):
@@ -28,12 +28,12 @@ def fact_requests(routed, season, year_pattern=fv.YEAR_PATTERN):
     )
 
 
-def answer_questions(asked, kb, players, stats, season, bound=500, year_pattern=fv.YEAR_PATTERN):
+def answer_questions(asked, kb, players, stats, season, year_pattern=fv.YEAR_PATTERN):
     """One row per question: type, response and what the response is about.
 
     Each branch reads its own questions and joins only what it needs.
     """
-    routed = routed_questions(asked, kb, bound)
+    routed = routed_questions(asked, kb)
 
     def branch(route):
         return routed.filter(F.col("route") == route)

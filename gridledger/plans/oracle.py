@@ -678,9 +678,6 @@ def _text_queries():
     questions = [PLAYERS, PLAYS, STATS, KB, _questions_view()]
     sql["entity_links"] = with_views(*questions, _links("questions", "q_id", "links")) + """
 SELECT q_id, gsis_id, name, link_class FROM questions LEFT JOIN links USING (q_id)"""
-    sql["entity_links_joined"] = with_views(
-        *questions, _links("questions", "q_id", "links")
-    ) + "SELECT * FROM links"
     sql["question_routes"] = with_views(*questions, _routes()) + f"""
 SELECT q_id, route,
   CASE route WHEN 'trade' THEN trim(regexp_extract(lower(text), '{TRADE}', 1)) END AS give,

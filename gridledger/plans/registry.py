@@ -423,12 +423,6 @@ def entity_links(spark, sf_dir):
     return linking.link_entities(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")
 
 
-@query
-def entity_links_joined(spark, sf_dir):
-    """The join form of the linker, for knowledge bases of any size."""
-    return linking.link_by_join(views.questions(spark, sf_dir), _kb(spark, sf_dir))
-
-
 @query
 def question_routes(spark, sf_dir):
     return questions.route(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")

@@ -211,12 +211,17 @@ def pairs(spark, sf_dir):
 
 
 def questions(spark, sf_dir):
-    """All templates for all pairs: (q_id, text)."""
+    """All templates for all pairs: (q_id, text).
+
+    The pairs come from one small file; they are spread over the cores before
+    each of them becomes many texts.
+    """
     names = players(spark, sf_dir).select("gsis_id", "name")
     both = (
         pairs(spark, sf_dir)
         .join(names.toDF("p1", "x"), "p1")
         .join(names.toDF("p2", "y"), "p2")
+        .repartition(spark.sparkContext.defaultParallelism)
         .withColumns(
             {
                 "x_first": F.substring_index("x", " ", 1),

@@ -5,11 +5,16 @@ the pages, without a shuffle. Keep ``spark.sql.execution.arrow.maxBytesPerBatch`
 (or ``maxRecordsPerBatch``) low where pages are large.
 """
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# The reader travels with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 ROWS_PER_FRAME = 5000
 

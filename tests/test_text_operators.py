@@ -102,23 +102,17 @@ def brute_link(text, kb_rows):
     return None, None, None
 
 
-def test_linkers_agree_with_brute_force(spark, kb):
+def test_linker_agrees_with_brute_force(spark, kb):
     rng = random.Random(5)
     pool = " ".join(p[1] for p in PLAYERS if p[1]).split() + ["or", "vs", "x", "great,"]
     texts = TEXTS + [" ".join(rng.choices(pool, k=rng.randint(1, 6))) for _ in range(150)]
     frame = spark.createDataFrame(list(enumerate(texts)), "q_id int, text string")
     kb_rows = sorted(tuple(r) for r in kb.collect())
     expected = [brute_link(t, kb_rows) for t in texts]
-    for bound in (500, linking.INLINE_ROWS + 1):
-        linked = linking.link_entities(frame, kb, bound=bound).collect()
-        got = {r["q_id"]: (r["gsis_id"], r["name"], r["link_class"]) for r in linked}
-        assert [got[i] for i in range(len(texts))] == expected
-
-
-def test_knowledge_base_bound_is_enforced(spark, kb):
-    frame = spark.createDataFrame([(1, "josh")], "q_id int, text string")
-    with pytest.raises(Exception, match="exceeds 3 rows"):
-        linking.link_entities(frame, kb, bound=3).collect()
+    linked = linking.link_entities(frame, kb).collect()
+    got = {r["q_id"]: (r["gsis_id"], r["name"], r["link_class"]) for r in linked}
+    assert len(linked) == len(texts)
+    assert [got[i] for i in range(len(texts))] == expected
 
 
 ROUTED = {
@@ -138,11 +132,10 @@ ROUTED = {
 }
 
 
-@pytest.mark.parametrize("bound", [500, linking.INLINE_ROWS + 1])
-def test_routes(spark, kb, bound):
+def test_routes(spark, kb):
     frame = spark.createDataFrame(list(enumerate(ROUTED)), "q_id int, text string")
     got = {r["text"]: (r["route"], r["player1_id"], r["player2_id"])
-           for r in questions.route(frame, kb, bound).collect()}
+           for r in questions.route(frame, kb).collect()}
     assert got == ROUTED
 
 
