@@ -12,6 +12,7 @@ from gridledger.functions.numeric import (
     zero,
 )
 from gridledger.operators.clean import where
+from gridledger.operators.names import best_match
 
 # Scores are bucketed by whole points, so a bucket holds at most this many
 # distinct scores (in hundredths).
@@ -137,6 +138,18 @@ def profiles(players, stats, season):
     )
 
 
+def player_stats(lookups, players, stats, season):
+    """Each looked-up name (q) with its best player's season line and points.
+
+    ``fantasy`` is recomputed where no points are stored, and 0 without a line.
+    """
+    found = best_match(lookups, players, stats, season).drop("fantasy_points", "season")
+    lines = where(stats, season=season)
+    shown = lines.withColumn("fantasy", fantasy_points_or_stored(lines))
+    shown = shown.drop("season", *[c for c in found.columns if c != "gsis_id"])
+    return found.join(shown, "gsis_id", "left").fillna(0.0, subset=["fantasy"])
+
+
 def season_pair(stats, columns, first, second, key="player_id"):
     """Two seasons of one entity side by side: ``<column>_<season>``.
 

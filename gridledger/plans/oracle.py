@@ -241,6 +241,8 @@ SELECT * REPLACE (round(rushing_epa, 9) AS rushing_epa) FROM wr"""
     sql["receiving_weekly"] = weekly + """
 SELECT * REPLACE (round(receiving_epa, 9) AS receiving_epa) FROM wc"""
     sql["team_week_context"] = weekly + "SELECT * FROM team_week"
+    sql["target_counts"] = weekly + """
+SELECT gsis_id, season, week, team_id, targets, receptions FROM wc"""
     sql["season_from_weekly"] = weekly + f"""
 SELECT gsis_id, season, team_id, {_sum('passing_yards', 'passing_yards')},
   {_sum('passing_tds', 'passing_tds')}, {_sum('interceptions', 'interceptions')},
@@ -730,6 +732,14 @@ FROM (SELECT q_id, trim(lower(text)) AS t FROM questions)"""
 SELECT q, CAST(season AS INT) AS season, gsis_id, name, position, team_id, fantasy_points
 FROM lookups LEFT JOIN best USING (q, season)"""
 
+    by_last = f"""lookups AS (SELECT DISTINCT q, {SEASON} AS season FROM (
+    SELECT unnest([split_part(name, ' ', -1), split_part(name, ' ', -1) || 'son']) AS q
+    FROM players))"""
+    sql["player_stats"] = with_views(*stats, by_last, _best("lookups", "best")) + """
+SELECT q, gsis_id, name, position, b.team_id, passing_yards,
+  coalesce(s.fantasy_points, 0) AS fantasy
+FROM lookups LEFT JOIN best b USING (q, season) LEFT JOIN stats s USING (gsis_id, season)"""
+
     requests = f"""requests AS (
   SELECT q_id, name AS q, {_season_case()} AS season, {_answer_intent()} AS intent
   FROM routes WHERE route = 'answer')"""

@@ -120,6 +120,11 @@ def team_week_context(spark, sf_dir):
     return usage.team_week(offense_plays(spark, sf_dir))
 
 
+@query
+def target_counts(spark, sf_dir):
+    return usage.target_counts(offense_plays(spark, sf_dir))
+
+
 @query
 def season_from_weekly(spark, sf_dir):
     weekly = usage.weekly_stats(offense_plays(spark, sf_dir))
@@ -481,6 +486,17 @@ def name_matches(spark, sf_dir):
     return names.best_match(lookups, people, stored_totals(spark, sf_dir))
 
 
+@query
+def player_stats(spark, sf_dir):
+    """Season lines by last name and by a name nobody has."""
+    people = views.players(spark, sf_dir)
+    last = F.substring_index("name", " ", -1)
+    lookups = people.select(F.explode(F.array(last, F.concat(last, F.lit("son")))).alias("q"))
+    stats = stored_totals(spark, sf_dir)
+    found = profile.player_stats(lookups.distinct(), people, stats, SEASON)
+    return found.select("q", "gsis_id", "name", "position", "team_id", "passing_yards", "fantasy")
+
+
 @query
 def fact_sentences(spark, sf_dir):
     people, stats = views.players(spark, sf_dir), stored_totals(spark, sf_dir)

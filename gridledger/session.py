@@ -26,10 +26,12 @@ def local_session(cores="*", shuffle_partitions=8, app="gridledger"):
 def scratch_dir(spark, label):
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a local temporary
-    folder is taken instead.
+    Without that setting a local session takes a temporary folder; a cluster
+    session is refused, as its executors share no local folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="gridledger-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -156,6 +156,27 @@ def test_normalize_keeps_first_of_repeated_targets(spark):
     assert [tuple(r) for r in got.collect()] == [("A", "id1", 3, 1.5, 7, 2024, 3)]
 
 
+def test_aliases_of_the_other_categories(spark):
+    raw = spark.createDataFrame(
+        [("A", "i", 3, 20, 1, 9, "X", "Y")],
+        ["player", "pfr_player_id", "rush_att", "rush_yds", "rush_td", "long", "tm", "opp"],
+    )
+    got = clean.normalize(raw, fv.RUSHING_ALIASES, 2024, 1)
+    assert got.columns[:8] == ["player_name", "pfr_player_id", "carries", "rushing_yards",
+                               "rushing_tds", "longest_rush", "team", "opponent"]
+    raw = spark.createDataFrame(
+        [("A", "i", 5, 3, 20, 1, 9)],
+        ["player", "pfr_player_id", "tgt", "rec", "rec_yds", "rec_td", "rec_long"],
+    )
+    got = clean.normalize(raw, fv.RECEIVING_ALIASES, 2024, 1)
+    assert got.columns[2:7] == ["targets", "receptions", "receiving_yards", "receiving_tds",
+                                "longest_reception"]
+    assert len(fv.PASSING_ALIASES) == 27
+    odd = raw.toDF("Cmp%", "B c", "+d", "CMP%", "e", "f", "g")
+    assert clean.normalize_columns(odd).columns == ["cmp_pct", "b_c", "d", "e", "f", "g"]
+    assert clean.snake_columns(odd).columns[:2] == ["cmp%", "b_c"]
+
+
 def test_alignment_fills_and_orders(spark):
     df = spark.createDataFrame([(1, None, "x")], "season int, wopr double, extra string")
     got = clean.align(df, schemas.WEEKLY_STATS)
