@@ -9,10 +9,14 @@ among the text's own parts and then verified. The knowledge base may have any
 size: a small one ends up on the broadcast side of these equi-joins by itself.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger.functions.text import words
-from gridledger.operators.names import GRAM, entries
+
+
+# Characters per chunk of a long text.
+CHUNK = 256
 
 
 def _keyed(kb):
@@ -23,20 +27,51 @@ def _keyed(kb):
     ).filter(F.col("lname").isNotNull() & (F.col("lname") != ""))
 
 
+def _parts(df, key):
+    """(key, lowered, part): three characters and one at every position.
+
+    Long texts are cut into overlapping chunks first, as reaching a position
+    costs time in proportion to what lies before it. Everything is plain
+    generators and substrings, so it runs inside generated code.
+    """
+    last = F.call_function("div", F.length("lowered") - 1, F.lit(CHUNK))
+    chunk = F.substring("lowered", F.col("no") * CHUNK + 1, F.lit(CHUNK + 2))
+    here = F.sequence(F.lit(1), F.least(F.length("chunk"), F.lit(CHUNK)))
+    return (
+        df.filter(F.length("lowered") > 0)
+        .select(key, "lowered", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("no"))
+        .select(key, "lowered", chunk.alias("chunk"))
+        .select(key, "lowered", "chunk", F.explode(here).alias("at"))
+        .select(
+            key,
+            "lowered",
+            F.explode(
+                F.array(
+                    F.substring("chunk", F.col("at"), F.lit(3)),
+                    F.substring("chunk", F.col("at"), F.lit(1)),
+                )
+            ).alias("part"),
+        )
+    )
+
+
 def _rarest_parts(known):
-    """One part per full name, the one fewest names share.
+    """One part per full name with its best rank, the part fewest names share.
 
-    Names shorter than a full part are keyed by their first character.
+    Names of three characters and more are keyed by three of them, shorter
+    ones by a single character. A window counts the sharing names, not a join:
+    the planner multiplies the estimated sizes of a join's sides and would
+    then broadcast the texts instead.
     """
-    short = F.array(F.struct(F.lit(1).alias("size"), F.substring("lname", 1, 1).alias("gram")))
-    part = F.when(F.length("lname") >= GRAM, entries(F.col("lname"), [GRAM])).otherwise(short)
-    parts = known.select("kb_rank", "lname", F.inline(part))
-    spread = parts.groupBy("size", "gram").agg(F.count("*").alias("names"))
+    size = F.when(F.length("lowered") >= 3, 3).otherwise(1)
+    names = known.groupBy(F.col("lname").alias("lowered")).agg(F.min("kb_rank").alias("kb_rank"))
     return (
-        parts.join(spread, ["size", "gram"])
-        .groupBy("kb_rank", "lname")
-        .agg(F.min(F.struct("names", "size", "gram")).alias("rare"))
-        .select("kb_rank", "lname", "rare.size", "rare.gram")
+        _parts(names, "kb_rank")
+        .filter(F.length("part") == size)
+        .withColumn("names", F.count("*").over(Window.partitionBy("part")))
+        .groupBy("kb_rank", F.col("lowered").alias("lname"))
+        .agg(F.min(F.struct("names", "part")).alias("rare"))
+        .select("kb_rank", "lname", "rare.part")
     )
 
 
@@ -53,9 +88,9 @@ def link_texts(texts, kb, key="q_id", text="text"):
 
     named = by_word("last", 2).unionByName(by_word("first", 3))
     named = named.groupBy("word").agg(F.min("hit").alias("hit"))
-    parts = lowered.select(key, "lowered", F.inline(entries(F.col("lowered"), (1, GRAM))))
     full = (
-        parts.join(_rarest_parts(known), ["size", "gram"])
+        _parts(lowered, key)
+        .join(_rarest_parts(known), "part")
         .filter(F.contains("lowered", "lname"))
         .select(key, F.struct(F.lit(1).alias("link_class"), "kb_rank").alias("hit"))
     )
