@@ -2,8 +2,9 @@
 
 from gridledger import fixed_values as fv
 from gridledger import schemas
-from gridledger.operators import boxscore, clean, dims, quality, roles, usage
+from gridledger.operators import boxscore, clean, dims, quality, roles, teams, usage
 from gridledger.sources import tables
+from gridledger.sources.plays import players_from_roster
 
 
 def rebuild_weekly(plays, history=None, with_points=True):
@@ -14,24 +15,36 @@ def rebuild_weekly(plays, history=None, with_points=True):
     return clean.union_seasons([usage.align_history(history), fresh])
 
 
+def rebuild_all(spark, roster, history, plays, roots):
+    """Rebuild players, weekly, season and team-defence tables from scratch.
+
+    The weekly table is stored first and the season table rolled up from it.
+    """
+    tables.write_replace(players_from_roster(roster), roots["players"])
+    tables.write_replace(rebuild_weekly(plays, history), roots["weekly_stats"])
+    stored = tables.read_table(spark, roots["weekly_stats"])
+    tables.write_replace(usage.season_rollup(stored), roots["season_stats"])
+    tables.write_replace(teams.team_defense(plays), roots["team_season_stats"])
+
+
 def update_season(plays, roster, path):
     """Season lines swapped into the stored table; other seasons stay."""
     stats = clean.align(roles.player_season_stats(plays, roster), schemas.SEASON_STATS)
     tables.swap_partitions(stats, path, ["season"])
 
 
-def box_season_tables(passing, rushing, receiving, players, teams, player_key, team_key):
+def box_season_tables(passing, rushing, receiving, players, squads, player_key, team_key):
     """The three season tables at (player, season) and the team totals."""
 
     def resolved(weekly):
-        return dims.resolve_dims(weekly, players, teams, player_key, team_key)
+        return dims.resolve_dims(weekly, players, squads, player_key, team_key)
 
     by = boxscore.PLAYER_SEASON
     return {
         "passing": boxscore.box_passing(resolved(passing), by),
         "rushing": boxscore.box_rushing(resolved(rushing), by),
         "receiving": boxscore.box_receiving(resolved(receiving), by),
-        "team": boxscore.team_totals(passing, rushing, teams),
+        "team": boxscore.team_totals(passing, rushing, squads),
     }
 
 

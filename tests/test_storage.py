@@ -282,3 +282,21 @@ def test_history_and_rebuild(spark):
     got = {r["gsis_id"]: r for r in weekly.rebuild_weekly(pbp, history).collect()}
     assert (got["h"]["team_id"], got["h"]["fantasy_points"], got["h"]["wopr"]) == ("OLD", 12.5, 0)
     assert got["a1"]["fantasy_points"] == 2.0
+
+
+def test_rebuild_all(spark, tmp_path):
+    pbp = spark.createDataFrame(
+        [play(passer="a1", receiver="w", passing_yards=50.0, week=w, sack=1.0) for w in (1, 2)],
+        PLAY_SCHEMA,
+    )
+    roster = spark.createDataFrame([("a1", "Ann", "QB", "AAA")],
+                                   "gsis_id string, full_name string, position string, team string")
+    names = ("players", "weekly_stats", "season_stats", "team_season_stats")
+    roots = {k: str(tmp_path / k) for k in names}
+    weekly.rebuild_all(spark, roster, None, pbp, roots)
+    got = {k: tables.read_table(spark, roots[k]) for k in names}
+    assert got["players"].first()["name"] == "Ann"
+    assert got["weekly_stats"].count() == 4
+    season = {r["gsis_id"]: r["passing_yards"] for r in got["season_stats"].collect()}
+    assert season == {"a1": 100, "w": 0}
+    assert got["team_season_stats"].first()["def_sacks_made"] == 2
