@@ -1,5 +1,7 @@
 """Dimension tables: semi and anti joins, new members, key resolution."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
@@ -118,8 +120,10 @@ def by_id(df, value, key="gsis_id"):
 
 def search_players(players, query, limit=10):
     """Case-insensitive substring search; ``%`` and ``_`` act as wildcards."""
+    # A backslash only escapes %, _ and itself; before anything else it is dropped.
+    pattern = re.sub(r"(\\[%_\\])|\\(?!$)", lambda m: m.group(1) or "", query)
     return (
-        players.filter(F.col("name").ilike(f"%{query}%"))
+        players.filter(F.col("name").ilike(f"%{pattern}%"))
         .orderBy("name", "gsis_id")
         .limit(limit)
     )

@@ -14,11 +14,19 @@ def _pick(schema, columns):
     return T.StructType([f for f in schema.fields if f.name in columns])
 
 
+def _typed(column, field):
+    """The column in the declared type; unreadable text and NaN become NULL."""
+    value = column.try_cast(field.dataType)
+    if field.dataType == T.DoubleType():
+        value = F.when(~F.isnan(value), value)
+    return value.alias(field.name)
+
+
 def read_plays(spark, path, columns=None):
     """Parquet plays; only the columns a query uses are read."""
     df = spark.read.parquet(path)
     wanted = [f for f in _pick(schemas.PLAYS, columns).fields if f.name in df.columns]
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    return df.select([_typed(F.col(f.name), f) for f in wanted])
 
 
 def csv_columns(spark, path, schema):
@@ -29,8 +37,7 @@ def csv_columns(spark, path, schema):
     """
     raw = spark.read.csv(path, header=True, inferSchema=False)
     return raw.select(
-        [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-         for f in schema.fields if f.name in raw.columns]
+        [_typed(F.col(f"`{f.name}`"), f) for f in schema.fields if f.name in raw.columns]
     )
 
 

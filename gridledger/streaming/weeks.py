@@ -9,7 +9,9 @@ from gridledger.sources.tables import swap_partitions
 KEYS = ["season", "week"]
 
 
-def stream_weeks(spark, source, target, checkpoint, schema, transform=None, fmt="parquet"):
+def stream_weeks(
+    spark, source, target, checkpoint, schema, transform=None, fmt="parquet", options=None
+):
     """Load the weeks that received new files, then stop.
 
     ``source`` has season=/week= folders. A micro-batch may hold part of a week
@@ -19,6 +21,8 @@ def stream_weeks(spark, source, target, checkpoint, schema, transform=None, fmt=
     checkpoint, which belongs in the cluster's shared folder.
     """
 
+    reading = options or {}
+
     def load(batch, _):
         # One row per touched week folder, not per record.
         touched = batch.select(*KEYS).distinct().collect()
@@ -27,12 +31,13 @@ def stream_weeks(spark, source, target, checkpoint, schema, transform=None, fmt=
         of_week = [
             (F.col("season") == row["season"]) & (F.col("week") == row["week"]) for row in touched
         ]
-        weeks = spark.read.schema(schema).format(fmt).load(source)
+        weeks = spark.read.schema(schema).options(**reading).format(fmt).load(source)
         weeks = weeks.filter(reduce(lambda a, b: a | b, of_week))
         swap_partitions(transform(weeks) if transform else weeks, target, KEYS)
 
     query = (
         spark.readStream.schema(schema)
+        .options(**reading)
         .format(fmt)
         .load(source)
         .writeStream.foreachBatch(load)

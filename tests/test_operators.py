@@ -217,6 +217,8 @@ def test_dimension_helpers(spark, rows):
     people = spark.createDataFrame([("1", "100%_x"), ("2", "Bo")], "gsis_id string, name string")
     assert rows(dims.search_players(people, "B"), "name") == [("Bo",)]
     assert dims.search_players(people, "_").count() == 2
+    assert dims.search_players(people, "\\B\\o").count() == 1
+    assert rows(dims.search_players(people, "0\\%\\_"), "name") == [("100%_x",)]
 
 
 def test_rebuilt_directory(spark):

@@ -89,6 +89,31 @@ def test_stream_recomputes_whole_weeks(spark, tmp_path, rows, order):
     assert sorted(glob.glob(f"{target}/*/*/*.parquet")) == before
 
 
+def test_stream_of_csv_files_with_transform(spark, tmp_path, rows):
+    source, target, check = (str(tmp_path / p) for p in ("in", "out", "check"))
+    for week, name in ((1, "a"), (2, "b"), (1, "c")):
+        folder = tmp_path / "in" / "season=2024" / f"week={week}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"2024_week{week}_{name}.csv").write_text(f"player,pfr_player_id\n{name},\n")
+    schema = spark.createDataFrame(
+        [], "player string, pfr_player_id string, season int, week int"
+    ).schema
+    weeks.stream_weeks(
+        spark, source, target, check, schema, fmt="csv", options={"header": "true"},
+        transform=lambda df: clean.rename_present(df, fv.RUSHING_ALIASES),
+    )
+    assert rows(spark.read.parquet(target), "player_name", "season", "week") == [
+        ("a", 2024, 1), ("b", 2024, 2), ("c", 2024, 1),
+    ]
+
+
+def test_nan_counts_as_missing(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(1, float("nan")), (2, 3.0)], "week int, epa double").write.parquet(path)
+    got = {r["week"]: r["epa"] for r in plays.read_plays(spark, path).collect()}
+    assert got == {1: None, 2: 3.0}
+
+
 def test_readers(spark, tmp_path, rows):
     header = "week,season,posteam,passing_yards,extra,sack\n"
     for year in (2023, 2025):
