@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
+from gridledger.llm.common import joined_sets, sorted_groups
 from gridledger.sources.tables import materialize
 
 SHINGLE = 5
@@ -220,7 +221,7 @@ def _loose_links(least):
     over pairs whose signatures agree in at least ``least`` values."""
 
     def link(batches):
-        for _, group in common.sorted_groups(batches, "_unit"):
+        for _, group in sorted_groups(batches, "_unit"):
             keys = group["text_key"].to_numpy()
             marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(keys), -1)
             root = np.full(len(keys), -1)
@@ -310,7 +311,7 @@ def _verify(threshold):
 
     def verify(batches):
         out = []
-        for _, group in common.sorted_groups(batches, "_unit"):
+        for _, group in sorted_groups(batches, "_unit"):
             keys, copies = group["text_key"].to_numpy(), group["copies"].to_numpy()
             one, two = group["_left"].to_numpy(), group["_right"].to_numpy()
             a, b = _similar_pairs(shingle_sets([t.encode() for t in group["text"]]), threshold)
@@ -321,7 +322,7 @@ def _verify(threshold):
             order = np.argsort(keys, kind="stable")
             place = np.empty(n, int)
             place[order] = np.arange(n)
-            root = order[common.joined_sets(n, place[a], place[b])][place]
+            root = order[joined_sets(n, place[a], place[b])][place]
             links = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
             docs = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
             out.append(

@@ -26,7 +26,7 @@ RULES = (
 )
 #: Rules become one expression; more of them belong in a table joined on the host.
 MAX_RULES = 1_000
-FEATURES = 1 << 15
+FEATURES = 1 << 18
 NGRAMS = (3, 4, 5)
 CUT = 0.5
 
@@ -44,6 +44,7 @@ ALLOW_WORDS = (
 ).split()
 SYLLABLES = "tha re son ti en or mar lin che ver ost und ion al der que ing pa sta wo".split()
 ALLOW_PATHS = ["/", "/en/125", "/about.html", "/de/2021/04/report", "/fr/78/", "/es/articles/9.html"]
+PLAIN_PATHS = ["/en/840", "/es/367", "/fr/29/", "/de/951.html", "/es/402/", "/en/6.html"]
 BLOCK_PATHS = ["/", "/win/bonus", "/free-download", "/promo/click", "/hot/track", "/buy-cheap"]
 
 
@@ -98,7 +99,8 @@ def labelled_urls(spark):
         tld = F.get(F.array(*map(F.lit, ["com", "net", "org"])), F.pmod(number, F.lit(3)))
         lead = F.get(F.array(*map(F.lit, ["", "www.", "m.", "blog."])), F.pmod(number, F.lit(4)))
         site = F.array(
-            F.concat("word", other), F.concat(other, "word"), F.concat("word", F.lit("-"), other)
+            F.concat("word", other), F.concat(other, "word"), F.concat("word", F.lit("-"), other),
+            F.concat("word", F.lit(".example")),
         )
         return frame.withColumn("site", F.explode(site)).select(
             F.concat(F.lit("http://"), lead, "site", F.lit("."), tld, "path").alias("url"),
@@ -110,8 +112,9 @@ def labelled_urls(spark):
         urls(BLOCK_WORDS, BLOCK_PATHS, 1.0),
         urls(BLOCK_WORDS, ALLOW_PATHS[:2], 1.0),
         urls(ALLOW_WORDS, ALLOW_PATHS, 0.0),
-        urls(neutral, ALLOW_PATHS[1:4], 0.0),
-        urls(neutral[::7], BLOCK_PATHS, 1.0),
+        urls(neutral, PLAIN_PATHS, 0.0),
+        urls(neutral[::3], ALLOW_PATHS, 0.0),
+        urls(neutral[::20], BLOCK_PATHS[1:], 1.0),
     ]
     return reduce(lambda a, b: a.unionByName(b), tables)
 
