@@ -6,6 +6,7 @@ import pytest
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry
+from gridledger.plans import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -16,11 +17,11 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(registry.REGISTRY))
 def test_query_equals_sql(spark, connection, key):
-    sql = entry.oracle_sql()
+    sql = oracle.all_sql()
     assert key in sql
-    assert compare(spark, connection, SF_DIR, key, entry.queries()[key], sql[key]) is None
+    assert compare(spark, connection, SF_DIR, key, registry.REGISTRY[key], sql[key]) is None
 
 
 def test_entry(spark):
