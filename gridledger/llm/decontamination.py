@@ -19,9 +19,11 @@ from gridledger.llm import common
 from gridledger.sources.tables import materialize
 
 WINDOW = 10
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a text that is not lower-cased yet.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What stands between words: ASCII but digits and letters. Characters are listed one
+#: by one, which Java's patterns look up in a table, unlike ranges.
+_OTHER = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum())
+GAP = f"[{_OTHER}]+"
+WORD = f"[^{_OTHER}]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Distinct windows up to which the set is broadcast (about 200 bytes each).
 BROADCAST_WINDOWS = 250_000

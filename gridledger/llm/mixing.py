@@ -26,8 +26,9 @@ WEIGHTS = (5, 2, 1)
 #: Words of the mix per word of all documents.
 SHARE = 1.5
 PASSES = 2
-WORD = r"[^\x20\x09-\x0D]+"
-ROWS_PER_BUCKET = 5_000
+#: Runs of anything but white space, the characters listed one by one.
+WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
+ROWS_PER_BUCKET = 1_000
 MAX_BUCKETS = 65_536
 
 
