@@ -177,6 +177,9 @@ PASSING_TABLE_IDS = ["qb_stats", "passing"]
 RUSHING_TABLE_IDS = ["rush_stats", "rushing", "rushing_and_receiving"]
 RECEIVING_TABLE_IDS = ["rec_stats", "receiving", "rushing_and_receiving"]
 SEASON_PASSING_TABLE_IDS = ["passing"]
+# A row of these categories counts if one of the cells is not "0".
+RUSHING_ACTIVITY = ["rush_att"]
+RECEIVING_ACTIVITY = ["rec_tgt", "rec"]
 
 # ---------------------------------------------------------------------------
 # Question words and patterns (lower-case text).
@@ -243,3 +246,40 @@ ANSWER_INTENT_WORDS = {
 ANSWER_INTENT_DEFAULT = "general"
 
 YEAR_PATTERN = "202[0-9]"
+
+# ---------------------------------------------------------------------------
+# Answer sentences; {..} are filled in.
+# ---------------------------------------------------------------------------
+FALLBACK_TEXT = "Try 'Trade Lamar for CMC' or 'How many points did Saquon score?'"
+UNKNOWN_PLAYERS = "I couldn't identify one of those players. Try using full names."
+FACT_UNKNOWN = "I couldn't find stats for {q} in {season}."
+FACT_NO_STATS = "Info: {name} has no recorded stats for the {season} season."
+FACT_TOUCHDOWNS = (
+    "In {season}, {name} scored {total_tds} total touchdowns ({rushing_tds} rushing, "
+    "{receiving_tds} receiving, {passing_tds} passing)."
+)
+FACT_RUSHING = "In {season}, {name} rushed for {rushing_yards} yards and {rushing_tds} touchdowns."
+FACT_PASSING = "In {season}, {name} threw for {passing_yards} yards and {passing_tds} touchdowns."
+FACT_RECEIVING = (
+    "In {season}, {name} caught {receiving_yards} receiving yards and {receiving_tds} touchdowns."
+)
+FACT_POINTS = "In {season}, {name} scored {points} fantasy points."
+TRADE_MISMATCH = (
+    "Trade Rejected: You cannot trade a {give_position} ({give_name}) for a {receive_position} "
+    "({receive_name}). Positions must match."
+)
+TRADE_WIN = "You gain {points} points. This is a clear upgrade."
+TRADE_LOSS = "You lose {points} points. Do not accept this."
+TRADE_FAIR = "The difference is only {points} points. It is a fair trade."
+CORPUS_WHO = "Question: Who is {name}? Answer: {name} is a {position} for the {team}."
+CORPUS_POINTS = (
+    "Question: How many points did {name} score in {season}? Answer: {name} scored {points} "
+    "fantasy points."
+)
+LIST_TEXT = "Here are the top {position} for {season}:"
+LIST_ALL = "players"
+COMPARE_TEXT = "Comparing {one} and {two}..."
+PROFILE_TEXT = "Here is the profile for {name}:"
+PROJECTION_UNKNOWN = "Player not found"
+PROJECTION_NO_STATS = "No {season} stats available to base prediction on."
+PROJECTION_NOTE = "Projection based on {season} per-game averages using Linear Regression model."

@@ -65,13 +65,18 @@ POINT_WEIGHTS = {
 }
 
 
-def fantasy_cents(df, fumbles=True):
+def fantasy_cents(df, fumbles=True, missing="fail"):
     """Fantasy points in hundredths, exact for whole yards and counts.
 
-    Columns the frame lacks count 0.
+    A column that the frame lacks fails, unless ``missing="zero"`` counts it 0.
     """
-    names = [n for n in POINT_WEIGHTS if n in df.columns and (fumbles or n != "fumbles_lost")]
-    terms = [f"{POINT_WEIGHTS[n]} * coalesce(cast({n} AS bigint), 0)" for n in names]
+    names = [n for n in POINT_WEIGHTS if fumbles or n != "fumbles_lost"]
+    absent = [n for n in names if n not in df.columns]
+    if absent and missing != "zero":
+        raise ValueError(f"points need {', '.join(absent)}")
+    terms = [
+        f"{POINT_WEIGHTS[n]} * coalesce(cast({n} AS bigint), 0)" for n in names if n not in absent
+    ]
     return F.expr(" + ".join(terms or ["0L"]))
 
 
@@ -79,14 +84,14 @@ def points_from_cents(cents):
     return cents.cast("double") / F.lit(100.0)
 
 
-def fantasy_points_full(df):
+def fantasy_points_full(df, missing="fail"):
     """The batch formula, with two points off per fumble lost."""
-    return points_from_cents(fantasy_cents(df))
+    return points_from_cents(fantasy_cents(df, missing=missing))
 
 
-def fantasy_points_or_stored(df, stored="fantasy_points"):
+def fantasy_points_or_stored(df, stored="fantasy_points", missing="fail"):
     """The stored points unless NULL or 0, else the formula without fumbles."""
-    fresh = points_from_cents(fantasy_cents(df, fumbles=False))
+    fresh = points_from_cents(fantasy_cents(df, fumbles=False, missing=missing))
     if stored not in df.columns:
         return fresh
     value = F.col(stored).cast("double")

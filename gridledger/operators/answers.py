@@ -1,7 +1,10 @@
 """Templated answers: fact sentences, trade verdicts, the Q&A corpus."""
 
+import re
+
 from pyspark.sql import functions as F
 
+from gridledger import fixed_values as fv
 from gridledger.functions import text as tx
 from gridledger.functions.numeric import points_from_cents, total_tds, zero
 from gridledger.operators.dims import with_player
@@ -11,18 +14,19 @@ from gridledger.operators.ranking import top_n
 # Fixed value: a trade within this many hundredths of a point is fair.
 FAIR_CENTS = 2000
 
-# Answer texts.
-UNKNOWN_PLAYERS = "I couldn't identify one of those players. Try using full names."
+_SLOT = re.compile(r"\{(\w+)\}")
 
 
-def _text(*parts):
-    """Concatenate literals and columns; NULLs print as nothing."""
-    return F.concat(
-        *[
-            F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit(""))
-            for p in parts
-        ]
-    )
+def fill(template, **slots):
+    """A fixed sentence with columns (or texts) in its slots; NULLs print as nothing."""
+    parts = []
+    for k, piece in enumerate(_SLOT.split(template)):
+        value = slots[piece] if k % 2 else piece
+        if isinstance(value, str):
+            parts.append(F.lit(value))
+        else:
+            parts.append(F.coalesce(value.cast("string"), F.lit("")))
+    return F.concat(*parts)
 
 
 def fact_sentences(requests, players, stats):
@@ -35,44 +39,19 @@ def fact_sentences(requests, players, stats):
     rows = found.join(
         numbers.withColumn("_has_stats", F.lit(True)), ["gsis_id", "season"], "left"
     )
-    name, season = F.col("name"), F.col("season")
-    rushed, caught, thrown = (
-        zero(F.col(c)) for c in ("rushing_tds", "receiving_tds", "passing_tds")
-    )
+    names = ("q", "season", "name", "rushing_yards", "passing_yards", "receiving_yards")
+    slots = {c: F.col(c) for c in names}
+    slots |= {c: zero(F.col(c)) for c in ("rushing_tds", "receiving_tds", "passing_tds")}
+    slots |= {"total_tds": total_tds(rows), "points": tx.points_text(F.col("fantasy_points"))}
     intent = F.col("intent")
     sentence = (
-        F.when(
-            F.col("gsis_id").isNull(),
-            _text("I couldn't find stats for ", F.col("q"), " in ", season, "."),
-        )
-        .when(
-            F.col("_has_stats").isNull(),
-            _text("Info: ", name, " has no recorded stats for the ", season, " season."),
-        )
-        .when(
-            intent == "touchdowns",
-            _text("In ", season, ", ", name, " scored ", total_tds(rows), " total touchdowns (",
-                  rushed, " rushing, ", caught, " receiving, ", thrown, " passing)."),
-        )
-        .when(
-            intent == "rushing",
-            _text("In ", season, ", ", name, " rushed for ", F.col("rushing_yards"),
-                  " yards and ", F.col("rushing_tds"), " touchdowns."),
-        )
-        .when(
-            intent == "passing",
-            _text("In ", season, ", ", name, " threw for ", F.col("passing_yards"),
-                  " yards and ", F.col("passing_tds"), " touchdowns."),
-        )
-        .when(
-            intent == "receiving",
-            _text("In ", season, ", ", name, " caught ", F.col("receiving_yards"),
-                  " receiving yards and ", F.col("receiving_tds"), " touchdowns."),
-        )
-        .otherwise(
-            _text("In ", season, ", ", name, " scored ",
-                  tx.points_text(F.col("fantasy_points")), " fantasy points.")
-        )
+        F.when(F.col("gsis_id").isNull(), fill(fv.FACT_UNKNOWN, **slots))
+        .when(F.col("_has_stats").isNull(), fill(fv.FACT_NO_STATS, **slots))
+        .when(intent == "touchdowns", fill(fv.FACT_TOUCHDOWNS, **slots))
+        .when(intent == "rushing", fill(fv.FACT_RUSHING, **slots))
+        .when(intent == "passing", fill(fv.FACT_PASSING, **slots))
+        .when(intent == "receiving", fill(fv.FACT_RECEIVING, **slots))
+        .otherwise(fill(fv.FACT_POINTS, **slots))
     )
     return rows.select("q_id", "q", "season", "intent", "gsis_id", sentence.alias("sentence"))
 
@@ -112,26 +91,14 @@ def trade_verdicts(trades, players, stats, season):
         .otherwise("FAIR"),
     )
     points = points_from_cents(F.col("gain"))
+    sides = {f"{s}_{c}": F.col(f"{s}_{c}") for s in ("give", "receive") for c in ("name", "position")}
+    difference = tx.one_decimal(points)
     advice = (
-        F.when(F.col("verdict").isNull(), UNKNOWN_PLAYERS)
-        .when(
-            F.col("verdict") == "MISMATCH",
-            _text("Trade Rejected: You cannot trade a ", F.col("give_position"), " (",
-                  F.col("give_name"), ") for a ", F.col("receive_position"), " (",
-                  F.col("receive_name"), "). Positions must match."),
-        )
-        .when(
-            F.col("verdict") == "WIN",
-            _text("You gain ", tx.one_decimal(points), " points. This is a clear upgrade."),
-        )
-        .when(
-            F.col("verdict") == "LOSS",
-            _text("You lose ", tx.one_decimal(F.abs(points)), " points. Do not accept this."),
-        )
-        .otherwise(
-            _text("The difference is only ", tx.one_decimal(points),
-                  " points. It is a fair trade.")
-        )
+        F.when(F.col("verdict").isNull(), fv.UNKNOWN_PLAYERS)
+        .when(F.col("verdict") == "MISMATCH", fill(fv.TRADE_MISMATCH, **sides))
+        .when(F.col("verdict") == "WIN", fill(fv.TRADE_WIN, points=difference))
+        .when(F.col("verdict") == "LOSS", fill(fv.TRADE_LOSS, points=tx.one_decimal(F.abs(points))))
+        .otherwise(fill(fv.TRADE_FAIR, points=difference))
     )
     decided = rows.withColumn("gain", gain).withColumn("verdict", verdict)
     diff = F.when(F.col("verdict") == "MISMATCH", F.lit(0.0)).when(
@@ -147,10 +114,11 @@ def qa_corpus(players, stats, season, n=50):
     facts = stats.filter(F.col("season") == season).select("gsis_id", "fantasy_points")
     best = top_n(with_player(facts, players), "fantasy_points", n)
     name = F.col("name")
-    who = _text("Question: Who is ", name, "? Answer: ", name, " is a ", F.col("position"),
-                " for the ", F.col("team_id"), ".")
-    points = _text("Question: How many points did ", name, f" score in {season}? Answer: ", name,
-                   " scored ", tx.points_text(F.col("fantasy_points")), " fantasy points.")
+    who = fill(fv.CORPUS_WHO, name=name, position=F.col("position"), team=F.col("team_id"))
+    points = fill(
+        fv.CORPUS_POINTS, name=name, season=str(season),
+        points=tx.points_text(F.col("fantasy_points")),
+    )
     return best.select(
         "rank", F.posexplode(F.array(who, points)).alias("line_no", "value")
     )

@@ -21,7 +21,9 @@ def _longest(df, name):
 
 
 def _mean2(df, name):
-    return F.round(F.avg(column_or(df, name, dtype="double")), 2).alias(name)
+    """Mean with two decimals, exact for ratings of up to four decimals."""
+    exact = column_or(df, name, dtype="double").cast("decimal(18,4)")
+    return F.round(F.avg(exact), 2).cast("double").alias(name)
 
 
 def _games():
@@ -155,25 +157,40 @@ def player_weekly_rollup(passing, season=None, week=None, rushing=None, receivin
     """Weekly rows whose totals come from passing only.
 
     With the other two categories given, ``all_touchdowns`` and ``all_yards``
-    add the player's totals over all three.
+    add the player's totals over all three. Every table is read once: the three
+    are stacked and grouped, and keys without a passing row are left out, so
+    there is one row per (player, team, season, week).
     """
     keys = ["player_id", "team_id", "season", "week"]
-    rows = where(passing, season=season, week=week).select(
-        *keys, "passing_yards", "passing_tds", "interceptions",
-        F.col("passing_tds").alias("total_touchdowns"), F.col("passing_yards").alias("total_yards"),
-    )
+    chosen = where(passing, season=season, week=week)
     if rushing is None or receiving is None:
-        return rows
+        return chosen.select(
+            *keys, "passing_yards", "passing_tds", "interceptions",
+            F.col("passing_tds").alias("total_touchdowns"),
+            F.col("passing_yards").alias("total_yards"),
+        )
     parts = [
         where(df, season=season, week=week).select(
-            *keys, F.col(f"{kind}_yards").alias("yards"), F.col(f"{kind}_tds").alias("tds")
+            *keys, F.lit(kind).alias("kind"), F.col(f"{kind}_yards").alias("yards"),
+            F.col(f"{kind}_tds").alias("tds"),
+            (F.col("interceptions") if kind == "passing" else F.lit(None)).cast("long").alias("ints"),
         )
         for kind, df in (("passing", passing), ("rushing", rushing), ("receiving", receiving))
     ]
-    everything = reduce(lambda a, b: a.unionByName(b), parts).groupBy(*keys).agg(
-        sum_or_zero("tds").alias("all_touchdowns"), sum_or_zero("yards").alias("all_yards")
+    threw = F.col("kind") == "passing"
+    grouped = reduce(lambda a, b: a.unionByName(b), parts).groupBy(*keys).agg(
+        F.count_if(threw).alias("rows"),
+        F.sum(F.when(threw, F.col("yards"))).alias("passing_yards"),
+        F.sum(F.when(threw, F.col("tds"))).alias("passing_tds"),
+        F.sum("ints").alias("interceptions"),
+        sum_or_zero("tds").alias("all_touchdowns"),
+        sum_or_zero("yards").alias("all_yards"),
+    )
+    return grouped.filter("rows > 0").select(
+        *keys, "passing_yards", "passing_tds", "interceptions",
+        F.col("passing_tds").alias("total_touchdowns"),
+        F.col("passing_yards").alias("total_yards"), "all_touchdowns", "all_yards",
     )
-    return rows.join(everything, keys, "left")
 
 
 def union_padded(passing, rushing, receiving, keys):

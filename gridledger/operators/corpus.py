@@ -1,4 +1,4 @@
-"""Character vocabulary and fixed-length encoding of text lines."""
+"""Character vocabulary and encoding of text lines in sequences of fixed length."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -51,8 +51,11 @@ def _code_blocks(vocab):
     return table.select(dense).scalar()
 
 
-def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded"):
-    """Ids of the first ``max_len`` characters, padded with 0 to that length."""
+def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded", truncate=False):
+    """Ids of every line in consecutive sequences of ``max_len``, numbered by
+    ``seq_no`` from 0; the last is padded with 0. An empty line is one sequence
+    of padding. ``truncate`` keeps the first sequence of a line only.
+    """
     blocks = F.col("_blocks")
 
     def char_id(character):
@@ -60,15 +63,21 @@ def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded"):
         block = F.get(blocks, F.shiftright(code, 8))
         return F.coalesce(F.get(block, F.pmod(code, F.lit(256))), F.lit(PAD))
 
-    kept = F.filter(characters(F.substring(text, 1, max_len)), lambda c: c != "")
-    ids = F.transform(kept, char_id)
+    # One pass cuts a line, however long, into its pieces.
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{max_len}}}"), 0)
+    pieces = F.when(F.size(pieces) > 0, pieces).otherwise(F.array(F.lit("")))
+    if truncate:
+        pieces = F.slice(pieces, 1, 1)
+    cut = lines.select("*", F.posexplode(pieces).alias("seq_no", "_piece"))
+    ids = F.transform(F.filter(characters(F.col("_piece")), lambda c: c != ""), char_id)
     padded = F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(ids)))
-    return lines.withColumn("_blocks", _code_blocks(vocab)).withColumn(out, padded).drop("_blocks")
+    coded = cut.withColumn("_blocks", _code_blocks(vocab)).withColumn(out, padded)
+    return coded.drop("_blocks", "_piece")
 
 
-def encode_shift(lines, vocab, max_len=MAX_LEN, text="value"):
-    """Input ids (all but the last) and target ids (all but the first)."""
-    encoded = encode(lines, vocab, max_len, text, "_encoded")
+def encode_shift(lines, vocab, max_len=MAX_LEN, text="value", truncate=False):
+    """Per sequence the input ids (all but the last) and target ids (all but the first)."""
+    encoded = encode(lines, vocab, max_len, text, "_encoded", truncate)
     return encoded.withColumns(
         {
             "input_ids": F.slice("_encoded", 1, max_len - 1),
@@ -78,10 +87,18 @@ def encode_shift(lines, vocab, max_len=MAX_LEN, text="value"):
 
 
 def decode(encoded, vocab, ids="encoded", out="decoded"):
-    """Ids back to text; unknown ids and padding become nothing."""
+    """Ids back to text, per sequence; unknown ids and padding become nothing."""
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("idx", "ch"))), lambda e: e["ch"])
     table = encoded.withColumn("_chars", vocab.agg(ordered).scalar())
     letters = F.transform(
         F.col(ids), lambda i: F.coalesce(F.get(F.col("_chars"), i - 1), F.lit(""))
     )
     return table.withColumn(out, F.array_join(letters, "")).drop("_chars")
+
+
+def join_sequences(decoded, keys, text="decoded"):
+    """The decoded sequences of each line put together again."""
+    pieces = F.array_sort(F.collect_list(F.struct("seq_no", F.col(text).alias("piece"))))
+    return decoded.groupBy(*keys).agg(
+        F.array_join(F.transform(pieces, lambda p: p["piece"]), "").alias(text)
+    )

@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
@@ -25,8 +26,13 @@ def anti_by_key(facts, dim, key, dim_key=None):
     return _members(facts, key).join(known, key, "left_anti")
 
 
-def add_missing(dim, facts, fact_key, key="name"):
-    """The dimension plus a row with position 'Unknown' per new member."""
+def add_missing(dim, facts, fact_key, key="name", id_column=None):
+    """The dimension plus a row with position 'Unknown' per new member.
+
+    Rows without a name, or without the id if there is an id column, create none.
+    """
+    if id_column is not None:
+        facts = facts.filter(F.col(id_column).isNotNull())
     fresh = anti_by_key(facts.select(F.col(fact_key).alias(key)), dim, key)
     return dim.unionByName(
         fresh.withColumn("position", F.lit("Unknown")), allowMissingColumns=True
@@ -34,16 +40,16 @@ def add_missing(dim, facts, fact_key, key="name"):
 
 
 def unique_rows(df, keys):
-    """The same rows, failing the job if a key occurs twice."""
-    others = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    counted = df.groupBy(*keys).agg(F.any_value(row).alias("row"), F.count("*").alias("copies"))
+    """The same rows, failing the job if a key occurs twice.
+
+    A window numbers the rows of a key instead of regrouping whole rows: it
+    needs the shuffle by key that the join after it needs anyway.
+    """
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
     error = F.raise_error(F.concat(F.lit(f"{', '.join(keys)} not unique: "), shown))
-    guarded = F.when(F.col("copies") == 1, F.col("row")).otherwise(
-        error.cast(counted.schema["row"].dataType)
-    )
-    return counted.select(*keys, guarded.alias("row")).select(*keys, "row.*")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    guard = F.when(F.col("_copy") > 1, error.cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("_copy", number).filter(guard).drop("_copy")
 
 
 def resolve_dims(weekly, players, teams, player_key, team_key, check_unique=False):
@@ -79,11 +85,8 @@ def enrich_roster(stats, roster, key="gsis_id"):
     known = [F.col("_roster_name")]
     if "player_name" in stats.columns:
         known.append(F.col("player_name"))
-    return (
-        joined.withColumn("player_name", F.coalesce(*known))
-        .withColumn("position", F.coalesce("position", F.lit("UNK")))
-        .drop("_roster_name")
-    )
+    named = joined.withColumn("player_name", F.coalesce(*known)).drop("_roster_name")
+    return clean.with_default(named, "position", "UNK")
 
 
 def with_player(stats, players, season=None, columns=("name", "position", "team_id")):

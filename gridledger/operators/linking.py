@@ -4,9 +4,12 @@ Priority: the text contains the full name, else one of its words is a last
 name, else a first name; within a class the better ranked player wins.
 
 Nothing compares every text with every player. Last and first names join on
-the text's words; a full name is found through its rarest three-character part
-among the text's own parts and then verified. The knowledge base may have any
-size: a small one ends up on the broadcast side of these equi-joins by itself.
+the text's words. A full name is found through its rarest three-character part
+(a single character for shorter names) among the text's own parts; only the
+few (text, name) candidates that this join leaves meet the text again, once,
+to be verified. Rows of parts carry the key and the part alone, so what moves
+grows in proportion to the texts. The knowledge base may have any size: a
+small one ends up on the broadcast side of these equi-joins by itself.
 """
 
 from pyspark.sql import Window
@@ -17,90 +20,97 @@ from gridledger.functions.text import words
 
 # Characters per chunk of a long text.
 CHUNK = 256
+PART = 3
 
 
 def _keyed(kb):
+    """Known names with the order in which they win: points, then id."""
     parts = words(F.lower("name"))
+    order = F.struct(
+        F.col("fantasy_points").isNull().alias("unscored"),
+        (-F.col("fantasy_points")).alias("order"),
+        F.col("gsis_id"),
+    )
     return kb.select(
-        "kb_rank", "gsis_id", "name", F.lower("name").alias("lname"),
+        order.alias("known"), "name", F.lower("name").alias("lname"),
         F.element_at(parts, -1).alias("last"), F.element_at(parts, 1).alias("first"),
     ).filter(F.col("lname").isNotNull() & (F.col("lname") != ""))
 
 
-def _parts(df, key):
-    """(key, lowered, part): three characters and one at every position.
+def parts_of(df, key):
+    """(key, part): three characters at every position, and each character once.
 
     Long texts are cut into overlapping chunks first, as reaching a position
-    costs time in proportion to what lies before it. Everything is plain
-    generators and substrings, so it runs inside generated code.
+    costs time in proportion to what lies before it; no row keeps the text.
     """
     last = F.call_function("div", F.length("lowered") - 1, F.lit(CHUNK))
-    chunk = F.substring("lowered", F.col("no") * CHUNK + 1, F.lit(CHUNK + 2))
+    chunk = F.substring("lowered", F.col("no") * CHUNK + 1, F.lit(CHUNK + PART - 1))
     here = F.sequence(F.lit(1), F.least(F.length("chunk"), F.lit(CHUNK)))
-    return (
+    cut = (
         df.filter(F.length("lowered") > 0)
         .select(key, "lowered", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("no"))
-        .select(key, "lowered", chunk.alias("chunk"))
-        .select(key, "lowered", "chunk", F.explode(here).alias("at"))
-        .select(
-            key,
-            "lowered",
-            F.explode(
-                F.array(
-                    F.substring("chunk", F.col("at"), F.lit(3)),
-                    F.substring("chunk", F.col("at"), F.lit(1)),
-                )
-            ).alias("part"),
-        )
+        .select(key, chunk.alias("chunk"))
+    )
+    long = cut.select(key, "chunk", F.explode(here).alias("at")).select(
+        key, F.substring("chunk", F.col("at"), F.lit(PART)).alias("part")
     )
+    single = cut.select(key, F.explode(F.array_distinct(F.split("chunk", ""))).alias("part"))
+    return long.filter(F.length("part") == PART).unionByName(single)
 
 
 def _rarest_parts(known):
-    """One part per full name with its best rank, the part fewest names share.
+    """One part per full name, the part fewest names share, with the best name's order.
 
     Names of three characters and more are keyed by three of them, shorter
     ones by a single character. A window counts the sharing names, not a join:
     the planner multiplies the estimated sizes of a join's sides and would
     then broadcast the texts instead.
     """
-    size = F.when(F.length("lowered") >= 3, 3).otherwise(1)
-    names = known.groupBy(F.col("lname").alias("lowered")).agg(F.min("kb_rank").alias("kb_rank"))
+    names = known.groupBy(F.col("lname").alias("lowered")).agg(F.min("known").alias("known"))
+    parts = parts_of(names.withColumn("id", F.struct("known", "lowered")), "id")
     return (
-        _parts(names, "kb_rank")
-        .filter(F.length("part") == size)
+        parts.filter(F.length("part") == F.when(F.length("id.lowered") >= PART, PART).otherwise(1))
         .withColumn("names", F.count("*").over(Window.partitionBy("part")))
-        .groupBy("kb_rank", F.col("lowered").alias("lname"))
+        .groupBy("id")
         .agg(F.min(F.struct("names", "part")).alias("rare"))
-        .select("kb_rank", "lname", "rare.part")
+        .select("id.known", F.col("id.lowered").alias("lname"), "rare.part")
     )
 
 
 def link_texts(texts, kb, key="q_id", text="text"):
-    """(key, gsis_id, name, link_class) of the texts that name a player."""
+    """(key, gsis_id, name, link_class) of the texts that name a player.
+
+    ``kb`` has gsis_id, name and fantasy_points; keys are unique.
+    """
     known = _keyed(kb)
     lowered = texts.select(key, F.lower(text).alias("lowered"))
     word = lowered.select(key, F.explode(F.array_distinct(words(F.col("lowered")))).alias("word"))
 
     def by_word(part, link_class):
-        best = known.groupBy(F.col(part).alias("word")).agg(F.min("kb_rank").alias("kb_rank"))
-        return best.select("word", F.struct(F.lit(link_class).alias("link_class"),
-                                            "kb_rank").alias("hit"))
+        best = known.groupBy(F.col(part).alias("word")).agg(F.min("known").alias("known"))
+        return best.select(
+            "word", F.struct(F.lit(link_class).alias("link_class"), "known").alias("hit")
+        )
 
     named = by_word("last", 2).unionByName(by_word("first", 3))
     named = named.groupBy("word").agg(F.min("hit").alias("hit"))
+    candidates = (
+        parts_of(lowered, key).join(_rarest_parts(known), "part").select(key, "known", "lname")
+    ).distinct()
     full = (
-        _parts(lowered, key)
-        .join(_rarest_parts(known), "part")
+        candidates.join(lowered, key)
         .filter(F.contains("lowered", "lname"))
-        .select(key, F.struct(F.lit(1).alias("link_class"), "kb_rank").alias("hit"))
+        .select(key, F.struct(F.lit(1).alias("link_class"), "known").alias("hit"))
     )
     best = (
         full.unionByName(word.join(named, "word").select(key, "hit"))
         .groupBy(key)
         .agg(F.min("hit").alias("best"))
-        .select(key, "best.link_class", "best.kb_rank")
+        .select(key, "best.link_class", F.col("best.known.gsis_id").alias("gsis_id"))
+    )
+    return best.join(kb.select("gsis_id", "name"), "gsis_id").select(
+        key, "gsis_id", "name", "link_class"
     )
-    return best.join(known.select("kb_rank", "gsis_id", "name"), "kb_rank").drop("kb_rank")
 
 
 def link_entities(texts, kb, key="q_id", text="text"):

@@ -1,16 +1,16 @@
 """Name lookups by substring, without comparing every lookup to every name.
 
 A lookup ``q`` finds the players whose name contains it, ignoring case, with
-``%`` and ``_`` as wildcards, and takes the one with most points. Names are
-indexed by their substrings of up to three characters:
+``%`` and ``_`` as wildcards, and takes the one with most points.
 
-* a plain lookup of up to three characters *is* an index entry, so its best
-  player is read off the index;
-* a longer one takes its rarest three-character part as join key, and the
-  candidates found are verified;
-* one made of wildcards only asks for a minimum length, indexed as well.
+* A plain lookup joins by equality: names give their substrings of the lengths
+  that are asked for, each with its best player, so nothing is left to verify
+  and the work grows with names and lookups, not with their product.
+* A pattern takes its rarest part of up to three characters as join key, and
+  the candidates found are verified. Names give only the parts asked for.
+* One made of wildcards only asks for a minimum length, keyed as well.
 
-All joins are equi-joins on (scope, size, gram).
+Only the seasons asked for are looked at. All joins are equi-joins.
 """
 
 from pyspark.sql import functions as F
@@ -49,8 +49,8 @@ def _length_entries(column):
     )
 
 
-def _ranked_names(players, stats):
-    """Best player per lower-case name within each season, and over none.
+def _ranked_names(players, stats, asked):
+    """Best player per lower-case name within each asked season, and over none.
 
     Scope is a season for players with points in it, ANY_SEASON for all players:
     the fallback when none of the matching players has points. ``best`` sorts
@@ -59,8 +59,10 @@ def _ranked_names(players, stats):
     people = players.filter(F.col("name").isNotNull()).select(
         "gsis_id", F.lower("name").alias("lname")
     )
-    scored = stats.filter(F.col("fantasy_points").isNotNull()).select(
-        "gsis_id", F.col("season").cast("int").alias("scope"), "fantasy_points"
+    scored = (
+        stats.filter(F.col("fantasy_points").isNotNull())
+        .select("gsis_id", F.col("season").cast("int").alias("scope"), "fantasy_points")
+        .join(asked.select("scope").distinct(), "scope", "left_semi")
     )
     known = people.join(scored, "gsis_id").select(
         "scope", "lname", "gsis_id", F.lit(0).alias("unscored"),
@@ -80,16 +82,13 @@ def _lookups(lookups):
     lowered = F.regexp_replace(F.lower("q"), r"(\\[%_\\])|\\(?!$)", "$1")
     asked = lookups.select("q", "season").filter(F.col("q").isNotNull()).distinct()
     plain = ~F.rlike("lq", F.lit(r"[%_\\]"))
-    wild = F.rlike("lq", F.lit("^[%_]*$"))
+    wild = F.rlike("lq", F.lit("^[%_]*$"))  # an empty lookup, too
     return asked.select(
         "q", F.explode(F.array(F.col("season").cast("int"), F.lit(ANY_SEASON))).alias("scope"),
         "season", lowered.alias("lq"),
     ).withColumns(
         {
-            "kind": F.when(wild, "length")
-            .when(plain & (F.length("lq") <= GRAM), "gram")
-            .otherwise("long"),
-            "plain": plain,
+            "kind": F.when(wild, "length").when(plain, "plain").otherwise("pattern"),
         }
     )
 
@@ -112,46 +111,63 @@ def _literal_entries(lq):
     return F.when(F.size(runs) > 0, parts).otherwise(alone)
 
 
-def match_names(lookups, players, stats):
-    """The best player id per distinct (q, season); unmatched pairs are absent.
+def _plain_matches(asked, names):
+    """Best player per plain lookup: equality with substrings of the asked lengths."""
+    lengths = asked.select("scope", F.length("lq").alias("size")).distinct()
+    here = F.sequence(F.lit(1), F.length("lname") - F.col("size") + 1)
+    substrings = (
+        names.join(lengths, "scope")
+        .filter(F.length("lname") >= F.col("size"))
+        .select("scope", "lname", "size", "best", F.explode(here).alias("at"))
+        .select("scope", F.substring("lname", F.col("at"), F.col("size")).alias("lq"), "best")
+        .groupBy("scope", "lq")
+        .agg(F.min("best").alias("best"))
+    )
+    return asked.join(substrings, ["scope", "lq"]).select("q", "season", "best")
 
-    ``lookups`` has columns q and season, ``stats`` one row per player and
-    season.
-    """
-    names = _ranked_names(players, stats)
+
+def _pattern_matches(asked, names):
+    """Best player per lookup with wildcards."""
+    keys = ["scope", "size", "gram"]
+    patterns = asked.filter(F.col("kind") == "pattern").select(
+        "q", "season", "scope", "lq", F.inline(_literal_entries(F.col("lq")))
+    )
+    underscores = F.length(F.regexp_replace("lq", "[^_]", "")).cast("string")
+    only_wild = asked.filter(F.col("kind") == "length").select(
+        "q", "season", "scope", F.lit(0).alias("size"), underscores.alias("gram")
+    )
+    wanted = patterns.select(*keys).unionByName(only_wild.select(*keys)).distinct()
     indexed = names.select(
         "scope", "lname", "best",
         F.inline(F.concat(_length_entries(F.col("lname")), entries(F.col("lname"), (1, 2, 3)))),
-    )
-    keys = ["scope", "size", "gram"]
+    ).join(wanted, keys, "left_semi")
     index = indexed.groupBy(*keys).agg(F.min("best").alias("best"), F.count("*").alias("names"))
-
-    asked = _lookups(lookups)
-    underscores = F.length(F.regexp_replace("lq", "[^_]", "")).cast("string")
-    direct = asked.filter(F.col("kind") != "long").select(
-        "q", "season", "scope",
-        F.when(F.col("kind") == "gram", F.length("lq")).otherwise(0).alias("size"),
-        F.when(F.col("kind") == "gram", F.col("lq")).otherwise(underscores).alias("gram"),
-    )
-    found = direct.join(index, keys).select("q", "season", "best")
-
-    longer = asked.filter(F.col("kind") == "long").select(
-        "q", "season", "scope", "lq", "plain", F.inline(_literal_entries(F.col("lq")))
-    )
+    found = only_wild.join(index, keys).select("q", "season", "best")
     rarest = (
-        longer.join(index.select(*keys, "names"), keys, "left")
+        patterns.join(index.select(*keys, "names"), keys, "left")
         .withColumn("names", F.coalesce("names", F.lit(0)))
-        .groupBy("q", "season", "scope", "lq", "plain")
+        .groupBy("q", "season", "scope", "lq")
         .agg(F.min(F.struct("names", "size", "gram")).alias("key"))
         .filter(F.col("key.names") > 0)
-        .select("q", "season", "scope", "lq", "plain", "key.size", "key.gram")
+        .select("q", "season", "scope", "lq", "key.size", "key.gram")
     )
     pattern = F.concat(F.lit("%"), F.col("lq"), F.lit("%"))
-    hit = F.when(F.col("plain"), F.contains("lname", "lq")).otherwise(F.like("lname", pattern))
-    verified = rarest.join(indexed, keys).filter(hit).select("q", "season", "best")
+    verified = rarest.join(indexed, keys).filter(F.like("lname", pattern))
+    return found.unionByName(verified.select("q", "season", "best"))
+
 
+def match_names(lookups, players, stats):
+    """The best player id per distinct (q, season); unmatched pairs are absent.
+
+    ``lookups`` has columns q and season, ``stats`` one row per player and
+    season.
+    """
+    asked = _lookups(lookups)
+    names = _ranked_names(players, stats, asked)
+    plain = _plain_matches(asked.filter(F.col("kind") == "plain"), names)
+    patterns = _pattern_matches(asked.filter(F.col("kind") != "plain"), names)
     return (
-        found.unionByName(verified)
+        plain.unionByName(patterns)
         .groupBy("q", "season")
         .agg(F.min("best").alias("best"))
         .select("q", "season", F.col("best.gsis_id").alias("gsis_id"))

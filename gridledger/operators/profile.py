@@ -4,14 +4,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
-from gridledger.functions.lookup import pick_column
 from gridledger.functions.numeric import (
     fantasy_points_or_stored,
     percentile_label,
     points_from_cents,
     zero,
 )
-from gridledger.operators.clean import where
+from gridledger.operators.clean import fill_zero, pick_column, where
 from gridledger.operators.names import best_match
 
 # Scores are bucketed by whole points, so a bucket holds at most this many
@@ -147,38 +146,40 @@ def player_stats(lookups, players, stats, season):
     lines = where(stats, season=season)
     shown = lines.withColumn("fantasy", fantasy_points_or_stored(lines))
     shown = shown.drop("season", *[c for c in found.columns if c != "gsis_id"])
-    return found.join(shown, "gsis_id", "left").fillna(0.0, subset=["fantasy"])
+    return fill_zero(found.join(shown, "gsis_id", "left"), ["fantasy"])
 
 
 def season_pair(stats, columns, first, second, key="player_id"):
     """Two seasons of one entity side by side: ``<column>_<season>``.
 
-    Only entities with a row in both seasons are kept.
+    An entity with a row in one of the seasons only keeps it; ``seasons`` counts
+    those it has.
     """
     picked = [
         F.sum(F.when(F.col("season") == season, F.col(c))).alias(f"{c}_{season}")
         for c in columns
         for season in (first, second)
     ]
-    both = F.count_if(F.col("season") == first).alias("_first"), F.count_if(
-        F.col("season") == second
-    ).alias("_second")
-    pairs = where(stats, season=[first, second]).groupBy(key).agg(*picked, *both)
-    return pairs.filter((F.col("_first") > 0) & (F.col("_second") > 0)).drop("_first", "_second")
+    rows = where(stats, season=[first, second])
+    return rows.groupBy(key).agg(*picked, F.count_distinct("season").alias("seasons"))
 
 
 def compare_seasons(stats, position, first, second, key="player_id"):
-    """Change of the position's metrics between two seasons, NULL counting 0."""
+    """Change of the position's metrics between two seasons, NULL counting 0.
+
+    A player with one season is shown with it and without a difference.
+    """
     metrics = pick_column(fv.SEASON_DIFF_METRICS, position)
     if metrics is None:
         raise ValueError(f"position must be one of {sorted(fv.SEASON_DIFF_METRICS)}")
     pairs = season_pair(stats, metrics, first, second, key)
+    both = F.col("seasons") == 2
     return pairs.withColumns(
         {
-            f"{m}_diff": zero(F.col(f"{m}_{second}")) - zero(F.col(f"{m}_{first}"))
+            f"{m}_diff": F.when(both, zero(F.col(f"{m}_{second}")) - zero(F.col(f"{m}_{first}")))
             for m in metrics
         }
-    )
+    ).drop("seasons")
 
 
 def pair_rows(pairs, facts, columns, how="left", key="gsis_id"):
@@ -199,9 +200,8 @@ def compare_players(pairs, totals, players):
     is dropped, a known player without rows counts 0.
     """
     measures = ["stat_lines", "games", "passing_yards", "rushing_yards", "receiving_yards"]
-    facts = players.join(
-        totals.withColumnRenamed("player_id", "gsis_id"), "gsis_id", "left"
-    ).fillna(0, subset=measures)
+    facts = players.join(totals.withColumnRenamed("player_id", "gsis_id"), "gsis_id", "left")
+    facts = fill_zero(facts, measures)
     sides = pair_rows(
         pairs, facts, ["name", "position", "team_id", *measures], how="inner"
     )

@@ -50,13 +50,11 @@ def project_by_name(lookups, players, stats, model, season):
         "gsis_id", "projected_fantasy_points"
     )
     note = (
-        F.when(F.col("gsis_id").isNull(), "Player not found")
+        F.when(F.col("gsis_id").isNull(), fv.PROJECTION_UNKNOWN)
         .when(
             F.col("projected_fantasy_points").isNull(),
-            f"No {season} stats available to base prediction on.",
-        )
-        .otherwise(
-            f"Projection based on {season} per-game averages using Linear Regression model."
+            fv.PROJECTION_NO_STATS.format(season=season),
         )
+        .otherwise(fv.PROJECTION_NOTE.format(season=season))
     )
     return found.join(projected, "gsis_id", "left").withColumn("note", note)

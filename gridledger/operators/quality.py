@@ -34,6 +34,16 @@ def placeholder_names(players):
     return _issues(players, "placeholder_names", missing)
 
 
+def season_issues(season_stats, season):
+    """A season table without rows of its season, or rows without a player or team."""
+    own = season_stats.filter(F.col("season") == season)
+    empty = own.agg((F.count(F.lit(1)) == 0).cast("long").alias("issues"))
+    nameless = F.col("gsis_id").isNull() | F.col("team_id").isNull()
+    return empty.select(F.lit("season_without_rows").alias("check"), "issues").unionByName(
+        _issues(season_stats, "season_rows_without_key", nameless)
+    )
+
+
 def quality_report(season_rushing, players, season_passing, min_games=5):
     """Number of issues per check."""
     checks = [

@@ -27,26 +27,41 @@ def comparison_parts(text):
     return F.split(F.lower(text), fv.COMPARE_SPLIT_PATTERN)
 
 
-def _linked_pairs(questions, kb):
-    """(q_id, pair): the first two distinct players named by a question's parts.
+WHOLE = -1
 
-    Only questions that may be comparisons are split.
+
+def _linked(questions, kb):
+    """(q_id, _link, _one, _two): the player a whole question names, and the first
+    two distinct players named by its parts.
+
+    Only questions that may be comparisons are split. Whole texts and parts are
+    linked in one pass.
     """
+    whole = questions.select("q_id", F.lit(WHOLE).alias("part_no"), "text")
     parts = questions.filter(_may_compare(F.col("text"))).select(
-        "q_id", F.posexplode(comparison_parts(F.col("text"))).alias("part_no", "part")
+        "q_id", F.posexplode(comparison_parts(F.col("text"))).alias("part_no", "text")
     )
-    parts = parts.withColumn("part_key", F.struct("q_id", "part_no"))
-    linked = link_texts(parts, kb, key="part_key", text="part").select(
+    texts = whole.unionByName(parts).withColumn("part_key", F.struct("q_id", "part_no"))
+    linked = link_texts(texts, kb, key="part_key").select(
         F.col("part_key.q_id").alias("q_id"), F.col("part_key.part_no").alias("part_no"),
         "gsis_id", "name",
     )
-    first = linked.groupBy("q_id", "gsis_id", "name").agg(F.min("part_no").alias("part_no"))
-    order = Window.partitionBy("q_id").orderBy("part_no")
+    # A whole text keeps its own row, as it comes before all parts otherwise.
+    is_whole = F.col("part_no") == WHOLE
+    first = linked.groupBy("q_id", is_whole.alias("whole"), "gsis_id", "name").agg(
+        F.min("part_no").alias("part_no")
+    )
+    order = Window.partitionBy("q_id", "whole").orderBy("part_no")
     two = first.withColumn("n", F.row_number().over(order)).filter("n <= 2")
     player = F.struct("gsis_id", "name")
+
+    def taken(condition):
+        return F.max(F.when(condition, player))
+
     return two.groupBy("q_id").agg(
-        F.max(F.when(F.col("n") == 1, player)).alias("_one"),
-        F.max(F.when(F.col("n") == 2, player)).alias("_two"),
+        taken(F.col("whole")).alias("_link"),
+        taken(~F.col("whole") & (F.col("n") == 1)).alias("_one"),
+        taken(~F.col("whole") & (F.col("n") == 2)).alias("_two"),
     )
 
 
@@ -57,10 +72,7 @@ def route(questions, kb):
     (the text is a name, or "who is" and a name), answer about a linked
     player, fallback.
     """
-    whole = link_texts(questions, kb).select("q_id", F.struct("gsis_id", "name").alias("_link"))
-    linked = questions.join(
-        whole.join(_linked_pairs(questions, kb), "q_id", "full_outer"), "q_id", "left"
-    )
+    linked = questions.join(_linked(questions, kb), "q_id", "left")
     text, name = F.col("text"), F.lower(F.col("_link.name"))
     letters = F.lower(tx.strip(F.regexp_replace(text, r"(?U)[^a-zA-Z\s]", "")))
     is_profile = (letters == name) | (letters == F.concat(F.lit("who is "), name))

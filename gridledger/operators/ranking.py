@@ -11,10 +11,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
-from gridledger.functions.lookup import pick_column
 from gridledger.functions.numeric import fantasy_points_or_stored, zero
 from gridledger.operators.boxscore import category_totals
-from gridledger.operators.clean import where, with_rank
+from gridledger.operators.clean import pick_column, where, with_rank
 from gridledger.operators.dims import players_with_points, with_player
 
 
@@ -116,10 +115,17 @@ def all_draft_suggestions(
     return reduce(lambda a, b: a.unionByName(b), lists)
 
 
-def knowledge_base(players, stats, season, n=500):
-    """The n best known players at skill positions, those without points last."""
+def known_players(players, stats, season):
+    """All players at skill positions with that season's points: whom texts may name."""
     people = where(players, position=fv.SKILL_POSITIONS)
-    ranked = top_n(players_with_points(people, stats, season), "fantasy_points", n)
+    return players_with_points(people, stats, season).select(
+        "gsis_id", "name", "position", "team_id", "fantasy_points"
+    )
+
+
+def knowledge_base(players, stats, season, n=500):
+    """The n best known players with their rank, those without points last."""
+    ranked = top_n(known_players(players, stats, season), "fantasy_points", n)
     return ranked.select(
         F.col("rank").alias("kb_rank"), "gsis_id", "name", "position", "team_id", "fantasy_points"
     )

@@ -5,6 +5,7 @@ three grouped tables merged by full outer joins, each play is exploded into
 its role rows and grouped once: one scan, one shuffle of pre-summed rows.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger.functions.numeric import fantasy_points_full
@@ -55,13 +56,16 @@ WEEK_MEANS = {
 }
 
 PASSING, RUSHING, RECEIVING = "passer", "rusher", "receiver"
+# A line of the offence as a whole, without a player.
+TEAM = "team"
 
 
-def role_lines(plays, keys, roles=ROLES):
+def role_lines(plays, keys, roles=ROLES, team_line=False):
     """One row per (play, player involved), with ``role`` and ``gsis_id``.
 
     Rows without an id or without one of the keys are dropped, as grouping on
-    missing keys would invent a player.
+    missing keys would invent a player. ``team_line`` adds a row per play for
+    the offence, with no id.
     """
     named = all(f"{r}_player_name" in plays.columns for r in roles)
     entries = []
@@ -70,8 +74,12 @@ def role_lines(plays, keys, roles=ROLES):
         if named:
             fields.append(F.col(f"{role}_player_name").alias("player_name"))
         entries.append(F.struct(*fields))
+    if team_line:
+        nobody = [F.lit(None).cast(plays.schema[f"{roles[0]}_player_id"].dataType).alias("gsis_id")]
+        nobody += [F.lit(None).cast("string").alias("player_name")] if named else []
+        entries.append(F.struct(F.lit(TEAM).alias("role"), *nobody))
     lines = plays.dropna(subset=list(keys)).select("*", F.inline(F.array(*entries)))
-    return lines.filter(F.col("gsis_id").isNotNull())
+    return lines.filter(F.col("gsis_id").isNotNull() | (F.col("role") == TEAM))
 
 
 def _by_role(lines, role, source):
@@ -144,15 +152,19 @@ def player_season_stats(plays, roster=None, by=("season", "team_id")):
     return drop_empty_lines(stats.withColumn("fantasy_points", fantasy_points_full(stats)))
 
 
-def weekly_lines(plays, roles=ROLES, targets="rows"):
+def weekly_lines(plays, roles=ROLES, targets="rows", team_totals=False):
     """Player-week lines by (id, season, week, team).
 
     ``targets="rows"`` counts plays with that receiver, ``"attempts"`` those
-    with a pass-attempt flag.
+    with a pass-attempt flag. ``team_totals`` adds the team's air yards and
+    targets of the week to every line, from the same scan: plays also count
+    for a line without an id, whose sums a window over the team's week (its
+    players and that line) hands to the others.
     """
     by = ("season", "week", "team_id")
     plays = _with_team(plays, by)
-    lines = role_lines(plays, by, roles).drop("player_name")
+    lines = role_lines(plays, by, roles, team_totals).drop("player_name")
+
     def of_roles(measures):
         return {out: spec for out, spec in measures.items() if spec[0] in roles}
 
@@ -162,7 +174,25 @@ def weekly_lines(plays, roles=ROLES, targets="rows"):
         if targets == "attempts":
             is_target = is_target & F.col("pass_attempt").isNotNull()
         aggregates.append(F.count_if(is_target).alias("targets"))
-    return lines.groupBy("gsis_id", *by).agg(*aggregates)
+    if not team_totals:
+        return lines.groupBy("gsis_id", *by).agg(*aggregates)
+    of_team = F.col("role") == TEAM
+    aggregates += [
+        F.coalesce(F.sum(F.when(of_team, F.col("air_yards"))), F.lit(0)).cast("long").alias("_air"),
+        F.count_if(of_team & (F.col("play_type") == "pass")).alias("_targets"),
+    ]
+    grouped = lines.groupBy("gsis_id", *by).agg(*aggregates)
+    week = Window.partitionBy("team_id", "season", "week")
+    return (
+        grouped.withColumns(
+            {
+                "team_air_yards": F.max(F.when(F.col("gsis_id").isNull(), F.col("_air"))).over(week),
+                "team_targets": F.max(F.when(F.col("gsis_id").isNull(), F.col("_targets"))).over(week),
+            }
+        )
+        .filter(F.col("gsis_id").isNotNull())
+        .drop("_air", "_targets")
+    )
 
 
 def passing_weekly(plays):
@@ -177,20 +207,32 @@ def receiving_weekly(plays, targets="rows"):
     return weekly_lines(plays, (RECEIVING,), targets)
 
 
+# Means of weekly values, weighted by the weeks behind them when teams are joined.
+SEASON_MEANS = ("passing_epa", "rushing_epa", "receiving_epa", "wopr", "target_share")
+
+
 def collapse_teams(stats):
     """One row per (player, season): sums over teams, team of the latest week.
 
-    Without a ``last_week`` column the greatest team id stands in.
+    Needs ``last_week``; where teams share it the greater team id stays. Whole
+    numbers are summed. Means (see SEASON_MEANS) need ``weeks``, the number of
+    weekly lines they were taken over, and stay means over all of them.
     """
-    numeric = [
+    if "last_week" not in stats.columns:
+        raise ValueError("the latest team needs last_week")
+    means = [c for c in SEASON_MEANS if c in stats.columns]
+    if means and "weeks" not in stats.columns:
+        raise ValueError("joining means of several teams needs weeks")
+    counts = [
         f.name
         for f in stats.schema.fields
-        if f.dataType.typeName() in ("long", "double", "integer")
-        and f.name not in ("gsis_id", "season", "team_id", "last_week", "fantasy_points")
+        if f.dataType.typeName() in ("long", "integer")
+        and f.name not in ("gsis_id", "season", "team_id", "last_week")
     ]
-    week = F.col("last_week") if "last_week" in stats.columns else F.lit(0)
-    latest = F.max(F.struct(week.alias("week"), F.col("team_id").alias("team_id")))
+    latest = F.max(F.struct(F.col("last_week").alias("week"), F.col("team_id").alias("team_id")))
     totals = stats.groupBy("gsis_id", "season").agg(
-        latest["team_id"].alias("team_id"), *[F.sum(c).alias(c) for c in numeric]
+        latest["team_id"].alias("team_id"),
+        *[F.sum(c).alias(c) for c in counts],
+        *[(F.sum(F.col(c) * F.col("weeks")) / F.sum("weeks")).alias(c) for c in means],
     )
     return totals.withColumn("fantasy_points", fantasy_points_full(totals))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from gridledger.functions.numeric import sum_or_zero
+from gridledger.operators.clean import not_null
 
 DEFENSE_SUMS = {
     "def_sacks_made": "sack",
@@ -20,7 +21,7 @@ OFFENSE_SUMS = {
 
 
 def _team_sums(plays, team, sums):
-    keyed = plays.withColumn("team_id", F.col(team)).dropna(subset=["team_id", "season"])
+    keyed = not_null(plays.withColumn("team_id", F.col(team)), ["team_id", "season"])
     return keyed.groupBy("team_id", "season").agg(
         *[sum_or_zero(source).alias(out) for out, source in sums.items()]
     )
@@ -45,7 +46,7 @@ def team_season(plays):
         F.struct(F.lit("def").alias("side"), F.col("defteam").alias("team_id")),
     )
     lines = plays.filter(F.col("season").isNotNull()).select("*", F.inline(sides))
-    lines = lines.filter(F.col("team_id").isNotNull())
+    lines = not_null(lines, ["team_id"])
 
     def on(side, source):
         return sum_or_zero(F.when(F.col("side") == side, F.col(source)))

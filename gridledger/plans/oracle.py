@@ -1,11 +1,59 @@
 """SQL equivalents of the registered queries, for a second engine to check.
 
-Views are shared as WITH lists; the definitions mirror ``views.py``.
+Views are shared as WITH lists; the definitions mirror ``views.py``. Patterns, words
+and sentences are written out here once more, so that a wrong one in the library
+does not go wrong on both sides alike.
 """
 
-from gridledger import fixed_values as fv
-from gridledger.functions.text import stop_word_patterns
-from gridledger.plans.views import TEMPLATES
+# Fixed values, as the library states them in its own words.
+TEMPLATES = [
+    "Trade {x} for {y}",
+    "{x} vs {y}",
+    "Top QB this year",
+    "Who is {x}?",
+    "How many touchdowns did {x} score in 1998?",
+    "{x}",
+    "compare {x} and {y}",
+    "did {x_last} rush better last year",
+    "How many points did {x_first} score",
+    "tell me about the weather",
+    "Which receiver is best, {x} or {y}?",
+    "trade {x_last} for {y_first}",
+    "{x_last} , {y} or {x}",
+    "how did {y} throw two years ago",
+    "show me {x} running in 2000",
+]
+TRADE = "trade\\s+(.+?)\\s+for\\s+(.+)"
+LIST_WORDS = ("top", "best", "draft", "leader")
+COMPARE_MARKERS = (" vs ", " or ", "compare ", " better")
+COMPARE_SPLIT = "\\s+(?:vs\\.?|or|and|,)\\s+"
+POSITION_WORDS = (
+    ("QB", ("qb", "quarterback")), ("RB", ("rb", "running")), ("WR", ("wr", "receiver")),
+    ("TE", ("te", "tight")),
+)
+INTENTS = (
+    ("ranking", "who (should|do) i draft|who (are|is) (the )?best|top (\\d+)?|leaders|rank"
+                "|which .* (are|is) best"),
+    ("compare", "compare| vs | or |better|draft .* (or|vs)"),
+    ("search", "who is|tell me about|show me|stats for"),
+)
+METRICS = (
+    ("deep ball", "passing_yards"), ("passing", "passing_yards"), ("rushing", "rushing_yards"),
+    ("receiving", "receiving_yards"), ("fantasy", "fantasy_points"), ("scoring", "touchdowns"),
+)
+ANSWER_INTENTS = (
+    ("touchdowns", ("touchdown", " td")), ("rushing", ("rush", "run")),
+    ("passing", ("pass", "throw")), ("receiving", ("receiv", "catch")),
+    ("points", ("point", "score")),
+)
+WEEKLY_NUMBERS = (
+    "completions, attempts, passing_yards, passing_tds, interceptions, sacks, carries, "
+    "rushing_yards, rushing_tds, targets, receptions, receiving_yards, receiving_tds, "
+    "fantasy_points"
+)
+FEATURES = (
+    "passing_yards", "passing_tds", "rushing_yards", "rushing_tds", "receiving_yards", "receptions",
+)
 
 PLAYERS = """players AS (
   SELECT s_suppkey AS gsis_id, p_name AS name,
@@ -15,6 +63,11 @@ PLAYERS = """players AS (
          'headshots/' || CAST(s_suppkey AS VARCHAR) AS headshot_url
   FROM supplier JOIN part ON p_partkey = s_suppkey)"""
 
+MESSY = """messy AS (
+  SELECT gsis_id, CASE WHEN gsis_id % 13 <> 4 THEN name END AS name,
+    CASE WHEN gsis_id % 7 <> 3 THEN position END AS position, team_id, headshot_url
+  FROM players)"""
+
 TEAMS = "teams AS (SELECT n_nationkey AS team_id, n_name AS name FROM nation)"
 
 PLAYS = """raw AS (
@@ -43,6 +96,7 @@ plays AS (
          CASE WHEN target THEN 3 * l_linenumber END AS air_yards,
          CASE WHEN complete THEN yards % 7 END AS yards_after_catch,
          CASE WHEN l_tax <> 0 THEN CAST(CAST(l_discount AS DECIMAL(5,2)) - 0.05 AS DOUBLE) END AS epa,
+         CASE WHEN l_discount <> 0 THEN CAST(CAST(l_tax AS DECIMAL(5,2)) - 0.04 AS DOUBLE) END AS cpoe,
          CAST(complete AND l_linenumber = 1 AS INT) AS pass_touchdown,
          CAST(run AND l_linenumber = 1 AS INT) AS rush_touchdown,
          CAST((complete OR run) AND l_linenumber = 1 AS INT) AS touchdown,
@@ -122,7 +176,8 @@ wp AS (
   SELECT passer_player_id AS gsis_id, season, week, posteam AS team_id,
     {_sum('complete_pass', 'completions')}, {_sum('pass_attempt', 'attempts')},
     {_sum('passing_yards', 'passing_yards')}, {_sum('pass_touchdown', 'passing_tds')},
-    {_sum('interception', 'interceptions')}, {_sum('sack', 'sacks')}, avg(epa) AS passing_epa
+    {_sum('interception', 'interceptions')}, {_sum('sack', 'sacks')},
+    {_sum('air_yards', 'passing_air_yards')}, avg(epa) AS passing_epa, avg(cpoe) AS passing_cpoe
   FROM plays WHERE passer_player_id IS NOT NULL GROUP BY 1, 2, 3, 4),
 wr AS (
   SELECT rusher_player_id AS gsis_id, season, week, posteam AS team_id,
@@ -169,7 +224,7 @@ box_p AS (
     sum(complete_pass) AS completions, sum(pass_attempt) AS attempts,
     sum(passing_yards) AS passing_yards, sum(pass_touchdown) AS passing_tds,
     sum(interception) AS interceptions, sum(sack) AS sacks, max(passing_yards) AS longest_pass,
-    sum(complete_pass) * 100 // nullif(sum(pass_attempt), 0) AS passer_rating
+    sum(complete_pass) * 1000 // nullif(sum(pass_attempt), 0) AS rating_tenths
   FROM box_names WHERE passer_player_id IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6),
 box_r AS (
   SELECT rusher_player_id AS player_id, posteam AS team_id, team, opponent, season, week,
@@ -210,13 +265,33 @@ STAT_COLUMNS = (
 )
 
 
+SEASON_MEANS = ("passing_epa", "rushing_epa", "receiving_epa", "wopr", "target_share")
+
+
+def _season_rows(source, fumbles="fumbles_lost"):
+    """The season table's rows from weekly lines, with the messy roster."""
+    sums = ["passing_yards", "passing_tds", "interceptions", "rushing_yards", "rushing_tds",
+            "receiving_yards", "receiving_tds", "receptions"]
+    return f"""season_sums AS (
+  SELECT gsis_id, season, team_id, {', '.join(_sum(c, c) for c in sums)},
+    {_sum('sacks', 'sacks_taken')}, {_sum(fumbles, 'fumbles_lost')},
+    {', '.join(f'avg({c}) AS {c}' for c in SEASON_MEANS)},
+    CAST(sum(CAST(round(fantasy_points * 100) AS BIGINT)) AS DOUBLE) / 100 AS fantasy_points,
+    CAST(max(week) AS INT) AS last_week, count(*) AS weeks
+  FROM {source} GROUP BY 1, 2, 3),
+season_rows AS (
+  SELECT s.* REPLACE (CAST(s.gsis_id AS VARCHAR) AS gsis_id, CAST(s.team_id AS VARCHAR) AS team_id),
+    name AS player_name, coalesce(position, 'UNK') AS position
+  FROM season_sums s LEFT JOIN messy m ON m.gsis_id = s.gsis_id)"""
+
+
 def _basic():
     sql = {}
-    plays_players = with_views(PLAYERS, PLAYS, TEAM_LINES)
+    plays_players = with_views(PLAYERS, MESSY, PLAYS, TEAM_LINES)
     sql["player_season_stats"] = plays_players + f"""
 SELECT t.gsis_id, season, t.team_id, last_week, {STAT_COLUMNS}, fantasy_points,
        coalesce(position, 'UNK') AS position, name AS player_name
-FROM team_lines t LEFT JOIN players p ON p.gsis_id = t.gsis_id"""
+FROM team_lines t LEFT JOIN messy p ON p.gsis_id = t.gsis_id"""
     sql["player_season_no_team"] = with_views(PLAYS, STATS) + f"""
 SELECT gsis_id, season, {STAT_COLUMNS}, fantasy_points FROM stats"""
     for key, letter, columns in (
@@ -235,7 +310,8 @@ SELECT gsis_id, season, week, team_id, completions, attempts, passing_yards, pas
   round(target_share, 9) AS target_share, round(air_yards_share, 9) AS air_yards_share,
   fantasy_points FROM weekly"""
     sql["passing_weekly"] = weekly + """
-SELECT * REPLACE (round(passing_epa, 9) AS passing_epa) FROM wp"""
+SELECT * REPLACE (round(passing_epa, 9) AS passing_epa, round(passing_cpoe, 9) AS passing_cpoe)
+FROM wp"""
     sql["rushing_weekly"] = weekly + """
 SELECT * REPLACE (round(rushing_epa, 9) AS rushing_epa) FROM wr"""
     sql["receiving_weekly"] = weekly + """
@@ -243,6 +319,23 @@ SELECT * REPLACE (round(receiving_epa, 9) AS receiving_epa) FROM wc"""
     sql["team_week_context"] = weekly + "SELECT * FROM team_week"
     sql["target_counts"] = weekly + """
 SELECT gsis_id, season, week, team_id, targets, receptions FROM wc"""
+    sql["targets_by_attempt"] = with_views(PLAYS) + """
+SELECT receiver_player_id AS gsis_id, season, week, posteam AS team_id,
+  count(CASE WHEN week % 5 <> 0 THEN pass_attempt END) AS targets
+FROM plays WHERE receiver_player_id IS NOT NULL AND posteam IS NOT NULL GROUP BY 1, 2, 3, 4"""
+    seasons = with_views(PLAYERS, MESSY, PLAYS, WEEKLY) + ", " + _season_rows("weekly")
+    shown = ", ".join(f"round({c}, 9) AS {c}" for c in SEASON_MEANS)
+    sql["season_table"] = seasons + f" SELECT * REPLACE ({shown}) FROM season_rows"
+    joined_means = ", ".join(
+        f"round(sum({c} * weeks) / sum(weeks), 9) AS {c}" for c in SEASON_MEANS
+    )
+    sql["collapsed_season_table"] = seasons + f""", totals AS (
+  SELECT gsis_id, season,
+    arg_max(team_id, lpad(CAST(last_week AS VARCHAR), 5, '0') || ' ' || team_id) AS team_id,
+    {', '.join(_sum(c.strip(), c.strip()) for c in STAT_COLUMNS.split(','))},
+    {_sum('weeks', 'weeks')}, {joined_means}
+  FROM season_rows GROUP BY 1, 2)
+SELECT *, {_points()} AS fantasy_points FROM totals"""
     sql["season_from_weekly"] = weekly + f"""
 SELECT gsis_id, season, team_id, {_sum('passing_yards', 'passing_yards')},
   {_sum('passing_tds', 'passing_tds')}, {_sum('interceptions', 'interceptions')},
@@ -304,7 +397,7 @@ SELECT *, {after} FROM g"""
         return [_long(f"sum({n})", n) for n in names]
 
     empty = ["sack_yards", "first_downs", "fourth_qtr_comebacks", "game_winning_drives"]
-    rating = ratio("CAST(sum(passer_rating) AS BIGINT)", "count(passer_rating)", 2)
+    rating = ratio("CAST(sum(rating_tenths) AS BIGINT)", "(10 * count(rating_tenths))", 2)
     sql["box_passing"] = grouped(
         "box_p",
         totals(["completions", "attempts", "passing_yards", "passing_tds", "interceptions", "sacks"])
@@ -410,23 +503,28 @@ FROM pairs JOIN facts a ON a.gsis_id = p1 JOIN facts b ON b.gsis_id = p2"""
         FROM {source} w JOIN players p ON gsis_id = player_id WHERE season = {SEASON}
         GROUP BY 1, 2, 3) ORDER BY value DESC NULLS LAST, player_id LIMIT 5)""")
     sql["draft_suggestions"] = views + "\nUNION ALL\n".join(lists)
-    for position, key, source, metrics in (
-        ("QB", "compare_seasons_qb", "box_p", ["passing_yards", "passing_tds", "interceptions", "sacks"]),
-        ("RB", "compare_seasons_rb", "box_r", ["rushing_yards", "rushing_tds", "carries"]),
-        ("WR", "compare_seasons_wr", "box_c", ["receiving_yards", "receiving_tds"]),
+    for key, source, condition, metrics in (
+        ("qb", "box_p", "true", ["passing_yards", "passing_tds", "interceptions", "sacks"]),
+        ("rb", "box_r", "true", ["rushing_yards", "rushing_tds", "carries"]),
+        ("wr", "box_c", "true", ["receiving_yards", "receiving_tds"]),
+        ("te", "box_c", "true", ["receiving_yards", "receiving_tds"]),
+        ("partial", "box_r", "(player_id + season) % 3 <> 0",
+         ["rushing_yards", "rushing_tds", "carries"]),
     ):
         first, second = SEASON_PAIR
         parts = []
         for m in metrics:
-            for s in (first, second):
-                parts.append(_long(f"sum({m}) FILTER (season = {s})", f"{m}_{s}"))
+            for season in (first, second):
+                parts.append(_long(f"sum({m}) FILTER (season = {season})", f"{m}_{season}"))
         diffs = [
-            f"coalesce({m}_{second}, 0) - coalesce({m}_{first}, 0) AS {m}_diff" for m in metrics
+            f"CASE WHEN seasons = 2 THEN coalesce({m}_{second}, 0) - coalesce({m}_{first}, 0) END"
+            f" AS {m}_diff" for m in metrics
         ]
-        sql[key] = views + f""", g AS (SELECT player_id, {', '.join(parts)} FROM {source}
+        sql[f"compare_seasons_{key}"] = views + f""", g AS (
+  SELECT player_id, count(DISTINCT season) AS seasons, {', '.join(parts)} FROM {source}
   JOIN players ON gsis_id = player_id
-  WHERE season IN ({first}, {second}) GROUP BY 1 HAVING count(DISTINCT season) = 2)
-SELECT *, {', '.join(diffs)} FROM g"""
+  WHERE season IN ({first}, {second}) AND {condition} GROUP BY 1)
+SELECT * EXCLUDE (seasons), {', '.join(diffs)} FROM g"""
     return sql
 
 
@@ -465,7 +563,18 @@ SELECT position, CAST(row_number() OVER (ORDER BY fantasy_points DESC NULLS LAST
   AS rank, gsis_id, name, team_id, fantasy_points AS val, fantasy_points AS fantasy
 FROM stats JOIN players USING (gsis_id) WHERE season = {SEASON}
 ORDER BY fantasy_points DESC NULLS LAST, gsis_id LIMIT 5"""
-    sql["knowledge_base"] = views + ", " + KB + " SELECT * FROM kb"
+    some = with_views(PLAYERS, MESSY, PLAYS, STATS)
+    scored = "(SELECT * FROM stats WHERE gsis_id % 4 <> 1)"
+    sql["knowledge_base"] = some + ", " + _kb("messy", scored, KB_SIZE) + " SELECT * FROM kb"
+    sql["known_players"] = some + ", " + _kb("messy", scored) + """
+SELECT * EXCLUDE (kb_rank) FROM kb"""
+    sql["rankings_recomputed"] = views + f"""
+SELECT position, CAST(row_number() OVER (PARTITION BY position
+    ORDER BY passing_yards DESC NULLS LAST, gsis_id) AS INT) AS rank,
+  gsis_id, name, team_id, passing_yards AS val,
+  CASE WHEN gsis_id % 3 = 1 AND fantasy_points <> 0 THEN fantasy_points
+       ELSE {_points(fumbles=False)} END AS fantasy
+FROM stats JOIN players USING (gsis_id) WHERE season = {SEASON} QUALIFY rank <= 20"""
     sql["percentile_rank"] = views + """
 SELECT gsis_id, season, fantasy_points, percentile,
   'Top ' || CAST(100 - CAST(trunc(percentile) AS INT) AS VARCHAR) || '%' AS label
@@ -523,23 +632,25 @@ SELECT DISTINCT season, week, posteam AS home_team, defteam AS away_team FROM pl
 ORDER BY season DESC, week DESC, home_team, away_team LIMIT 5"""
     sql["roster_semi"] = views + f"""
 SELECT * FROM players WHERE gsis_id IN (SELECT gsis_id FROM stats
-  WHERE season = {SEASON} AND passing_yards > 0)"""
-    sql["new_players_anti"] = views + f"""
+  WHERE season = {SEASON} AND passing_tds > rushing_tds)"""
+    sql["new_players_anti"] = views + """
 SELECT DISTINCT receiver_player_id AS gsis_id FROM plays
 WHERE receiver_player_id IS NOT NULL AND receiver_player_id NOT IN (
-  SELECT passer_player_id FROM plays WHERE passer_player_id IS NOT NULL AND season = {SEASON}
-  AND passing_yards >= 49)"""
+  SELECT passer_player_id FROM plays WHERE passer_player_id IS NOT NULL AND interception = 1)"""
     return sql
 
 
-KB = f"""kb AS (
+KB_SIZE = 6
+
+
+def _kb(people="players", scored="stats", n=None):
+    """Skill players by points; all of them unless n cuts."""
+    return f"""kb AS (
   SELECT CAST(row_number() OVER (ORDER BY fantasy_points DESC NULLS LAST, p.gsis_id) AS INT)
     AS kb_rank, p.gsis_id, name, position, team_id, fantasy_points
-  FROM players p LEFT JOIN stats s ON s.gsis_id = p.gsis_id AND s.season = {SEASON}
+  FROM {people} p LEFT JOIN {scored} s ON s.gsis_id = p.gsis_id AND s.season = {SEASON}
   WHERE position IN ('QB', 'RB', 'WR', 'TE')
-  ORDER BY fantasy_points DESC NULLS LAST, p.gsis_id LIMIT 500)"""
-
-
+  ORDER BY fantasy_points DESC NULLS LAST, p.gsis_id {f'LIMIT {n}' if n else ''})"""
 
 
 def _questions_view():
@@ -561,8 +672,8 @@ questions AS (
 
 
 ALL_TEXTS = """all_texts AS (
-  SELECT q_id, text FROM questions
-  UNION ALL SELECT -1 - conv_id * 1000 - turn, text FROM conversations)"""
+  SELECT q_id, CAST(-1 AS BIGINT) AS turn, text FROM questions
+  UNION ALL SELECT conv_id, turn, text FROM conversations)"""
 
 YEARS = "199[0-9]|200[0-9]"
 
@@ -574,7 +685,7 @@ def _has(column, words):
 def _position(column, te):
     cases = [
         f"WHEN {_has(column, words)} THEN '{p}'"
-        for p, words in fv.POSITION_WORDS.items()
+        for p, words in POSITION_WORDS
         if te or p != "TE"
     ]
     return f"CASE {' '.join(cases)} END"
@@ -593,23 +704,20 @@ def _links(texts, key, out):
     WHERE word = lower(split_part(name, ' ', 1))),
 {out} AS (
   SELECT {key}, kb.gsis_id, kb.name, CAST(link_class AS INT) AS link_class
-  FROM (SELECT {key}, min(link_class * 1000 + kb_rank) AS best FROM {out}_hits GROUP BY {key})
-  JOIN kb ON kb_rank = best % 1000
-  JOIN (VALUES (1), (2), (3)) c(link_class) ON link_class = best // 1000)"""
-
-
-TRADE = fv.TRADE_PATTERN
+  FROM (SELECT {key}, min(link_class * 10000000 + kb_rank) AS best FROM {out}_hits GROUP BY {key})
+  JOIN kb ON kb_rank = best % 10000000
+  JOIN (VALUES (1), (2), (3)) c(link_class) ON link_class = best // 10000000)"""
 
 
 def _routes():
     low = "lower(text)"
     marked = (
-        f"{_has(low, fv.COMPARE_MARKERS)} AND NOT regexp_matches({low}, '{TRADE}')"
-        f" AND NOT {_has(low, fv.LIST_WORDS)}"
+        f"{_has(low, COMPARE_MARKERS)} AND NOT regexp_matches({low}, '{TRADE}')"
+        f" AND NOT {_has(low, LIST_WORDS)}"
     )
     return ",\n".join([
         _links("questions", "q_id", "links"),
-        f"""cut AS (SELECT q_id, string_split_regex({low}, '{fv.COMPARE_SPLIT_PATTERN}') AS parts
+        f"""cut AS (SELECT q_id, string_split_regex({low}, '{COMPARE_SPLIT}') AS parts
   FROM questions WHERE {marked}),
 parts AS (SELECT q_id * 100 + i AS part_id, parts[i] AS text
   FROM cut, range(1, 20) r(i) WHERE i <= len(parts))""",
@@ -623,7 +731,7 @@ two AS (SELECT q_id, max(gsis_id) FILTER (n = 1) AS id1, max(name) FILTER (n = 1
         f"""routes AS (
   SELECT q_id, text, links.gsis_id, links.name, id1, name1, id2, name2,
     CASE WHEN regexp_matches({low}, '{TRADE}') THEN 'trade'
-         WHEN {_has(low, fv.LIST_WORDS)} THEN 'list'
+         WHEN {_has(low, LIST_WORDS)} THEN 'list'
          WHEN id2 IS NOT NULL THEN 'comparison'
          WHEN lower(trim(regexp_replace(text, '[^a-zA-Z\\s]', '', 'g')))
               IN (lower(links.name), 'who is ' || lower(links.name)) THEN 'profile'
@@ -653,9 +761,9 @@ def _season_case():
 def _answer_intent():
     cases = " ".join(
         f"WHEN {_has('lower(text)', words)} THEN '{intent}'"
-        for intent, words in fv.ANSWER_INTENT_WORDS.items()
+        for intent, words in ANSWER_INTENTS
     )
-    return f"CASE {cases} ELSE '{fv.ANSWER_INTENT_DEFAULT}' END"
+    return f"CASE {cases} ELSE 'general' END"
 
 
 def _points_text(column):
@@ -677,7 +785,10 @@ def _one_decimal(cents):
 
 def _text_queries():
     sql = {}
-    questions = [PLAYERS, PLAYS, STATS, KB, _questions_view()]
+    questions = [PLAYERS, PLAYS, STATS, _kb(), _questions_view()]
+    best_known = [PLAYERS, PLAYS, STATS, _kb(n=KB_SIZE), _questions_view()]
+    sql["entity_links_top"] = with_views(*best_known, _links("questions", "q_id", "links")) + """
+SELECT q_id, gsis_id, name, link_class FROM questions LEFT JOIN links USING (q_id)"""
     sql["entity_links"] = with_views(*questions, _links("questions", "q_id", "links")) + """
 SELECT q_id, gsis_id, name, link_class FROM questions LEFT JOIN links USING (q_id)"""
     sql["question_routes"] = with_views(*questions, _routes()) + f"""
@@ -693,34 +804,42 @@ SELECT q_id, route,
   CASE route WHEN 'comparison' THEN name2 END AS player2_name
 FROM routes"""
     groups = " ".join(
-        "WHEN regexp_matches({}, '{}') THEN '{}'".format(
-            "lower(text)", "|".join(f"(?:{p})" for p in patterns), intent
-        )
-        for intent, patterns in fv.INTENT_PATTERNS.items()
+        f"WHEN regexp_matches(lower(text), '{pattern}') THEN '{intent}'"
+        for intent, pattern in INTENTS
     )
     metrics = " ".join(
-        f"WHEN contains(lower(text), '{word}') THEN '{column}'"
-        for word, column in fv.METRIC_WORDS.items()
+        f"WHEN contains(lower(text), '{word}') THEN '{column}'" for word, column in METRICS
     )
     texts = [PLAYERS, _questions_view(), ALL_TEXTS]
-    stripped = "(SELECT q_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM all_texts)"
+    stripped = (
+        "(SELECT q_id, turn, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM all_texts)"
+    )
     sql["intent_classes"] = with_views(*texts) + f"""
-SELECT q_id, CASE {groups} ELSE 'unknown' END AS intent,
+SELECT q_id, turn, CASE {groups} ELSE 'unknown' END AS intent,
   {_position('lower(text)', True)} AS position,
-  CASE {metrics} ELSE '{fv.METRIC_DEFAULT}' END AS metric FROM {stripped}"""
+  CASE {metrics} ELSE 'fantasy_points' END AS metric FROM {stripped}"""
     sql["answer_intents"] = with_views(*texts) + f"""
-SELECT q_id, {_answer_intent()} AS intent, {_season_case()} AS season FROM all_texts"""
+SELECT q_id, turn, {_answer_intent()} AS intent, {_season_case()} AS season FROM all_texts"""
+    # Word boundaries of letters in any script, without look-around: the characters
+    # beside a word are captured, and a second pass takes words that share one.
+    letter = "\\p{L}\\p{M}\\p{N}_"
+    words_one = "who|is|the|best|compare|draft|or|vs|tell|me|about|stats|for|should|i"
     cleaned = "c"
-    for pattern in stop_word_patterns():
-        cleaned = f"regexp_replace({cleaned}, '{pattern}', ' ', 'g')"
-    sql["name_chunks"] = with_views(PLAYERS, _questions_view()) + f"""
-SELECT q_id, array_to_string(list_filter(list_transform(
+    for words in (words_one, None, "top|rank|and"):
+        for _ in range(2):
+            pattern = (
+                f"(^|[^{letter}])(?:{words})([^{letter}]|$)" if words
+                else f"([{letter}])\\?([{letter}])"
+            )
+            cleaned = f"regexp_replace({cleaned}, '{pattern}', '\\1 \\2', 'g')"
+    sql["name_chunks"] = with_views(*texts) + f"""
+SELECT q_id, turn, array_to_string(list_filter(list_transform(
     CASE WHEN contains(t, ' or ') THEN string_split(t, ' or ')
          WHEN contains(t, ' vs ') THEN string_split(t, ' vs ')
          WHEN contains(t, ' and ') THEN string_split(t, ' and ') ELSE [t] END,
     lambda c: trim(regexp_replace({cleaned}, '\\s+', ' ', 'g'))),
   lambda c: length(c) > 1), '|') AS names
-FROM (SELECT q_id, trim(lower(text)) AS t FROM questions)"""
+FROM (SELECT q_id, turn, regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g') AS t FROM all_texts)"""
     lookups = f"""lookups AS (
   SELECT DISTINCT q, season FROM (
     SELECT unnest([name, split_part(name, ' ', -1), upper(split_part(name, ' ', 1)),
@@ -810,17 +929,23 @@ lines AS (SELECT doc_id, CAST(i - 1 AS INT) AS line_no, parts[i] AS value
 vocab AS (SELECT ch, CAST(row_number() OVER (ORDER BY ch) AS INT) AS idx
   FROM (SELECT DISTINCT unnest(string_split(value, '')) AS ch FROM lines) WHERE ch <> '')"""
     sql["char_vocab"] = with_views(lines) + "SELECT * FROM vocab"
-    encoded = """chars AS (SELECT doc_id, line_no, i,
-    CASE WHEN i <= length(value) THEN substr(value, CAST(i AS BIGINT), 1) END AS ch
-  FROM lines, range(1, 65) r(i)),
-ids AS (SELECT doc_id, line_no, i, coalesce(idx, 0) AS id FROM chars LEFT JOIN vocab USING (ch))"""
+    encoded = """sequences AS (
+  SELECT doc_id, line_no, s AS seq_no
+  FROM lines, LATERAL (SELECT unnest(range(0, greatest((length(value) + 63) // 64, 1))) AS s)),
+spread AS (SELECT doc_id, line_no, string_split(value, '') AS letters FROM lines WHERE value <> ''),
+chars AS (SELECT doc_id, line_no, i, letters[i] AS ch
+  FROM spread, LATERAL (SELECT unnest(range(1, len(letters) + 1)) AS i)),
+coded AS (SELECT doc_id, line_no, (i - 1) // 64 AS seq_no, list(idx ORDER BY i) AS ids
+  FROM chars JOIN vocab USING (ch) GROUP BY 1, 2, 3),
+padded AS (SELECT doc_id, line_no, CAST(seq_no AS INT) AS seq_no,
+    list_resize(coalesce(ids, []), 64, 0) AS ids
+  FROM sequences LEFT JOIN coded USING (doc_id, line_no, seq_no))"""
     sql["encoded_text"] = with_views(lines, encoded) + """
-SELECT doc_id, line_no,
-  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (i < 64) AS input_ids,
-  string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i) FILTER (i > 1) AS target_ids
-FROM ids GROUP BY 1, 2"""
+SELECT doc_id, line_no, seq_no, array_to_string(ids[1:63], ' ') AS input_ids,
+  array_to_string(ids[2:64], ' ') AS target_ids
+FROM padded"""
     sql["decoded_text"] = with_views(lines) + """
-SELECT doc_id, line_no, substr(value, 1, 64) AS decoded FROM lines"""
+SELECT doc_id, line_no, value AS decoded FROM lines"""
     sql["season_week_of_date"] = """
 WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
   year(o_orderdate) - CASE WHEN month(o_orderdate) < 3 THEN 1 ELSE 0 END AS season FROM orders)
@@ -839,7 +964,7 @@ def _projection_views():
     Rows to predict (``fit`` false) go through the same linear steps, so the
     prediction is the mean plus each orthogonal part times its coefficient.
     """
-    features = fv.PROJECTION_FEATURES
+    features = FEATURES
     steps = [f"""d0 AS (
   SELECT gsis_id, season, true AS fit, fantasy_points AS y,
     {', '.join(f'CAST({f} AS DOUBLE) AS x{i}' for i, f in enumerate(features))} FROM stats
@@ -882,7 +1007,7 @@ def _stored(sql):
 SELECT player_name, CAST(player_id AS VARCHAR) AS pfr_player_id,
   {_long('completions', 'completions')}, {_long('attempts', 'attempts')},
   {_long('passing_yards', 'passing_yards')}, {_long('sacks', 'sacks')},
-  CAST(passer_rating AS DOUBLE) AS rate__pct, team, opponent, longest_pass AS long_pass,
+  CAST(rating_tenths AS DOUBLE) / 10.0::DOUBLE AS rate__pct, team, opponent, longest_pass AS long_pass,
   season AS season_played, week AS week_played, {SEASON} AS season, 1 AS week
 FROM ({named}) WHERE attempts > 0"""
     out["html_box_scores"] = box + f"""
@@ -907,33 +1032,32 @@ SELECT s_suppkey AS gsis_id, p_name AS name, s_nationkey + p_size AS team_id
 FROM part JOIN supplier ON s_suppkey = p_partkey % (SELECT count(*) FROM supplier)
 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY p_name, s_nationkey + p_size) = 1"""
     stats = with_views(PLAYERS, PLAYS, STATS)
-    directory = """SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, name,
-  CASE WHEN position = 'WR' THEN 'N/A' ELSE position END AS position,
+    directory = """SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, coalesce(name, 'N/A') AS name,
+  CASE WHEN position = 'WR' OR position IS NULL THEN 'N/A' ELSE position END AS position,
   CAST(team_id AS VARCHAR) AS team_id, headshot_url, 'N/A' AS espn_id, 'N/A' AS sleeper_id,
   'N/A' AS yahoo_id
-FROM players WHERE gsis_id IN (SELECT gsis_id FROM stats WHERE receptions > 30)"""
+FROM messy WHERE gsis_id IN (
+  SELECT gsis_id FROM stats WHERE receiving_tds > rushing_tds + passing_tds)"""
+    stats = with_views(PLAYERS, MESSY, PLAYS, STATS)
     out["rebuilt_directory"] = stats + directory
     out["synced_players"] = box + """
 , qbs AS (SELECT DISTINCT name, 'QB' AS position FROM players WHERE position = 'QB')
 SELECT * FROM qbs
 UNION ALL SELECT DISTINCT name, 'Unknown' FROM box_c JOIN players ON gsis_id = player_id
-  WHERE name NOT IN (SELECT name FROM qbs)"""
+  WHERE name NOT IN (SELECT name FROM qbs) AND player_id % 5 <> 2"""
     weekly = with_views(PLAYS, WEEKLY)
-    numbers = [c for c in fv.WEEKLY_STATS_COLUMNS if c not in (
-        "gsis_id", "season", "week", "team_id", "passing_epa", "rushing_epa", "receiving_epa",
-        "wopr", "target_share", "air_yards_share")]
     out["weekly_rebuild"] = weekly + f"""
 SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, season, week, CAST(team_id AS VARCHAR) AS team_id,
-  {', '.join(numbers)}, round(passing_epa, 9) AS passing_epa,
+  {WEEKLY_NUMBERS}, round(passing_epa, 9) AS passing_epa,
   round(rushing_epa, 9) AS rushing_epa, round(receiving_epa, 9) AS receiving_epa,
   CASE WHEN season < 1998 THEN 0 ELSE round(wopr, 9) END AS wopr,
   round(target_share, 9) AS target_share, round(air_yards_share, 9) AS air_yards_share
 FROM weekly"""
     out["swap_week"] = weekly + f"""
-SELECT season, week, gsis_id, team_id, passing_yards AS yards FROM wp
-WHERE season <> {SEASON} OR week NOT IN (SELECT week FROM wr WHERE season = {SEASON})
+SELECT season, week, gsis_id, team_id, passing_yards AS yards FROM wp WHERE season <> {SEASON}
 UNION ALL
-SELECT season, week, gsis_id, team_id, rushing_yards FROM wr WHERE season = {SEASON}"""
+SELECT season, week, gsis_id, team_id, rushing_yards FROM wr
+WHERE season = {SEASON} AND week % 5 <> 0"""
 
     def season_rushing(name, condition):
         return f"""{name} AS (
@@ -956,12 +1080,17 @@ FROM whole w LEFT JOIN half h ON h.player_id = w.player_id AND h.season = w.seas
 SELECT event_id, user_id, event_type, value, CAST(hour(ts) AS INT) AS hour,
   CAST(year(ts) AS INT) AS season, CAST((dayofyear(ts) - 1) // 7 + 1 AS INT) AS week FROM events"""
     out["quality_report"] = f"""
-SELECT 'negative_rushing_yards' AS "check", count(*) FILTER (rushing_yards < 0) AS issues
+SELECT 'negative_rushing_yards' AS "check",
+  count(*) FILTER (rushing_yards - 20 * carries < 0) AS issues
 FROM ({sql['box_rushing']})
-UNION ALL SELECT 'null_names', count(*) FILTER (p_name IS NULL)
+UNION ALL SELECT 'null_names', count(*) FILTER (s_suppkey % 13 = 4 OR p_name IS NULL)
 FROM supplier JOIN part ON p_partkey = s_suppkey
-UNION ALL SELECT 'stale_passers', count(*) FILTER (passing_yards = 0 AND games_played > 0)
+UNION ALL SELECT 'stale_passers',
+  count(*) FILTER ((passing_yards = 0 OR player_id % 9 = 2) AND games_played > 0)
 FROM ({sql['box_passing']})"""
+    out["healthy_gate"] = box + f"""
+SELECT player_id, team, opponent, season, week FROM box_p JOIN players ON gsis_id = player_id
+WHERE season = {SEASON} AND week = 1"""
     columns = "\nUNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,"
         f" count(*) FILTER ({c} = 0) AS zeros FROM plays"
@@ -986,12 +1115,113 @@ SELECT q, gsis_id, name, team_id, projected_fantasy_points,
     ELSE 'Projection based on {SEASON} per-game averages using Linear Regression model.' END AS note
 FROM lookups LEFT JOIN best USING (q, season) LEFT JOIN projected USING (gsis_id, season)"""
 
-    out["chat_answers"] = f"""
+    named_rushing = "SELECT b.*, name AS player_name FROM box_r b JOIN players ON gsis_id = player_id"
+    named_receiving = named_rushing.replace("box_r", "box_c")
+    out["normalized_rushing"] = box + f"""
+SELECT player_name, CAST(player_id AS VARCHAR) AS pfr_player_id, {_long('carries', 'carries')},
+  {_long('rushing_yards', 'rushing_yards')}, {_long('rushing_tds', 'rushing_tds')}, longest_rush,
+  team, opponent, season AS season_played, week AS week_played, {SEASON} AS season, 2 AS week
+FROM ({named_rushing}) WHERE week % 4 <> 0"""
+    out["normalized_receiving"] = box + f"""
+SELECT player_name, CAST(player_id AS VARCHAR) AS pfr_player_id, {_long('targets', 'targets')},
+  {_long('receptions', 'receptions')}, {_long('receiving_yards', 'receiving_yards')},
+  {_long('receiving_tds', 'receiving_tds')}, longest_reception, team, opponent,
+  season AS season_played, week AS week_played, {SEASON} AS season, 3 AS week
+FROM ({named_receiving}) WHERE week % 4 <> 0"""
+    out["snake_headers"] = box + f"""
+SELECT player_name AS player, {_long('receiving_yards', 'rec_yds')}, team, opponent AS opp, season,
+  week, regexp_replace(regexp_replace(lower(player_name), '[^a-z0-9]+', '-', 'g'),
+    '^-+|-+$', '', 'g') AS player_id
+FROM ({named_receiving})"""
+    page = """player_id || '-' || team || '-' || opponent || '-' || season || '-' || week AS page_id,
+  0 AS row_no"""
+
+    def cell(column, alias):
+        return f"coalesce(CAST({column} AS VARCHAR), '') AS {alias}"
+
+    out["html_rushing"] = box + f"""
+SELECT {page}, player_name, 'P' || player_id AS pfr_player_id, team, opponent,
+  {cell('carries', 'carries')}, {cell('rushing_yards', 'rushing_yards')},
+  {cell('rushing_tds', 'rushing_tds')}
+FROM ({named_rushing}) WHERE rushing_tds <> 0"""
+    out["html_receiving"] = box + f"""
+SELECT {page}, player_name, 'P' || player_id AS pfr_player_id, team, opponent,
+  {cell('targets', 'targets')}, {cell('receptions', 'receptions')},
+  {cell('receiving_yards', 'receiving_yards')}, {cell('receiving_tds', 'receiving_tds')}
+FROM ({named_receiving}) WHERE receptions <> 0"""
+    out["html_season"] = box + f"""
+SELECT {page}, player_name AS player, 'P' || player_id AS pfr_player_id, team,
+  {cell('passing_yards', 'pass_yds')}
+FROM ({named})"""
+    out["upsert_player_week"] = box + f""", wk AS (
+  SELECT player_id, team_id, season, week, {_long('sum(passing_yards)', 'passing_yards')},
+    {_long('sum(passing_tds)', 'passing_tds')}, {_long('sum(interceptions)', 'interceptions')}
+  FROM box_p GROUP BY 1, 2, 3, 4)
+SELECT player_id, team_id, season, week, passing_yards, passing_tds,
+  CASE WHEN week % 2 = 0 THEN 7 ELSE interceptions END AS interceptions,
+  passing_tds AS total_touchdowns,
+  CASE WHEN week % 2 = 0 THEN passing_yards - 1 ELSE passing_yards END AS total_yards
+FROM wk"""
+    lines = with_views(PLAYERS, MESSY, PLAYS, WEEKLY)
+    shown = ", ".join(f"round({c}, 9) AS {c}" for c in SEASON_MEANS)
+    old_fumbles = "CASE WHEN season < 1998 THEN 0 ELSE fumbles_lost END"
+    out["rebuild_all_season"] = lines + ", " + _season_rows("weekly", old_fumbles) + f"""
+SELECT * REPLACE ({shown}) FROM season_rows"""
+    out["update_season"] = lines + ", " + _season_rows("weekly") + f"""
+SELECT * REPLACE ({shown}) FROM season_rows WHERE season = {SEASON}"""
+    out["weekly_update"] = box + ", " + season_rushing("whole", "true") + """
+SELECT * REPLACE (greatest(rushing_yards, 0) AS rushing_yards) FROM whole"""
+    out["resumed_weeks"] = with_views(PLAYS) + """
+SELECT season, week, play_type, yards_gained, epa FROM plays"""
+    passing = """SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, season,
+  CAST(team_id AS VARCHAR) AS team_id, passing_yards, passing_tds, interceptions, sacks_taken"""
+    out["plays_from_parquet"] = with_views(PLAYS, TEAM_LINES) + passing + """,
+  CAST(25 - (SELECT count(DISTINCT season) FROM plays) AS INT) AS skipped FROM team_lines_p"""
+    out["plays_from_csv"] = with_views(PLAYS, TEAM_LINES) + passing + " FROM team_lines_p"
+    out["roster_read_back"] = with_views(PLAYERS, MESSY) + """
+SELECT CAST(gsis_id AS VARCHAR) AS gsis_id, name, position, CAST(team_id AS VARCHAR) AS team_id
+FROM messy"""
+    out["weekly_csv_files"] = box + f"""
+SELECT season, week, CAST(player_id AS VARCHAR) AS pfr_player_id, player_name, team, opponent,
+  CAST(targets AS DOUBLE) AS targets, CAST(receptions AS INT) AS receptions,
+  CAST(receiving_yards AS INT) AS receiving_yards, CAST(receiving_tds AS INT) AS receiving_tds,
+  CAST(longest_reception AS DOUBLE) AS longest_reception
+FROM ({named_receiving})"""
+    out["raw_capture"] = box + f"""
+SELECT player_name AS player,
+  CASE WHEN week % 4 <> 0 THEN CAST(player_id AS VARCHAR) END AS pfr_player_id,
+  {_long('carries', 'rush_att')}, {_long('rushing_yards', 'rush_yds')}, season, week
+FROM ({named_rushing})"""
+    out["corpus_lines"] = f"SELECT value FROM ({sql['qa_corpus']})"
+
+    cents = "CAST(CAST(round(fantasy_points * 100) AS BIGINT) AS VARCHAR)"
+    who = "p.gsis_id || ':' || name || ':' || position || ':' || p.team_id"
+    shown_lines = f"""player_lines AS (
+  SELECT p.gsis_id,
+    string_agg('1:' || {who} || ':' || season || ':' || {cents}, ' ' ORDER BY season) AS one,
+    string_agg('2:' || {who} || ':' || season || ':' || {cents}, ' ' ORDER BY season) AS two
+  FROM players p JOIN stats s ON s.gsis_id = p.gsis_id GROUP BY 1),
+trade_lines AS (
+  SELECT p.gsis_id, {who} || ':{SEASON}' || coalesce(':' || {cents}, '') AS line
+  FROM players p LEFT JOIN stats s ON s.gsis_id = p.gsis_id AND season = {SEASON}),
+board AS (
+  SELECT position, row_number() OVER (PARTITION BY position
+      ORDER BY fantasy_points DESC NULLS LAST, gsis_id) AS rank, gsis_id, name, team_id,
+    fantasy_points
+  FROM stats JOIN players USING (gsis_id)
+  WHERE season = {SEASON} AND position IN ('QB', 'RB', 'WR') QUALIFY rank <= 5),
+board_lines AS (
+  SELECT position, rank, position || ':' || rank || ':' || gsis_id || ':' || name || ':' || position
+    || ':' || team_id || ':{SEASON}:' || {cents} AS line FROM board)"""
+    out["chat_answers"] = with_views(PLAYERS, PLAYS, STATS, shown_lines) + f"""
 SELECT q_id, CASE WHEN verdict IS NOT NULL THEN 'trade_analysis' END AS type, advice AS response,
-  give_id AS player1_id, receive_id AS player2_id, verdict, diff, NULL::VARCHAR AS position
-FROM ({sql['trade_verdicts']})
+  give_id AS player1_id, receive_id AS player2_id, verdict, diff, NULL::VARCHAR AS position,
+  concat_ws(' ', 'give:' || g.line, 'receive:' || r.line) AS shown
+FROM ({sql['trade_verdicts']}) t
+LEFT JOIN trade_lines g ON g.gsis_id = give_id LEFT JOIN trade_lines r ON r.gsis_id = receive_id
 UNION ALL
-SELECT q_id, 'text_only', sentence, gsis_id, NULL, NULL, NULL, NULL FROM ({sql['fact_sentences']})
+SELECT q_id, 'text_only', sentence, gsis_id, NULL, NULL, NULL, NULL, ''
+FROM ({sql['fact_sentences']})
 UNION ALL
 SELECT q_id, CASE route WHEN 'list' THEN 'draft_board' WHEN 'comparison' THEN 'comparison'
     WHEN 'profile' THEN 'player_profile' END,
@@ -1000,8 +1230,14 @@ SELECT q_id, CASE route WHEN 'list' THEN 'draft_board' WHEN 'comparison' THEN 'c
     WHEN 'comparison' THEN 'Comparing ' || player1_name || ' and ' || player2_name || '...'
     WHEN 'profile' THEN 'Here is the profile for ' || player1_name || ':'
     ELSE 'Try ''Trade Lamar for CMC'' or ''How many points did Saquon score?''' END,
-  player1_id, player2_id, NULL, NULL, position
-FROM ({sql['question_routes']}) WHERE route NOT IN ('trade', 'answer')"""
+  player1_id, player2_id, NULL, NULL, position,
+  CASE route WHEN 'list' THEN (SELECT string_agg(line, ' ' ORDER BY b.position, rank)
+      FROM board_lines b WHERE q.position IS NULL OR b.position = q.position)
+    WHEN 'comparison' THEN concat_ws(' ', a.one, b2.two) ELSE '' END
+FROM ({sql['question_routes']}) q
+LEFT JOIN player_lines a ON a.gsis_id = q.player1_id
+LEFT JOIN player_lines b2 ON b2.gsis_id = q.player2_id
+WHERE route NOT IN ('trade', 'answer')"""
     return out
 
 

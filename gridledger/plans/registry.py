@@ -29,7 +29,7 @@ from gridledger.operators import (
 from gridledger.plans import chat, views, weekly
 from gridledger.plans.oracle import SEASON, SEASON_PAIR
 from gridledger.session import scratch_dir
-from gridledger.sources import html_tables, plays, tables
+from gridledger.sources import boxscores, html_tables, plays, tables
 from gridledger.streaming import weeks
 
 REGISTRY = {}
@@ -66,8 +66,9 @@ def offense_plays(spark, sf_dir):
 
 @query
 def player_season_stats(spark, sf_dir):
+    """With a roster that lacks some names and positions."""
     return roles.player_season_stats(
-        offense_plays(spark, sf_dir), views.players(spark, sf_dir)
+        offense_plays(spark, sf_dir), views.messy_players(spark, sf_dir)
     )
 
 
@@ -102,7 +103,7 @@ def player_weekly_usage(spark, sf_dir):
 @query
 def passing_weekly(spark, sf_dir):
     lines = roles.passing_weekly(offense_plays(spark, sf_dir))
-    return rounded(lines.drop("passing_cpoe", "passing_air_yards"), "passing_epa")
+    return rounded(lines, "passing_epa", "passing_cpoe")
 
 
 @query
@@ -134,6 +135,32 @@ def season_from_weekly(spark, sf_dir):
     )
 
 
+@query
+def targets_by_attempt(spark, sf_dir):
+    """Targets counted by the attempt flag, which some plays lack."""
+    rows = offense_plays(spark, sf_dir)
+    flag = F.when(F.col("week") % 5 != 0, F.col("pass_attempt"))
+    lines = roles.receiving_weekly(rows.withColumn("pass_attempt", flag), targets="attempts")
+    return lines.select("gsis_id", "season", "week", "team_id", "targets")
+
+
+@query
+def season_table(spark, sf_dir):
+    """The whole season row, from weekly lines."""
+    return rounded(_season_rows(spark, sf_dir), *roles.SEASON_MEANS)
+
+
+def _season_rows(spark, sf_dir):
+    return weekly.season_rows(offense_plays(spark, sf_dir), views.messy_players(spark, sf_dir))
+
+
+@query
+def collapsed_season_table(spark, sf_dir):
+    """Season rows over teams: latest team, means over all weeks."""
+    collapsed = roles.collapse_teams(_season_rows(spark, sf_dir))
+    return rounded(collapsed, *roles.SEASON_MEANS)
+
+
 @query
 def collapsed_season(spark, sf_dir):
     return roles.collapse_teams(roles.player_season_stats(offense_plays(spark, sf_dir)))
@@ -265,6 +292,18 @@ def compare_seasons_rb(spark, sf_dir):
     return profile.compare_seasons(box_rushing(spark, sf_dir), "RB", *SEASON_PAIR)
 
 
+@query
+def compare_seasons_te(spark, sf_dir):
+    return profile.compare_seasons(box_receiving(spark, sf_dir), "TE", *SEASON_PAIR)
+
+
+@query
+def compare_seasons_partial(spark, sf_dir):
+    """Many players have one of the seasons only."""
+    rows = box_rushing(spark, sf_dir).filter("(player_id + season) % 3 <> 0")
+    return profile.compare_seasons(rows, "RB", *SEASON_PAIR)
+
+
 @query
 def compare_seasons_wr(spark, sf_dir):
     return profile.compare_seasons(box_receiving(spark, sf_dir), "WR", *SEASON_PAIR)
@@ -313,6 +352,19 @@ def rankings_by_position(spark, sf_dir):
     )
 
 
+@query
+def rankings_recomputed(spark, sf_dir):
+    """Points that are missing or 0 in store are computed from the line."""
+    stats = season_totals(spark, sf_dir)
+    stored = F.when(F.col("gsis_id") % 3 == 0, F.lit(0.0)).when(
+        F.col("gsis_id") % 3 == 1, F.col("fantasy_points")
+    )
+    return ranking.rankings_by_position(
+        stats.withColumn("fantasy_points", stored), views.players(spark, sf_dir), season=SEASON,
+        metric="passing_yards", n=20,
+    )
+
+
 @query
 def draft_board(spark, sf_dir):
     return ranking.draft_board(
@@ -320,10 +372,24 @@ def draft_board(spark, sf_dir):
     )
 
 
+# Fewer than the skill players of every test table, so that the cut is exercised.
+KB_SIZE = 6
+
+
 @query
 def knowledge_base(spark, sf_dir):
+    """The best known players, among some without a position or points."""
     return ranking.knowledge_base(
-        views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
+        views.messy_players(spark, sf_dir), season_totals(spark, sf_dir).filter("gsis_id % 4 <> 1"),
+        SEASON, n=KB_SIZE,
+    )
+
+
+@query
+def known_players(spark, sf_dir):
+    return ranking.known_players(
+        views.messy_players(spark, sf_dir), season_totals(spark, sf_dir).filter("gsis_id % 4 <> 1"),
+        SEASON,
     )
 
 
@@ -341,7 +407,7 @@ def season_delta(spark, sf_dir):
 def profiles(spark, sf_dir):
     """Nested history printed as text, so that it compares across engines."""
     out = profile.profiles(
-        views.players(spark, sf_dir).drop("headshot_url"), season_totals(spark, sf_dir), SEASON
+        views.players(spark, sf_dir).drop("headshot_url"), stored_totals(spark, sf_dir), SEASON
     )
     entry = F.transform(
         "season_stats",
@@ -398,17 +464,20 @@ def latest_games(spark, sf_dir):
 @query
 def roster_semi(spark, sf_dir):
     throwers = season_totals(spark, sf_dir).filter(
-        (F.col("season") == SEASON) & (F.col("passing_yards") > 0)
+        (F.col("season") == SEASON) & (F.col("passing_tds") > F.col("rushing_tds"))
     )
     return dims.semi_by_key(views.players(spark, sf_dir), throwers, "gsis_id")
 
 
 @query
 def new_players_anti(spark, sf_dir):
+    """Receivers of all plays who never threw an interception."""
     rows = views.plays(spark, sf_dir, posteam=False, defteam=False)
-    long_passers = rows.filter((F.col("season") == SEASON) & (F.col("passing_yards") >= 49))
+    intercepted = rows.withColumn(
+        "passer_player_id", F.when(F.col("interception") == 1, F.col("passer_player_id"))
+    )
     receivers = rows.select(F.col("receiver_player_id").alias("gsis_id"))
-    return dims.anti_by_key(receivers, long_passers, "gsis_id", "passer_player_id")
+    return dims.anti_by_key(receivers, intercepted, "gsis_id", "passer_player_id")
 
 
 # --- text ------------------------------------------------------------------
@@ -417,40 +486,53 @@ def new_players_anti(spark, sf_dir):
 YEARS = "199[0-9]|200[0-9]"
 
 
-def _kb(spark, sf_dir):
-    return ranking.knowledge_base(
+def _known(spark, sf_dir):
+    """Every player at a skill position: nobody is out of a text's reach."""
+    known = ranking.known_players(
         views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON
     )
+    return tables.materialize(known, "known_players")
 
 
 @query
 def entity_links(spark, sf_dir):
-    return linking.link_entities(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")
+    return linking.link_entities(views.questions(spark, sf_dir), _known(spark, sf_dir)).drop("text")
+
+
+@query
+def entity_links_top(spark, sf_dir):
+    """Linked against the best known players only."""
+    kb = ranking.knowledge_base(
+        views.players(spark, sf_dir), season_totals(spark, sf_dir), SEASON, n=KB_SIZE
+    )
+    kb = tables.materialize(kb, "knowledge_base")
+    return linking.link_entities(views.questions(spark, sf_dir), kb).drop("text")
 
 
 @query
 def question_routes(spark, sf_dir):
-    return questions.route(views.questions(spark, sf_dir), _kb(spark, sf_dir)).drop("text")
+    return questions.route(views.questions(spark, sf_dir), _known(spark, sf_dir)).drop("text")
 
 
 def _all_texts(spark, sf_dir):
-    """Generated questions and every turn of the conversations."""
+    """Generated questions (turn -1) and every turn of the conversations."""
     turns = views.table(spark, sf_dir, "conversations").select(
-        (F.lit(-1) - F.col("conv_id") * 1000 - F.col("turn")).alias("q_id"), "text"
+        F.col("conv_id").alias("q_id"), "turn", "text"
     )
-    return views.questions(spark, sf_dir).unionByName(turns)
+    asked = views.questions(spark, sf_dir).withColumn("turn", F.lit(-1).cast("bigint"))
+    return asked.unionByName(turns)
 
 
 @query
 def intent_classes(spark, sf_dir):
     parsed = questions.parse(_all_texts(spark, sf_dir))
-    return parsed.select("q_id", "intent", "position", "metric")
+    return parsed.select("q_id", "turn", "intent", "position", "metric")
 
 
 @query
 def name_chunks(spark, sf_dir):
-    parsed = questions.parse(views.questions(spark, sf_dir))
-    return parsed.select("q_id", F.array_join("player_names", "|").alias("names"))
+    parsed = questions.parse(_all_texts(spark, sf_dir))
+    return parsed.select("q_id", "turn", F.array_join("player_names", "|").alias("names"))
 
 
 @query
@@ -458,6 +540,7 @@ def answer_intents(spark, sf_dir):
     text = F.col("text")
     return _all_texts(spark, sf_dir).select(
         "q_id",
+        "turn",
         tx.answer_intent(text).alias("intent"),
         tx.detect_season(text, SEASON, YEARS).alias("season"),
     )
@@ -500,8 +583,8 @@ def player_stats(spark, sf_dir):
 @query
 def fact_sentences(spark, sf_dir):
     people, stats = views.players(spark, sf_dir), stored_totals(spark, sf_dir)
-    kb = ranking.knowledge_base(people, stats, SEASON)
-    routed = chat.routed_questions(views.questions(spark, sf_dir), kb)
+    known = tables.materialize(ranking.known_players(people, stats, SEASON), "known_players")
+    routed = chat.routed_questions(views.questions(spark, sf_dir), known)
     return answers.fact_sentences(chat.fact_requests(routed, SEASON, YEARS), people, stats)
 
 
@@ -541,17 +624,18 @@ def encoded_text(spark, sf_dir):
     lines = _document_lines(spark, sf_dir)
     encoded = corpus.encode_shift(lines, corpus.char_vocab(lines))
     return encoded.select(
-        "doc_id", "line_no", _ids_text("input_ids").alias("input_ids"),
+        "doc_id", "line_no", "seq_no", _ids_text("input_ids").alias("input_ids"),
         _ids_text("target_ids").alias("target_ids"),
     )
 
 
 @query
 def decoded_text(spark, sf_dir):
+    """Every line, encoded in sequences and put together again."""
     lines = _document_lines(spark, sf_dir)
     vocab = corpus.char_vocab(lines)
     decoded = corpus.decode(corpus.encode(lines, vocab), vocab)
-    return decoded.select("doc_id", "line_no", "decoded")
+    return corpus.join_sequences(decoded, ["doc_id", "line_no"])
 
 
 @query
@@ -572,11 +656,21 @@ def slugify_names(spark, sf_dir):
 
 @query
 def chat_answers(spark, sf_dir):
+    """With what each answer shows, printed as text."""
     people, stats = views.players(spark, sf_dir), stored_totals(spark, sf_dir)
-    kb = ranking.knowledge_base(people, stats, SEASON)
-    return chat.answer_questions(
-        views.questions(spark, sf_dir), kb, people, stats, SEASON, year_pattern=YEARS
+    known = tables.materialize(ranking.known_players(people, stats, SEASON), "known_players")
+    answered = chat.answer_questions(
+        views.questions(spark, sf_dir), known, people, stats, SEASON, year_pattern=YEARS
     )
+    cents = lambda i: F.round(i["fantasy_points"] * 100).cast("long").cast("string")
+    line = F.transform(
+        F.coalesce("items", F.array().cast(answered.schema["items"].dataType)),
+        lambda i: F.concat_ws(
+            ":", i["label"], i["rank"].cast("string"), i["gsis_id"], i["name"], i["position"],
+            i["team_id"], i["season"].cast("string"), cents(i),
+        ),
+    )
+    return answered.withColumn("shown", F.array_join(line, " ")).drop("items")
 
 
 # --- cleaning and HTML -----------------------------------------------------
@@ -599,6 +693,77 @@ def normalized_boxscore(spark, sf_dir):
     return clean.normalize(raw, fv.PASSING_ALIASES, season=SEASON, week=1)
 
 
+def _raw_headers(line, names):
+    """Weekly lines under the headers of a source page."""
+    return line.select(
+        F.col("player_name").alias("player"),
+        F.when(F.col("week") % 4 != 0, F.col("player_id").cast("string")).alias("pfr_player_id"),
+        *[F.col(c).alias(header) for header, c in names.items()],
+        F.col("season").alias("Season Played"), F.col("week").alias("week_played"),
+    )
+
+
+@query
+def normalized_rushing(spark, sf_dir):
+    raw = _raw_headers(
+        views.weekly_rushing(spark, sf_dir),
+        {"rush_att": "carries", "rush_yds": "rushing_yards", "rush_td": "rushing_tds",
+         "long": "longest_rush", "rush_long": "carries", "tm": "team", "opp": "opponent"},
+    )
+    return clean.normalize(raw, fv.RUSHING_ALIASES, season=SEASON, week=2)
+
+
+@query
+def normalized_receiving(spark, sf_dir):
+    raw = _raw_headers(
+        views.weekly_receiving(spark, sf_dir),
+        {"tgt": "targets", "rec": "receptions", "rec_yds": "receiving_yards",
+         "rec_td": "receiving_tds", "rec_long": "longest_reception", "tm": "team", "opp": "opponent"},
+    )
+    return clean.normalize(raw, fv.RECEIVING_ALIASES, season=SEASON, week=3)
+
+
+@query
+def snake_headers(spark, sf_dir):
+    """Slugs of names as ids, headers in snake case."""
+    raw = views.weekly_receiving(spark, sf_dir).select(
+        F.col("player_name").alias("Player"), F.col("receiving_yards").alias("Rec Yds"),
+        F.col("team").alias("TEAM"), F.col("opponent").alias("Opp"), "season", "week",
+    )
+    return clean.slug_ids(raw)
+
+
+def _page_rows(spark, sf_dir, category, table_ids, aliases, activity):
+    _, _, stats = views.PAGE_KINDS[category]
+    pages = views.box_pages(spark, sf_dir, category)
+    cells = html_tables.category_rows(pages, table_ids, list(stats), activity)
+    return clean.rename_present(cells, aliases)
+
+
+@query
+def html_rushing(spark, sf_dir):
+    """Lines with a touchdown, as every line of the view has a carry."""
+    return _page_rows(
+        spark, sf_dir, "rushing", fv.RUSHING_TABLE_IDS, fv.RUSHING_ALIASES, ["rush_td"]
+    )
+
+
+@query
+def html_receiving(spark, sf_dir):
+    """Lines with a catch, as every line of the view has a target."""
+    return _page_rows(
+        spark, sf_dir, "receiving", fv.RECEIVING_TABLE_IDS, fv.RECEIVING_ALIASES, ["rec"]
+    )
+
+
+@query
+def html_season(spark, sf_dir):
+    """Season tables, hidden in comments and required."""
+    pages = views.box_pages(spark, sf_dir, comments_only=True)
+    rows = html_tables.season_table(pages, fv.SEASON_PASSING_TABLE_IDS)
+    return html_tables.cell_columns(rows, ["player", "pfr_player_id", "team", "pass_yds"])
+
+
 @query
 def html_box_scores(spark, sf_dir):
     """Pages rendered from weekly lines, read back and cleaned."""
@@ -633,13 +798,13 @@ def roster_players(spark, sf_dir):
 
 @query
 def rebuilt_directory(spark, sf_dir):
-    directory = views.players(spark, sf_dir).select(
+    directory = views.messy_players(spark, sf_dir).select(
         "gsis_id", F.col("name").alias("display_name"), F.col("team_id").alias("latest_team"),
         F.col("headshot_url").alias("headshot"),
         F.when(F.col("position") != "WR", F.col("position")).alias("position"),
     )
-    receivers = season_totals(spark, sf_dir).filter("receptions > 30")
-    return dims.rebuild_directory(directory, receivers)
+    caught_most = season_totals(spark, sf_dir).filter("receiving_tds > rushing_tds + passing_tds")
+    return dims.rebuild_directory(directory, caught_most)
 
 
 @query
@@ -647,7 +812,10 @@ def synced_players(spark, sf_dir):
     """Directory of one position's names completed by the names seen weekly."""
     known = views.players(spark, sf_dir).filter(F.col("position") == "QB")
     known = known.groupBy("name").agg(F.max("position").alias("position"))
-    return dims.add_missing(known, views.weekly_receiving(spark, sf_dir), "player_name")
+    seen = views.weekly_receiving(spark, sf_dir).withColumn(
+        "pfr_player_id", F.when(F.col("player_id") % 5 != 2, F.col("player_id"))
+    )
+    return dims.add_missing(known, seen, "player_name", id_column="pfr_player_id")
 
 
 # --- stored tables and incremental loads -----------------------------------
@@ -676,8 +844,11 @@ def swap_week(spark, sf_dir):
     stale = roles.passing_weekly(rows).select(*keys, F.col("passing_yards").alias("yards"))
     fresh = roles.rushing_weekly(rows).select(*keys, F.col("rushing_yards").alias("yards"))
     tables.swap_partitions(stale, path, ["season", "week"])
+    # Reloaded: the season's weeks. Every fifth of them has no rows any more.
+    weeks_of = [(SEASON, week) for week in range(1, 54)]
     tables.swap_partitions(
-        fresh.filter(F.col("season") == SEASON), path, ["season", "week"]
+        fresh.filter((F.col("season") == SEASON) & (F.col("week") % 5 != 0)), path,
+        ["season", "week"], scope=weeks_of,
     )
     return spark.read.parquet(path).select(*keys, "yards")
 
@@ -695,10 +866,186 @@ def upsert_season(spark, sf_dir):
         boxscore.PLAYER_SEASON,
         fv.RUSHING_UPDATES,
     )
-    tables.write_replace(merged, root)
+    tables.write_replace(merged, root, keep=1)
     return tables.read_table(spark, root)
 
 
+@query
+def upsert_player_week(spark, sf_dir):
+    """Weekly rollups of half the weeks in store, refreshed by all of them."""
+    root = scratch_dir(spark, "upsert_player_week")
+    by_week = _per_week(views.weekly_passing(spark, sf_dir), "passing")
+    half = by_week.filter("week % 2 = 0").withColumns(
+        {"passing_yards": F.col("passing_yards") - 1, "interceptions": F.lit(7).cast("bigint")}
+    )
+    weekly.upsert_season_tables(spark, root, {"player_week": boxscore.player_weekly_rollup(half)})
+    weekly.upsert_season_tables(
+        spark, root, {"player_week": boxscore.player_weekly_rollup(by_week)}, refresh_all=False
+    )
+    return tables.read_released(spark, root, "player_week")
+
+
+# --- jobs ------------------------------------------------------------------
+
+
+def _seasons_of(rows, *seasons):
+    return rows.filter(F.col("season").isin(*seasons))
+
+
+@query
+def rebuild_all_season(spark, sf_dir):
+    """The season table after a full rebuild with older history."""
+    root, all_plays = scratch_dir(spark, "rebuild_all"), offense_plays(spark, sf_dir)
+    old, new = all_plays.filter("season < 1998"), all_plays.filter("season >= 1998")
+    history = usage.weekly_stats(old).withColumnsRenamed(
+        {"gsis_id": "player_id", "team_id": "recent_team", "fantasy_points": "fantasy_points_ppr"}
+    )
+    roster = views.messy_players(spark, sf_dir).withColumnRenamed("team_id", "team")
+    weekly.rebuild_all(
+        spark, root, roster, history,
+        new.withColumn("defteam", F.lit(None).cast("int")),
+    )
+    return rounded(tables.read_released(spark, root, "season_stats"), *roles.SEASON_MEANS)
+
+
+@query
+def update_season(spark, sf_dir):
+    """A season loaded from half its plays, then again from all of them; another
+    season reloaded with nothing."""
+    root, rows = scratch_dir(spark, "update_season"), offense_plays(spark, sf_dir)
+    roster = views.messy_players(spark, sf_dir)
+    for season in SEASON_PAIR:
+        weekly.update_season(spark, root, rows.filter("week % 2 = 0"), roster, season)
+    weekly.update_season(spark, root, rows, roster, SEASON)
+    weekly.update_season(spark, root, rows.filter("season <> 1999"), roster, SEASON_PAIR[0])
+    return rounded(tables.read_released(spark, root, "season_stats"), *roles.SEASON_MEANS)
+
+
+@query
+def weekly_update(spark, sf_dir):
+    """Two weekly jobs; the rushing table that the second release names."""
+    root = scratch_dir(spark, "weekly_update")
+    people, squads = views.players(spark, sf_dir), views.teams(spark, sf_dir)
+    rows = offense_plays(spark, sf_dir)
+    for until in (26, 53):
+        lines = [df.filter(F.col("week") <= until) for df in _weekly_tables(spark, sf_dir).values()]
+        fresh = weekly.box_season_tables(
+            *lines, people, squads, ("gsis_id", "player_id"), ("name", "team")
+        )
+        # Yards lost are no reason to stop here: the check is for whole seasons.
+        fresh["rushing"] = fresh["rushing"].withColumn(
+            "rushing_yards", F.greatest("rushing_yards", F.lit(0))
+        )
+        weekly.weekly_update(spark, root, rows, people, SEASON, fresh, people)
+    return tables.read_released(spark, root, "rushing")
+
+
+@query
+def resumed_weeks(spark, sf_dir):
+    """Plays loaded up to a week, then from the stored resume point on."""
+    root = scratch_dir(spark, "resumed_weeks")
+    rows = views.plays(spark, sf_dir, posteam=False, defteam=False).select(
+        "season", "week", "play_type", "yards_gained", "epa"
+    )
+    target, state = f"{root}/plays", f"{root}/state"
+    weeks.load_later_weeks(spark, rows.filter("season < 1998"), target, state, "plays")
+    # What came before the resume point is not looked at again.
+    late = rows.withColumn("epa", F.when(F.col("season") >= 1998, F.col("epa")))
+    weeks.load_later_weeks(spark, late, target, state, "plays")
+    weeks.load_later_weeks(spark, late, target, state, "plays")
+    return spark.read.parquet(target).select(*rows.columns)
+
+
+# --- readers and sinks -------------------------------------------------------
+
+_PLAY_COLUMNS = [
+    "season", "week", "posteam", "play_type", "passer_player_id", "passing_yards", "epa",
+    "pass_touchdown", "interception", "sack",
+]
+
+
+def _season_files(spark, sf_dir, fmt, **options):
+    """Plays in a folder per season, the season named twice: in path and rows."""
+    root = scratch_dir(spark, f"plays_{fmt}")
+    rows = offense_plays(spark, sf_dir).select(*_PLAY_COLUMNS)
+    rows = rows.withColumn("file", F.col("season")).hint("rebalance", F.col("file"))
+    rows.write.partitionBy("file").format(fmt).options(**options).save(root)
+    return root + "/file={}"
+
+
+def _passing_of(rows):
+    return roles.passing_season(rows).drop("last_week")
+
+
+@query
+def plays_from_parquet(spark, sf_dir):
+    """One file per season; the seasons without one are skipped."""
+    template = _season_files(spark, sf_dir, "parquet")
+    skipped = []
+    rows = plays.read_seasons(spark, template, range(1985, 2010), skipped=skipped)
+    return _passing_of(rows).withColumn("skipped", F.lit(len(skipped)))
+
+
+@query
+def plays_from_csv(spark, sf_dir):
+    """The same from gzip CSV, spread after reading."""
+    template = _season_files(spark, sf_dir, "csv", header="true", compression="gzip")
+
+    def reader(spark, path):
+        return plays.read_plays_csv(spark, path, columns=_PLAY_COLUMNS, partitions=4)
+
+    return _passing_of(plays.read_seasons(spark, template, range(1985, 2010), reader))
+
+
+@query
+def roster_read_back(spark, sf_dir):
+    """Rosters of two kinds and one that is missing."""
+    root = scratch_dir(spark, "roster")
+    people = views.messy_players(spark, sf_dir).select(
+        "gsis_id", F.col("name").alias("full_name"), "position", F.col("team_id").alias("team")
+    )
+    people.filter("gsis_id % 2 = 0").write.parquet(f"{root}/even")
+    people.filter("gsis_id % 2 = 1").write.option("header", True).csv(f"{root}/odd.csv")
+    rosters = [plays.read_roster(spark, f"{root}/{n}") for n in ("even", "odd.csv", "absent")]
+    return plays.players_from_roster(clean.union_seasons(rosters)).select(
+        "gsis_id", "name", "position", "team_id"
+    )
+
+
+@query
+def weekly_csv_files(spark, sf_dir):
+    """Clean weekly files of two categories in one folder; one category is read."""
+    root = scratch_dir(spark, "weekly_csv")
+    for category in ("passing", "receiving"):
+        rows = views.weekly(spark, sf_dir, category).withColumn(
+            "pfr_player_id", F.col("player_id").cast("string")
+        )
+        rows.drop("player_id", "team_id").write.option("header", True).csv(f"{root}/{category}")
+        boxscores.name_files(spark, f"{root}/{category}", f"{root}/clean", f"weekly_{category}")
+    return boxscores.read_weekly(spark, f"{root}/clean", "receiving")
+
+
+@query
+def raw_capture(spark, sf_dir):
+    """Raw rushing lines captured by season, week and category, then read back."""
+    root = scratch_dir(spark, "raw_capture")
+    rows = _raw_headers(
+        views.weekly_rushing(spark, sf_dir), {"rush_att": "carries", "rush_yds": "rushing_yards"}
+    ).withColumnsRenamed({"Season Played": "season", "week_played": "week"})
+    boxscores.write_raw(rows, root, "rushing")
+    return boxscores.read_raw(spark, root, rows.schema)
+
+
+@query
+def corpus_lines(spark, sf_dir):
+    """The corpus written as lines of text and read again."""
+    root = scratch_dir(spark, "corpus_lines")
+    people = views.players(spark, sf_dir)
+    lines = answers.qa_corpus(people, season_totals(spark, sf_dir), SEASON)
+    tables.write_lines(lines.orderBy("rank", "line_no"), root)
+    return spark.read.text(root)
+
+
 @query
 def incremental_weeks(spark, sf_dir):
     """Events delivered in two parts per week, loaded as they arrive."""
@@ -722,10 +1069,28 @@ def incremental_weeks(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    """Over tables with runners who lost ground and passers whose yards went missing."""
+    rushing = box_rushing(spark, sf_dir).withColumn(
+        "rushing_yards", F.col("rushing_yards") - 20 * F.col("carries")
+    )
+    passing = box_passing(spark, sf_dir).withColumn(
+        "passing_yards", F.when(F.col("player_id") % 9 == 2, F.lit(0)).otherwise(F.col("passing_yards"))
+    )
     return quality.quality_report(
-        box_rushing(spark, sf_dir), views.players(spark, sf_dir), box_passing(spark, sf_dir),
-        min_games=0,
+        rushing, views.messy_players(spark, sf_dir), passing, min_games=0
+    )
+
+
+@query
+def healthy_gate(spark, sf_dir):
+    """The gate passes a table without issues; the checked rows come back."""
+    people = views.players(spark, sf_dir)
+    quality.gate(
+        quality.quality_report(box_rushing(spark, sf_dir), people, box_passing(spark, sf_dir), 99)
     )
+    batch = views.weekly_passing(spark, sf_dir).filter(f"season = {SEASON} AND week = 1")
+    quality.check_batch(batch, SEASON, 1)
+    return batch.select("player_id", "team", "opponent", "season", "week")
 
 
 @query

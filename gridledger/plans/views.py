@@ -48,6 +48,17 @@ def players(spark, sf_dir):
     )
 
 
+def messy_players(spark, sf_dir):
+    """The same people with gaps: names and positions missing here and there."""
+    every = F.col("gsis_id")
+    return players(spark, sf_dir).withColumns(
+        {
+            "name": F.when(every % 13 != 4, F.col("name")),
+            "position": F.when(every % 7 != 3, F.col("position")),
+        }
+    )
+
+
 def teams(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("name")
@@ -102,6 +113,7 @@ def plays(spark, sf_dir, posteam=True, defteam=True):
         "air_yards": f"if({target}, 3 * l_linenumber, NULL)",
         "yards_after_catch": f"if({complete}, {yards} % 7, NULL)",
         "epa": "if(l_tax <> 0, cast(cast(l_discount AS decimal(5,2)) - 0.05 AS double), NULL)",
+        "cpoe": "if(l_discount <> 0, cast(cast(l_tax AS decimal(5,2)) - 0.04 AS double), NULL)",
         "pass_touchdown": bit(pass_td),
         "rush_touchdown": bit(rush_td),
         "touchdown": bit(f"({pass_td}) OR ({rush_td})"),
@@ -154,10 +166,10 @@ def weekly_passing(spark, sf_dir):
             F.max("passing_yards").alias("longest_pass"),
         ],
     )
-    rating = F.call_function(
-        "div", F.col("completions") * 100, F.when(F.col("attempts") > 0, F.col("attempts"))
+    tenths = F.call_function(
+        "div", F.col("completions") * 1000, F.when(F.col("attempts") > 0, F.col("attempts"))
     )
-    return rows.withColumn("passer_rating", rating.cast("double"))
+    return rows.withColumn("passer_rating", tenths.cast("double") / F.lit(10.0))
 
 
 def weekly_rushing(spark, sf_dir):
@@ -241,23 +253,48 @@ def questions(spark, sf_dir):
     )
 
 
-def box_pages(spark, sf_dir):
-    """One HTML page per weekly passing line: (page_id, html).
+# Pages: category -> (shown table id, hidden table id, data-stat -> column).
+PAGE_KINDS = {
+    "passing": (
+        "passing", "qb_stats",
+        {"team": "team", "opp": "opponent", "pass_cmp": "completions", "pass_att": "attempts",
+         "pass_yds": "passing_yards", "pass_td": "passing_tds"},
+    ),
+    "rushing": (
+        "rushing_and_receiving", "rushing",
+        {"team": "team", "opp": "opponent", "rush_att": "carries", "rush_yds": "rushing_yards",
+         "rush_td": "rushing_tds"},
+    ),
+    "receiving": (
+        "receiving", "rec_stats",
+        {"team": "team", "opp": "opponent", "rec_tgt": "targets", "rec": "receptions",
+         "rec_yds": "receiving_yards", "rec_td": "receiving_tds"},
+    ),
+}
+
+
+def weekly(spark, sf_dir, category):
+    return {"passing": weekly_passing, "rushing": weekly_rushing, "receiving": weekly_receiving}[
+        category
+    ](spark, sf_dir)
+
+
+def box_pages(spark, sf_dir, category="passing", comments_only=False):
+    """One HTML page per weekly line: (page_id, html).
 
     Pages of odd weeks show the table, with the id as a cell attribute; in
     even weeks it sits in a comment and the id only in the link.
+    ``comments_only`` hides the first table id in a comment on every page.
     """
-    line = weekly_passing(spark, sf_dir)
+    shown_id, hidden_id, stats = PAGE_KINDS[category]
+    line = weekly(spark, sf_dir, category)
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in line.columns}
 
     def cell(stat, column):
         return F.concat(F.lit(f'<td data-stat="{stat}"> '), text[column], F.lit("</td>"))
 
-    cells = F.concat(
-        cell("team", "team"), cell("opp", "opponent"), cell("pass_cmp", "completions"),
-        cell("pass_att", "attempts"), cell("pass_yds", "passing_yards"),
-        cell("pass_td", "passing_tds"), F.lit("<td>note</td>"),
-    )
+    cells = F.concat(*[cell(stat, column) for stat, column in stats.items()],
+                     F.lit("<td>note</td>"))
     link = F.concat(F.lit('<a href="/players/P'), text["player_id"], F.lit('.htm">'),
                     text["player_name"], F.lit("</a>"))
     header = F.lit(
@@ -266,16 +303,18 @@ def box_pages(spark, sf_dir):
     )
     shown = F.concat(
         F.lit('<html><table id="scores"><tbody><tr><td data-stat="player">x</td></tr></tbody>'
-              '</table><table class="stats" id="passing">'), header,
+              f'</table><table class="stats" id="{shown_id}">'), header,
         F.lit('<th data-stat="player" data-append-csv="P'), text["player_id"], F.lit('">'), link,
         F.lit("</th>"), cells, F.lit("</tr></tbody></table></html>"),
     )
+    in_comment = shown_id if comments_only else hidden_id
     hidden = F.concat(
-        F.lit('<html><p>stats</p><!-- no table --><!-- <div><table id="qb_stats">'), header,
+        F.lit(f'<html><p>stats</p><!-- no table --><!-- <div><table id="{in_comment}">'), header,
         F.lit('<th data-stat="player">'), link, F.lit("</th>"), cells,
         F.lit("</tr></tbody></table></div> --></html>"),
     )
+    visible = F.lit(False) if comments_only else F.col("week") % 2 == 1
     return line.select(
         F.concat_ws("-", "player_id", "team", "opponent", "season", "week").alias("page_id"),
-        F.when(F.col("week") % 2 == 1, shown).otherwise(hidden).alias("html"),
+        F.when(visible, shown).otherwise(hidden).alias("html"),
     )

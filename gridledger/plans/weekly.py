@@ -1,36 +1,81 @@
-"""Weekly jobs: full rebuild, update of one season, box-score season tables."""
+"""Weekly jobs: full rebuild, update of one season, box-score season tables.
+
+All jobs work on a folder of tables with one current release (``tables.publish``):
+they stage new versions, check them, and then publish all of them at once. A job
+that fails in between leaves the release as it was.
+"""
+
+from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
 from gridledger import schemas
-from gridledger.operators import boxscore, clean, dims, quality, roles, teams, usage
+from gridledger.operators import boxscore, clean, dims, quality, teams, usage
 from gridledger.sources import tables
 from gridledger.sources.plays import players_from_roster
 
 
-def rebuild_weekly(plays, history=None, with_points=True):
-    """The weekly table from plays, after any pre-aggregated history."""
-    fresh = clean.align(usage.weekly_stats(plays, with_points), schemas.WEEKLY_STATS)
+def rebuild_weekly(plays, history=None, with_points=True, extra=()):
+    """The weekly table from plays, after any pre-aggregated history.
+
+    ``extra`` names further columns of the weekly lines to keep after the 24.
+    """
+    lines = usage.player_weekly_usage(plays, with_points)
+    schema = schemas.weekly_stats(extra)
+    fresh = clean.align(lines, schema)
     if history is None:
         return fresh
-    return clean.union_seasons([usage.align_history(history), fresh])
+    old = clean.align(clean.rename_present(history, fv.HISTORY_RENAMES), schema)
+    return clean.union_seasons([old, fresh])
+
+
+def season_rows(plays, roster):
+    """The season table's rows for the seasons of the plays."""
+    weekly = usage.player_weekly_usage(plays)
+    return clean.align(usage.season_table(weekly, roster), schemas.SEASON_STATS)
+
 
+def stage(spark, root, frames):
+    """Write versions of several tables; table -> version name."""
+    return {name: tables.stage_version(df, f"{root}/{name}") for name, df in frames.items()}
 
-def rebuild_all(spark, roster, history, plays, roots):
+
+def staged_tables(spark, root, versions):
+    return {n: tables.read_version(spark, f"{root}/{n}", v) for n, v in versions.items()}
+
+
+def rebuild_all(spark, root, roster, history, plays):
     """Rebuild players, weekly, season and team-defence tables from scratch.
 
-    The weekly table is stored first and the season table rolled up from it.
+    The weekly table is staged first, and the season table rolled up from the
+    staged rows. Fumbles are kept beside the weekly columns for it.
     """
-    tables.write_replace(players_from_roster(roster), roots["players"])
-    tables.write_replace(rebuild_weekly(plays, history), roots["weekly_stats"])
-    stored = tables.read_table(spark, roots["weekly_stats"])
-    tables.write_replace(usage.season_rollup(stored), roots["season_stats"])
-    tables.write_replace(teams.team_defense(plays), roots["team_season_stats"])
+    first = stage(
+        spark, root,
+        {
+            "players": players_from_roster(roster),
+            "weekly_stats": rebuild_weekly(plays, history, extra=["fumbles_lost"]),
+            "team_season_stats": clean.align(teams.team_season(plays), schemas.TEAM_SEASON_STATS),
+        },
+    )
+    weekly = tables.read_version(spark, f"{root}/weekly_stats", first["weekly_stats"])
+    seasons = clean.align(usage.season_table(weekly, roster), schemas.SEASON_STATS)
+    tables.publish(spark, root, first | stage(spark, root, {"season_stats": seasons}))
+
+
+def season_replaced(spark, root, fresh, season):
+    """The stored season table with one season's rows replaced, also by none."""
+    try:
+        stored = tables.read_released(spark, root, "season_stats")
+    except FileNotFoundError:
+        return fresh
+    return stored.filter(F.col("season") != season).unionByName(fresh)
 
 
-def update_season(plays, roster, path):
-    """Season lines swapped into the stored table; other seasons stay."""
-    stats = clean.align(roles.player_season_stats(plays, roster), schemas.SEASON_STATS)
-    tables.swap_partitions(stats, path, ["season"])
+def update_season(spark, root, plays, roster, season):
+    """Rows of one season swapped into the season table; other seasons stay."""
+    fresh = season_rows(plays.filter(F.col("season") == season), roster)
+    replaced = season_replaced(spark, root, fresh, season)
+    tables.publish(spark, root, stage(spark, root, {"season_stats": replaced}))
 
 
 def box_season_tables(passing, rushing, receiving, players, squads, player_key, team_key):
@@ -53,36 +98,45 @@ UPSERT_KEYS = {
     "rushing": (["player_id", "season"], fv.RUSHING_UPDATES),
     "receiving": (["player_id", "season"], fv.RECEIVING_UPDATES),
     "team": (["team_id", "season"], fv.TEAM_UPDATES),
+    "player_week": (["player_id", "team_id", "season", "week"], fv.PLAYER_WEEK_UPDATES),
 }
 
 
-def upsert_season_tables(spark, roots, fresh, refresh_all=True):
-    """Merge fresh season tables into the stored ones as new versions.
+def merged_tables(spark, root, fresh, refresh_all=True):
+    """Fresh tables merged into the released ones.
 
+    The fresh tables are grouped by their keys, so nothing is checked twice.
     ``refresh_all=False`` only refreshes the columns the original job does and
     leaves the others as they were stored.
     """
+    out = {}
     for name, df in fresh.items():
         keys, listed = UPSERT_KEYS[name]
         try:
-            stored = tables.read_table(spark, roots[name])
+            stored = tables.read_released(spark, root, name)
         except FileNotFoundError:
-            tables.write_replace(df, roots[name])
+            out[name] = df
             continue
-        merged = tables.upsert(stored, df, keys, None if refresh_all else listed)
-        tables.write_replace(merged, roots[name])
+        out[name] = tables.upsert(stored, df, keys, None if refresh_all else listed, check=False)
+    return out
 
 
-def weekly_update(spark, plays, roster, season_path, roots, fresh, players):
-    """Compute the fresh tables once, gate them, then publish.
+def upsert_season_tables(spark, root, fresh, refresh_all=True):
+    """Merge the fresh tables and publish them together."""
+    tables.publish(spark, root, stage(spark, root, merged_tables(spark, root, fresh, refresh_all)))
 
-    The fresh tables are written to staging first, so the gate and the merge
-    read finished files. Nothing is published if a check fails.
+
+def weekly_update(spark, root, plays, roster, season, fresh, players):
+    """One week's job: season rows from plays, season tables from box scores.
+
+    Everything is staged, then the staged files are checked, then one release
+    names all of them. Nothing is published if a check fails.
     """
-    staged = {}
-    for name, df in fresh.items():
-        tables.write_replace(df, f"{roots[name]}_staged")
-        staged[name] = tables.read_table(spark, f"{roots[name]}_staged")
-    quality.gate(quality.quality_report(staged["rushing"], players, staged["passing"]))
-    update_season(plays, roster, season_path)
-    upsert_season_tables(spark, roots, staged)
+    rows = season_rows(plays.filter(F.col("season") == season), roster)
+    frames = merged_tables(spark, root, fresh)
+    frames["season_stats"] = season_replaced(spark, root, rows, season)
+    versions = stage(spark, root, frames)
+    ready = staged_tables(spark, root, versions)
+    report = quality.quality_report(ready["rushing"], players, ready["passing"])
+    quality.gate(report.unionByName(quality.season_issues(ready["season_stats"], season)))
+    tables.publish(spark, root, versions)

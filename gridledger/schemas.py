@@ -92,6 +92,11 @@ WEEKLY_STATS = _struct(
     fantasy_points=_DOUBLE,
 )
 
+def weekly_stats(extra=()):
+    """The weekly columns and further whole-number ones after them."""
+    return T.StructType(WEEKLY_STATS.fields + [T.StructField(c, _LONG, True) for c in extra])
+
+
 SEASON_STATS = _struct(
     gsis_id=_STRING,
     season=_INT,
@@ -114,6 +119,8 @@ SEASON_STATS = _struct(
     wopr=_DOUBLE,
     target_share=_DOUBLE,
     fantasy_points=_DOUBLE,
+    last_week=_INT,
+    weeks=_LONG,
 )
 
 TEAM_SEASON_STATS = _struct(

@@ -28,6 +28,18 @@ def read_weekly(spark, directory, category):
     return project_present(typed, fv.BOX_SCORE_COLUMNS)
 
 
+def name_files(spark, folder, directory, stem):
+    """Move the written CSV parts of a folder into ``directory`` as <stem>_<n>.csv, the
+    names that ``read_weekly`` looks for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = path(folder), path(directory)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    parts = sorted(s.getPath().getName() for s in fs.listStatus(source))
+    for n, name in enumerate(p for p in parts if p.startswith("part-")):
+        fs.rename(path(f"{folder}/{name}"), path(f"{directory}/{stem}_{n:05d}.csv"))
+
+
 def parse_outcome(df, column="game_outcome"):
     """Split ``W, 37-20`` into result, points for and points against."""
     pattern = r"^([WLT]),\s*(\d+)-(\d+)$"
@@ -48,5 +60,5 @@ def write_raw(df, directory, category):
 
 
 def read_raw(spark, directory, schema):
-    """The captured rows of one category folder tree."""
+    """The captured rows of a folder tree; season and week come from the folders."""
     return csv_columns(spark, directory, schema)

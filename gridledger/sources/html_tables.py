@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from gridledger.operators.clean import has_activity
+
 # The reader travels with the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -117,7 +119,7 @@ def stat_rows(html, table_ids, comments_only=False):
     for comment in page.comments:
         if table is not None:
             break
-        if "<table" in comment:
+        if "<table" in comment and any(table_id in comment for table_id in table_ids):
             table = _first_table(_Page(comment), table_ids)
     return None if table is None else table["rows"]
 
@@ -157,7 +159,23 @@ def extract_tables(pages, table_ids, comments_only=False, required=False):
         return _frames(batches, rows_of, ["page_id", "row_no", "cells"])
 
     schema = f"page_id {_page_id_type(pages)}, row_no int, cells map<string,string>"
-    return pages.select("page_id", "html").mapInPandas(read, schema)
+    asked = pages.select("page_id", "html")
+    if not required:  # pages without any table are left out before Python sees them
+        asked = asked.filter(F.rlike("html", F.lit("(?i)<table")))
+    return asked.mapInPandas(read, schema)
+
+
+def season_table(pages, table_ids):
+    """Rows of the season table, which pages hide in a comment and must have."""
+    return extract_tables(pages, table_ids, comments_only=True, required=True)
+
+
+def category_rows(pages, table_ids, stats, activity=None):
+    """Stat rows as text columns; with ``activity`` only those in which one of these
+    cells is not "0" (a missing cell counts as "0")."""
+    names = ["player", "pfr_player_id", *stats]
+    cells = cell_columns(extract_tables(pages, table_ids), names)
+    return has_activity(cells, activity) if activity else cells
 
 
 def cell_columns(rows, names):

@@ -88,7 +88,9 @@ def read_roster(spark, path):
 def players_from_roster(roster):
     """The players table: renamed, one row per id.
 
-    Among repeated ids the first by name stays; rows without id are one player.
+    Among repeated ids the first by name stays, a row with a name before one
+    without; rows without id are one player.
     """
     renamed = rename_present(roster, fv.ROSTER_RENAMES)
-    return dedupe(renamed, "gsis_id", ["name", "team_id"])
+    order = [F.col("name").isNull(), F.col("name"), F.col("team_id").isNull(), F.col("team_id")]
+    return dedupe(renamed, "gsis_id", order)

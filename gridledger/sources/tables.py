@@ -1,4 +1,7 @@
-"""Stored tables: full replace, partition swap, upsert, state, text lines."""
+"""Stored tables: full replace, releases, partition swap, upsert, state, text lines."""
+
+import time
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -6,32 +9,111 @@ from gridledger.operators.dims import unique_rows
 from gridledger.session import scratch_dir
 
 
-def _versions(spark, root):
-    """Numbers of the finished versions under a table's folder."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName()[1:]) for s in done or [])
+# Under a table's folder: one folder per write attempt, and one empty file per
+# finished version. The file is written last; an attempt without one is not there
+# for readers, so a crashed write is in nobody's way.
+_DATA, _FINISHED, _RELEASES = "data", "finished", "releases"
 
 
-def write_replace(df, root, partition_by=()):
-    """Write the frame as the next version of the table; readers of the old
-    version are not disturbed, and the frame may read that version itself."""
-    number = (_versions(df.sparkSession, root) or [0])[-1] + 1
-    path = f"{root}/v{number:06d}"
+def _folder(spark, path):
+    """(file system, path) for small listings and markers from the driver."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _listed(spark, path):
+    fs, folder = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _put(spark, path, text=""):
+    fs, target = _folder(spark, path)
+    out = fs.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _stamp():
+    """Sorts by time; two attempts never share one."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+
+
+def stage_version(df, root, partition_by=()):
+    """Write the frame as a version that no reader sees yet; returns its name."""
+    name = _stamp()
     writer = df.write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return path
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    writer.parquet(f"{root}/{_DATA}/{name}")
+    return name
+
+
+def write_replace(df, root, partition_by=(), keep=None):
+    """Write the frame as the next version of the table; readers of the old
+    version are not disturbed, and the frame may read that version itself.
+
+    ``keep`` deletes all but so many finished versions afterwards, and attempts
+    older than those.
+    """
+    spark = df.sparkSession
+    name = stage_version(df, root, partition_by)
+    _put(spark, f"{root}/{_FINISHED}/{name}")
+    if keep is not None:
+        prune(spark, root, keep)
+    return f"{root}/{_DATA}/{name}"
+
+
+def read_version(spark, root, name):
+    return spark.read.parquet(f"{root}/{_DATA}/{name}")
 
 
 def read_table(spark, root):
     """The latest finished version."""
-    versions = _versions(spark, root)
+    versions = _listed(spark, f"{root}/{_FINISHED}")
     if not versions:
         raise FileNotFoundError(f"no finished version under {root}")
-    return spark.read.parquet(f"{root}/v{versions[-1]:06d}")
+    return read_version(spark, root, versions[-1])
+
+
+def prune(spark, root, keep=2):
+    """Delete all but the last finished versions, and whatever was begun before them."""
+    finished = _listed(spark, f"{root}/{_FINISHED}")
+    kept = finished[-max(1, keep):]
+    if not kept:
+        return
+    for folder in (_FINISHED, _DATA):  # the markers first: no reader finds a half-deleted one
+        for name in _listed(spark, f"{root}/{folder}"):
+            if name < kept[0]:
+                fs, target = _folder(spark, f"{root}/{folder}/{name}")
+                fs.delete(target, True)
+
+
+# --- releases: several tables published together ------------------------------
+
+
+def publish(spark, root, versions):
+    """Make staged versions (table -> version name) of the tables under ``root`` the
+    current ones, all at once: one file names them and those that stay."""
+    current = released(spark, root) | versions
+    lines = "".join(f"{table}\t{name}\n" for table, name in sorted(current.items()))
+    _put(spark, f"{root}/{_RELEASES}/{_stamp()}", lines)
+
+
+def released(spark, root):
+    """table -> version name of the latest release; empty before the first."""
+    names = _listed(spark, f"{root}/{_RELEASES}")
+    if not names:
+        return {}
+    # A few lines, one per table.
+    rows = spark.read.text(f"{root}/{_RELEASES}/{names[-1]}").collect()
+    return dict(row["value"].split("\t") for row in rows)
+
+
+def read_released(spark, root, table):
+    """A table as of the latest release."""
+    versions = released(spark, root)
+    if table not in versions:
+        raise FileNotFoundError(f"{table} was never released under {root}")
+    return read_version(spark, f"{root}/{table}", versions[table])
 
 
 def materialize(df, label, partition_by=()):
@@ -46,13 +128,21 @@ def materialize(df, label, partition_by=()):
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def swap_partitions(df, path, keys):
-    """Replace exactly the partitions the frame has rows for; others stay.
+def swap_partitions(df, path, keys, scope=None):
+    """Replace the partitions the frame has rows for; others stay.
 
+    ``scope`` names the partitions that were reloaded, as tuples of key values:
+    those that received no row are emptied, as there is nothing left of them.
     Rows are rebalanced by partition first: few files per partition, and a
     partition with much more data than others is split over several tasks.
     """
+    spark = df.sparkSession
     columns = [F.col(k) for k in keys]
+    emptied = []
+    if scope is not None:
+        # One row per partition, not per record.
+        held = {tuple(str(v) for v in r) for r in df.select(*keys).distinct().collect()}
+        emptied = [s for s in scope if tuple(str(v) for v in s) not in held]
     (
         df.hint("rebalance", *columns)
         .write.mode("overwrite")
@@ -60,6 +150,10 @@ def swap_partitions(df, path, keys):
         .partitionBy(*keys)
         .parquet(path)
     )
+    for values in emptied:
+        place = "/".join(f"{k}={v}" for k, v in zip(keys, values, strict=True))
+        fs, target = _folder(spark, f"{path}/{place}")
+        fs.delete(target, True)
 
 
 def upsert(target, source, keys, update_cols=None, check=True):

@@ -1,39 +1,43 @@
 """Incremental weekly loads with Structured Streaming."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
-from gridledger.sources.tables import swap_partitions
+from gridledger.sources import tables
 
 KEYS = ["season", "week"]
 
 
 def stream_weeks(
-    spark, source, target, checkpoint, schema, transform=None, fmt="parquet", options=None
+    spark, source, target, checkpoint, schema, transform=None, fmt="parquet", options=None,
+    after=None,
 ):
     """Load the weeks that received new files, then stop.
 
     ``source`` has season=/week= folders. A micro-batch may hold part of a week
     only, so it just names the touched weeks; these are read again completely
-    (only their folders) and swapped into the target. Loading a week twice or
-    in parts therefore ends in the same table. Progress is kept in the stream's
-    checkpoint, which belongs in the cluster's shared folder.
+    (only their folders) and swapped into the target, and a week of which the
+    transform leaves nothing is emptied. Loading a week twice or in parts
+    therefore ends in the same table. Progress is kept in the stream's
+    checkpoint, which belongs in the cluster's shared folder. ``after`` is given
+    the sorted (season, week) pairs of each finished batch.
     """
 
     reading = options or {}
 
     def load(batch, _):
         # One row per touched week folder, not per record.
-        touched = batch.select(*KEYS).distinct().collect()
+        touched = sorted((r["season"], r["week"]) for r in batch.select(*KEYS).distinct().collect())
         if not touched:
             return
-        of_week = [
-            (F.col("season") == row["season"]) & (F.col("week") == row["week"]) for row in touched
-        ]
-        weeks = spark.read.schema(schema).options(**reading).format(fmt).load(source)
-        weeks = weeks.filter(reduce(lambda a, b: a | b, of_week))
-        swap_partitions(transform(weeks) if transform else weeks, target, KEYS)
+        folders = [f"{source}/season={season}/week={week}" for season, week in touched]
+        weeks = (
+            spark.read.schema(schema).options(**reading).option("basePath", source).format(fmt)
+            .load(folders)
+        )
+        fresh = transform(weeks) if transform else weeks
+        tables.swap_partitions(fresh, target, KEYS, scope=touched)
+        if after:
+            after(touched)
 
     query = (
         spark.readStream.schema(schema)
@@ -46,3 +50,43 @@ def stream_weeks(
         .start()
     )
     query.awaitTermination()
+
+
+def later_weeks(df, state, source):
+    """Rows after the week the source got to; all of a source without state."""
+    mine = state.filter(F.col("source") == source).select("last_season", "last_week").first()
+    if mine is None:
+        return df
+    season, week = mine["last_season"], mine["last_week"]
+    return df.filter((F.col("season") > season) | ((F.col("season") == season) & (F.col("week") > week)))
+
+
+def load_later_weeks(spark, df, target, state_root, source, transform=None):
+    """Swap in the weeks after the stored resume point and move it to the last.
+
+    The state table is written after the weeks are in place: a load that is
+    repeated after a crash swaps the same weeks again. Returns the number of
+    weeks loaded.
+    """
+    try:
+        state = tables.read_table(spark, state_root)
+    except FileNotFoundError:
+        from gridledger import schemas
+
+        state = spark.createDataFrame([], schemas.ETL_STATE)
+    rows = later_weeks(df, state, source)
+    touched = sorted((r["season"], r["week"]) for r in rows.select(*KEYS).distinct().collect())
+    if not touched:
+        return 0
+    fresh = transform(rows) if transform else rows
+    tables.swap_partitions(fresh, target, KEYS, scope=touched)
+    season, week = touched[-1]
+    if state.filter(F.col("source") == source).isEmpty():
+        state = state.unionByName(
+            spark.range(1).select(
+                F.lit(source).alias("source"), F.lit(season).alias("last_season"),
+                F.lit(week).alias("last_week"), F.current_timestamp().alias("updated_at"),
+            )
+        )
+    tables.write_replace(tables.advance(state, source, season, week), state_root, keep=2)
+    return len(touched)

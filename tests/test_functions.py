@@ -82,58 +82,54 @@ def test_points_text(spark):
     ]
 
 
+# question, candidate names, intent, (given, received) of a trade.
 QUESTIONS = [
-    "Who should I draft, Josh or Lamar?", "top 5 qb", "compare Allen and Mahomes", "a b vs c d",
-    "who is Josh Allen?", "show me the receiver", "which te is best", "hello",
-    "Which\nis best", "x?the y", "how many touchdowns td", "points in 2023", "last year yards",
-    "two years ago he ran", "Trade  A B for C for D", "trade x for", "untrade a for b",
-    "  tell me about Allen  ", "draft him or vs", "deep ball passing", "catch", "score 2099",
-    "A and B vs C or D", "rank and", "i", "",
+    ("Who should I draft, Josh or Lamar?", [", josh", "lamar?"], "ranking", None),
+    ("top 5 qb", ["5 qb"], "ranking", None),
+    ("compare Allen and Mahomes", ["allen", "mahomes"], "compare", None),
+    ("a b vs c d", ["a b", "c d"], "compare", None),
+    ("who is Josh Allen?", ["josh allen?"], "search", None),
+    ("show me the receiver", ["show receiver"], "search", None),
+    ("which te is best", ["which te"], "ranking", None),
+    ("hello", ["hello"], "unknown", None),
+    ("Which\nis best", ["which"], "unknown", None),
+    ("x?the y", ["x? y"], "unknown", None),
+    ("how many touchdowns td", ["how many touchdowns td"], "unknown", None),
+    ("Trade  A B for C for D", ["trade a b c d"], "unknown", ("a b", "c for d")),
+    ("trade x for", ["trade x"], "unknown", None),
+    ("untrade a for b", ["untrade a b"], "unknown", ("a", "b")),
+    ("  tell me about Allen  ", ["allen"], "search", None),
+    ("draft him or vs", ["him"], "compare", None),
+    ("A and B vs C or D", ["a b c"], "compare", None),
+    ("rank and", [], "ranking", None),
+    ("i", [], "unknown", None),
+    ("", [], "unknown", None),
 ]
 
 
-def python_chunks(question):
-    """The documented rule in Python: split at the first delimiter kind, clean."""
-    lowered = question.lower().strip()
-    for delimiter in fv.NAME_DELIMITERS:
-        if delimiter in lowered:
-            parts = lowered.split(delimiter)
-            break
-    else:
-        parts = [lowered]
-    out = []
-    for part in parts:
-        for word in fv.STOP_WORDS:
-            part = re.sub(r"\b" + word + r"\b", " ", part)
-        part = " ".join(part.split())
-        if len(part) > 1:
-            out.append(part)
-    return out
-
-
-def test_question_words_match_python(spark):
-    assert column(spark, QUESTIONS, "string", text.name_chunks) == [
-        python_chunks(q) for q in QUESTIONS
-    ]
-
-    def intent(question):
-        lowered = question.lower().strip()
-        for name, patterns in fv.INTENT_PATTERNS.items():
-            if any(re.search(p, lowered) for p in patterns):
-                return name
-        return "unknown"
-
-    assert column(spark, QUESTIONS, "string", text.classify_intent) == [
-        intent(q) for q in QUESTIONS
-    ]
-    groups = [re.search(fv.TRADE_PATTERN, q.lower()) for q in QUESTIONS]
-    assert column(spark, QUESTIONS, "string", text.is_trade) == [g is not None for g in groups]
+def test_question_words(spark):
+    asked = [q for q, *_ in QUESTIONS]
+    assert column(spark, asked, "string", text.name_chunks) == [n for _, n, _, _ in QUESTIONS]
+    assert column(spark, asked, "string", text.classify_intent) == [i for _, _, i, _ in QUESTIONS]
+    trades = [t for *_, t in QUESTIONS]
+    assert column(spark, asked, "string", text.is_trade) == [t is not None for t in trades]
     for side in (1, 2):
-        assert column(spark, QUESTIONS, "string", lambda c: text.trade_side(c, side)) == [
-            g.group(side).strip() if g else "" for g in groups
+        assert column(spark, asked, "string", lambda c: text.trade_side(c, side)) == [
+            t[side - 1] if t else "" for t in trades
         ]
 
 
+def test_points_need_their_columns(spark):
+    df = spark.createDataFrame([(10, 1)], "rushing_yards int, rushing_tds int")
+    with pytest.raises(ValueError, match="passing_yards"):
+        numeric.fantasy_points_full(df)
+    assert df.select(numeric.fantasy_points_full(df, missing="zero")).first()[0] == 7.0
+
+
+def test_text_to_number(spark):
+    assert column(spark, ["12", "x", None, " 3.5"], "string", numeric.to_number) == [12, 0, 0, 3.5]
+
+
 @pytest.mark.parametrize(
     ("question", "season", "intent", "position", "metric"),
     [

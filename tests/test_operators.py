@@ -65,14 +65,37 @@ def test_role_explode_equals_three_way_join(spark, rows, by):
     )
 
 
+POINT_COLUMNS = ["passing_yards", "passing_tds", "interceptions", "rushing_tds", "receiving_yards",
+                 "receiving_tds", "receptions", "fumbles_lost"]
+
+
 def test_collapse_takes_latest_team(spark):
     stats = spark.createDataFrame(
-        [("a", 2024, "X", 3, 10), ("a", 2024, "Y", 9, 15), ("a", 2025, "X", 2, 1)],
-        "gsis_id string, season int, team_id string, last_week int, rushing_yards bigint",
-    )
+        [("a", 2024, "Z", 3, 10, 0.5, 1), ("a", 2024, "B", 9, 15, 0.2, 2), ("a", 2025, "X", 2, 1, 0.0, 1)],
+        "gsis_id string, season int, team_id string, last_week int, rushing_yards bigint, "
+        "rushing_epa double, weeks bigint",
+    ).withColumns({c: F.lit(0).cast("bigint") for c in POINT_COLUMNS})
     got = {(r["gsis_id"], r["season"]): (r["team_id"], r["rushing_yards"], r["fantasy_points"])
            for r in roles.collapse_teams(stats).collect()}
-    assert got == {("a", 2024): ("Y", 25, 2.5), ("a", 2025): ("X", 1, 0.1)}
+    assert got == {("a", 2024): ("B", 25, 2.5), ("a", 2025): ("X", 1, 0.1)}
+    mean = roles.collapse_teams(stats).filter("season = 2024").first()["rushing_epa"]
+    assert mean == pytest.approx((0.5 + 2 * 0.2) / 3)
+    with pytest.raises(ValueError, match="last_week"):
+        roles.collapse_teams(stats.drop("last_week"))
+    with pytest.raises(ValueError, match="weeks"):
+        roles.collapse_teams(stats.drop("weeks"))
+
+
+def test_usage_reads_plays_once(spark, rows):
+    plays = plays_frame(spark, random_plays(300))
+    lines = roles.weekly_lines(plays)
+    twice = usage.usage_metrics(lines, usage.team_week(plays))
+    once = usage.player_weekly_usage(plays)
+    columns = ["gsis_id", "season", "week", "team_id", "target_share", "air_yards_share", "wopr",
+               "targets", "completions", "receiving_air_yards"]
+    assert rows(once, *columns) == rows(twice, *columns)
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
 
 
 def test_weekly_usage(spark):
@@ -200,6 +223,9 @@ def test_small_cleaning_steps(spark, rows):
     slugs = spark.createDataFrame([("Jo Do",)], "Player string")
     assert rows(clean.slug_ids(slugs)) == [("Jo Do", "jo-do")]
     assert clean.project_present(df, ["v", "zz", "k"]).columns == ["v", "k"]
+    assert rows(clean.fill_zero(df, ["v"]).select("v")) == [(0,), (1,), (2,), (3,)]
+    assert rows(clean.not_null(df, ["k", "v"])) == [(1, "a", 2)]
+    assert rows(clean.with_default(df.select("v"), "v", 9)) == [(1,), (2,), (3,), (9,)]
     assert rows(clean.where(df, ids=[1], key="k").select("name")) == [("a",), ("b",)]
 
 
@@ -209,6 +235,10 @@ def test_dimension_helpers(spark, rows):
     assert rows(dims.add_missing(dim, facts, "player_name")) == [
         ("Ann", "QB"), ("Bob", "RB"), ("Cid", "Unknown"),
     ]
+    with_ids = spark.createDataFrame([("Dee", 1), ("Eve", None)], "player_name string, id int")
+    assert rows(dims.add_missing(dim, with_ids, "player_name", id_column="id"), "name") == [
+        ("Ann",), ("Bob",), ("Dee",),
+    ]
     assert rows(dims.semi_by_key(dim, facts, "name", "player_name")) == [("Bob", "RB")]
     again = dim.unionByName(dim.limit(1))
     with pytest.raises(Exception, match="not unique"):
@@ -282,10 +312,12 @@ def test_team_totals_need_own_passing(spark):
 
 
 def stats_frame(spark, values):
-    return spark.createDataFrame(
+    given = spark.createDataFrame(
         values, "gsis_id string, season int, fantasy_points double, passing_yards bigint, "
                 "rushing_yards bigint"
     )
+    others = [c for c in POINT_COLUMNS if c not in given.columns]
+    return given.withColumns({c: F.lit(None).cast("bigint") for c in others})
 
 
 def test_leaders_order_and_fallbacks(spark):
@@ -345,10 +377,12 @@ def test_comparisons(spark):
         [("a", 2024, 5, None, 1), ("a", 2025, 9, 2, 4), ("b", 2025, 1, 1, 1)],
         "player_id string, season int, rushing_yards int, rushing_tds int, carries int",
     )
-    got = profile.compare_seasons(season, "RB", 2024, 2025).collect()
-    assert len(got) == 1
-    assert (got[0]["rushing_yards_diff"], got[0]["rushing_tds_diff"], got[0]["carries_diff"]) == (
-        4, 2, 3,
+    got = {r["player_id"]: r for r in profile.compare_seasons(season, "RB", 2024, 2025).collect()}
+    a, b = got["a"], got["b"]
+    assert (a["rushing_yards_diff"], a["rushing_tds_diff"], a["carries_diff"]) == (4, 2, 3)
+    # One season only: shown, without a difference.
+    assert (b["rushing_yards_2024"], b["rushing_yards_2025"], b["rushing_yards_diff"]) == (
+        None, 1, None,
     )
     with pytest.raises(ValueError):
         profile.compare_seasons(season, "K", 2024, 2025)

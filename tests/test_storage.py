@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
 from gridledger import schemas
-from gridledger.operators import boxscore, clean, projection, quality
+from gridledger.operators import boxscore, clean, projection, quality, roles
 from gridledger.plans import weekly
 from gridledger.sources import boxscores, html_tables, plays, tables
 from gridledger.streaming import weeks
@@ -45,6 +45,47 @@ def test_versions_and_replace_from_itself(spark, tmp_path, rows):
     assert rows(stored) == [("x", 1, 1, 1)]
 
 
+def test_crashed_write_is_in_nobodys_way(spark, tmp_path, rows):
+    root = str(tmp_path / "t")
+    tables.write_replace(table(spark, [("x", 1, 1, 1)]), root)
+    # Half a version: data without success, and a whole one that was never finished.
+    (tmp_path / "t" / "data" / "99999999999999999999-half" / "_temporary").mkdir(parents=True)
+    tables.stage_version(table(spark, [("never", 9, 9, 9)]), root)
+    assert rows(tables.read_table(spark, root), "id") == [("x",)]
+    for name in ("y", "z", "w"):
+        tables.write_replace(table(spark, [(name, 1, 1, 1)]), root, keep=2)
+        assert rows(tables.read_table(spark, root), "id") == [(name,)]
+    assert len(glob.glob(f"{root}/finished/*")) == 2
+    assert len(glob.glob(f"{root}/data/*")) == 3  # two versions and the half one, which is later
+
+
+def test_releases_are_published_together(spark, tmp_path, rows):
+    root = str(tmp_path / "r")
+    assert tables.released(spark, root) == {}
+    with pytest.raises(FileNotFoundError):
+        tables.read_released(spark, root, "a")
+    first = weekly.stage(spark, root, {n: table(spark, [(n, 1, 1, 1)]) for n in ("a", "b")})
+    with pytest.raises(FileNotFoundError):
+        tables.read_released(spark, root, "a")
+    tables.publish(spark, root, first)
+    second = weekly.stage(spark, root, {"b": table(spark, [("b2", 1, 1, 1)])})
+    assert rows(tables.read_released(spark, root, "b"), "id") == [("b",)]
+    tables.publish(spark, root, second)
+    got = [rows(tables.read_released(spark, root, n), "id") for n in ("a", "b")]
+    assert got == [[("a",)], [("b2",)]]
+
+
+def test_swap_empties_the_scope(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    stored = [("x", 1, 1, 1), ("y", 2, 2, 2), ("z", 3, 3, 3)]
+    tables.swap_partitions(table(spark, stored), path, ["season"])
+    nothing = table(spark, []).filter("false")
+    tables.swap_partitions(nothing, path, ["season"], scope=[(2,), (7,)])
+    assert rows(spark.read.parquet(path), "id") == [("x",), ("z",)]
+    tables.swap_partitions(table(spark, [("w", 3, 1, 1)]), path, ["season"], scope=[(1,), (3,)])
+    assert rows(spark.read.parquet(path), "id") == [("w",)]
+
+
 def test_swap_replaces_only_its_partitions(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     tables.swap_partitions(table(spark, [("x", 1, 1, 1), ("y", 2, 2, 2)]), path, ["season"])
@@ -89,6 +130,35 @@ def test_stream_recomputes_whole_weeks(spark, tmp_path, rows, order):
     assert sorted(glob.glob(f"{target}/*/*/*.parquet")) == before
 
 
+def test_stream_empties_a_week_that_the_transform_filters(spark, tmp_path, rows):
+    source, target, check = (str(tmp_path / p) for p in ("in", "out", "check"))
+    schema, seen = "id int, season int, week int", []
+    for batch in ([(1, 2025, 1), (2, 2025, 2)], [(-3, 2025, 1)]):
+        part = spark.createDataFrame(batch, schema)
+        part.write.mode("append").partitionBy("season", "week").parquet(source)
+        weeks.stream_weeks(
+            spark, source, target, check, part.schema, after=seen.append,
+            # A week with a negative id is withdrawn.
+            transform=lambda df: df.join(
+                df.filter("id < 0").select("season", "week").distinct(), ["season", "week"], "left_anti"
+            ).select("id", "season", "week"),
+        )
+    assert rows(spark.read.parquet(target), "id") == [(2,)]
+    assert seen == [[(2025, 1), (2025, 2)], [(2025, 1)]]
+
+
+def test_later_weeks_resume_from_the_state(spark, tmp_path, rows):
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    first = spark.createDataFrame([(1, 2024, 5), (2, 2025, 1)], "id int, season int, week int")
+    assert weeks.load_later_weeks(spark, first, target, state, "s") == 2
+    more = spark.createDataFrame([(9, 2025, 1), (3, 2025, 2)], "id int, season int, week int")
+    assert weeks.load_later_weeks(spark, more, target, state, "s") == 1
+    assert weeks.load_later_weeks(spark, more, target, state, "s") == 0
+    assert rows(spark.read.parquet(target), "id") == [(1,), (2,), (3,)]
+    assert tables.resume_point(tables.read_table(spark, state), "s") == (2025, 2)
+    assert weeks.load_later_weeks(spark, first, target, state, "other") == 2
+
+
 def test_stream_of_csv_files_with_transform(spark, tmp_path, rows):
     source, target, check = (str(tmp_path / p) for p in ("in", "out", "check"))
     for week, name in ((1, "a"), (2, "b"), (1, "c")):
@@ -132,9 +202,13 @@ def test_readers(spark, tmp_path, rows):
     assert rows(pruned) == [(2025, 3)]
     empty = plays.read_roster(spark, str(tmp_path / "roster.parquet"))
     assert empty.count() == 0 and empty.schema == schemas.ROSTER
-    (tmp_path / "r.csv").write_text("team,gsis_id,full_name\nX,1,Ann\nX,1,Abe\nY,,Bo\n")
+    (tmp_path / "r.csv").write_text(
+        "team,gsis_id,full_name\nX,1,Ann\nX,1,Abe\nA,1,\nY,,Bo\nA,2,\nB,2,Cy\n"
+    )
     people = plays.players_from_roster(plays.read_roster(spark, str(tmp_path / "r.csv")))
-    assert rows(people, "gsis_id", "name", "team_id") == [("1", "Abe", "X"), (None, "Bo", "Y")]
+    assert rows(people, "gsis_id", "name", "team_id") == [
+        ("1", "Abe", "X"), ("2", "Cy", "B"), (None, "Bo", "Y"),
+    ]
 
 
 def test_weekly_box_files(spark, tmp_path, rows):
@@ -272,29 +346,43 @@ def _fresh(spark, yards, team_week=1):
 
 
 def test_weekly_update_publishes_only_healthy_data(spark, tmp_path):
-    rows_ = [play(passer="a1", passing_yards=50.0), play(rusher="b1", rushing_yards=30.0)]
+    rows_ = [play(passer="a1", passing_yards=50.0, week=3, posteam="ZZZ"),
+             play(passer="a1", passing_yards=10.0, week=9, posteam="BBB", epa=0.7),
+             play(rusher="b1", rushing_yards=30.0), play(rusher="b1", season=2024, rushing_yards=1.0)]
     pbp = spark.createDataFrame(rows_, PLAY_SCHEMA)
     roster = plays.read_roster(spark, str(tmp_path / "absent"))
-    season = str(tmp_path / "season_stats")
-    roots = {k: str(tmp_path / k) for k in ("passing", "rushing", "receiving", "team")}
+    root = str(tmp_path / "tables")
     bad, players = _fresh(spark, -5)
     with pytest.raises(RuntimeError, match="negative_rushing_yards"):
-        weekly.weekly_update(spark, pbp, roster, season, roots, bad, players)
-    assert not glob.glob(season)
+        weekly.weekly_update(spark, root, pbp, roster, 2025, bad, players)
+    assert tables.released(spark, root) == {}
+    with pytest.raises(RuntimeError, match="season_without_rows"):
+        weekly.weekly_update(spark, root, pbp, roster, 2030, _fresh(spark, 5)[0], players)
+    assert tables.released(spark, root) == {}
+    weekly.update_season(spark, root, pbp, roster, 2024)
     for yards in (40, 60):
         good, players = _fresh(spark, yards)
-        weekly.weekly_update(spark, pbp, roster, season, roots, good, players)
-        stored = tables.read_table(spark, roots["rushing"]).collect()
+        weekly.weekly_update(spark, root, pbp, roster, 2025, good, players)
+        stored = tables.read_released(spark, root, "rushing").collect()
         assert [(r["player_id"], r["rushing_yards"]) for r in stored] == [("a1", yards)]
-    stats = spark.read.parquet(season)
-    assert sorted((r["gsis_id"], r["fantasy_points"]) for r in stats.collect()) == [
-        ("a1", 2.0), ("b1", 3.0),
+    stats = tables.read_released(spark, root, "season_stats")
+    assert sorted((r["gsis_id"], r["season"], r["team_id"], r["fantasy_points"])
+                  for r in stats.collect()) == [
+        ("a1", 2025, "BBB", 0.4), ("a1", 2025, "ZZZ", 2.0), ("b1", 2024, "AAA", 0.1),
+        ("b1", 2025, "AAA", 3.0),
     ]
+    # The stored table still knows the latest team, and EPA as it was computed.
+    latest = roles.collapse_teams(stats).filter("gsis_id = 'a1'").first()
+    assert (latest["team_id"], latest["passing_epa"]) == ("BBB", 0.35)
     listed, _ = _fresh(spark, 80, team_week=2)
-    weekly.upsert_season_tables(spark, roots, listed, refresh_all=False)
-    row = tables.read_table(spark, roots["rushing"]).first()
+    weekly.upsert_season_tables(spark, root, listed, refresh_all=False)
+    row = tables.read_released(spark, root, "rushing").first()
     assert (row["rushing_yards"], row["yards_per_carry"]) == (80, 30.0)
     assert boxscore.PLAYER_SEASON == ["player_id", "season"]
+    # A season reloaded with nothing is empty afterwards, others stay.
+    weekly.update_season(spark, root, pbp.filter("false"), roster, 2025)
+    left = tables.read_released(spark, root, "season_stats").collect()
+    assert [(r["gsis_id"], r["season"]) for r in left] == [("b1", 2024)]
 
 
 def test_history_and_rebuild(spark):
@@ -316,12 +404,27 @@ def test_rebuild_all(spark, tmp_path):
     )
     roster = spark.createDataFrame([("a1", "Ann", "QB", "AAA")],
                                    "gsis_id string, full_name string, position string, team string")
-    names = ("players", "weekly_stats", "season_stats", "team_season_stats")
-    roots = {k: str(tmp_path / k) for k in names}
-    weekly.rebuild_all(spark, roster, None, pbp, roots)
-    got = {k: tables.read_table(spark, roots[k]) for k in names}
+    root = str(tmp_path / "tables")
+    weekly.rebuild_all(spark, root, roster, None, pbp)
+    got = {k: tables.read_released(spark, root, k)
+           for k in ("players", "weekly_stats", "season_stats", "team_season_stats")}
     assert got["players"].first()["name"] == "Ann"
     assert got["weekly_stats"].count() == 4
-    season = {r["gsis_id"]: r["passing_yards"] for r in got["season_stats"].collect()}
-    assert season == {"a1": 100, "w": 0}
-    assert got["team_season_stats"].first()["def_sacks_made"] == 2
+    season = {r["gsis_id"]: r for r in got["season_stats"].collect()}
+    assert {k: r["passing_yards"] for k, r in season.items()} == {"a1": 100, "w": 0}
+    a1 = season["a1"]
+    assert (a1["fantasy_points"], a1["last_week"], a1["weeks"], a1["sacks_taken"]) == (4.0, 2, 2, 2)
+    assert (a1["player_name"], a1["position"], season["w"]["position"]) == ("Ann", "QB", "UNK")
+    totals = {r["team_id"]: r for r in got["team_season_stats"].collect()}
+    assert totals["BBB"]["def_sacks_made"] == 2 and totals["AAA"]["off_sacks_allowed"] == 2
+    assert got["season_stats"].columns == [f.name for f in schemas.SEASON_STATS.fields]
+
+
+def test_rating_means_are_exact(spark):
+    weekly_rows = spark.createDataFrame(
+        [("a", "t", 2024, w, r) for w, r in enumerate((90.5, 91.0, 88.2, 90.1))],
+        "player_id string, team_id string, season int, week int, passer_rating double",
+    )
+    assert boxscore.box_passing(weekly_rows.withColumns(
+        {"completions": F.lit(1), "attempts": F.lit(2)}
+    )).first()["passer_rating"] == 89.95
