@@ -3,9 +3,9 @@
 The lexicon holds the terms whose document frequency lies within a band of the
 corpus (rare terms tell documents apart but do not survive edits; common ones say
 nothing). Its size is bounded by terms per document over the band's lower share,
-whatever the corpus, so it is broadcast. A document's distinct lexicon terms are
-sorted, and each of several randomised subsets of the lexicon gives one hash of the
-terms that it selects. Subsets come in two densities, so that short and long
+whatever the corpus, so it is broadcast. Each of several randomised subsets of the
+lexicon gives one hash of the distinct terms that it selects from a document, in
+whatever order they stand. Subsets come in two densities, so that short and long
 documents both have subsets that select a few of their terms.
 
 The likeness of two fingerprints is the share of equal hashes among the subsets that
@@ -68,33 +68,57 @@ def lexicon(texts, documents, band=BAND):
     return kept.select("term", mask.alias("mask")).unionByName(everywhere)
 
 
-def fingerprints(texts, terms, keys, carried=()):
-    """Fingerprint of each text. ``texts`` has the keys (naming a text), the text and
-    carried columns; ``terms`` is the written lexicon."""
+def fingerprints(texts, terms, keys, digest=False):
+    """Fingerprint of each text; ``terms`` is the written lexicon. With ``digest``
+    also the text's SHA-256, so that a text is put together only once.
+
+    A subset's terms are combined by exclusive or of their 64-bit hashes before they
+    are hashed again: like sorting, that makes the order of terms irrelevant, and it
+    keeps one number per subset in a text's row, not its list of terms.
+    """
     rows = texts.select(
-        *keys, *carried, F.xxhash64(F.lit(1), "text").alias("_whole"),
-        F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words("text")))).alias("_word"),
+        *keys, "text", F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words("text")))).alias("_word")
     )
     known = common.by_size(terms.withColumnRenamed("term", "_term"), terms.count(), BROADCAST_TERMS)
     own = F.col("_word") == ""
-    found = rows.withColumn("_term", F.xxhash64("_word")).join(known, "_term")
-    pair = F.when(~own, F.struct(F.col("_term").alias("term"), F.col("mask").alias("mask")))
-    grouped = found.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(pair)).alias("_terms"),
-        *[F.max(F.when(own, F.col(c))).alias(c) for c in [*carried, "_whole"]],
+    whole = {"_whole": F.xxhash64(F.lit(1), "text")}
+    if digest:
+        whole |= {f"_sha{k}": part for k, part in enumerate(_digest_parts(F.sha2("text", 256)))}
+    rows = rows.select(
+        *keys, F.xxhash64("_word").alias("_term"), (~own).alias("_is_term"),
+        # Once per text, on the row that stands for it.
+        *[F.when(own, value).alias(name) for name, value in whole.items()],
+    )
+    in_subset = F.col("_is_term") & (F.col("mask") != 0)
+    grouped = rows.join(known, "_term").groupBy(*keys).agg(
+        F.count_if("_is_term").alias("_terms"),
+        *[F.max(name).alias(name) for name in whole],
+        *[
+            F.bit_xor(F.when(in_subset & (F.col("mask").bitwiseAND(F.lit(1 << k)) != 0), F.col("_term")))
+            .alias(f"_s{k}")
+            for k, _ in _subsets()
+        ],
     )
 
     def subset_hash(k):
-        chosen = F.filter("_terms", lambda t: t["mask"].bitwiseAND(F.lit(1 << k)) != 0)
-        digits = F.lpad(F.hex(F.xxhash64(F.lit(k), chosen)), 16, "0")
-        return F.when(F.size(chosen) > 0, F.substring(digits, 1, 8))
+        digits = F.lpad(F.hex(F.xxhash64(F.lit(k), f"_s{k}")), 16, "0")
+        return F.when(F.col(f"_s{k}").isNotNull(), F.substring(digits, 1, 8))
 
     subset = F.array_join(F.array(*[subset_hash(k) for k, _ in _subsets()]), " ", "-")
-    whole = F.concat(F.lit("="), F.lpad(F.hex("_whole"), 16, "0"))
-    return grouped.select(
-        *keys, *carried,
-        F.when(F.size("_terms") >= MIN_TERMS, subset).otherwise(whole).alias("fingerprint"),
-    )
+    alone = F.concat(F.lit("="), F.lpad(F.hex("_whole"), 16, "0"))
+    shown = [F.when(F.col("_terms") >= MIN_TERMS, subset).otherwise(alone).alias("fingerprint")]
+    if digest:
+        shown.append(_digest_text([F.col(f"_sha{k}") for k in range(4)]).alias("sha"))
+    return grouped.select(*keys, *shown)
+
+
+def _digest_parts(digest):
+    """A hexadecimal SHA-256 as four signed numbers, which aggregate without sorting."""
+    return [F.conv(F.substring(digest, 16 * k + 1, 16), 16, -10).cast("long") for k in range(4)]
+
+
+def _digest_text(parts):
+    return F.lower(F.concat(*[F.lpad(F.hex(part), 16, "0") for part in parts]))
 
 
 def likeness(a, b):
@@ -174,8 +198,8 @@ def compare_edited(docs, band=BAND):
         "row_key", "place",
         F.concat(F.expr("left(text, length(text) - int(cut))"), "start").alias("text"),
     )
-    edited = edited.withColumn("sha", F.sha2("text", 256))
-    marked = fingerprints(edited, terms, ["place"], ("sha",)).withColumnRenamed("fingerprint", "other")
+    marked = fingerprints(edited, terms, ["place"], digest=True)
+    marked = marked.withColumnRenamed("fingerprint", "other")
     out = (
         order.join(own, "row_key")
         .join(own.toDF("next_key", "next_fingerprint"), "next_key")
