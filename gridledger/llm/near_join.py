@@ -202,6 +202,8 @@ def _sign_batches(trees, length):
             nodes = _node_ids(values, trees, length).view(np.int64)
             marks = (values & np.uint32(0xFF)).astype(np.uint8)
             keep = np.flatnonzero(worded)
+            if not len(keep):
+                continue
             yield pd.DataFrame(
                 {
                     "text_key": batch["text_key"].to_numpy()[keep],
