@@ -187,16 +187,17 @@ def compare_edited(docs, band=BAND):
     order = materialize(order.withColumn("cut", F.floor(F.col("n_chars") / 3)), "imatch-order")
     own = materialize(fingerprints(texts, terms, ["row_key"]), "imatch-own")
 
-    # The start of each text goes to the document before it, the whole text only to
-    # where the two are joined.
-    wanted = order.select(F.col("next_key").alias("row_key"), "place", "cut")
+    # The start of each text goes to the document before it, and of that one only
+    # what is kept goes to where the two are joined.
+    wanted = order.select(
+        F.col("next_key").alias("row_key"), F.col("row_key").alias("target"), "place", "cut"
+    )
     starts = texts.join(common.by_size(wanted, count), "row_key").select(
-        "place", F.expr("left(text, int(cut))").alias("start")
+        F.col("target").alias("row_key"), "place", F.expr("left(text, int(cut))").alias("start")
     )
-    starts = starts.join(order.select("place", "row_key", "cut"), "place")
-    edited = texts.select("row_key", "text").join(starts, "row_key").select(
-        "row_key", "place",
-        F.concat(F.expr("left(text, length(text) - int(cut))"), "start").alias("text"),
+    kept = F.expr("left(text, length(text) - int(length(text) div 3))")
+    edited = texts.select("row_key", kept.alias("kept")).join(starts, "row_key").select(
+        "place", F.concat("kept", "start").alias("text")
     )
     marked = fingerprints(edited, terms, ["place"], digest=True)
     marked = marked.withColumnRenamed("fingerprint", "other")

@@ -430,6 +430,8 @@ def one_per_group(docs, threshold=THRESHOLD, trees=TREES):
     if again.isEmpty():
         return out
     # Equal rows of which one stays.
+    key = common.fresh(docs, "row_key")
+    copies = common.keep_rows(docs, again, "left_semi").withColumn(key, common.row_key(docs))
     return common.keep_rows(out, again, "left_anti").unionByName(
-        common.keep_rows(docs, again, "left_semi").dropDuplicates()
+        copies.dropDuplicates([key]).drop(key)
     )
