@@ -19,6 +19,8 @@ MAX_RANGES = 4096
 #: Range a total order aims at, while there are fewer than MAX_RANGES ranges.
 ROWS_PER_RANGE = 2_000
 SAMPLES_PER_RANGE = 64
+#: Rows of an Arrow batch that Python looks at together.
+SLICE_ROWS = 250
 
 
 def read(spark, sf_dir, table):
@@ -205,6 +207,13 @@ def blocked(members, group, key, size):
     ).drop("_blocks", "_block", "_other")
 
 
+def slices(batches, rows=SLICE_ROWS):
+    """Arrow batches in pieces, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def sorted_groups(batches, key):
     """Pandas batches sorted by a key, as (key, frame) per group; only one group
     and one batch are held."""

@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
+from gridledger.llm.common import slices
 from gridledger.llm.html_dom import Page
 from gridledger.llm.html_training import MARK, training_pages
 
@@ -150,18 +151,15 @@ def extract(pages, trees):
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            htmls = batch.column("html")
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = main_texts(htmls.slice(at, 500).to_pylist(), trees)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                    ],
-                    ["page_id", "url", "text", "n_chars"],
-                )
+        for batch in slices(batches):
+            texts = main_texts(batch.column("html").to_pylist(), trees)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                ],
+                ["page_id", "url", "text", "n_chars"],
+            )
 
     return pages.select("page_id", "url", "html").mapInArrow(
         run, f"page_id {kind}, url string, text string, n_chars bigint"

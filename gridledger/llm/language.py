@@ -22,9 +22,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
+from gridledger.llm.common import slices
 
 #: Bounds of the training sample: documents and characters per language.
 SAMPLE_DOCS = 400
+OVERSAMPLING = 8
 SAMPLE_CHARS = 2_000
 DICTIONARY_BYTES = 112_640
 #: Bytes of a text compressed at a time; all blocks count.
@@ -57,8 +59,14 @@ def train(docs, sample_docs=SAMPLE_DOCS, sample_chars=SAMPLE_CHARS, size=DICTION
     labelled = labelled.select(
         common.row_key(docs).alias("row_key"), "lang", "text", F.xxhash64("doc_id").alias("draw")
     )
+    # A few times as many rows as are wanted reach the window, however many there are.
+    # The counts are one row per language, and the driver holds a dictionary for each.
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    likely = F.lit(float(OVERSAMPLING * sample_docs)) / F.col("rows")
+    drawn = labelled.select("row_key", "lang", "draw").join(F.broadcast(counts), "lang")
+    drawn = drawn.filter(common.unit(F.col("draw")) < likely)
     order = Window.partitionBy("lang").orderBy("draw", "row_key")
-    numbered = labelled.select("row_key", "lang", "draw").withColumn("n", F.row_number().over(order))
+    numbered = drawn.withColumn("n", F.row_number().over(order))
     chosen = numbered.filter(F.col("n") <= sample_docs).select("row_key").distinct()
     texts = (
         labelled.join(F.broadcast(chosen), "row_key")
@@ -124,7 +132,7 @@ def predict(docs, dictionaries):
 
     def label(batches):
         classify = classifier(dictionaries)
-        for batch in batches:
+        for batch in slices(batches):
             found = [classify(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -148,7 +156,7 @@ def accepted(docs, dictionaries, reject=REJECT):
 
     def keep(batches):
         classify = classifier(dictionaries)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             clear = [classify(t)[1] >= reject for t in texts]
             yield batch.filter(pa.array(clear, pa.bool_()))

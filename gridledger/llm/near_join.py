@@ -28,10 +28,11 @@ as copies; an empty table gives no rows; extra columns are kept by
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
-from gridledger.llm.common import joined_sets, sorted_groups
+from gridledger.llm.common import joined_sets, slices, sorted_groups
 from gridledger.sources.tables import materialize
 
 SHINGLE = 5
@@ -48,7 +49,7 @@ BLOCK = 512
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 #: Shingles hashed at a time.
-_CHUNK_BYTES = 4_000_000
+_CHUNK_BYTES = 1_000_000
 
 
 def prefix_length(threshold=THRESHOLD, trees=TREES, depth=DEPTH, target=TARGET_RECALL):
@@ -195,21 +196,24 @@ def _node_ids(values, trees, length):
 
 
 def _sign_batches(trees, length):
+    kinds = pa.schema(
+        [("text_key", pa.int64()), ("nodes", pa.list_(pa.int64())), ("marks", pa.binary())]
+    )
+
     def sign(batches):
-        for batch in batches:
-            texts = [t.encode() for t in batch["text"]]
+        for batch in slices(batches):
+            texts = [t.encode() for t in batch.column("text").to_pylist()]
             worded, values = signatures(texts, trees * length)
             nodes = _node_ids(values, trees, length).view(np.int64)
             marks = (values & np.uint32(0xFF)).astype(np.uint8)
             keep = np.flatnonzero(worded)
-            if not len(keep):
-                continue
-            yield pd.DataFrame(
-                {
-                    "text_key": batch["text_key"].to_numpy()[keep],
-                    "nodes": [nodes[i] for i in keep],
-                    "marks": [marks[i].tobytes() for i in keep],
-                }
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("text_key").take(pa.array(keep)),
+                    pa.array([nodes[i] for i in keep], kinds.field("nodes").type),
+                    pa.array([marks[i].tobytes() for i in keep], pa.binary()),
+                ],
+                schema=kinds,
             )
 
     return sign
@@ -350,7 +354,7 @@ def verified(docs, threshold=THRESHOLD, trees=TREES):
     ).filter("text is not null")
     rows = materialize(keyed.drop("text"), "near-rows")
     length = prefix_length(threshold, trees)
-    signed = keyed.select("text_key", "text").mapInPandas(
+    signed = keyed.select("text_key", "text").mapInArrow(
         _sign_batches(trees, length), "text_key bigint, nodes array<bigint>, marks binary"
     )
     signed = materialize(signed.dropDuplicates(["text_key"]), "near-signed")

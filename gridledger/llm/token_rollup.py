@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
+from gridledger.llm.common import slices
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
 VOCABULARIES = "/opt/tokenizers"
@@ -75,7 +76,7 @@ def counts(docs, folder=VOCABULARIES):
 
     def tokens(batches):
         count = byte_bpe(folder)
-        for batch in batches:
+        for batch in slices(batches):
             found = pa.array([count(t) for t in batch.column("text").to_pylist()], pa.int64())
             kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
+from gridledger.llm.common import slices
 from gridledger.session import scratch_dir
 from gridledger.sources.tables import materialize
 
@@ -150,7 +151,7 @@ def _write_partition(folder, date, most):
             out.close()
             done.append((f"{folder}/{name}", size, records))
 
-        for batch in batches:
+        for batch in slices(batches):
             for row in batch.to_pylist():
                 if out is None:
                     name, size, records = f"{uuid.uuid4().hex}.warc.gz", 0, 0
