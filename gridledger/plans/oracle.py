@@ -327,7 +327,7 @@ FROM plays WHERE receiver_player_id IS NOT NULL AND posteam IS NOT NULL GROUP BY
     shown = ", ".join(f"round({c}, 9) AS {c}" for c in SEASON_MEANS)
     sql["season_table"] = seasons + f" SELECT * REPLACE ({shown}) FROM season_rows"
     joined_means = ", ".join(
-        f"round(sum({c} * weeks) / sum(weeks), 9) AS {c}" for c in SEASON_MEANS
+        f"round(sum({c} * weeks) / sum(weeks), 11) AS {c}" for c in SEASON_MEANS
     )
     sql["collapsed_season_table"] = seasons + f""", totals AS (
   SELECT gsis_id, season,
