@@ -18,6 +18,7 @@ import base64
 import uuid
 
 import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gridledger.llm import common
@@ -91,30 +92,28 @@ def counts(docs, folder=VOCABULARIES):
 
 
 def signed(rows, tokens, tokenizer, sign):
-    """Change rows of one tokenizer version: sign 1 inserts, -1 deletes."""
+    """Change rows of one tokenizer version: sign 1 inserts, -1 deletes; a column of
+    other numbers inserts or deletes as many."""
+    sign = sign if isinstance(sign, Column) else F.lit(sign)
     return rows.select(
         "source", "lang", F.lit(tokenizer).alias("tokenizer"),
-        F.lit(sign).cast("long").alias("documents"),
-        (F.lit(sign) * tokens).cast("long").alias("tokens"),
+        sign.cast("long").alias("documents"),
+        (sign * tokens).cast("long").alias("tokens"),
     )
 
 
 def changes(before, after, tokenizer):
     """Signed rows that lead from one snapshot (doc_id, source, lang, tokens) to
-    another: inserts, deletes and revised counts; unchanged documents give none."""
-    names = ("source", "lang", "tokens")
-    old = before.select("doc_id", *[F.col(n).alias(f"old_{n}") for n in names], F.lit(True).alias("was"))
-    new = after.select("doc_id", *names, F.lit(True).alias("now"))
-    both = old.join(new, "doc_id", "full_outer")
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"old_{n}"))
-    moved = both.filter(F.col("was").isNull() | F.col("now").isNull() | ~same)
-    gone = moved.filter("was").select(*[F.col(f"old_{n}").alias(n) for n in names])
-    come = moved.filter("now").select(*names)
-    return signed(gone, F.col("tokens"), tokenizer, -1).unionByName(
-        signed(come, F.col("tokens"), tokenizer, 1)
+    another: inserts, deletes and revised counts; unchanged documents give none.
+
+    Equal lines of both snapshots cancel by their number, so that repeated and NULL
+    ids count each."""
+    line = ("doc_id", "source", "lang", "tokens")
+    both = before.select(*line, F.lit(-1).cast("long").alias("sign")).unionByName(
+        after.select(*line, F.lit(1).cast("long").alias("sign"))
     )
+    moved = both.groupBy(*line).agg(F.sum("sign").alias("sign")).filter("sign <> 0")
+    return signed(moved, F.col("tokens"), tokenizer, F.col("sign"))
 
 
 def commit(root, batch_id, rows):

@@ -547,6 +547,16 @@ def test_rollup_of_changes(spark, tmp_path):
         before = frame
 
 
+def test_changes_of_repeated_and_missing_ids(spark):
+    schema = "doc_id bigint, source string, lang string, tokens bigint"
+    before = [(1, "a", "en", 5)] * 3 + [(None, "a", None, 2)] * 2 + [(2, "a", "en", 1)]
+    after = [(1, "b", "en", 5)] * 2 + [(None, "a", None, 2)] * 2 + [(1, "a", "en", 5)]
+    rows = token_rollup.changes(*(spark.createDataFrame(x, schema) for x in (before, after)), "v1").collect()
+    assert sorted(tuple(r) for r in rows) == [
+        ("a", "en", "v1", -2, -10), ("a", "en", "v1", -1, -1), ("b", "en", "v1", 2, 10),
+    ]
+
+
 def test_rollup_of_nothing(spark, empty, tmp_path):
     counted = token_rollup.counts(empty)
     root = str(tmp_path / "rollup")

@@ -58,6 +58,22 @@ def test_op9_totals(spark):
     assert len(rows) == 2 * len(words)
 
 
+def test_op9_deletes_and_moves(spark, monkeypatch):
+    commit, net = queries.token_rollup.commit, {}
+
+    def watched(root, batch, rows):
+        net[batch] = {tuple(r)[:3]: r["n"] for r in rows.groupBy("source", "lang", "tokenizer").agg({"documents": "sum"}).toDF("source", "lang", "tokenizer", "n").collect()}
+        commit(root, batch, rows)
+
+    monkeypatch.setattr(queries.token_rollup, "commit", watched)
+    queries.QUERIES["op9_token_rollup"](spark, SF_DIR)
+    count = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert sum(net["load"].values()) == 2 * 2 * count
+    assert sum(net["count"].values()) == -2 * count
+    assert any(n > 0 for n in net["count"].values())
+    assert any(source == lang for source, lang, _ in net["load"]) and any(lang is None for _, lang, _ in net["load"])
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     benchmark = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
