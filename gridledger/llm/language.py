@@ -50,8 +50,8 @@ def fold(doc_id="doc_id"):
 def train(docs, sample_docs=SAMPLE_DOCS, sample_chars=SAMPLE_CHARS, size=DICTIONARY_BYTES):
     """Language -> dictionary bytes, from the labelled documents outside fold 0.
 
-    Per language the ``sample_docs`` documents first by a hash of their id; the
-    driver holds at most that many texts of ``sample_chars`` characters for each.
+    Per language the ``sample_docs`` different documents first by a hash of their id;
+    the driver holds at most that many texts of ``sample_chars`` characters for each.
     """
     docs = common.with_columns(docs, {"doc_id": "bigint", "text": "string", "lang": "string"})
     labelled = docs.filter("text is not null and lang is not null and doc_id is not null")
@@ -59,18 +59,21 @@ def train(docs, sample_docs=SAMPLE_DOCS, sample_chars=SAMPLE_CHARS, size=DICTION
     labelled = labelled.select(
         common.row_key(docs).alias("row_key"), "lang", "text", F.xxhash64("doc_id").alias("draw")
     )
+    # Equal rows share a key and are one row, or one text could take all places.
     # A few times as many rows as are wanted reach the window, however many there are.
     # The counts are one row per language, and the driver holds a dictionary for each.
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    different = labelled.select("row_key", "lang", "draw").dropDuplicates(["row_key"])
+    counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     likely = F.lit(float(OVERSAMPLING * sample_docs)) / F.col("rows")
-    drawn = labelled.select("row_key", "lang", "draw").join(F.broadcast(counts), "lang")
+    drawn = different.join(F.broadcast(counts), "lang")
     drawn = drawn.filter(common.unit(F.col("draw")) < likely)
     order = Window.partitionBy("lang").orderBy("draw", "row_key")
     numbered = drawn.withColumn("n", F.row_number().over(order))
-    chosen = numbered.filter(F.col("n") <= sample_docs).select("row_key").distinct()
+    chosen = numbered.filter(F.col("n") <= sample_docs).select("row_key")
     texts = (
         labelled.join(F.broadcast(chosen), "row_key")
-        .select("lang", "draw", F.substring("text", 1, sample_chars).alias("text"))
+        .select("row_key", "lang", F.substring("text", 1, sample_chars).alias("text"))
+        .dropDuplicates(["row_key"])
         .collect()
     )
     by_language = {}

@@ -484,6 +484,22 @@ def test_language_learns_from_labels_outside_fold_only(spark):
     assert {r["lang_pred"] for r in language.predict(docs, dictionaries).collect()} == {"xx", "und"}
 
 
+def test_language_sample_of_repeated_rows(spark, monkeypatch):
+    learned = []
+    words = language._words
+    monkeypatch.setattr(language, "_words", lambda text: learned.append(text) or words(text))
+    rows = [(k, f"alpha{'abcdefghij'[k % 10]} beta {k} " * 3, "xx", "s", 1) for k in range(200)]
+    for repeated in (rows[1], rows[2], rows[3]):  # whichever of them is held out, others are not
+        learned.clear()
+        docs = spark.createDataFrame(rows + [repeated] * 3000, DOC_SCHEMA)
+        language.train(docs, sample_docs=20)
+        assert len(learned) == len(set(learned)) == 20
+    one = spark.createDataFrame([(k, f"text {k}", "xx", "s", 1) for k in (1, 2, 3)] * 500, DOC_SCHEMA)
+    learned.clear()
+    language.train(one)
+    assert 1 <= len(learned) <= 3 and len(set(learned)) == len(learned)
+
+
 def test_language_of_nothing(spark, empty):
     assert language.train(empty) == {}
     assert language.predict(empty, {}).count() == 0
