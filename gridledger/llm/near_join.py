@@ -1,15 +1,18 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
+"""N-gram Jaccard self-join by banded MinHash LSH with exact verification.
 
 Texts are lower-cased (A-Z), cut into words and taken as sets of five-word
 shingles; a text of fewer words is one shingle. Two texts are linked when the
 Jaccard similarity of their sets is at least the threshold.
 
-1. Signatures, one pass over the texts: TREES sorted label sequences of DEPTH
-   MinHash values, each a path in a prefix trie.
-2. The matched prefix is shortened from DEPTH until the recall at the threshold,
-   1 - (1 - threshold ** length) ** TREES, reaches the target. Documents that meet
-   in a node of that depth are candidates. Nodes with the same members in several
-   trees are one.
+1. Signatures, one pass over the texts: TREES bands (called trees) of MinHash
+   values, all of one length.
+2. The length is fixed before any data is seen: the longest up to DEPTH at which the
+   recall at the threshold, 1 - (1 - threshold ** length) ** TREES, reaches the
+   target; five at the defaults. Documents that agree in a whole band (a node) are
+   candidates. Bands that hold the same members in several trees are one. This is no
+   LSH forest: no deeper prefix is signed or searched first. The links asked for are
+   all above one threshold, for which the recall is known from length and number of
+   bands alone, so that deeper levels would only find again what this one finds.
 3. In every node, members whose signatures agree clearly less often than the
    threshold asks for are told apart (the slack makes a loss less likely than
    1e-8), and the rest joined to loose groups by connected components.
