@@ -10,6 +10,7 @@ from gridledger.llm import (
     language,
     mixing,
     near_join,
+    periodic,
     sharding,
     token_rollup,
     urls,
@@ -117,6 +118,38 @@ def op10_warc(spark, sf_dir):
     )
 
 
+def with_planted_runs(docs):
+    """Texts of which one in ten, by the CRC-32 of the id, repeats a period of its own
+    words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, n, a, p = F.col("_words"), F.col("_n"), F.col("_a"), F.col("_p")
+    block = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(block, F.lit(1), n - a)), " ")
+    pattern = F.lit(f"({mixing.WORD})")
+    return (
+        docs.withColumn("_words", F.when(h % 10 == 0, F.regexp_extract_all("text", pattern, F.lit(1))))
+        .withColumns({"_n": F.size("_words"), "_g": F.floor(h / 10)})
+        .withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+        .withColumn("_p", (1 + F.floor((n - a) / (3 + F.col("_g") % 8))).cast("int"))
+        .withColumn("text", F.when(n > 0, changed).otherwise(F.col("text")))
+        .drop("_words", "_n", "_g", "_a", "_p")
+    )
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    docs = with_planted_runs(common.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.detect(docs).withColumn("best", periodic.strongest(F.col("runs")))
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.call_function("div", 1000 * best["length"], best["period"]).alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 # --- SQL --------------------------------------------------------------------
 
 _MIX = """
