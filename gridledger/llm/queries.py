@@ -8,6 +8,7 @@ from gridledger.llm import (
     html_text,
     imatch,
     language,
+    line_runs,
     mixing,
     near_join,
     periodic,
@@ -150,6 +151,12 @@ def op11_periodic_runs(spark, sf_dir):
     )
 
 
+@query
+def op12_line_dedup(spark, sf_dir):
+    marked = line_runs.marked(common.read(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # --- SQL --------------------------------------------------------------------
 
 _MIX = """
@@ -237,10 +244,30 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM first
 """
 
+_LINES = """
+WITH line AS (
+  SELECT doc_id, unnest(range(1, len(l) + 1)) AS n, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.doc_id, k.n, k.line, c.key IS NOT NULL AND k.doc_id <> c.keeper AS gone
+  FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 #: The others are tested against brute force: SQL has no CRC-32, xxHash, zstandard,
 #: trees, regression or tokenizer, and no union of overlapping pairs that ends.
 SQL = {
     "op2_source_mix": _MIX,
     "op5_decontamination": _CONTAMINATION,
     "op10_warc": _WARC,
+    "op12_line_dedup": _LINES,
 }
