@@ -19,6 +19,8 @@ MAX_RANGES = 4096
 #: Range a total order aims at, while there are fewer than MAX_RANGES ranges.
 ROWS_PER_RANGE = 2_000
 SAMPLES_PER_RANGE = 64
+#: Keys with more than one row in so many are hot; there are at most so many of them.
+HOT_SHARE = 2_000
 #: Rows of an Arrow batch that Python looks at together.
 SLICE_ROWS = 250
 
@@ -71,6 +73,21 @@ def by_size(keys, rows, most=BROADCAST_ROWS):
     return F.broadcast(keys) if rows <= most else keys
 
 
+def lookup(rows, table, keys, weight, total):
+    """Written rows left-joined with a table of unique keys, also where very many rows
+    ask for one key: keys whose ``weight`` (rows that ask for them) is at least a
+    HOT_SHARE-th of the total are broadcast, which are HOT_SHARE at most; the others
+    are joined by a shuffle. The weight is dropped."""
+    values = [c for c in table.columns if c not in (*keys, weight)]
+    hot_from = total / HOT_SHARE
+    hot = table.filter(F.col(weight) >= hot_from).select(*keys, F.struct(*values).alias("_hot"))
+    rest = table.filter(F.col(weight) < hot_from).select(*keys, *values)
+    met = rows.join(F.broadcast(hot), keys, "left")
+    found = met.filter("_hot is not null").select(*rows.columns, *[f"_hot.{v}" for v in values])
+    others = met.filter("_hot is null").select(*rows.columns).join(rest, keys, "left")
+    return found.unionByName(others.select(*rows.columns, *values))
+
+
 def keep_rows(docs, keys, how):
     """Rows of docs whose row key is (left_semi) or is not (left_anti) in the
     written one-column table ``keys``; columns as in docs."""

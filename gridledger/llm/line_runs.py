@@ -14,8 +14,8 @@ of the next, so there are few runs and a key is written again once per level onl
 After the last batch, the counts tell the frequent keys, and the runs their keeper.
 
 A very common line is one row per task and batch when counted. Where lines meet the
-frequent keys, the keys with more than a HOT_SHARE-th of all lines (so at most
-HOT_SHARE of them) are broadcast, and no other key is large. Texts are put together
+frequent keys, the keys with more than a common.HOT_SHARE-th of all lines (so at most
+common.HOT_SHARE of them) are broadcast, and no other key is large. Texts are put together
 from the stretches between dropped lines, in time that grows with the text alone.
 
 Defined cases: a NULL or empty text is one empty line; rows with one id are one
@@ -37,7 +37,6 @@ LEAST_DOCS = 3
 #: Batches a whole table is taken in, and runs of a level that are compacted.
 BATCHES = 4
 FANOUT = 2
-HOT_SHARE = 2_000
 #: Dropped line numbers are broadcast up to this many bytes.
 BROADCAST_BYTES = 32_000_000
 HASH = ["h1", "h2"]
@@ -216,7 +215,7 @@ def dropped_lines(docs, batches=BATCHES, least_chars=LEAST_CHARS, least_docs=LEA
         index.add(f"batch-{number}", lines.filter(inside))
     frequent = materialize(index.frequent(least_docs), "lines-keepers").drop("n_docs")
     index.close()
-    hot_from = lines.count() / HOT_SHARE
+    hot_from = lines.count() / common.HOT_SHARE
     hot = frequent.filter(F.col("n_lines") >= hot_from)
     rest = frequent.filter(F.col("n_lines") < hot_from).drop("n_lines")
     met = lines.join(F.broadcast(hot), HASH, "left")

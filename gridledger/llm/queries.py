@@ -12,6 +12,7 @@ from gridledger.llm import (
     mixing,
     near_join,
     periodic,
+    prefix_trie,
     sharding,
     token_rollup,
     urls,
@@ -157,6 +158,34 @@ def op12_line_dedup(spark, sf_dir):
     return marked.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: The rebuilt conversations take up to so many turns of another one, of a hundred ids.
+MOST_GIVEN, GIVEN_EVERY = 5, 100
+
+
+def rebuilt(turns):
+    """Hashed turns with the first h of each conversation replaced by those of the
+    conversation that its hundred of ids starts with; h is taken from the id."""
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (MOST_GIVEN + 1)
+    head = F.col("conv_id") - F.col("conv_id") % GIVEN_EVERY
+    rows = prefix_trie.numbered(turns)
+    said = ["t1", "t2", "n_chars"]
+    own = rows.filter(F.col("number") > h).select("conv_id", F.col("number").alias("turn"), *said)
+    heads = rows.filter((F.col("conv_id") == head) & (F.col("number") <= MOST_GIVEN))
+    heads = heads.select(F.col("conv_id").alias("_head"), "number", *said)
+    # At most MOST_GIVEN turns a head, and a hundred ids on either side of zero.
+    ids = rows.select("conv_id").distinct().withColumn("_head", head)
+    given = ids.join(heads, "_head").filter(F.col("number") <= h).select(
+        "conv_id", (F.col("number") - 1 - MOST_GIVEN).alias("turn"), *said
+    )
+    return own.unionByName(given)
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    turns = common.read(spark, sf_dir, "conversations")
+    return prefix_trie.nodes(rebuilt(prefix_trie.digested(turns)), turns.select("conv_id"))
+
+
 # --- SQL --------------------------------------------------------------------
 
 _MIX = """
@@ -263,6 +292,55 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+_CRC32 = (
+    "(xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, "
+    "list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+    "lambda acc, c: list_reduce(list_prepend(xor(acc, c), range(8)), "
+    "lambda v, bit: xor(v >> 1, 3988292384 * (v & 1))))))"
+)
+
+_TRIE = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS head, {_CRC32.format('conv_id')} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), said AS (
+  SELECT c.conv_id, 0 AS part, o.n, o.role, o.text
+  FROM conv c JOIN own o ON o.conv_id = c.head AND o.n <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.n, o.role, o.text FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.n > c.h
+), seq AS (
+  SELECT c.conv_id, coalesce(s.turns, []) AS turns FROM conv c LEFT JOIN (
+    SELECT conv_id, list(to_json([role, text])::VARCHAR ORDER BY part, n) AS turns FROM said GROUP BY conv_id
+  ) s ON s.conv_id = c.conv_id
+), member AS (
+  SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM seq
+), node AS (
+  SELECT turns[:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len(turns)) AS ends
+  FROM member GROUP BY ALL
+), child AS (
+  SELECT path[:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL
+), own_sums AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(json_extract_string(n.path[-1], '$[1]')) END AS saved
+  FROM node n LEFT JOIN child c ON n.path = c.path
+), above AS (
+  SELECT path[:d] AS path, saved, n_children FROM (
+    SELECT path, saved, n_children, unnest(range(depth + 1)) AS d FROM own_sums)
+), sums AS (
+  SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY path
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves,
+  s.saved_tokens, sha256(coalesce(o.ends, '')) AS ends_sha256
+FROM own_sums o JOIN sums s ON o.path = s.path
+LEFT JOIN node p ON o.depth > 0 AND p.path = o.path[:o.depth - 1]
+"""
+
 #: The others are tested against brute force: SQL has no CRC-32, xxHash, zstandard,
 #: trees, regression or tokenizer, and no union of overlapping pairs that ends.
 SQL = {
@@ -270,4 +348,5 @@ SQL = {
     "op5_decontamination": _CONTAMINATION,
     "op10_warc": _WARC,
     "op12_line_dedup": _LINES,
+    "op13_prefix_trie": _TRIE,
 }
