@@ -23,12 +23,22 @@ SAMPLES_PER_RANGE = 64
 HOT_SHARE = 2_000
 #: Rows of an Arrow batch that Python looks at together.
 SLICE_ROWS = 250
+#: Bytes of an Arrow batch, where the session does not bound them itself.
+BATCH_BYTES = 8_000_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def bound_batches(spark):
+    """Bound the bytes of the session's Arrow batches, if they are not: rows alone say
+    little about whole texts."""
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) >= 2**31 - 1:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def fresh(df, *stems):
     """Column names like the stems that the frame does not have yet."""
     taken = {c.lower() for c in df.columns}

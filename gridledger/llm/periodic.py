@@ -162,6 +162,7 @@ def _detected(texts: pa.Array) -> pa.Array:
 def detect(docs, text="text"):
     """Docs with ``runs`` (array of start, length and period in words) and
     ``collapsed`` (the text without the repeats)."""
+    common.bound_batches(docs.sparkSession)
     docs = common.with_columns(docs, {text: "string"})
     looked = F.arrow_udf(_detected, FOUND)
     new = [c if c not in docs.columns else common.fresh(docs, c) for c in ("runs", "collapsed")]
