@@ -1,8 +1,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from gridledger.operators import answers, corpus, linking, names, questions
+from gridledger.operators import answers, corpus, linking, membership, names, questions
 from gridledger.plans import chat
 
 PLAYERS = [
@@ -112,15 +113,53 @@ def test_linker(spark, kb):
     assert all(r["name"] == names_of.get(r["gsis_id"]) for r in linked)
 
 
-def test_linking_carries_no_text(spark):
-    def parts(length):
-        texts = spark.createDataFrame([(1, "abcdefghij" * (length // 10))], "k int, lowered string")
-        return linking.parts_of(texts, "k")
-
-    assert parts(1000).columns == ["k", "part"]
-    sizes = [parts(n).count() for n in (1000, 2000, 4000)]
-    # In proportion to the text: a row per position, and ten characters per chunk.
-    assert sizes[1] < 2.1 * sizes[0] and sizes[2] < 2.1 * sizes[1]
+def test_linking_carries_candidates_only(spark, kb):
+    def places(text, wanted):
+        texts = spark.createDataFrame([(1, text)], "k int, lowered string")
+        return linking.parts_of(texts, "k", wanted, 4)
+
+    filler = "abcdefghij" * 4000
+    names = linking.index(kb)
+    wanted = lambda part: membership.may_contain(names.filter, F.xxhash64(part))
+    # No row per character leaves the scan, and none has more than the surrounding.
+    assert places(filler, wanted).count() < len(filler) / 20
+    found = places(filler[:-7] + " adoree jackson " + filler, lambda part: part == "adoree").collect()
+    assert [(r["part"], r["around"]) for r in found] == [("adoree", "abc adoree jac")]
+    every = places(filler, lambda part: F.lit(True))
+    assert every.filter("length(part) = 6").count() == len(filler) - 5
+    assert every.filter("length(around) > 14").count() == 0
+
+
+def test_linking_against_a_large_knowledge_base(spark):
+    names = [f"{a}{i}{b} {c}" for i in range(40) for a in ("jo", "al", "x") for b in ("", "y") for c in ("smith", "o'neal-long", "é")]
+    kb = spark.createDataFrame([(f"p{i}", n, float(i % 17)) for i, n in enumerate(names)], "gsis_id string, name string, fantasy_points double")
+    texts = [f"..{n}{'z' * (i % 3)} said {'w' * (i * 97 % 900)}" for i, n in enumerate(names)] + ["no one", "jo1"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "q_id int, text string")
+    ranked = sorted(range(len(names)), key=lambda i: (-float(i % 17), f"p{i}"))
+
+    def plain(text):
+        for test in (
+            lambda n: n in text, lambda n: n.split()[-1] in text.split(), lambda n: n.split()[0] in text.split(),
+        ):
+            for i in ranked:
+                if test(names[i]):
+                    return f"p{i}"
+
+    got = {r["q_id"]: r["gsis_id"] for r in linking.link_entities(frame, linking.index(kb)).collect()}
+    assert got == {k: plain(t) for k, t in enumerate(texts)}
+    assert {r["q_id"]: r["gsis_id"] for r in linking.link_entities(frame, kb).collect()} == got
+
+
+def test_membership(spark):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("key"))
+    row = membership.bitmap(keys, "key")
+    assert len(row.first()["words"]) == membership.BITS // 64
+    assert keys.filter(membership.may_contain(row, F.col("key"))).count() == 20_000
+    others = spark.range(1_000_000, 1_200_000).select(F.xxhash64("id").alias("key"))
+    passed = others.filter(membership.may_contain(row, F.col("key"))).count()
+    assert passed < 200_000 * 2 * membership.false_share(20_000) + 20
+    none = membership.bitmap(keys.limit(0), "key")
+    assert keys.filter(membership.may_contain(none, F.col("key"))).count() == 0
 
 
 ROUTED = {
