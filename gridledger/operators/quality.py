@@ -24,9 +24,12 @@ def null_names(players):
     return _issues(players, "null_names", F.col("name").isNull())
 
 
+def _stale(min_games):
+    return (F.col("passing_yards") == 0) & (F.col("games_played") > min_games)
+
+
 def stale_passers(season_passing, min_games=5):
-    stale = (F.col("passing_yards") == 0) & (F.col("games_played") > min_games)
-    return _issues(season_passing, "stale_passers", stale)
+    return _issues(season_passing, "stale_passers", _stale(min_games))
 
 
 def placeholder_names(players):
@@ -34,16 +37,51 @@ def placeholder_names(players):
     return _issues(players, "placeholder_names", missing)
 
 
+def _nameless():
+    return F.col("gsis_id").isNull() | F.col("team_id").isNull()
+
+
 def season_issues(season_stats, season):
     """A season table without rows of its season, or rows without a player or team."""
     own = season_stats.filter(F.col("season") == season)
     empty = own.agg((F.count(F.lit(1)) == 0).cast("long").alias("issues"))
-    nameless = F.col("gsis_id").isNull() | F.col("team_id").isNull()
     return empty.select(F.lit("season_without_rows").alias("check"), "issues").unionByName(
-        _issues(season_stats, "season_rows_without_key", nameless)
+        _issues(season_stats, "season_rows_without_key", _nameless())
     )
 
 
+# The same checks as aggregates, to be observed while a table is written.
+def negative_yards_metric():
+    return {"negative_rushing_yards": count_where(F.col("rushing_yards") < 0)}
+
+
+def stale_passers_metric(min_games=5):
+    return {"stale_passers": count_where(_stale(min_games))}
+
+
+def season_metrics(season):
+    """Rows of the season, and rows without a player or team."""
+    return {
+        "rows_of_season": count_where(F.col("season") == season),
+        "season_rows_without_key": count_where(_nameless()),
+    }
+
+
+def season_failures(metrics):
+    """season_metrics of a finished write as numbers of issues; no metrics, no rows."""
+    return {
+        "season_without_rows": int(not metrics.get("rows_of_season")),
+        "season_rows_without_key": metrics.get("season_rows_without_key", 0),
+    }
+
+
+def gate_observed(issues):
+    """Raise if any observed check (name -> number) found issues."""
+    failed = [f"{name}: {n}" for name, n in issues.items() if n]
+    if failed:
+        raise RuntimeError("data quality: " + "; ".join(failed))
+
+
 def quality_report(season_rushing, players, season_passing, min_games=5):
     """Number of issues per check."""
     checks = [
@@ -56,9 +94,7 @@ def quality_report(season_rushing, players, season_passing, min_games=5):
 
 def gate(report):
     """Raise if any check found issues; the report has one row per check."""
-    failed = [f"{r['check']}: {r['issues']}" for r in report.filter("issues > 0").collect()]
-    if failed:
-        raise RuntimeError("data quality: " + "; ".join(failed))
+    gate_observed({r["check"]: r["issues"] for r in report.filter("issues > 0").collect()})
 
 
 def null_zero_profile(df, columns):

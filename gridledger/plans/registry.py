@@ -860,15 +860,14 @@ def upsert_season(spark, sf_dir):
     root = scratch_dir(spark, "upsert_season")
     resolved = _resolved(spark, sf_dir, views.weekly_rushing(spark, sf_dir))
     half = resolved.filter("week <= 26 AND season < 2001")
-    tables.write_replace(boxscore.box_rushing(half, boxscore.PLAYER_SEASON), root)
-    merged = tables.upsert(
-        tables.read_table(spark, root),
-        boxscore.box_rushing(resolved, boxscore.PLAYER_SEASON),
-        boxscore.PLAYER_SEASON,
-        fv.RUSHING_UPDATES,
-    )
-    tables.write_replace(merged, root, keep=1)
-    return tables.read_table(spark, root)
+    for source in (half, resolved):
+        fresh = boxscore.box_rushing(source, boxscore.PLAYER_SEASON)
+        rows, _ = tables.merge_parts(
+            spark, root, "rushing", fresh, boxscore.PLAYER_SEASON, weekly.SEASON_PARTS, fv.RUSHING_UPDATES
+        )
+        tables.publish(spark, root, rows)
+    tables.prune(spark, root, keep=1)
+    return tables.read_current(spark, root, "rushing")
 
 
 @query
@@ -883,7 +882,7 @@ def upsert_player_week(spark, sf_dir):
     weekly.upsert_season_tables(
         spark, root, {"player_week": boxscore.player_weekly_rollup(by_week)}, refresh_all=False
     )
-    return tables.read_released(spark, root, "player_week")
+    return tables.read_current(spark, root, "player_week")
 
 
 # --- jobs ------------------------------------------------------------------
@@ -906,7 +905,7 @@ def rebuild_all_season(spark, sf_dir):
         spark, root, roster, history,
         new.withColumn("defteam", F.lit(None).cast("int")),
     )
-    return rounded(tables.read_released(spark, root, "season_stats"), *roles.SEASON_MEANS)
+    return rounded(tables.read_current(spark, root, "season_stats"), *roles.SEASON_MEANS)
 
 
 @query
@@ -919,7 +918,7 @@ def update_season(spark, sf_dir):
         weekly.update_season(spark, root, rows.filter("week % 2 = 0"), roster, season)
     weekly.update_season(spark, root, rows, roster, SEASON)
     weekly.update_season(spark, root, rows.filter("season <> 1999"), roster, SEASON_PAIR[0])
-    return rounded(tables.read_released(spark, root, "season_stats"), *roles.SEASON_MEANS)
+    return rounded(tables.read_current(spark, root, "season_stats"), *roles.SEASON_MEANS)
 
 
 @query
@@ -938,7 +937,7 @@ def weekly_update(spark, sf_dir):
             "rushing_yards", F.greatest("rushing_yards", F.lit(0))
         )
         weekly.weekly_update(spark, root, rows, people, SEASON, fresh, people)
-    return tables.read_released(spark, root, "rushing")
+    return tables.read_current(spark, root, "rushing")
 
 
 @query

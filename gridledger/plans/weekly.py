@@ -1,8 +1,8 @@
 """Weekly jobs: full rebuild, update of one season, box-score season tables.
 
-All jobs work on a folder of tables with one current release (``tables.publish``):
-they stage new versions, check them, and then publish all of them at once. A job
-that fails in between leaves the release as it was.
+All jobs work on a folder of stored tables: they stage the parts that they change,
+check them while they are written, and then publish all of them at once
+(``tables.publish``). A job that fails in between leaves everything as it was.
 """
 
 from pyspark.sql import functions as F
@@ -14,6 +14,10 @@ from gridledger.sources import tables
 from gridledger.sources.plays import players_from_roster
 
 
+#: What makes a part of a stored table: bytes written follow the seasons (weeks) touched.
+SEASON_PARTS, WEEK_PARTS = ("season",), ("season", "week")
+
+
 def rebuild_weekly(plays, history=None, with_points=True, extra=()):
     """The weekly table from plays, after any pre-aggregated history.
 
@@ -34,48 +38,40 @@ def season_rows(plays, roster):
     return clean.align(usage.season_table(weekly, roster), schemas.SEASON_STATS)
 
 
-def stage(spark, root, frames):
-    """Write versions of several tables; table -> version name."""
-    return {name: tables.stage_version(df, f"{root}/{name}") for name, df in frames.items()}
-
-
-def staged_tables(spark, root, versions):
-    return {n: tables.read_version(spark, f"{root}/{n}", v) for n, v in versions.items()}
-
-
 def rebuild_all(spark, root, roster, history, plays):
     """Rebuild players, weekly, season and team-defence tables from scratch.
 
     The weekly table is staged first, and the season table rolled up from the
     staged rows. Fumbles are kept beside the weekly columns for it.
     """
-    first = stage(
-        spark, root,
-        {
-            "players": players_from_roster(roster),
-            "weekly_stats": rebuild_weekly(plays, history, extra=["fumbles_lost"]),
-            "team_season_stats": clean.align(teams.team_season(plays), schemas.TEAM_SEASON_STATS),
-        },
+    weekly_rows = rebuild_weekly(plays, history, extra=["fumbles_lost"])
+    staged, _ = tables.stage(weekly_rows, root, "weekly_stats", SEASON_PARTS)
+    frames = {
+        "players": (players_from_roster(roster), ()),
+        "team_season_stats": (clean.align(teams.team_season(plays), schemas.TEAM_SEASON_STATS), SEASON_PARTS),
+    }
+    if staged:
+        weekly_rows = spark.read.schema(weekly_rows.schema).parquet(*[path for _, _, path, _ in staged])
+    seasons = clean.align(usage.season_table(weekly_rows, roster), schemas.SEASON_STATS)
+    frames["season_stats"] = (seasons, SEASON_PARTS)
+    for name, (df, by) in frames.items():
+        staged += tables.stage(df, root, name, by)[0]
+    tables.publish(spark, root, tables.replaced(spark, root, staged))
+
+
+def stage_season(spark, root, plays, roster, season):
+    """One season's rows, staged in place of what is stored of it, also by none; the
+    checks of what was written. Other seasons are neither read nor written."""
+    fresh = season_rows(plays.filter(F.col("season") == season), roster)
+    return tables.stage(
+        fresh, root, "season_stats", SEASON_PARTS, scope=[(season,)], metrics=quality.season_metrics(season)
     )
-    weekly = tables.read_version(spark, f"{root}/weekly_stats", first["weekly_stats"])
-    seasons = clean.align(usage.season_table(weekly, roster), schemas.SEASON_STATS)
-    tables.publish(spark, root, first | stage(spark, root, {"season_stats": seasons}))
-
-
-def season_replaced(spark, root, fresh, season):
-    """The stored season table with one season's rows replaced, also by none."""
-    try:
-        stored = tables.read_released(spark, root, "season_stats")
-    except FileNotFoundError:
-        return fresh
-    return stored.filter(F.col("season") != season).unionByName(fresh)
 
 
 def update_season(spark, root, plays, roster, season):
     """Rows of one season swapped into the season table; other seasons stay."""
-    fresh = season_rows(plays.filter(F.col("season") == season), roster)
-    replaced = season_replaced(spark, root, fresh, season)
-    tables.publish(spark, root, stage(spark, root, {"season_stats": replaced}))
+    staged, _ = stage_season(spark, root, plays, roster, season)
+    tables.publish(spark, root, staged)
 
 
 def box_season_tables(passing, rushing, receiving, players, squads, player_key, team_key):
@@ -93,50 +89,53 @@ def box_season_tables(passing, rushing, receiving, players, squads, player_key,
     }
 
 
-UPSERT_KEYS = {
-    "passing": (["player_id", "season"], fv.PASSING_UPDATES),
-    "rushing": (["player_id", "season"], fv.RUSHING_UPDATES),
-    "receiving": (["player_id", "season"], fv.RECEIVING_UPDATES),
-    "team": (["team_id", "season"], fv.TEAM_UPDATES),
-    "player_week": (["player_id", "team_id", "season", "week"], fv.PLAYER_WEEK_UPDATES),
+#: Keys, the columns the original job refreshes, and what makes a stored part.
+UPSERTS = {
+    "passing": (["player_id", "season"], fv.PASSING_UPDATES, SEASON_PARTS),
+    "rushing": (["player_id", "season"], fv.RUSHING_UPDATES, SEASON_PARTS),
+    "receiving": (["player_id", "season"], fv.RECEIVING_UPDATES, SEASON_PARTS),
+    "team": (["team_id", "season"], fv.TEAM_UPDATES, SEASON_PARTS),
+    "player_week": (["player_id", "team_id", "season", "week"], fv.PLAYER_WEEK_UPDATES, WEEK_PARTS),
 }
 
 
-def merged_tables(spark, root, fresh, refresh_all=True):
-    """Fresh tables merged into the released ones.
+def stage_merged(spark, root, fresh, refresh_all=True, metrics=None):
+    """Fresh tables merged into the stored ones, part by part: seasons (weeks) that
+    they have no row for are neither read nor written. Returns the rows for
+    ``tables.publish`` and the ``metrics`` asked for by table.
 
     The fresh tables are grouped by their keys, so nothing is checked twice.
     ``refresh_all=False`` only refreshes the columns the original job does and
     leaves the others as they were stored.
     """
-    out = {}
+    staged, seen = [], {}
     for name, df in fresh.items():
-        keys, listed = UPSERT_KEYS[name]
-        try:
-            stored = tables.read_released(spark, root, name)
-        except FileNotFoundError:
-            out[name] = df
-            continue
-        out[name] = tables.upsert(stored, df, keys, None if refresh_all else listed, check=False)
-    return out
+        keys, listed, by = UPSERTS[name]
+        rows, found = tables.merge_parts(
+            spark, root, name, df, keys, by, None if refresh_all else listed, check=False,
+            metrics=(metrics or {}).get(name),
+        )
+        staged += rows
+        seen |= found
+    return staged, seen
 
 
 def upsert_season_tables(spark, root, fresh, refresh_all=True):
     """Merge the fresh tables and publish them together."""
-    tables.publish(spark, root, stage(spark, root, merged_tables(spark, root, fresh, refresh_all)))
+    staged, _ = stage_merged(spark, root, fresh, refresh_all)
+    tables.publish(spark, root, staged)
 
 
 def weekly_update(spark, root, plays, roster, season, fresh, players):
     """One week's job: season rows from plays, season tables from box scores.
 
-    Everything is staged, then the staged files are checked, then one release
-    names all of them. Nothing is published if a check fails.
+    Everything is staged and checked by the same execution, then published at once.
+    Nothing is published if a check fails. What is stored was checked when it was
+    written; only the players are looked at for themselves.
     """
-    rows = season_rows(plays.filter(F.col("season") == season), roster)
-    frames = merged_tables(spark, root, fresh)
-    frames["season_stats"] = season_replaced(spark, root, rows, season)
-    versions = stage(spark, root, frames)
-    ready = staged_tables(spark, root, versions)
-    report = quality.quality_report(ready["rushing"], players, ready["passing"])
-    quality.gate(report.unionByName(quality.season_issues(ready["season_stats"], season)))
-    tables.publish(spark, root, versions)
+    checks = {"rushing": quality.negative_yards_metric(), "passing": quality.stale_passers_metric()}
+    staged, issues = stage_merged(spark, root, fresh, metrics=checks)
+    rows, seen = stage_season(spark, root, plays, roster, season)
+    nameless = quality.null_names(players).first()["issues"]
+    quality.gate_observed(issues | {"null_names": nameless} | quality.season_failures(seen))
+    tables.publish(spark, root, staged + rows)

@@ -1,22 +1,31 @@
-"""Stored tables: full replace, releases, partition swap, upsert, state, text lines."""
+"""Stored tables: parts and their current versions, partition swap, upsert, state, text lines.
 
+A stored table is a set of parts (a season, a week, or the whole table), each written by
+a plain Spark write into a folder of its own. One small Parquet table, ``versions``, says
+which folder is current: a job appends one file of rows to it, so that all tables and
+parts of the job change at once, and what it did not touch stays as it is. A write that
+was not published is in nobody's way. Jobs at the same time may publish different tables
+or parts; of one part the later row counts.
+"""
+
+import json
 import time
 import uuid
 
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridledger.operators.dims import unique_rows
 from gridledger.session import scratch_dir
 
-
-# Under a table's folder: one folder per write attempt, and one empty file per
-# finished version. The file is written last; an attempt without one is not there
-# for readers, so a crashed write is in nobody's way.
-_DATA, _FINISHED, _RELEASES = "data", "finished", "releases"
+_VERSIONS = "name string, part string, path string, fields string, at string"
+_PART = "_part"
+_WHOLE = ""
 
 
 def _folder(spark, path):
-    """(file system, path) for small listings and markers from the driver."""
+    """(file system, path), for listings and deletions from the driver."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
@@ -26,94 +35,117 @@ def _listed(spark, path):
     return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
 
-def _put(spark, path, text=""):
+def _delete(spark, path):
     fs, target = _folder(spark, path)
-    out = fs.create(target, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-
+    fs.delete(target, True)
 
-def _stamp():
-    """Sorts by time; two attempts never share one."""
-    return f"{time.time_ns():020d}-{uuid.uuid4().hex}"
 
-
-def stage_version(df, root, partition_by=()):
-    """Write the frame as a version that no reader sees yet; returns its name."""
-    name = _stamp()
-    writer = df.write.mode("errorifexists")
-    writer = writer.partitionBy(*partition_by) if partition_by else writer
-    writer.parquet(f"{root}/{_DATA}/{name}")
-    return name
+def _part_of(values):
+    return f"{_PART}={'-'.join(str(v) for v in values)}"
 
 
-def write_replace(df, root, partition_by=(), keep=None):
-    """Write the frame as the next version of the table; readers of the old
-    version are not disturbed, and the frame may read that version itself.
+def stage(df, root, name, by=(), scope=(), metrics=None):
+    """Write the frame's parts where no reader looks yet.
 
-    ``keep`` deletes all but so many finished versions afterwards, and attempts
-    older than those.
+    ``by`` are the columns that make a part; ``scope`` are the parts (tuples of values)
+    that were reloaded, which are gone if the frame has no row for them. Returns the
+    rows for ``publish`` and the ``metrics`` (name -> aggregate) of what was written,
+    gathered by the same execution.
     """
-    spark = df.sparkSession
-    name = stage_version(df, root, partition_by)
-    _put(spark, f"{root}/{_FINISHED}/{name}")
-    if keep is not None:
-        prune(spark, root, keep)
-    return f"{root}/{_DATA}/{name}"
+    spark, path = df.sparkSession, f"{root}/{name}/{uuid.uuid4().hex}"
+    fields, seen = df.schema.json(), Observation()
+    if metrics:
+        df = df.observe(seen, *[metric.alias(key) for key, metric in metrics.items()])
+    if by:
+        part = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in by])
+        df.withColumn(_PART, part).hint("rebalance", F.col(_PART)).write.partitionBy(_PART).parquet(path)
+        parts = [p for p in _listed(spark, path) if p.startswith(f"{_PART}=")]
+    else:
+        df.write.parquet(path)
+        parts = [_WHOLE]
+    rows = [(name, part, f"{path}/{part}", fields) for part in parts]
+    rows += [(name, _part_of(s), None, fields) for s in scope if _part_of(s) not in parts]
+    return rows, seen_metrics(seen) if metrics else {}
+
+
+def seen_metrics(observation):
+    """The metrics of a finished write; none if its plan turned out to be empty."""
+    try:
+        return observation.get
+    except Exception as missing:
+        # An empty plan is cut away together with its observation.
+        if "assertion failed" not in str(missing):
+            raise
+        return {}
 
 
-def read_version(spark, root, name):
-    return spark.read.parquet(f"{root}/{_DATA}/{name}")
+def publish(spark, root, rows):
+    """Make staged parts the current ones, all at once."""
+    if rows:
+        at = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        listed = spark.createDataFrame([(*row, at) for row in rows], _VERSIONS)
+        listed.coalesce(1).write.mode("append").parquet(f"{root}/versions")
 
 
-def read_table(spark, root):
-    """The latest finished version."""
-    versions = _listed(spark, f"{root}/{_FINISHED}")
-    if not versions:
-        raise FileNotFoundError(f"no finished version under {root}")
-    return read_version(spark, root, versions[-1])
+def versions(spark, root):
+    """All rows ever published, with ``age``: 1 for the current one of each part."""
+    if not _listed(spark, f"{root}/versions"):
+        return spark.createDataFrame([], f"{_VERSIONS}, age int")
+    order = Window.partitionBy("name", "part").orderBy(F.col("at").desc())
+    rows = spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
+    return rows.withColumn("age", F.row_number().over(order))
 
 
-def prune(spark, root, keep=2):
-    """Delete all but the last finished versions, and whatever was begun before them."""
-    finished = _listed(spark, f"{root}/{_FINISHED}")
-    kept = finished[-max(1, keep):]
-    if not kept:
-        return
-    for folder in (_FINISHED, _DATA):  # the markers first: no reader finds a half-deleted one
-        for name in _listed(spark, f"{root}/{folder}"):
-            if name < kept[0]:
-                fs, target = _folder(spark, f"{root}/{folder}/{name}")
-                fs.delete(target, True)
+def current(spark, root, name):
+    """(part -> path, schema) of a table; one row per part."""
+    rows = versions(spark, root).filter((F.col("name") == name) & (F.col("age") == 1)).collect()
+    if not rows:
+        raise FileNotFoundError(f"{name} was never published under {root}")
+    fields = max(rows, key=lambda r: r["at"])["fields"]
+    return {r["part"]: r["path"] for r in rows if r["path"]}, T.StructType.fromJson(json.loads(fields))
 
 
-# --- releases: several tables published together ------------------------------
+def read_current(spark, root, name, parts=None):
+    """A stored table, or those of the named parts that it has."""
+    paths, schema = current(spark, root, name)
+    chosen = [path for part, path in paths.items() if parts is None or part in parts]
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*chosen)
 
 
-def publish(spark, root, versions):
-    """Make staged versions (table -> version name) of the tables under ``root`` the
-    current ones, all at once: one file names them and those that stay."""
-    current = released(spark, root) | versions
-    lines = "".join(f"{table}\t{name}\n" for table, name in sorted(current.items()))
-    _put(spark, f"{root}/{_RELEASES}/{_stamp()}", lines)
+def replaced(spark, root, rows):
+    """The staged rows of whole tables, with all their other parts gone."""
+    kept = {(name, part) for name, part, _, _ in rows}
+    out = list(rows)
+    for name, fields in {(r[0], r[3]) for r in rows}:
+        try:
+            stored, _ = current(spark, root, name)
+        except FileNotFoundError:
+            continue
+        out += [(name, part, None, fields) for part in stored if (name, part) not in kept]
+    return out
 
 
-def released(spark, root):
-    """table -> version name of the latest release; empty before the first."""
-    names = _listed(spark, f"{root}/{_RELEASES}")
-    if not names:
-        return {}
-    # A few lines, one per table.
-    rows = spark.read.text(f"{root}/{_RELEASES}/{names[-1]}").collect()
-    return dict(row["value"].split("\t") for row in rows)
+def prune(spark, root, keep=2):
+    """Delete the folders of all but the last ``keep`` versions of every part."""
+    # One row per superseded part.
+    for row in versions(spark, root).filter(F.col("age") > max(1, keep)).collect():
+        if row["path"]:
+            _delete(spark, row["path"])
+
+
+def write_replace(df, root, keep=None):
+    """Write the frame as the only table under ``root``; readers of the version before
+    are not disturbed, and the frame may read that version itself."""
+    rows, _ = stage(df, root, "table")
+    publish(df.sparkSession, root, rows)
+    if keep is not None:
+        prune(df.sparkSession, root, keep)
 
 
-def read_released(spark, root, table):
-    """A table as of the latest release."""
-    versions = released(spark, root)
-    if table not in versions:
-        raise FileNotFoundError(f"{table} was never released under {root}")
-    return read_version(spark, f"{root}/{table}", versions[table])
+def read_table(spark, root):
+    return read_current(spark, root, "table")
 
 
 def materialize(df, label, partition_by=()):
@@ -128,32 +160,41 @@ def materialize(df, label, partition_by=()):
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def swap_partitions(df, path, keys, scope=None):
+def _partition(path, keys, values):
+    return f"{path}/" + "/".join(f"{k}={v}" for k, v in zip(keys, values, strict=True))
+
+
+def empty_partitions(spark, path, keys, scope):
+    """Delete the named partitions (tuples of key values)."""
+    for values in scope:
+        _delete(spark, _partition(path, keys, values))
+
+
+def swap_partitions(df, path, keys, scope=()):
     """Replace the partitions the frame has rows for; others stay.
 
-    ``scope`` names the partitions that were reloaded, as tuples of key values:
-    those that received no row are emptied, as there is nothing left of them.
-    Rows are rebalanced by partition first: few files per partition, and a
-    partition with much more data than others is split over several tasks.
+    ``scope`` names the partitions that were reloaded, as tuples of key values: those
+    whose files the write did not replace are emptied, as there is nothing left of
+    them. The frame is computed once. Rows are rebalanced by partition first: few files
+    per partition, and a partition with much more data than others is split over
+    several tasks.
     """
     spark = df.sparkSession
-    columns = [F.col(k) for k in keys]
-    emptied = []
-    if scope is not None:
-        # One row per partition, not per record.
-        held = {tuple(str(v) for v in r) for r in df.select(*keys).distinct().collect()}
-        emptied = [s for s in scope if tuple(str(v) for v in s) not in held]
+
+    def files(values):
+        return _listed(spark, _partition(path, keys, values))
+
+    # Every write names its files anew.
+    before = {values: files(values) for values in scope}
     (
-        df.hint("rebalance", *columns)
+        df.hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
-    for values in emptied:
-        place = "/".join(f"{k}={v}" for k, v in zip(keys, values, strict=True))
-        fs, target = _folder(spark, f"{path}/{place}")
-        fs.delete(target, True)
+    left = [values for values, names in before.items() if names and files(values) == names]
+    empty_partitions(spark, path, keys, left)
 
 
 def upsert(target, source, keys, update_cols=None, check=True):
@@ -186,6 +227,23 @@ def upsert(target, source, keys, update_cols=None, check=True):
     return joined.select([out[c] for c in target.columns])
 
 
+def merge_parts(spark, root, name, source, keys, by, update_cols=None, check=True, metrics=None):
+    """Stage the stored table's parts that the source has rows for, with these rows
+    merged in on the keys (``upsert``); what is read and written follows the source,
+    not the table. ``by`` columns are among the keys. The source is computed once.
+    Returns the rows for ``publish`` and the metrics of the merged parts."""
+    fresh, seen = stage(source, f"{root}/staged", name, by, metrics=metrics)
+    try:
+        _, schema = current(spark, root, name)
+    except FileNotFoundError:
+        return fresh, seen
+    if not fresh:
+        return [], {}
+    rows = spark.read.schema(source.schema).parquet(*[path for _, _, path, _ in fresh])
+    stored = read_current(spark, root, name, {part for _, part, _, _ in fresh})
+    return stage(upsert(stored, rows, keys, update_cols, check), root, name, by, metrics=metrics)
+
+
 def write_lines(df, path, column="value"):
     """One text line per row; a sorted frame keeps its order across files."""
     df.select(column).write.mode("errorifexists").text(path)

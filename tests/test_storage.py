@@ -48,31 +48,75 @@ def test_versions_and_replace_from_itself(spark, tmp_path, rows):
 def test_crashed_write_is_in_nobodys_way(spark, tmp_path, rows):
     root = str(tmp_path / "t")
     tables.write_replace(table(spark, [("x", 1, 1, 1)]), root)
-    # Half a version: data without success, and a whole one that was never finished.
-    (tmp_path / "t" / "data" / "99999999999999999999-half" / "_temporary").mkdir(parents=True)
-    tables.stage_version(table(spark, [("never", 9, 9, 9)]), root)
+    # Half a version: data without success, and a whole one that was never published.
+    (tmp_path / "t" / "table" / "half" / "_temporary").mkdir(parents=True)
+    tables.stage(table(spark, [("never", 9, 9, 9)]), root, "table")
     assert rows(tables.read_table(spark, root), "id") == [("x",)]
     for name in ("y", "z", "w"):
         tables.write_replace(table(spark, [(name, 1, 1, 1)]), root, keep=2)
         assert rows(tables.read_table(spark, root), "id") == [(name,)]
-    assert len(glob.glob(f"{root}/finished/*")) == 2
-    assert len(glob.glob(f"{root}/data/*")) == 3  # two versions and the half one, which is later
+    assert len(glob.glob(f"{root}/table/*")) == 4  # two versions, the half one, the unpublished one
 
 
-def test_releases_are_published_together(spark, tmp_path, rows):
+def test_tables_are_published_together_and_apart(spark, tmp_path, rows):
     root = str(tmp_path / "r")
-    assert tables.released(spark, root) == {}
     with pytest.raises(FileNotFoundError):
-        tables.read_released(spark, root, "a")
-    first = weekly.stage(spark, root, {n: table(spark, [(n, 1, 1, 1)]) for n in ("a", "b")})
+        tables.read_current(spark, root, "a")
+    staged = [tables.stage(table(spark, [(n, 1, 1, 1)]), root, n)[0] for n in ("a", "b")]
     with pytest.raises(FileNotFoundError):
-        tables.read_released(spark, root, "a")
-    tables.publish(spark, root, first)
-    second = weekly.stage(spark, root, {"b": table(spark, [("b2", 1, 1, 1)])})
-    assert rows(tables.read_released(spark, root, "b"), "id") == [("b",)]
-    tables.publish(spark, root, second)
-    got = [rows(tables.read_released(spark, root, n), "id") for n in ("a", "b")]
-    assert got == [[("a",)], [("b2",)]]
+        tables.read_current(spark, root, "a")
+    tables.publish(spark, root, sum(staged, []))
+    # Two jobs that were staged side by side: neither loses the other's table.
+    one, _ = tables.stage(table(spark, [("b2", 1, 1, 1)]), root, "b")
+    two, _ = tables.stage(table(spark, [("a2", 1, 1, 1)]), root, "a")
+    assert rows(tables.read_current(spark, root, "b"), "id") == [("b",)]
+    tables.publish(spark, root, one)
+    tables.publish(spark, root, two)
+    got = [rows(tables.read_current(spark, root, n), "id") for n in ("a", "b")]
+    assert got == [[("a2",)], [("b2",)]]
+
+
+def test_parts_are_replaced_one_by_one(spark, tmp_path, rows):
+    root = str(tmp_path / "p")
+    first = table(spark, [("x", 1, 1, 1), ("y", 2, 2, 2), ("z", None, 3, 3)])
+    staged, seen = tables.stage(first, root, "t", ["season"], metrics={"n": F.count(F.lit(1)), "b": F.sum("b")})
+    tables.publish(spark, root, staged)
+    assert seen == {"n": 3, "b": 6}
+    before, _ = tables.current(spark, root, "t")
+    staged, seen = tables.stage(
+        table(spark, [("w", 2, 5, 5)]), root, "t", ["season"], scope=[(1,), (2,), (7,)], metrics={"n": F.count("*")}
+    )
+    tables.publish(spark, root, staged)
+    assert seen == {"n": 1}
+    assert rows(tables.read_current(spark, root, "t")) == [("w", 2, 5, 5), ("z", None, 3, 3)]
+    after, _ = tables.current(spark, root, "t")
+    assert after["_part=null"] == before["_part=null"] and after["_part=2"] != before["_part=2"]
+    # A plan without rows writes nothing, and a table may end up empty with its schema.
+    staged, seen = tables.stage(first.filter("false"), root, "t", ["season"], scope=[(2,)], metrics={"n": F.count("*")})
+    assert not seen.get("n")
+    tables.publish(spark, root, tables.replaced(spark, root, staged))
+    assert tables.read_current(spark, root, "t").schema == first.schema
+    assert rows(tables.read_current(spark, root, "t")) == []
+
+
+def test_merge_reads_and_writes_the_parts_concerned(spark, tmp_path, rows):
+    root, keys = str(tmp_path / "m"), ["id", "season"]
+    for source, expected in (
+        ([("x", 1, 1, 1), ("y", 2, 2, 2)], [("x", 1, 1, 1), ("y", 2, 2, 2)]),
+        ([("y", 2, 9, 9), ("z", 2, 3, 3)], [("x", 1, 1, 1), ("y", 2, 9, 2), ("z", 2, 3, 3)]),
+        ([("q", 4, 4, 4)], [("q", 4, 4, 4), ("x", 1, 1, 1), ("y", 2, 9, 2), ("z", 2, 3, 3)]),
+        ([], [("q", 4, 4, 4), ("x", 1, 1, 1), ("y", 2, 9, 2), ("z", 2, 3, 3)]),
+    ):
+        touched = {f"_part={r[1]}" for r in source}
+        staged, seen = tables.merge_parts(
+            spark, root, "t", table(spark, source), keys, ["season"], ["a"], metrics={"n": F.count("*")}
+        )
+        assert {part for _, part, _, _ in staged} == touched
+        tables.publish(spark, root, staged)
+        assert rows(tables.read_current(spark, root, "t")) == expected
+        assert seen.get("n", 0) == sum(f"_part={r[1]}" in touched for r in expected)
+    with pytest.raises(Exception, match="not unique"):
+        tables.merge_parts(spark, root, "t", table(spark, [("x", 1, 1, 1)] * 2), keys, ["season"])
 
 
 def test_swap_empties_the_scope(spark, tmp_path, rows):
@@ -159,6 +203,28 @@ def test_later_weeks_resume_from_the_state(spark, tmp_path, rows):
     assert weeks.load_later_weeks(spark, first, target, state, "other") == 2
 
 
+def test_later_weeks_empty_what_the_transform_leaves_nothing_of(spark, tmp_path, rows):
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    schema = "id int, season int, week int"
+    lines = spark.createDataFrame([(1, 1999, 17), (2, 2025, 0), (3, 2025, 63)], schema)
+    tables.swap_partitions(lines, target, weeks.KEYS)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(value):
+        calls.add(1)
+        return value
+
+    once = F.udf(counted, "int")
+    loaded = weeks.load_later_weeks(
+        spark, lines.withColumn("id", once("id")), target, state, "s", lambda df: df.filter("id <> 2")
+    )
+    assert loaded == 3 and calls.value == 3  # every row was computed once
+    assert rows(spark.read.parquet(target), "id") == [(1,), (3,)]
+    far = spark.createDataFrame([(4, 2025, 64)], schema)
+    with pytest.raises(ValueError, match="week outside"):
+        weeks.load_later_weeks(spark, far, target, str(tmp_path / "other"), "s")
+
+
 def test_stream_of_csv_files_with_transform(spark, tmp_path, rows):
     source, target, check = (str(tmp_path / p) for p in ("in", "out", "check"))
     for week, name in ((1, "a"), (2, "b"), (1, "c")):
@@ -355,17 +421,17 @@ def test_weekly_update_publishes_only_healthy_data(spark, tmp_path):
     bad, players = _fresh(spark, -5)
     with pytest.raises(RuntimeError, match="negative_rushing_yards"):
         weekly.weekly_update(spark, root, pbp, roster, 2025, bad, players)
-    assert tables.released(spark, root) == {}
+    assert tables.versions(spark, root).isEmpty()
     with pytest.raises(RuntimeError, match="season_without_rows"):
         weekly.weekly_update(spark, root, pbp, roster, 2030, _fresh(spark, 5)[0], players)
-    assert tables.released(spark, root) == {}
+    assert tables.versions(spark, root).isEmpty()
     weekly.update_season(spark, root, pbp, roster, 2024)
     for yards in (40, 60):
         good, players = _fresh(spark, yards)
         weekly.weekly_update(spark, root, pbp, roster, 2025, good, players)
-        stored = tables.read_released(spark, root, "rushing").collect()
+        stored = tables.read_current(spark, root, "rushing").collect()
         assert [(r["player_id"], r["rushing_yards"]) for r in stored] == [("a1", yards)]
-    stats = tables.read_released(spark, root, "season_stats")
+    stats = tables.read_current(spark, root, "season_stats")
     assert sorted((r["gsis_id"], r["season"], r["team_id"], r["fantasy_points"])
                   for r in stats.collect()) == [
         ("a1", 2025, "BBB", 0.4), ("a1", 2025, "ZZZ", 2.0), ("b1", 2024, "AAA", 0.1),
@@ -376,12 +442,12 @@ def test_weekly_update_publishes_only_healthy_data(spark, tmp_path):
     assert (latest["team_id"], latest["passing_epa"]) == ("BBB", 0.35)
     listed, _ = _fresh(spark, 80, team_week=2)
     weekly.upsert_season_tables(spark, root, listed, refresh_all=False)
-    row = tables.read_released(spark, root, "rushing").first()
+    row = tables.read_current(spark, root, "rushing").first()
     assert (row["rushing_yards"], row["yards_per_carry"]) == (80, 30.0)
     assert boxscore.PLAYER_SEASON == ["player_id", "season"]
     # A season reloaded with nothing is empty afterwards, others stay.
     weekly.update_season(spark, root, pbp.filter("false"), roster, 2025)
-    left = tables.read_released(spark, root, "season_stats").collect()
+    left = tables.read_current(spark, root, "season_stats").collect()
     assert [(r["gsis_id"], r["season"]) for r in left] == [("b1", 2024)]
 
 
@@ -406,7 +472,7 @@ def test_rebuild_all(spark, tmp_path):
                                    "gsis_id string, full_name string, position string, team string")
     root = str(tmp_path / "tables")
     weekly.rebuild_all(spark, root, roster, None, pbp)
-    got = {k: tables.read_released(spark, root, k)
+    got = {k: tables.read_current(spark, root, k)
            for k in ("players", "weekly_stats", "season_stats", "team_season_stats")}
     assert got["players"].first()["name"] == "Ann"
     assert got["weekly_stats"].count() == 4
