@@ -508,7 +508,8 @@ FROM pairs JOIN facts a ON a.gsis_id = p1 JOIN facts b ON b.gsis_id = p2"""
         ("rb", "box_r", "true", ["rushing_yards", "rushing_tds", "carries"]),
         ("wr", "box_c", "true", ["receiving_yards", "receiving_tds"]),
         ("te", "box_c", "true", ["receiving_yards", "receiving_tds"]),
-        ("partial", "box_r", "(player_id + season) % 3 <> 0",
+        ("partial", "box_r", "(player_id, season) IN (SELECT (player_id, season) FROM box_r"
+         " GROUP BY player_id, season HAVING sum(rushing_tds) >= 4)",
          ["rushing_yards", "rushing_tds", "carries"]),
     ):
         first, second = SEASON_PAIR
@@ -564,7 +565,8 @@ SELECT position, CAST(row_number() OVER (ORDER BY fantasy_points DESC NULLS LAST
 FROM stats JOIN players USING (gsis_id) WHERE season = {SEASON}
 ORDER BY fantasy_points DESC NULLS LAST, gsis_id LIMIT 5"""
     some = with_views(PLAYERS, MESSY, PLAYS, STATS)
-    scored = "(SELECT * FROM stats WHERE gsis_id % 4 <> 1)"
+    scored = ("(SELECT * REPLACE (CASE WHEN gsis_id % 4 <> 1 THEN fantasy_points END AS fantasy_points)"
+              " FROM stats)")
     sql["knowledge_base"] = some + ", " + _kb("messy", scored, KB_SIZE) + " SELECT * FROM kb"
     sql["known_players"] = some + ", " + _kb("messy", scored) + """
 SELECT * EXCLUDE (kb_rank) FROM kb"""
@@ -1103,6 +1105,7 @@ SELECT round(avg(CASE WHEN epa IS NULL THEN 1.0::DOUBLE ELSE 0 END), 9) AS null_
 SELECT 'placeholder_names' AS "check", count(*) FILTER (name = 'N/A') AS issues
 FROM ({directory})"""
     out["projections"] = with_views(PLAYS, STATS, _projection_views()) + "SELECT * FROM projected"
+    out["projections_from_text"] = out["projections"]
     lookups = f"""lookups AS (SELECT DISTINCT q, {SEASON} AS season
   FROM (SELECT unnest([name, name || 'x']) AS q FROM players))"""
     out["projections_by_name"] = with_views(

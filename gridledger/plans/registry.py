@@ -300,8 +300,8 @@ def compare_seasons_te(spark, sf_dir):
 
 @query
 def compare_seasons_partial(spark, sf_dir):
-    """Many players have one of the seasons only."""
-    rows = box_rushing(spark, sf_dir).filter("(player_id + season) % 3 <> 0")
+    """Seasons with four touchdowns or more: many players have one of the two."""
+    rows = box_rushing(spark, sf_dir).filter("rushing_tds >= 4")
     return profile.compare_seasons(rows, "RB", *SEASON_PAIR)
 
 
@@ -377,20 +377,25 @@ def draft_board(spark, sf_dir):
 KB_SIZE = 6
 
 
+def _some_without_points(spark, sf_dir):
+    """All season totals; a quarter of the players have no points in them."""
+    return season_totals(spark, sf_dir).withColumn(
+        "fantasy_points", F.when(F.col("gsis_id") % 4 != 1, F.col("fantasy_points"))
+    )
+
+
 @query
 def knowledge_base(spark, sf_dir):
     """The best known players, among some without a position or points."""
     return ranking.knowledge_base(
-        views.messy_players(spark, sf_dir), season_totals(spark, sf_dir).filter("gsis_id % 4 <> 1"),
-        SEASON, n=KB_SIZE,
+        views.messy_players(spark, sf_dir), _some_without_points(spark, sf_dir), SEASON, n=KB_SIZE
     )
 
 
 @query
 def known_players(spark, sf_dir):
     return ranking.known_players(
-        views.messy_players(spark, sf_dir), season_totals(spark, sf_dir).filter("gsis_id % 4 <> 1"),
-        SEASON,
+        views.messy_players(spark, sf_dir), _some_without_points(spark, sf_dir), SEASON
     )
 
 
@@ -1119,6 +1124,20 @@ def projections(spark, sf_dir):
     )
 
 
+@query
+def projections_from_text(spark, sf_dir):
+    """The same from cells of text, as a form or a file gives them; zeros are unreadable."""
+    stats = stored_totals(spark, sf_dir)
+    written = {
+        c: F.when(F.col(c) == 0, F.lit("n/a")).otherwise(F.concat(F.lit(" "), F.col(c).cast("string")))
+        for c in fv.PROJECTION_FEATURES
+    }
+    model = projection.train_projection(stats)
+    return projection.project_next_game(model, stats.withColumns(written)).select(
+        "gsis_id", "season", "projected_fantasy_points"
+    )
+
+
 @query
 def projections_by_name(spark, sf_dir):
     stats, people = stored_totals(spark, sf_dir), views.players(spark, sf_dir)

@@ -22,9 +22,14 @@ def _typed(column, field):
     return value.alias(field.name)
 
 
+def _listed(path):
+    return [path] if isinstance(path, str) else list(path)
+
+
 def read_plays(spark, path, columns=None):
-    """Parquet plays; only the columns a query uses are read."""
-    df = spark.read.parquet(path)
+    """Parquet plays of one path or a list of like files; only the columns a query uses
+    are read."""
+    df = spark.read.parquet(*_listed(path))
     wanted = [f for f in _pick(schemas.PLAYS, columns).fields if f.name in df.columns]
     return df.select([_typed(F.col(f.name), f) for f in wanted])
 
@@ -33,9 +38,9 @@ def csv_columns(spark, path, schema):
     """CSV with header; columns are matched by name and cast to the schema.
 
     Everything is read as text first, so column order and extra columns in a
-    file do not matter; unreadable cells become NULL.
+    file do not matter; unreadable cells become NULL. Files read together share a header.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.csv(_listed(path), header=True, inferSchema=False)
     return raw.select(
         [_typed(F.col(f"`{f.name}`"), f) for f in schema.fields if f.name in raw.columns]
     )
@@ -56,21 +61,37 @@ def _exists(spark, path):
     return found is not None and len(found) > 0
 
 
+def _file_names(spark, path):
+    """Name of a file, or of the files in a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [s.getPath().getName() for s in listed]
+
+
+def _layout(spark, path):
+    """What files must share to be one scan: the CSV header or the Parquet schema."""
+    if any(".csv" in name for name in _file_names(spark, path)):
+        return tuple(spark.read.csv(path, header=True, inferSchema=False).columns)
+    return spark.read.parquet(path).schema.json()
+
+
 def read_seasons(spark, template, years, reader=read_plays, skipped=None):
     """One file per season (``{}`` is the year), united by column name.
 
-    Seasons without a file are skipped and, if a list is given, noted in it.
+    Seasons whose files have the same layout are one scan of several paths, whatever
+    their number. Seasons without a file are skipped and, if a list is given, noted in it.
+    ``reader`` takes a list of paths.
     """
-    frames = []
+    alike = {}
     for year in years:
         path = template.format(year)
         if _exists(spark, path):
-            frames.append(reader(spark, path))
+            alike.setdefault(_layout(spark, path), []).append(path)
         elif skipped is not None:
             skipped.append(year)
-    if not frames:
+    if not alike:
         raise FileNotFoundError(f"no season of {years} found for {template}")
-    return union_seasons(frames)
+    return union_seasons([reader(spark, paths) for paths in alike.values()])
 
 
 def read_roster(spark, path):
