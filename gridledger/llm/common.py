@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from gridledger.sources.tables import materialize
 
-#: A key table is broadcast up to this many rows (16 bytes each); beyond it the
-#: join is a shuffled one.
-BROADCAST_ROWS = 2_000_000
+#: A key table is broadcast up to this many bytes, at ROW_BYTES for a key and what hash
+#: tables add, and the size of further columns; beyond it the join is a shuffled one.
+BROADCAST_BYTES = 48_000_000
+ROW_BYTES = 64
 #: Splitters per total order: bounds the driver's list and the plan's literals.
 MAX_RANGES = 4096
 #: Range a total order aims at, while there are fewer than MAX_RANGES ranges.
@@ -61,26 +62,44 @@ def with_columns(df, wanted):
 
 
 def text_key(column="text"):
-    """64-bit identity of a text. Two different texts among n share one with a
-    probability below n * n / 3.7e19."""
-    return F.xxhash64(F.col(column))
+    """128-bit identity of a text, as a struct of two longs. Two different texts among n
+    share one with a probability below n * n / 6.8e38."""
+    return _identity([F.col(column)])
 
 
 def row_key(df):
-    """64-bit identity of a whole row; equal rows share it."""
+    """128-bit identity of a whole row, as a struct of two longs; equal rows share it."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.MapType, T.VariantType)):
-            column = F.to_json(column)
+        if _unhashable(field.dataType):
+            column = F.to_json(column if isinstance(field.dataType, (T.MapType, T.VariantType)) else F.struct(column))
         # A NULL does not enter the hash, so its place does.
         columns += [column, F.when(column.isNull(), F.lit(len(columns)))]
-    return F.xxhash64(*columns)
+    return _identity(columns)
 
 
-def by_size(keys, rows, most=BROADCAST_ROWS):
-    """Keys marked for broadcast while their counted rows are within the bound."""
-    return F.broadcast(keys) if rows <= most else keys
+def _identity(columns):
+    """Two 64-bit hashes under different seeds."""
+    return F.struct(
+        F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(0x9E3779B97F4A7C15 - 2**64), *columns).alias("b")
+    )
+
+
+def _unhashable(kind):
+    """Whether a type is, or holds, a map or variant."""
+    if isinstance(kind, T.ArrayType):
+        return _unhashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def by_size(keys, rows, most=None):
+    """Keys marked for broadcast while their counted rows are within the bound: so many
+    rows, or BROADCAST_BYTES for keys and short columns."""
+    wide = ROW_BYTES + 8 * (len(keys.columns) - 1)
+    return F.broadcast(keys) if rows <= (most or BROADCAST_BYTES // wide) else keys
 
 
 def lookup(rows, table, keys, weight, total):
@@ -130,7 +149,7 @@ def unit(column):
     return column.bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
 
 
-def _position(values, column):
+def position(values, column):
     """Number of the sorted literal values that are <= the column."""
     steps = [1 << k for k in reversed(range(max(1, len(values).bit_length())))]
     literal = F.array(*[F.lit(v) for v in values])
@@ -166,7 +185,7 @@ def total_order(df, key, tie=None, ties=(), weight=None, rows_per_range=ROWS_PER
         )
     splitters = splitters or []
     values = sorted(set(splitters))
-    slot = _position(values, F.col(key)) if values else F.lit(0)
+    slot = position(values, F.col(key)) if values else F.lit(0)
     placed = df.withColumn("_range", slot)
     taken = Counter(splitters)
     repeats = [taken[v] for v in values]
@@ -296,12 +315,15 @@ def components(edges, label):
         label,
     )
     while True:
+        # A node with very many neighbours is looked up, not gathered.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_least"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), "_least")
-        large = large.toDF("a", "b").filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("_least"))
-        small = large.join(least, "a").select(
+        degree = F.count(F.lit(1)).alias("_degree")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_least"), degree)
+        large = lookup(both, least, ["a"], "_degree", 2 * edges.count())
+        large = large.filter("b > a").select(F.col("b").alias("a"), "_least")
+        large = materialize(large.toDF("a", "b").filter("a <> b").distinct(), label)
+        least = large.groupBy("a").agg(F.min("b").alias("_least"), degree)
+        small = lookup(large, least, ["a"], "_degree", large.count()).select(
             F.explode(
                 F.array(
                     F.struct(F.col("b").alias("a"), F.col("_least").alias("b")),

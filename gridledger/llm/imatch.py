@@ -31,8 +31,6 @@ DENSITIES = ((20, 16), (28, 128))
 #: Subsets of the sparser density that must select something to decide alone.
 ENOUGH = 10
 MIN_TERMS = 4
-#: Lexicon terms up to which it is broadcast; beyond, the join is a shuffled one.
-BROADCAST_TERMS = 1_000_000
 SALT = 19
 
 
@@ -79,7 +77,7 @@ def fingerprints(texts, terms, keys, digest=False):
     rows = texts.select(
         *keys, "text", F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words("text")))).alias("_word")
     )
-    known = common.by_size(terms.withColumnRenamed("term", "_term"), terms.count(), BROADCAST_TERMS)
+    known = common.by_size(terms.withColumnRenamed("term", "_term"), terms.count())
     own = F.col("_word") == ""
     whole = {"_whole": F.xxhash64(F.lit(1), "text")}
     if digest:
@@ -152,7 +150,13 @@ def followed(rows):
     exact = F.coalesce(-F.col("doc_id").cast("decimal(20,0)"), F.lit("1" + 19 * "0").cast("decimal(20,0)"))
     keyed = rows.select("row_key", "doc_id", key.alias("about"), exact.alias("exact"))
     # Doubles only deal the rows into ranges; inside one the exact id decides.
-    placed = common.total_order(keyed, "about", ties=("exact", "row_key"))
+    # Documents that share an id (or have none) are subdivided by their hash; ids that
+    # share a double, by what the double leaves of them, so that the exact order stays.
+    left = F.col("exact") - F.col("about").try_cast("decimal(20,0)")
+    tie = F.when(F.abs("about") <= 2.0**53, F.col("row_key")["a"]).otherwise(
+        F.coalesce(left.cast("long"), F.col("row_key")["a"])
+    )
+    placed = common.total_order(keyed.withColumn("tie", tie), "about", "tie", ("exact", "row_key"))
     placed = materialize(
         placed.select("row_key", "doc_id", F.col("_place").alias("place")), "imatch-places"
     )

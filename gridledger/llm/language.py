@@ -87,8 +87,13 @@ def train(docs, sample_docs=SAMPLE_DOCS, sample_chars=SAMPLE_CHARS, size=DICTION
 
 
 def _words(text):
-    """Distinct lower-cased words in order."""
-    return dict.fromkeys(_WORD.findall(text.lower()))
+    """Distinct lower-cased runs of letters in order."""
+    found = dict.fromkeys(_WORD.findall(text.lower()))
+    if all(map(str.isalpha, found)):
+        return found
+    # Number signs, as in x² or ½, are no letters but are matched with them.
+    parts = ("".join(c if c.isalpha() else " " for c in word).split() for word in found)
+    return dict.fromkeys(part for word in parts for part in word)
 
 
 def classifier(dictionaries, block=BLOCK):
@@ -131,6 +136,7 @@ def classifier(dictionaries, block=BLOCK):
 
 def predict(docs, dictionaries):
     """doc_id, held_out, lang_pred, score of every row."""
+    common.bound_batches(docs.sparkSession)
     docs = common.with_columns(docs, {"doc_id": "bigint", "text": "string"})
 
     def label(batches):
@@ -155,7 +161,11 @@ def predict(docs, dictionaries):
 
 
 def accepted(docs, dictionaries, reject=REJECT):
-    """The rows whose language is told clearly; columns as in docs."""
+    """The rows whose language is told clearly; columns as in docs. Without a text
+    column there is none."""
+    common.bound_batches(docs.sparkSession)
+    if "text" not in docs.columns:
+        return docs.filter(F.lit(False))
 
     def keep(batches):
         classify = classifier(dictionaries)

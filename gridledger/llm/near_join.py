@@ -1,21 +1,20 @@
-"""N-gram Jaccard self-join by banded MinHash LSH with exact verification.
+"""N-gram Jaccard self-join by a MinHash LSH forest with exact verification.
 
 Texts are lower-cased (A-Z), cut into words and taken as sets of five-word
 shingles; a text of fewer words is one shingle. Two texts are linked when the
 Jaccard similarity of their sets is at least the threshold.
 
-1. Signatures, one pass over the texts: TREES bands (called trees) of MinHash
-   values, all of one length.
-2. The length is fixed before any data is seen: the longest up to DEPTH at which the
-   recall at the threshold, 1 - (1 - threshold ** length) ** TREES, reaches the
-   target; five at the defaults. Documents that agree in a whole band (a node) are
-   candidates. Bands that hold the same members in several trees are one. This is no
-   LSH forest: no deeper prefix is signed or searched first. The links asked for are
-   all above one threshold, for which the recall is known from length and number of
-   bands alone, so that deeper levels would only find again what this one finds.
-3. In every node, members whose signatures agree clearly less often than the
-   threshold asks for are told apart (the slack makes a loss less likely than
-   1e-8), and the rest joined to loose groups by connected components.
+1. Signatures, one pass over the texts: TREES labels of DEPTH MinHash values each. The
+   labels of a tree, as bytes, are a prefix trie: texts that agree in their first k
+   values meet in a node of depth k.
+2. Texts meet at their deepest common prefix first. Level by level the prefix is
+   shortened, until the recall at the threshold, 1 - (1 - threshold ** k) ** TREES,
+   reaches the target (at the defaults from eight values to five). On each level only
+   nodes are opened whose members are not in one group yet; nodes with the same members
+   in several trees are one.
+3. In an open node, members whose signatures agree clearly less often than the
+   threshold asks for are told apart (the slack makes a loss less likely than 1e-8),
+   and the rest joined to loose groups by connected components of the groups so far.
 4. Each text of a loose group is sent to it once. All pairs are verified exactly
    inside the task, from shingle sets; rows leave it per text, never per pair. A
    group over BLOCK texts is verified block against block.
@@ -55,11 +54,18 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _CHUNK_BYTES = 1_000_000
 
 
-def prefix_length(threshold=THRESHOLD, trees=TREES, depth=DEPTH, target=TARGET_RECALL):
-    """Longest matched prefix whose recall at the threshold reaches the target."""
+def recall(length, threshold=THRESHOLD, trees=TREES):
+    """Chance that texts of that similarity share a prefix of so many values in a tree."""
+    return 1 - (1 - threshold**length) ** trees
+
+
+def levels(threshold=THRESHOLD, trees=TREES, depth=DEPTH, target=TARGET_RECALL):
+    """Prefix lengths from the deepest to the first that reaches the target recall."""
+    found = []
     for length in range(depth, 0, -1):
-        if 1 - (1 - threshold**length) ** trees >= target:
-            return length
+        found.append(length)
+        if recall(length, threshold, trees) >= target:
+            return found
     raise ValueError("too few trees for the target recall")
 
 
@@ -186,35 +192,23 @@ def signatures(texts, values, size=SHINGLE):
     return worded, out
 
 
-def _node_ids(values, trees, length):
-    """64-bit id of each tree's node at the prefix length."""
-    depth = values.shape[1] // trees
-    ids = np.empty((len(values), trees), np.uint64)
-    for tree in range(trees):
-        node = np.full(len(values), tree + 1, np.uint64)
-        for k in range(length):
-            node = _mixed(node * _BASE + values[:, tree * depth + k].astype(np.uint64))
-        ids[:, tree] = node
-    return ids
+#: Bytes that a label keeps of a value.
+_VALUE_BYTES = 2
 
 
-def _sign_batches(trees, length):
-    kinds = pa.schema(
-        [("text_key", pa.int64()), ("nodes", pa.list_(pa.int64())), ("marks", pa.binary())]
-    )
+def _sign_batches(trees, depth):
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("signature", pa.binary())])
 
     def sign(batches):
         for batch in slices(batches):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
-            worded, values = signatures(texts, trees * length)
-            nodes = _node_ids(values, trees, length).view(np.int64)
-            marks = (values & np.uint32(0xFF)).astype(np.uint8)
+            worded, values = signatures(texts, trees * depth)
+            labels = (values & np.uint32(0xFFFF)).astype(">u2")
             keep = np.flatnonzero(worded)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("text_key").take(pa.array(keep)),
-                    pa.array([nodes[i] for i in keep], kinds.field("nodes").type),
-                    pa.array([marks[i].tobytes() for i in keep], pa.binary()),
+                    batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)),
+                    pa.array([labels[i].tobytes() for i in keep], pa.binary()),
                 ],
                 schema=kinds,
             )
@@ -222,62 +216,99 @@ def _sign_batches(trees, length):
     return sign
 
 
+def _node(tree, depth, length):
+    """64-bit id of a tree's node at the prefix length."""
+    prefix = F.substring("signature", tree * depth * _VALUE_BYTES + 1, length * _VALUE_BYTES)
+    return F.xxhash64(F.lit(tree), prefix)
+
+
 # --- candidates -------------------------------------------------------------
 
 
 def _loose_links(least):
-    """Per node: links of each member to the smallest member it is joined with
-    over pairs whose signatures agree in at least ``least`` values."""
+    """Per node: links between the groups of members that are joined over pairs whose
+    signatures agree in at least ``least`` values."""
 
     def link(batches):
         for _, group in sorted_groups(batches, "_unit"):
-            keys = group["text_key"].to_numpy()
-            marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(keys), -1)
-            root = np.full(len(keys), -1)
+            keys, roots = group["text_key"].to_numpy(), group["root"].to_numpy()
+            labels = np.frombuffer(b"".join(group["signature"]), np.uint8).reshape(len(keys), -1)
+            marks = labels[:, 1::_VALUE_BYTES]
+            lead_of = np.full(len(keys), -1)
             rest = np.argsort(keys, kind="stable")
             while len(rest):
                 # The next member's whole component, by breadth-first search.
                 lead, front, rest = rest[0], [rest[0]], rest[1:]
-                root[lead] = lead
+                lead_of[lead] = lead
                 while front and len(rest):
                     agree = (marks[rest] == marks[front.pop()]).sum(axis=1) >= least
                     found = rest[agree]
-                    root[found] = lead
+                    lead_of[found] = lead
                     front.extend(found.tolist())
                     rest = rest[~agree]
-            linked = np.flatnonzero(keys != keys[root])
+            linked = np.flatnonzero(roots != roots[lead_of])
             if len(linked):
-                yield pd.DataFrame({"a": keys[linked], "b": keys[root[linked]]})
+                pairs = pd.DataFrame({"a": roots[linked], "b": roots[lead_of[linked]]})
+                yield pairs.drop_duplicates()
 
     return link
 
 
-def loose_groups(signed, trees=TREES, length=None, threshold=THRESHOLD, slack=SLACK):
-    """text_key -> group for texts that may have a link."""
-    length = length or prefix_length(threshold, trees)
-    visits = signed.select("text_key", F.explode("nodes").alias("node"))
-    # Nodes with the same members in several trees are kept once: members are
-    # compared by their number and two independent 64-bit sums.
-    nodes = visits.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n"),
+def _opened(signed, groups, trees, depth, length):
+    """Members (node, text_key, root, signature) of the nodes at a prefix length whose
+    members are in different groups."""
+    nodes = F.array(*[_node(tree, depth, length) for tree in range(trees)])
+    placed = signed if groups is None else signed.join(groups, "text_key", "left")
+    root = F.col("text_key") if groups is None else F.coalesce("root", "text_key")
+    placed = materialize(placed.select("text_key", root.alias("root"), nodes.alias("nodes")), "near-placed")
+    visits = placed.select("text_key", "root", F.explode("nodes").alias("node"))
+    # Nodes with the same members are kept once: members are compared by their number
+    # and two independent 64-bit sums.
+    counted = visits.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"),
         F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(2), "text_key")).alias("y"),
     )
-    nodes = nodes.filter("n > 1").groupBy("n", "x", "y").agg(F.min("node").alias("node"))
-    members = materialize(
-        visits.join(nodes.select("node"), "node").join(signed.select("text_key", "marks"), "text_key"),
-        "near-members",
-    )
-    units = common.blocked(members, "node", "text_key", NODE_BLOCK).select("_unit", "text_key", "marks")
-    least = int(np.ceil((threshold - slack) * trees * length))
-    links = (
-        units.repartition("_unit")
-        .sortWithinPartitions("_unit")
-        .mapInPandas(_loose_links(least), "a bigint, b bigint")
-    )
-    groups = common.components(links, "near-loose")
-    roots = groups.select(F.col("root").alias("text_key"), "root").distinct()
-    return groups.select(F.col("node").alias("text_key"), "root").unionByName(roots)
+    different = counted.filter("low < high").groupBy("n", "x", "y").agg(F.min("node").alias("node"))
+    different = materialize(different.select("node", "n", F.lit(True).alias("open")), "near-nodes")
+    # A node may hold a third of all texts.
+    total = different.agg(F.sum("n")).first()[0] or 0
+    met = common.lookup(visits, different, ["node"], "n", total).filter("open")
+    return met.select("node", "text_key", "root"), total
+
+
+def loose_groups(signed, trees=TREES, depth=DEPTH, threshold=THRESHOLD, slack=SLACK, target=TARGET_RECALL):
+    """text_key -> root of its group, for texts that may have a link."""
+    least = int(np.ceil((threshold - slack) * trees * depth))
+    groups = None
+    for length in levels(threshold, trees, depth, target):
+        met, total = _opened(signed, groups, trees, depth, length)
+        if not total:
+            continue
+        members = materialize(met.join(signed, "text_key"), "near-members")
+        units = common.blocked(members, "node", "text_key", NODE_BLOCK)
+        links = (
+            units.select("_unit", "text_key", "root", "signature")
+            .repartition("_unit")
+            .sortWithinPartitions("_unit")
+            .mapInPandas(_loose_links(least), "a bigint, b bigint")
+        )
+        joined = materialize(common.components(links, "near-loose"), "near-joined").toDF("old", "new")
+        rows = joined.count()
+        if not rows:
+            continue
+        # Groups that were joined to others, and texts that were alone before.
+        texts = joined.select(F.col("old").alias("text_key"), F.col("new").alias("root"))
+        texts = texts.unionByName(joined.select(F.col("new").alias("text_key"), F.col("new").alias("root")).distinct())
+        if groups is not None:
+            moved = groups.join(common.by_size(joined, rows), groups["root"] == joined["old"], "left").select(
+                "text_key", F.coalesce("new", "root").alias("root")
+            )
+            texts = moved.unionByName(texts.join(groups.select("text_key"), "text_key", "left_anti"))
+        groups = materialize(texts, "near-groups")
+    if groups is None:
+        return signed.select("text_key", F.col("text_key").alias("root")).filter(F.lit(False))
+    return groups
 
 
 # --- verification -----------------------------------------------------------
@@ -348,25 +379,39 @@ def _verify(threshold):
     return verify
 
 
-def verified(docs, threshold=THRESHOLD, trees=TREES):
+def _numbered(docs):
+    """(keyed, rows, texts): docs with their row_key and text_hash; the rows with the
+    number of their text (text_key); per text its number, hash and copies. Numbers are
+    exact: two texts only share one if 128 bits agree."""
+    keyed = docs.select(
+        common.row_key(docs).alias("row_key"), common.text_key().alias("text_hash"), "doc_id", "text"
+    ).filter("text is not null")
+    hashed = materialize(keyed.drop("text"), "near-hashed")
+    texts = hashed.groupBy("text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    texts = materialize(
+        texts.select(F.monotonically_increasing_id().alias("text_key"), "text_hash", "copies"), "near-texts"
+    )
+    asked = texts.select("text_hash", "text_key", F.col("copies").alias("_copies"))
+    rows = common.lookup(hashed, asked, ["text_hash"], "_copies", hashed.count())
+    return keyed, materialize(rows.drop("text_hash"), "near-rows"), texts
+
+
+def verified(docs, threshold=THRESHOLD, trees=TREES, depth=DEPTH):
     """(rows, links): row_key, text_key, doc_id of every row with a text, and per
     linked text its class root and its numbers of linked texts and documents."""
+    common.bound_batches(docs.sparkSession)
     docs = common.with_columns(docs, {"doc_id": "bigint", "text": "string"})
-    keyed = docs.select(
-        common.row_key(docs).alias("row_key"), common.text_key().alias("text_key"), "doc_id", "text"
-    ).filter("text is not null")
-    rows = materialize(keyed.drop("text"), "near-rows")
-    length = prefix_length(threshold, trees)
-    signed = keyed.select("text_key", "text").mapInArrow(
-        _sign_batches(trees, length), "text_key bigint, nodes array<bigint>, marks binary"
+    keyed, rows, named = _numbered(docs)
+    signed = keyed.select("text_hash.a", "text_hash.b", "text").mapInArrow(
+        _sign_batches(trees, depth), "a bigint, b bigint, signature binary"
     )
-    signed = materialize(signed.dropDuplicates(["text_key"]), "near-signed")
-    groups = materialize(loose_groups(signed, trees, length, threshold), "near-groups")
-    copies = rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
-    members = materialize(groups.join(copies, "text_key"), "near-counted")
+    signed = signed.dropDuplicates(["a", "b"]).withColumn("text_hash", F.struct("a", "b"))
+    signed = materialize(signed.join(named, "text_hash").select("text_key", "signature"), "near-signed")
+    groups = loose_groups(signed, trees, depth, threshold)
+    members = materialize(groups.join(named, "text_key"), "near-counted")
     texts = (
-        keyed.select("text_key", "text")
-        .join(common.by_size(members, members.count()), "text_key")
+        keyed.select("text_hash", "text")
+        .join(common.by_size(members, members.count()), "text_hash")
         .dropDuplicates(["text_key"])
     )
     units = common.blocked(members, "root", "text_key", BLOCK)

@@ -323,8 +323,8 @@ def test_shingle_sets_are_exact():
     known = {}
     for text, hashes in zip(texts, sets, strict=True):
         assert known.setdefault(frozenset(shingle_set(text)), tuple(hashes)) == tuple(hashes)
-    assert near_join.prefix_length() == 5
-    assert 1 - (1 - 0.8**5) ** near_join.TREES >= near_join.TARGET_RECALL
+    assert near_join.levels() == [8, 7, 6, 5]
+    assert near_join.recall(5) >= near_join.TARGET_RECALL > near_join.recall(6)
 
 
 # --- decontamination --------------------------------------------------------
