@@ -1,15 +1,14 @@
 """Elements, text runs and node features of an HTML page."""
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 import numpy as np
 
-_TAG = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
-    re.S,
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile(r"""[>"']""")
+_COMMENT_END = re.compile(r"--!?>")
 _NAMES = re.compile(
     r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I
 )
@@ -67,34 +66,134 @@ INSIDE = (0, 1, 2, 3, 4, 5, 9, 11)
 WIDTH = 21 + len(KINDS) + 1 + len(INSIDE)
 
 
+class _Tags:
+    """Tags and comments of a page, in one pass: however broken the page is, no part of
+    it is looked at more than a few times."""
+
+    def __init__(self, html):
+        self.html, self.last = html, html.rfind(">")
+        # From where the next special character was found, and quotes that open a value
+        # without an end to the tag after them.
+        self.known, self.dead = (0, -1), set()
+
+    def next(self, at):
+        """(start, end, closing, name, attributes) of the first tag from a position; the
+        name is empty for comments and the like; None if there is no further one."""
+        html = self.html
+        start = html.find("<", at)
+        while start >= 0:
+            if html.startswith("<!--", start):
+                end = _COMMENT_END.search(html, start + 4)
+                return start, end.end() if end else len(html), "", "", ""
+            if start > self.last:  # only a comment without an end can follow
+                start = html.find("<!--", start)
+                continue
+            found = _NAME.match(html, start + 1)
+            if found:
+                end = self._end(found.end())
+                if end < 0:  # quotes that do not match: up to the next end of any tag
+                    end = html.find(">", found.end()) + 1
+                if end > 0:
+                    return start, end, found[1], found[2].lower(), html[found.end() : end - 1]
+            elif html[start + 1 : start + 2] in ("!", "?", "/"):
+                return start, html.find(">", start + 2) + 1 or len(html), "", "", ""
+            start = html.find("<", start + 1)
+        return None
+
+    def _special(self, at):
+        found = _SPECIAL.search(self.html, at)
+        return found.start() if found else len(self.html)
+
+    def _end(self, at):
+        """Behind the > that ends a tag, quoted values left out; -1 if there is none."""
+        html, opened = self.html, []
+        if not self.known[0] <= at <= self.known[1]:
+            self.known = (at, self._special(at))
+        place = self.known[1]
+        while place < len(html) and place not in self.dead:
+            if html[place] == ">":
+                return place + 1
+            opened.append(place)
+            close = html.find(html[place], place + 1)
+            if close < 0:
+                break
+            place = self._special(close + 1)
+        self.dead.update(opened)
+        return -1
+
+
+class _Open:
+    """The open elements (name, node, inside a link), with their depths by name."""
+
+    def __init__(self):
+        self.elements = [("#page", 0, False)]
+        self.depths, self.blocks = {}, []
+
+    def push(self, name, node, linked):
+        self.depths.setdefault(name, []).append(len(self.elements))
+        if name in BLOCK and name != "p":
+            self.blocks.append(len(self.elements))
+        self.elements.append((name, node, linked))
+
+    def cut(self, depth):
+        while len(self.elements) > depth:
+            self.depths[self.elements.pop()[0]].pop()
+            if self.blocks and self.blocks[-1] == len(self.elements):
+                self.blocks.pop()
+
+    def _last(self, name):
+        return (self.depths.get(name) or [0])[-1]
+
+    def _block(self):
+        return self.blocks[-1] if self.blocks else 0
+
+    def closed_by(self, name):
+        """Depth of the open element that an end tag closes, 0 if none. Inline
+        elements and paragraphs do not reach out of the block around them."""
+        depth = self._last(name)
+        inner = name == "p" or name not in BLOCK
+        return 0 if inner and depth < self._block() else depth
+
+    def end_implied(self, name):
+        """End what the start of a block ends: an open paragraph, and its like."""
+        paragraph = self._last("p")
+        if paragraph > self._block():
+            self.cut(paragraph)
+        if name in IMPLIED_END:
+            ended, limit = IMPLIED_END[name]
+            outer = max(self._last(other) for other in limit)
+            found = []
+            for other in ended:
+                depths = self.depths.get(other, ())
+                found += depths[bisect_right(depths, outer) :][:1]
+            if found:
+                self.cut(min(found))
+
+
 class Page:
     """Nodes (block elements, and inline ones with a class, id or role) by number in
     page order; node 0 stands for the page. Runs are (node, block, text, in a link)."""
 
     def __init__(self, html):
         self.parent, self.tag, self.names, self.runs = [0], ["html"], [()], []
-        stack = [("#page", 0, False)]  # element, its node, inside a link
+        tags, still_open = _Tags(html), _Open()
         block = at = 0
         lower = None
-        for found in _TAG.finditer(html):
-            start = found.start()
-            if start < at:  # inside an element of raw text
-                continue
+        while (found := tags.next(at)) is not None:
+            start, end, closing, name, attributes = found
             if start > at:
-                self._text(html[at:start], stack[-1], block)
-            at = found.end()
-            name = found[2] or found[5]
+                self._text(html[at:start], still_open.elements[-1], block)
+            at = end
             if not name:
                 continue
-            name = name.lower()
-            if found[1] or found[4]:
-                depth = self._open(stack, name)
+            if closing:
+                depth = still_open.closed_by(name)
                 if depth:
-                    del stack[depth:]
+                    still_open.cut(depth)
                     block += name in BLOCK
                 continue
             if name == "br":
-                self._text(" ", stack[-1], block)
+                self._text(" ", still_open.elements[-1], block)
                 continue
             if name in RAW:
                 if lower is None:
@@ -105,12 +204,10 @@ class Page:
                 continue
             if name in BLOCK:
                 block += 1
-                self._end_implied(stack, name)
+                still_open.end_implied(name)
             if name in VOID:
                 continue
-            attributes = found[3] or found[6] or ""
-            top = stack[-1]
-            node = top[1]
+            _, node, linked = still_open.elements[-1]
             names = ()
             if "=" in attributes:
                 names = tuple(
@@ -119,52 +216,19 @@ class Page:
                     for part in _PART.findall(m[1] or m[2] or m[3] or "")
                 )
             if name in BLOCK or names:
+                self.parent.append(node)
                 node = len(self.tag)
-                self.parent.append(top[1])
                 self.tag.append(name)
                 self.names.append(names)
-            stack.append((name, node, top[2] or name == "a"))
+            still_open.push(name, node, linked or name == "a")
         if at < len(html):
-            self._text(html[at:], stack[-1], block)
+            self._text(html[at:], still_open.elements[-1], block)
 
     def _text(self, text, top, block):
         if "&" in text:
             text = unescape(text)
         self.runs.append((top[1], block, text, top[2]))
 
-    @staticmethod
-    def _open(stack, name):
-        """Depth of the open element that an end tag closes, 0 if none. Inline
-        elements and paragraphs do not reach out of the block around them."""
-        inner = name == "p" or name not in BLOCK
-        for depth in range(len(stack) - 1, 0, -1):
-            element = stack[depth][0]
-            if element == name:
-                return depth
-            if inner and element in BLOCK and element != "p":
-                return 0
-        return 0
-
-    @staticmethod
-    def _end_implied(stack, name):
-        for depth in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-            element = stack[depth][0]
-            if element == "p":
-                del stack[depth:]
-                break
-            if element in BLOCK:
-                break
-        if name in IMPLIED_END:
-            ended, limit = IMPLIED_END[name]
-            last = 0
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] in limit:
-                    break
-                if stack[depth][0] in ended:
-                    last = depth
-            if last:
-                del stack[last:]
-
     def features(self):
         """One row per node; see the names below."""
         n = len(self.tag)
