@@ -583,3 +583,52 @@ def test_rollup_of_nothing(spark, empty, tmp_path):
 
 def test_clashing_columns_are_really_there(odd):
     assert set(CLASHING) <= set(odd.columns)
+
+
+def test_shards_never_cut_a_group(spark, monkeypatch):
+    import functools
+
+    rng = random.Random(12)
+    rows = []
+    for group in range(1500):
+        text = sentence(rng, rng.randint(0, 60)) + str(group)
+        rows += [(text, "en", "s", 1)] * rng.choice([1, 1, 2, 3, 9])
+    # Groups of a fortieth to half a shard, and one that is larger than a shard.
+    for group, copies in enumerate((6, 15, 30, 60, 90)):
+        rows += [(f"{group} " + "large text " * 30, "en", "s", 1)] * copies
+    rows += [("hot " * 40, "en", "s", 1)] * 2_000
+    rows = [(k, *row) for k, row in enumerate(rows)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(6)
+    monkeypatch.setattr(common, "total_order", functools.partial(common.total_order, rows_per_range=2))
+    placed = sharding.place(docs, 8).collect()
+    assert sorted(r["doc_id"] for r in placed) == [r[0] for r in rows]
+    sizes, shards, slots = collections.Counter(), collections.defaultdict(set), collections.defaultdict(list)
+    text = {r[0]: r[1] for r in rows}
+    for r in placed:
+        sizes[r["shard"]] += r["size"]
+        shards[text[r["doc_id"]]].add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(sizes.values()) / 8
+    for key, where in shards.items():
+        copies = sum(t == key for t in text.values())
+        assert len(where) == 1 or copies * (len(key) + 8) > mean
+    assert len(shards["hot " * 40]) > 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(sizes) == set(range(8)) and all(abs(n - mean) < 0.04 * mean for n in sizes.values())
+
+
+def test_number_signs_are_no_letters(spark):
+    texts = ["\u00b2 \u00bd", "\u2460", "x\u00b2", "12 3", "the word"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, {"en": b"the word and more words of text", "fr": b"le mot et la phrase entiere"}).collect()}
+    assert [got[k] for k in range(5)][:2] + [got[3]] == ["und"] * 3
+    assert got[2] != "und" and got[4] == "en"
+    assert language.accepted(docs.drop("text"), {"en": b"the word and more"}).count() == 0
+
+
+def test_identity_of_rows_with_nested_maps(spark):
+    rows = spark.sql(
+        "SELECT map('a', 1) m, struct(map('b', 2) x) s, array(map('c', id % 2)) l, 1 i FROM range(4)"
+    )
+    assert rows.select(common.row_key(rows).alias("k")).distinct().count() == 2
+    assert rows.limit(0).select(common.row_key(rows).alias("k")).schema["k"].dataType.simpleString() == "struct<a:bigint,b:bigint>"

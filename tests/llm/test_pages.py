@@ -323,3 +323,28 @@ def test_archives_are_plain_gzip(spark):
     data = gzip.open(path).read()
     assert data.count(b"WARC/1.1\r\n") == 3
     assert data.count(b"WARC-Type: revisit") == 2
+
+
+BROKEN = {
+    "quotes": '<a b="' * 170_000,
+    "stray ends": "<span>" * 80_000 + "</i>" * 80_000,
+    "ends in a block": "<i><div>" + "<span>" * 60_000 + "</i>" * 100_000,
+    "quoted tags": '<a ">" ' * 150_000,
+    "names": "<a" * 400_000 + '"',
+    "items in blocks": "<ul>" + "<div>" * 60_000 + "<li>" * 60_000,
+}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_pages_take_linear_time(kind):
+    import time
+
+    start = time.time()
+    html_dom.Page(BROKEN[kind])
+    assert time.time() - start < 3
+
+
+def test_quotes_and_ends_of_tags():
+    page = html_dom.Page("""<p title="a > b">one<!-- <p>no</p> -->two</p><p title="x>three<p>four""")
+    assert [run[2] for run in page.runs] == ["one", "two", "three", "four"]
+    assert [run[2] for run in html_dom.Page("a < b <!-- open <p>x").runs] == ["a < b "]
