@@ -1,4 +1,8 @@
-"""Linear projection of fantasy points with Spark ML."""
+"""Linear projection of fantasy points, with Spark ML or from mergeable cross products."""
+
+from dataclasses import dataclass
+from fractions import Fraction
+from itertools import combinations_with_replacement
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -20,12 +24,16 @@ def _features(stats, divisor=1.0):
     )
 
 
-def train_projection(stats):
-    """Ordinary least squares over all player-seasons, missing values as 0."""
+def _training_rows(stats):
     missing = missing_columns(stats, fv.PROJECTION_FEATURES)
     if missing:
         raise ValueError(f"missing columns for training: {missing}")
-    rows = _features(stats).withColumn("label", F.coalesce(F.col("fantasy_points"), F.lit(0.0)))
+    return _features(stats).withColumn("label", F.coalesce(F.col("fantasy_points"), F.lit(0.0)))
+
+
+def train_projection(stats):
+    """Ordinary least squares over all player-seasons, missing values as 0."""
+    rows = _training_rows(stats)
     assembler = VectorAssembler(
         inputCols=[f"_x_{c}" for c in fv.PROJECTION_FEATURES], outputCol="features"
     )
@@ -35,6 +43,59 @@ def train_projection(stats):
     )
 
 
+#: The constant, the features and the label; their products are summed in this order.
+_TERMS = ["_one", *[f"_x_{c}" for c in fv.PROJECTION_FEATURES], "label"]
+_PAIRS = list(combinations_with_replacement(range(len(_TERMS)), 2))
+
+
+def cross_products(stats, by=("season",)):
+    """Per group of player-seasons, the sums of all products of features and label.
+
+    They are exact (six decimals a value, twelve a product) and add up over groups, so a
+    season that changed replaces its own row and no other player-season is read again.
+    """
+    rows = _training_rows(stats).withColumn("_one", F.lit(1))
+    exact = [F.col(c).cast("decimal(18,6)") for c in _TERMS]
+    sums = [F.sum(exact[i] * exact[j]) for i, j in _PAIRS]
+    return rows.groupBy(*by).agg(F.array(*sums).alias("products"))
+
+
+@dataclass(frozen=True)
+class Projection:
+    """Weights of a fitted projection; used like the model of ``train_projection``."""
+
+    intercept: float
+    weights: tuple
+
+    def transform(self, rows):
+        terms = zip(self.weights, fv.PROJECTION_FEATURES, strict=True)
+        value = sum((F.lit(w) * F.col(f"_x_{c}") for w, c in terms), F.lit(self.intercept))
+        return rows.withColumn("prediction", value)
+
+
+def fit_products(products):
+    """The least-squares fit to all player-seasons behind the summed products.
+
+    One row of a few dozen numbers comes to the driver. A feature that earlier ones (or
+    the constant) determine carries nothing and gets weight 0, as do all without rows.
+    """
+    sums = [F.sum(F.col("products")[k]).alias(f"p{k}") for k in range(len(_PAIRS))]
+    row = products.agg(*sums).first()
+    value = {pair: Fraction(row[k] or 0) for k, pair in enumerate(_PAIRS)}
+    size = len(_TERMS) - 1
+    # Normal equations with the label's column last, solved in fractions.
+    lines = [[value[min(i, j), max(i, j)] for j in range(size + 1)] for i in range(size)]
+    for k in range(size):
+        if lines[k][k] == 0:
+            continue
+        lines[k] = [v / lines[k][k] for v in lines[k]]
+        for i in range(size):
+            if i != k:
+                lines[i] = [v - lines[i][k] * u for v, u in zip(lines[i], lines[k], strict=True)]
+    intercept, *weights = (float(lines[k][size]) if lines[k][k] else 0.0 for k in range(size))
+    return Projection(intercept, tuple(weights))
+
+
 def project_next_game(model, stats, games=GAMES):
     """Points per player from season totals over the number of games."""
     scored = model.transform(_features(stats, float(games)))

@@ -326,6 +326,7 @@ FROM plays WHERE receiver_player_id IS NOT NULL AND posteam IS NOT NULL GROUP BY
     seasons = with_views(PLAYERS, MESSY, PLAYS, WEEKLY) + ", " + _season_rows("weekly")
     shown = ", ".join(f"round({c}, 9) AS {c}" for c in SEASON_MEANS)
     sql["season_table"] = seasons + f" SELECT * REPLACE ({shown}) FROM season_rows"
+    sql["season_by_week_changes"] = sql["season_table"]
     joined_means = ", ".join(
         f"round(sum({c} * weeks) / sum(weeks), 11) AS {c}" for c in SEASON_MEANS
     )
@@ -1106,6 +1107,7 @@ SELECT 'placeholder_names' AS "check", count(*) FILTER (name = 'N/A') AS issues
 FROM ({directory})"""
     out["projections"] = with_views(PLAYS, STATS, _projection_views()) + "SELECT * FROM projected"
     out["projections_from_text"] = out["projections"]
+    out["projections_refitted"] = out["projections"]
     lookups = f"""lookups AS (SELECT DISTINCT q, {SEASON} AS season
   FROM (SELECT unnest([name, name || 'x']) AS q FROM players))"""
     out["projections_by_name"] = with_views(

@@ -154,6 +154,29 @@ def _season_rows(spark, sf_dir):
     return weekly.season_rows(offense_plays(spark, sf_dir), views.messy_players(spark, sf_dir))
 
 
+@query
+def season_by_week_changes(spark, sf_dir):
+    """The same table from weeks that come early and wrong, late, or not at all: the first
+    load has even weeks without their last corrections, no weeks after 51, and a
+    week 60 that never was; the second corrects, adds and withdraws."""
+    root, roster = scratch_dir(spark, "week_changes"), views.messy_players(spark, sf_dir)
+    lines = usage.player_weekly_usage(offense_plays(spark, sf_dir))
+    lines = tables.materialize(clean.align(lines, weekly.WEEK_LINES), "week_lines")
+    early = F.col("week") % 2 == 0
+    first = lines.filter("week <= 51").withColumns(
+        {
+            "rushing_yards": F.when(early, F.col("rushing_yards") - 3).otherwise(F.col("rushing_yards")),
+            "wopr": F.when(early, F.col("wopr") / 3).otherwise(F.col("wopr")),
+        }
+    )
+    wrong = lines.filter("week = 1").withColumn("week", F.lit(60))
+    weekly.load_weeks(spark, root, first.unionByName(wrong), roster)
+    # One row per season.
+    gone = [(r["season"], 60) for r in wrong.select("season").distinct().collect()]
+    weekly.load_weeks(spark, root, lines.filter(early | (F.col("week") > 51)), roster, weeks=gone)
+    return rounded(tables.read_current(spark, root, "season_stats"), *roles.SEASON_MEANS)
+
+
 @query
 def collapsed_season_table(spark, sf_dir):
     """Season rows over teams: latest team, means over all weeks."""
@@ -1124,6 +1147,21 @@ def projections(spark, sf_dir):
     )
 
 
+@query
+def projections_refitted(spark, sf_dir):
+    """The same from sums of products by season, of which one season came wrong first."""
+    root, stats = scratch_dir(spark, "refitted"), stored_totals(spark, sf_dir)
+    late = F.col("season") == SEASON
+    wrong = stats.withColumn("receptions", F.when(late, F.lit(1)).otherwise(F.col("receptions")))
+    for rows in (wrong, stats.filter(late)):
+        products = projection.cross_products(rows)
+        staged, _ = tables.stage(products, root, "projection_products", weekly.SEASON_PARTS)
+        tables.publish(spark, root, staged)
+    return projection.project_next_game(weekly.stored_projection(spark, root), stats).select(
+        "gsis_id", "season", "projected_fantasy_points"
+    )
+
+
 @query
 def projections_from_text(spark, sf_dir):
     """The same from cells of text, as a form or a file gives them; zeros are unreadable."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridledger import fixed_values as fv
 from gridledger import schemas
-from gridledger.operators import boxscore, clean, dims, quality, teams, usage
+from gridledger.operators import boxscore, clean, dims, partials, projection, quality, teams, usage
 from gridledger.sources import tables
 from gridledger.sources.plays import players_from_roster
 
@@ -74,6 +74,51 @@ def update_season(spark, root, plays, roster, season):
     tables.publish(spark, root, staged)
 
 
+#: What weekly lines are kept as where seasons are brought up to date by their weeks.
+WEEK_LINES = schemas.weekly_stats(["fumbles_lost"])
+
+
+def load_weeks(spark, root, lines, roster, weeks=()):
+    """Weekly lines in place of what is stored of their weeks; the seasons concerned are
+    brought up to date from these weeks and their stored sums (``partials``).
+
+    ``lines`` holds whole weeks, a player once per week and team. ``weeks`` are the
+    (season, week) pairs that were reloaded: those without a line are withdrawn. Lines,
+    sums, season rows and the projection's cross products are published at once, and
+    changes are taken against what is published, so a load repeated after a failure, or
+    for no reason, changes nothing. Loads of one season must come one after another.
+    Raises if the checks of the season rows fail or a line repeats a week.
+    """
+    staged, _ = tables.stage(clean.align(lines, WEEK_LINES), root, "weekly_lines", WEEK_PARTS, scope=weeks)
+    if not staged:
+        return
+    parts = {part for _, part, _, _ in staged}
+    # One entry per season touched; lines without a season belong to none.
+    named = {part.split("=", 1)[1].split("-")[0] for part in parts}
+    seasons = sorted(int(season) for season in named if season != "null")
+    season_parts = {tables.part_of((season,)) for season in seasons}
+    scope = [(season,) for season in seasons]
+    change = partials.week_changes(
+        tables.read_stored(spark, root, "weekly_lines", WEEK_LINES, parts),
+        tables.read_staged(spark, staged, WEEK_LINES),
+    )
+    stored = tables.read_stored(spark, root, "season_sums", change.schema, season_parts)
+    sums, _ = tables.stage(partials.merged(stored, change), root, "season_sums", SEASON_PARTS, scope=scope)
+    rows = partials.season_rows(tables.read_staged(spark, sums, change.schema), roster)
+    rows = clean.align(rows, schemas.SEASON_STATS)
+    metrics = {"season_rows_without_key": quality.season_metrics(0)["season_rows_without_key"]}
+    fresh, seen = tables.stage(rows, root, "season_stats", SEASON_PARTS, scope=scope, metrics=metrics)
+    quality.gate_observed(seen)
+    products = projection.cross_products(tables.read_staged(spark, fresh, schemas.SEASON_STATS))
+    fitted, _ = tables.stage(products, root, "projection_products", SEASON_PARTS, scope=scope)
+    tables.publish(spark, root, staged + sums + fresh + fitted)
+
+
+def stored_projection(spark, root):
+    """The projection fitted to all stored seasons, from one row of sums per season."""
+    return projection.fit_products(tables.read_current(spark, root, "projection_products"))
+
+
 def box_season_tables(passing, rushing, receiving, players, squads, player_key, team_key):
     """The three season tables at (player, season) and the team totals."""
 

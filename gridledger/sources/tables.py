@@ -40,7 +40,8 @@ def _delete(spark, path):
     fs.delete(target, True)
 
 
-def _part_of(values):
+def part_of(values):
+    """The name of the part that these values of its columns make."""
     return f"{_PART}={'-'.join(str(v) for v in values)}"
 
 
@@ -64,7 +65,7 @@ def stage(df, root, name, by=(), scope=(), metrics=None):
         df.write.parquet(path)
         parts = [_WHOLE]
     rows = [(name, part, f"{path}/{part}", fields) for part in parts]
-    rows += [(name, _part_of(s), None, fields) for s in scope if _part_of(s) not in parts]
+    rows += [(name, part_of(s), None, fields) for s in scope if part_of(s) not in parts]
     return rows, seen_metrics(seen) if metrics else {}
 
 
@@ -114,6 +115,20 @@ def read_current(spark, root, name, parts=None):
     return spark.read.schema(schema).parquet(*chosen)
 
 
+def read_stored(spark, root, name, schema, parts):
+    """The named parts of a stored table; no rows if it was never published."""
+    try:
+        return read_current(spark, root, name, parts)
+    except FileNotFoundError:
+        return spark.createDataFrame([], schema)
+
+
+def read_staged(spark, rows, schema):
+    """What was just staged, by the rows for ``publish``."""
+    paths = [path for _, _, path, _ in rows if path]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def replaced(spark, root, rows):
     """The staged rows of whole tables, with all their other parts gone."""
     kept = {(name, part) for name, part, _, _ in rows}
