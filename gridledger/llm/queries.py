@@ -94,7 +94,7 @@ def first_snapshot(counted, version):
 def op9_token_rollup(spark, sf_dir):
     """Documents come in, most with estimates; later they are counted, some are moved
     to another source or language and some withdrawn. Both batches are committed twice,
-    as after a failure."""
+    as after a failure, and folded into a base in between."""
     counted = materialize(
         token_rollup.counts(common.read(spark, sf_dir, "documents")), "token-counts"
     )
@@ -107,8 +107,11 @@ def op9_token_rollup(spark, sf_dir):
         moved = token_rollup.changes(before, after, version)
         for batch, rows in (("load", loaded), ("count", moved)):
             batches[batch] = rows if batches[batch] is None else batches[batch].unionByName(rows)
-    for batch in ("load", "count", "load", "count"):
-        token_rollup.commit(root, batch, batches[batch])
+    for again in (False, True):
+        for batch in ("load", "count"):
+            token_rollup.commit(root, batch, batches[batch])
+        if not again:
+            token_rollup.fold(spark, root)
     return token_rollup.totals(spark, root)
 
 

@@ -3,10 +3,13 @@
 Documents are counted once per tokenizer version. Every change is a signed row: an
 insert adds a document and its tokens, a delete takes them away, a revised count
 does both. A batch of changes is summed per source, language and tokenizer version
-and appended under its batch id; totals are the sum over batches. A batch that is
+and written by as many tasks as its groups need; a row of a small table, ``commits``,
+then makes it visible as a whole. Totals are the sum over batches. A batch that is
 committed again, after a failure or by a second driver, is counted once: each commit
-is an attempt of its own, made visible as a whole by Spark's output committer, and
-the first attempt of a batch id stands.
+is an attempt of its own, and the first to be *finished* stands, so a slow attempt that
+ends later changes nothing. ``fold`` puts all batches so far into one base, so that
+totals do not get dearer with age; a batch that is in the base may still be committed
+again, and two folds at once do no harm.
 
 Defined cases: a NULL or empty text has 0 tokens and still counts as a document;
 NULL source or language is a group of its own; equal rows count each; a group that
@@ -15,6 +18,7 @@ extra columns do not matter.
 """
 
 import base64
+import time
 import uuid
 
 import pyarrow as pa
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 
 from gridledger.llm import common
 from gridledger.llm.common import slices
+from gridledger.sources.tables import materialize
 
 #: Where the vocabulary files are; a parameter, as they are not part of this repository.
 VOCABULARIES = "/opt/tokenizers"
@@ -116,26 +121,67 @@ def changes(before, after, tokenizer):
     return signed(moved, F.col("tokens"), tokenizer, F.col("sign"))
 
 
+_SUMS = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
+_COMMITS = "batch string, attempt string, at bigint, folded boolean"
+
+
+def _summed(rows):
+    return rows.groupBy(*KEYS).agg(
+        F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
+    )
+
+
+def _write(root, rows):
+    attempt = uuid.uuid4().hex
+    rows.write.parquet(f"{root}/sums/{attempt}")
+    return attempt
+
+
+def _announce(root, batches, attempt, folded):
+    """One file of rows: the batches that an attempt holds, all visible at once."""
+    batches.select(
+        "batch", F.lit(attempt).alias("attempt"), F.lit(time.time_ns()).alias("at"),
+        F.lit(folded).alias("folded"),
+    ).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+
+
 def commit(root, batch_id, rows):
     """Append a batch of signed rows; committing it again changes nothing."""
-    rows.groupBy(*KEYS).agg(
-        F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")
-    ).coalesce(1).withColumns(
-        {"attempt": F.lit(uuid.uuid4().hex), "at": F.current_timestamp(), "batch": F.lit(batch_id)}
-    ).write.mode("append").partitionBy("batch").parquet(root)
+    batch = rows.sparkSession.range(1).select(F.lit(batch_id).alias("batch"))
+    _announce(root, batch, _write(root, _summed(rows)), False)
+
+
+def _standing(commits):
+    """One row per batch: the attempt that counts for it.
+
+    Every fold holds all batches before it, so of two folds one holds all that is in the
+    other: the larger counts, and for batches outside it the first finished attempt.
+    """
+    fold = commits.filter("folded").groupBy("attempt").agg(F.count(F.lit(1)).alias("n"))
+    base = fold.agg(F.max(F.struct("n", "attempt"))["attempt"]).first()[0]
+    counted = commits.filter(~F.col("folded") | (F.col("attempt") == F.lit(base)))
+    first = F.min(F.struct(~F.col("folded"), "at", "attempt"))
+    return counted.groupBy("batch").agg(first["attempt"].alias("attempt"))
+
+
+def _read(spark, root, standing):
+    # One attempt per batch since the last fold, and the fold.
+    attempts = sorted(r["attempt"] for r in standing.select("attempt").distinct().collect())
+    return spark.read.schema(_SUMS).parquet(*[f"{root}/sums/{a}" for a in attempts])
+
+
+def fold(spark, root):
+    """Put all batches committed so far into one base; totals stay as they are."""
+    standing = materialize(_standing(spark.read.schema(_COMMITS).parquet(f"{root}/commits")), "rollup-standing")
+    sums = _summed(_read(spark, root, standing)).filter("documents <> 0 or tokens <> 0")
+    _announce(root, standing, _write(root, sums), True)
 
 
 def totals(spark, root):
     """source, lang, tokenizer, n_docs, n_tokens over all committed batches."""
-    schema = (
-        "source string, lang string, tokenizer string, documents bigint, tokens bigint, "
-        "attempt string, at timestamp, batch string"
-    )
-    rows = spark.read.schema(schema).parquet(root)
-    first = rows.groupBy("batch").agg(F.min(F.struct("at", "attempt")).alias("first"))
-    first = first.select("batch", F.col("first.attempt").alias("attempt"))
+    standing = _standing(spark.read.schema(_COMMITS).parquet(f"{root}/commits"))
     return (
-        rows.join(F.broadcast(first), ["batch", "attempt"])
+        _read(spark, root, standing)
         .groupBy(*KEYS)
         .agg(F.sum("documents").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
         .filter("n_docs <> 0 or n_tokens <> 0")

@@ -563,6 +563,44 @@ def test_rollup_of_changes(spark, tmp_path):
         before = frame
 
 
+def test_folds_and_late_attempts_change_no_totals(spark, tmp_path):
+    root = str(tmp_path / "rollup")
+    schema = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
+
+    def rows(*lines):
+        return spark.createDataFrame(list(lines), schema)
+
+    def shown():
+        return sorted((tuple(r) for r in token_rollup.totals(spark, root).collect()), key=repr)
+
+    token_rollup.commit(root, "a", rows(("s", "en", "v", 2, 10), ("t", None, "v", 1, 4)))
+    token_rollup.commit(root, "b", rows(("s", "en", "v", -1, -3), (None, "en", "v", 1, 1)))
+    token_rollup.commit(root, "a", rows(("s", "en", "v", 9, 90)))  # a second attempt, other rows
+    expected = sorted([("s", "en", "v", 1, 7), ("t", None, "v", 1, 4), (None, "en", "v", 1, 1)], key=repr)
+    assert shown() == expected
+    token_rollup.fold(spark, root)
+    assert shown() == expected
+    token_rollup.commit(root, "b", rows(("s", "en", "v", 5, 5)))  # already in the base
+    assert shown() == expected
+    token_rollup.commit(root, "c", rows(("t", None, "v", -1, -4)))
+    expected.remove(("t", None, "v", 1, 4))
+    assert shown() == expected
+    # Two folds at once: one saw batch d, the other did not and is announced last.
+    commits = spark.read.schema(token_rollup._COMMITS).parquet(f"{root}/commits")
+    early = token_rollup._standing(commits).collect()
+    token_rollup.commit(root, "d", rows(("u", "fr", "v", 1, 2)))
+    token_rollup.fold(spark, root)
+    late = spark.createDataFrame(early, "batch string, attempt string")
+    sums = token_rollup._summed(token_rollup._read(spark, root, late))
+    token_rollup._announce(root, late, token_rollup._write(root, sums), True)
+    expected = sorted([*expected, ("u", "fr", "v", 1, 2)], key=repr)
+    assert shown() == expected
+    token_rollup.fold(spark, root)
+    assert shown() == expected
+    token_rollup.commit(root, "e", rows().limit(0))
+    assert shown() == expected
+
+
 def test_changes_of_repeated_and_missing_ids(spark):
     schema = "doc_id bigint, source string, lang string, tokens bigint"
     before = [(1, "a", "en", 5)] * 3 + [(None, "a", None, 2)] * 2 + [(2, "a", "en", 1)]
