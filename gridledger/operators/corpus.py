@@ -69,7 +69,7 @@ def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded", truncate=
     if truncate:
         pieces = F.slice(pieces, 1, 1)
     cut = lines.select("*", F.posexplode(pieces).alias("seq_no", "_piece"))
-    ids = F.transform(F.filter(characters(F.col("_piece")), lambda c: c != ""), char_id)
+    ids = F.transform(F.array_remove(characters(F.col("_piece")), ""), char_id)
     padded = F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(ids)))
     coded = cut.withColumn("_blocks", _code_blocks(vocab)).withColumn(out, padded)
     return coded.drop("_blocks", "_piece")

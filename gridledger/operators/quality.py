@@ -141,3 +141,9 @@ def missing_columns(df, required):
 
 def week_coverage(df):
     return df.select("season", "week").distinct().orderBy("season", "week")
+
+
+def rows_by_week(stored):
+    """Rows per week of a table partitioned by season and week: the files' own row
+    counts, as no column has to be read."""
+    return stored.groupBy("season", "week").agg(F.count(F.lit(1)).alias("rows"))

@@ -630,6 +630,8 @@ SELECT * FROM players WHERE name ILIKE '%old%' ORDER BY name, gsis_id LIMIT 10""
 SELECT DISTINCT defteam AS team_id FROM plays WHERE season = {SEASON} AND defteam IS NOT NULL
 UNION SELECT DISTINCT posteam FROM plays WHERE season = {SEASON} AND posteam IS NOT NULL"""
     sql["week_coverage"] = with_views(PLAYS) + "SELECT DISTINCT season, week FROM plays"
+    sql["stored_coverage"] = with_views(PLAYS) + """
+SELECT season, week, count(*) AS rows FROM plays GROUP BY 1, 2"""
     sql["latest_games"] = with_views(PLAYS) + """
 SELECT DISTINCT season, week, posteam AS home_team, defteam AS away_team FROM plays
 ORDER BY season DESC, week DESC, home_team, away_team LIMIT 5"""

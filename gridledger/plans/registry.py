@@ -482,6 +482,14 @@ def week_coverage(spark, sf_dir):
     )
 
 
+@query
+def stored_coverage(spark, sf_dir):
+    """Rows per stored week; no column of the stored plays is read."""
+    path = scratch_dir(spark, "stored_plays")
+    tables.swap_partitions(views.plays(spark, sf_dir), path, ["season", "week"])
+    return quality.rows_by_week(spark.read.parquet(path))
+
+
 @query
 def latest_games(spark, sf_dir):
     games = views.plays(spark, sf_dir).withColumnsRenamed(
@@ -645,7 +653,7 @@ def char_vocab(spark, sf_dir):
 
 
 def _ids_text(column):
-    return F.array_join(F.transform(column, lambda i: i.cast("string")), " ")
+    return F.array_join(F.col(column).cast("array<string>"), " ")
 
 
 @query

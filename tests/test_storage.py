@@ -494,3 +494,14 @@ def test_rating_means_are_exact(spark):
     assert boxscore.box_passing(weekly_rows.withColumns(
         {"completions": F.lit(1), "attempts": F.lit(2)}
     )).first()["passer_rating"] == 89.95
+
+
+def test_rows_by_week_read_no_column(spark, rows, tmp_path):
+    stored = [(2024, 1, "a"), (2024, 1, None), (2024, 2, "b"), (2023, 1, None), (None, 3, "c")]
+    df, path = spark.createDataFrame(stored, "season int, week int, name string"), str(tmp_path / "weeks")
+    df.write.partitionBy("season", "week").parquet(path)
+    counted = quality.rows_by_week(spark.read.parquet(path))
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
+    assert rows(counted) == sorted([(2024, 1, 2), (2024, 2, 1), (2023, 1, 1), (None, 3, 1)], key=repr)
+    none = spark.createDataFrame([], df.schema)
+    assert quality.rows_by_week(none).isEmpty()
