@@ -1176,6 +1176,7 @@ FROM wk"""
 SELECT * REPLACE ({shown}) FROM season_rows"""
     out["update_season"] = lines + ", " + _season_rows("weekly") + f"""
 SELECT * REPLACE ({shown}) FROM season_rows WHERE season = {SEASON}"""
+    out["weekly_update_by_weeks"] = out["update_season"]
     out["weekly_update"] = box + ", " + season_rushing("whole", "true") + """
 SELECT * REPLACE (greatest(rushing_yards, 0) AS rushing_yards) FROM whole"""
     out["resumed_weeks"] = with_views(PLAYS) + """

@@ -976,6 +976,20 @@ def weekly_update(spark, sf_dir):
     return tables.read_current(spark, root, "rushing")
 
 
+@query
+def weekly_update_by_weeks(spark, sf_dir):
+    """The season table after jobs on one season's weeks: the first half, then the second
+    half with a corrected week, each with that part's plays only."""
+    root = scratch_dir(spark, "weekly_update_by_weeks")
+    people, rows = views.messy_players(spark, sf_dir), offense_plays(spark, sf_dir)
+    healthy = views.players(spark, sf_dir)
+    wrong = rows.withColumn("yards_gained", F.lit(0)).withColumn("passing_yards", F.lit(0))
+    early = rows.filter("week < 26").unionByName(wrong.filter("week = 26"))
+    for plays_, span in ((early, range(1, 27)), (rows, range(26, 54))):
+        weekly.weekly_update(spark, root, plays_, people, SEASON, {}, healthy, weeks=span)
+    return rounded(tables.read_current(spark, root, "season_stats"), *roles.SEASON_MEANS)
+
+
 @query
 def resumed_weeks(spark, sf_dir):
     """Plays loaded up to a week, then from the stored resume point on."""

@@ -78,25 +78,32 @@ def update_season(spark, root, plays, roster, season):
 WEEK_LINES = schemas.weekly_stats(["fumbles_lost"])
 
 
-def load_weeks(spark, root, lines, roster, weeks=()):
-    """Weekly lines in place of what is stored of their weeks; the seasons concerned are
-    brought up to date from these weeks and their stored sums (``partials``).
+def stage_weeks(spark, root, lines, roster, weeks=(), all_weeks=False):
+    """Weekly lines staged in place of what is stored of their weeks; the seasons concerned
+    are brought up to date from these weeks and their stored sums (``partials``).
 
     ``lines`` holds whole weeks, a player once per week and team. ``weeks`` are the
-    (season, week) pairs that were reloaded: those without a line are withdrawn. Lines,
-    sums, season rows and the projection's cross products are published at once, and
-    changes are taken against what is published, so a load repeated after a failure, or
-    for no reason, changes nothing. Loads of one season must come one after another.
-    Raises if the checks of the season rows fail or a line repeats a week.
+    (season, week) pairs that were reloaded: those without a line are withdrawn. Changes
+    are taken against what is published, so weeks staged again after a failure, or for no
+    reason, change nothing. Jobs on one season must come one after another, and a season
+    that was stored without sums (``update_season``) is refused unless ``all_weeks`` says
+    that the lines are all of it.
+
+    Returns the rows for ``tables.publish`` (lines, sums, season rows, the projection's
+    cross products) and the issues seen in the season rows. Fails if a line repeats a week.
     """
     staged, _ = tables.stage(clean.align(lines, WEEK_LINES), root, "weekly_lines", WEEK_PARTS, scope=weeks)
     if not staged:
-        return
+        return [], {}
     parts = {part for _, part, _, _ in staged}
     # One entry per season touched; lines without a season belong to none.
     named = {part.split("=", 1)[1].split("-")[0] for part in parts}
     seasons = sorted(int(season) for season in named if season != "null")
     season_parts = {tables.part_of((season,)) for season in seasons}
+    known = tables.stored_parts(spark, root, "season_sums")
+    bare = sorted(season_parts & (tables.stored_parts(spark, root, "season_stats") - known))
+    if bare and not all_weeks:
+        raise ValueError(f"stored without sums, load all weeks of {', '.join(bare)} first")
     scope = [(season,) for season in seasons]
     change = partials.week_changes(
         tables.read_stored(spark, root, "weekly_lines", WEEK_LINES, parts),
@@ -108,10 +115,16 @@ def load_weeks(spark, root, lines, roster, weeks=()):
     rows = clean.align(rows, schemas.SEASON_STATS)
     metrics = {"season_rows_without_key": quality.season_metrics(0)["season_rows_without_key"]}
     fresh, seen = tables.stage(rows, root, "season_stats", SEASON_PARTS, scope=scope, metrics=metrics)
-    quality.gate_observed(seen)
     products = projection.cross_products(tables.read_staged(spark, fresh, schemas.SEASON_STATS))
     fitted, _ = tables.stage(products, root, "projection_products", SEASON_PARTS, scope=scope)
-    tables.publish(spark, root, staged + sums + fresh + fitted)
+    return staged + sums + fresh + fitted, seen
+
+
+def load_weeks(spark, root, lines, roster, weeks=(), all_weeks=False):
+    """Weeks staged by ``stage_weeks``, checked and published at once."""
+    staged, issues = stage_weeks(spark, root, lines, roster, weeks, all_weeks)
+    quality.gate_observed(issues)
+    tables.publish(spark, root, staged)
 
 
 def stored_projection(spark, root):
@@ -171,16 +184,25 @@ def upsert_season_tables(spark, root, fresh, refresh_all=True):
     tables.publish(spark, root, staged)
 
 
-def weekly_update(spark, root, plays, roster, season, fresh, players):
+def weekly_update(spark, root, plays, roster, season, fresh, players, weeks=None):
     """One week's job: season rows from plays, season tables from box scores.
 
     Everything is staged and checked by the same execution, then published at once.
     Nothing is published if a check fails. What is stored was checked when it was
     written; only the players are looked at for themselves.
+
+    With ``weeks``, the season's weeks that came or were corrected, only their plays are
+    looked at, and the season rows follow from stored sums (``stage_weeks``).
     """
     checks = {"rushing": quality.negative_yards_metric(), "passing": quality.stale_passers_metric()}
     staged, issues = stage_merged(spark, root, fresh, metrics=checks)
-    rows, seen = stage_season(spark, root, plays, roster, season)
+    if weeks is None:
+        rows, seen = stage_season(spark, root, plays, roster, season)
+        seen = quality.season_failures(seen)
+    else:
+        come = plays.filter((F.col("season") == season) & F.col("week").isin(list(weeks)))
+        lines = usage.player_weekly_usage(come)
+        rows, seen = stage_weeks(spark, root, lines, roster, [(season, week) for week in weeks])
     nameless = quality.null_names(players).first()["issues"]
-    quality.gate_observed(issues | {"null_names": nameless} | quality.season_failures(seen))
+    quality.gate_observed(issues | {"null_names": nameless} | seen)
     tables.publish(spark, root, staged + rows)

@@ -115,6 +115,14 @@ def read_current(spark, root, name, parts=None):
     return spark.read.schema(schema).parquet(*chosen)
 
 
+def stored_parts(spark, root, name):
+    """The names of a table's parts; none if it was never published."""
+    try:
+        return set(current(spark, root, name)[0])
+    except FileNotFoundError:
+        return set()
+
+
 def read_stored(spark, root, name, schema, parts):
     """The named parts of a stored table; no rows if it was never published."""
     try:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from fixtures import PLAY_SCHEMA, random_plays
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -117,6 +118,32 @@ def test_weeks_in_any_order_end_as_a_rebuild(spark, tmp_path):
     load({(2024, 8): week(rng, 2024, 8)})
 
 
+def test_weekly_job_by_weeks(spark, tmp_path):
+    pbp, root = spark.createDataFrame(random_plays(400), PLAY_SCHEMA), str(tmp_path / "store")
+    players = spark.createDataFrame([("p1", "One")], "gsis_id string, name string")
+    wrong = pbp.withColumn("passing_yards", F.lit(99.0))
+    for rows, weeks in ((pbp, [1]), (wrong, [2, 3]), (pbp, [3]), (pbp, [2, 7])):
+        weekly.weekly_update(spark, root, rows, None, 2024, {}, players, weeks=weeks)
+    expected = clean.align(weekly.season_rows(pbp.filter("season = 2024"), None), schemas.SEASON_STATS)
+    assert shown(tables.read_current(spark, root, "season_stats")) == shown(expected)
+    nameless = players.withColumn("name", F.lit(None).cast("string"))
+    before = tables.versions(spark, root).count()
+    with pytest.raises(RuntimeError, match="null_names"):
+        weekly.weekly_update(spark, root, wrong, None, 2024, {}, nameless, weeks=[1])
+    assert tables.versions(spark, root).count() == before
+
+
+def test_a_season_stored_without_sums_is_loaded_whole(spark, tmp_path):
+    pbp, root = spark.createDataFrame(random_plays(200), PLAY_SCHEMA), str(tmp_path / "store")
+    weekly.update_season(spark, root, pbp, None, 2024)
+    lines = usage.player_weekly_usage(pbp.filter("season = 2024"))
+    with pytest.raises(ValueError, match="without sums"):
+        weekly.load_weeks(spark, root, lines.filter("week = 1"), None)
+    stored = shown(tables.read_current(spark, root, "season_stats"))
+    weekly.load_weeks(spark, root, lines, None, all_weeks=True)
+    assert shown(tables.read_current(spark, root, "season_stats")) == stored
+
+
 def test_fit_of_products_equals_the_fit_of_rows(spark):
     rng = random.Random(6)
     rows = []
