@@ -61,7 +61,10 @@ def rebuild_all(spark, root, roster, history, plays):
 
 def stage_season(spark, root, plays, roster, season):
     """One season's rows, staged in place of what is stored of it, also by none; the
-    checks of what was written. Other seasons are neither read nor written."""
+    checks of what was written. Other seasons are neither read nor written. A season kept
+    by its weeks (``stage_weeks``) is refused, as its sums would no longer be its rows'."""
+    if tables.part_of((season,)) in tables.stored_parts(spark, root, "season_sums"):
+        raise ValueError(f"season {season} is kept by its weeks; load them instead")
     fresh = season_rows(plays.filter(F.col("season") == season), roster)
     return tables.stage(
         fresh, root, "season_stats", SEASON_PARTS, scope=[(season,)], metrics=quality.season_metrics(season)

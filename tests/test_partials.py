@@ -142,6 +142,8 @@ def test_a_season_stored_without_sums_is_loaded_whole(spark, tmp_path):
     stored = shown(tables.read_current(spark, root, "season_stats"))
     weekly.load_weeks(spark, root, lines, None, all_weeks=True)
     assert shown(tables.read_current(spark, root, "season_stats")) == stored
+    with pytest.raises(ValueError, match="kept by its weeks"):
+        weekly.update_season(spark, root, pbp, None, 2024)
 
 
 def test_fit_of_products_equals_the_fit_of_rows(spark):
