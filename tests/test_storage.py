@@ -1,4 +1,6 @@
 import glob
+import random
+from html.parser import HTMLParser
 
 import pytest
 from fixtures import PLAY_SCHEMA, play
@@ -337,6 +339,70 @@ def test_html_tables(spark):
     ]
 
 
+
+def _read(page):
+    return [(t["id"], t["rows"]) for t in page.tables], page.links, page.comments
+
+
+class _ParsedPage(html_tables._Page):
+    """A page that only HTMLParser reads."""
+
+    def _feed_plain(self, html, known):
+        return False
+
+
+def test_plain_pages_are_read_without_a_call_per_tag(monkeypatch):
+    fed = []
+    monkeypatch.setattr(HTMLParser, "feed", lambda self, html: fed.append(html))
+    page = (
+        '<!DOCTYPE html><html><title>T</title><table id="a"><thead><tr><th>x</th></tr></thead><tbody>\n'
+        '<tr class="thead"><th data-stat="player">h</th></tr><tr><th data-stat="player">'
+        '<a href="/p/Q1.htm">A &amp; B</a></th><td data-stat="n"> 1</td><td data-stat="empty"></td></tr>'
+        '</tbody></table></html>'
+    )
+    row = {"player": "A & B", "pfr_player_id": "Q1", "n": "1", "empty": ""}
+    assert html_tables.stat_rows(page, ["a"]) == [row]
+    assert html_tables.stat_rows(f"<p>y</p><!-- {page} -->", ["a"]) == [row]
+    assert html_tables._Page(page).links == [("/p/Q1.htm", "A & B")]
+    assert fed == []
+
+
+def test_pages_are_read_as_htmlparser_reads_them():
+    rng, known, plain = random.Random(7), {}, 0
+    bits = [
+        '<table id="a">', '<table ID="b">', "</table>", "<tbody>", "</tbody>", "<tr>", "</tr>",
+        '<tr class="x thead">', '<td data-stat="player">', '<th data-stat="player" data-append-csv="Q">',
+        "</td>", "</th>", "</td> y", "</TD>", '<a href="/p/Z9.htm">', '<a HREF="u" href="v">', "</a>",
+        "text", "&amp;", "&lt", "&", "<", ">", "--", "\n", "\x00", '"', "<br/>", "<img src=x>",
+        "<!-- c -->", '<!--<table id="a"><tbody><tr><td data-stat="s">1</td></tr></table>-->', "<!---->",
+        "<!-->", "<!-- a -- b -->", "<!DOCTYPE html>", "<![CDATA[x]]>", "<?p?>", "<!x>", "</ td>",
+        "<script>", "</script>", "<title>T &amp; U</title>", "<style>p</style>", "<textarea>",
+        "</textarea>", "<plaintext>", '<td data-stat="s" x="">', "<td data-stat='q'>",
+        '<td data-stat="a&amp;b">', '</td x="1">', '<td data-stat="v"w="q">', "<noscript>",
+    ]
+    for _ in range(20000):
+        html = "".join(rng.choice(bits) for _ in range(rng.randint(1, 9)))
+        if rng.random() < 0.5:
+            html = f'<table id="a"><tbody><tr>{html}</tr></tbody></table>'
+        page = html_tables._Page(html, known)
+        assert _read(page) == _read(_ParsedPage(html)), html
+        plain += not hasattr(page, "rawdata")
+    assert 2000 < plain < 18000
+
+
+def test_rows_of_many_pages_keep_their_page(spark, monkeypatch):
+    pages = spark.range(40).selectExpr(
+        "id AS page_id",
+        "if(id % 3 = 0, NULL, concat('<table id=\"a\"><tbody>', array_join(transform(sequence(1, "
+        "cast(id AS int)), i -> concat('<tr><td data-stat=\"n\">', i, '</td></tr>')), ''), "
+        "'</tbody></table>')) AS html",
+    )
+    monkeypatch.setattr(html_tables, "ROWS_PER_BATCH", 7)
+    got = html_tables.cell_columns(html_tables.extract_tables(pages, ["a"]), ["n", "absent"]).collect()
+    expected = {(p, i, str(i + 1), None) for p in range(40) if p % 3 for i in range(p)}
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
 def test_quality(spark, rows):
     rushing = spark.createDataFrame([(-3,), (5,), (None,)], "rushing_yards int")
     people = spark.createDataFrame([("a",), (None,), ("N/A",)], "name string")
