@@ -285,9 +285,14 @@ def box_pages(spark, sf_dir, category="passing", comments_only=False):
     Pages of odd weeks show the table, with the id as a cell attribute; in
     even weeks it sits in a comment and the id only in the link.
     ``comments_only`` hides the first table id in a comment on every page.
+
+    Lines are short and pages long and slow to read: adaptive execution would leave one
+    task per core and one over. They are dealt to some more while they are still lines.
     """
     shown_id, hidden_id, stats = PAGE_KINDS[category]
-    line = weekly(spark, sf_dir, category)
+    keys = ["player_id", "team", "opponent", "season", "week"]
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    line = weekly(spark, sf_dir, category).repartition(tasks, *keys)
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in line.columns}
 
     def cell(stat, column):
@@ -315,6 +320,6 @@ def box_pages(spark, sf_dir, category="passing", comments_only=False):
     )
     visible = F.lit(False) if comments_only else F.col("week") % 2 == 1
     return line.select(
-        F.concat_ws("-", "player_id", "team", "opponent", "season", "week").alias("page_id"),
+        F.concat_ws("-", *keys).alias("page_id"),
         F.when(visible, shown).otherwise(hidden).alias("html"),
     )

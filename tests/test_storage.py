@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridledger import fixed_values as fv
 from gridledger import schemas
 from gridledger.operators import boxscore, clean, projection, quality, roles
-from gridledger.plans import weekly
+from gridledger.plans import views, weekly
 from gridledger.sources import boxscores, html_tables, plays, tables
 from gridledger.streaming import weeks
 
@@ -390,6 +390,12 @@ def test_pages_are_read_as_htmlparser_reads_them():
     assert 2000 < plain < 18000
 
 
+def test_pages_are_dealt_to_more_tasks_than_cores(spark):
+    pages = views.box_pages(spark, "/root/testdata/sf0.001", "rushing")
+    used = pages.select(F.spark_partition_id()).distinct().count()
+    assert used > 2 * spark.sparkContext.defaultParallelism
+
+
 def test_rows_of_many_pages_keep_their_page(spark, monkeypatch):
     pages = spark.range(40).selectExpr(
         "id AS page_id",
