@@ -11,31 +11,70 @@ PLAYER_TEAM_SEASON = ["player_id", "team_id", "season"]
 PLAYER_SEASON = ["player_id", "season"]
 
 
-def _total(df, name):
-    """A sum that stays NULL when no week has a value."""
-    return F.sum(column_or(df, name, dtype="long").cast("long")).alias(name)
+def _longest(df, name):
+    return column_or(df, name, dtype="int")
 
 
-def _longest(df, name):
-    return F.max(column_or(df, name, dtype="int")).alias(name)
+def _exact(df, name):
+    """Ratings of up to four decimals, added up exactly."""
+    return column_or(df, name, dtype="double").cast("decimal(18,4)")
 
 
-def _mean2(df, name):
-    """Mean with two decimals, exact for ratings of up to four decimals."""
-    exact = column_or(df, name, dtype="double").cast("decimal(18,4)")
-    return F.round(F.avg(exact), 2).cast("double").alias(name)
+def _mean2(name):
+    """The mean of summed ratings with two decimals."""
+    lines = F.col(f"_n_{name}")
+    mean = F.col(f"_sum_{name}").cast("decimal(28,4)") / lines.cast("decimal(10,0)")
+    return F.round(F.when(lines > 0, mean).cast("decimal(22,8)"), 2).cast("double").alias(name)
 
 
-def _games():
-    return F.countDistinct("week").cast("long").alias("games_played")
+def _latest_team(resolved):
+    """(aggregates, the latest week's team from them); of several the greatest.
 
+    Two ints are compared as one long, which a hash aggregate can keep; with a struct all
+    rows would be sorted. As in a struct, a missing week or team is least.
+    """
+    kinds = [resolved.schema[c].dataType.typeName() for c in ("week", "team_id")]
+    if kinds != ["integer", "integer"]:
+        return {"_latest": F.struct("week", "team_id")}, F.col("_latest")["team_id"]
+    place = F.col("team_id").cast("long") + 2**31
+    both = F.shiftleft(F.col("week").cast("long"), 32) + place
+    found = F.when(
+        F.shiftright("_latest", 32) == F.col("_week"),
+        F.pmod(F.col("_latest"), F.lit(2**32)) - 2**31,
+    )
+    team = F.when(F.col("_week").isNull(), F.col("_team")).otherwise(found.cast("int"))
+    return {"_latest": both, "_week": F.col("week"), "_team": F.col("team_id")}, team
 
-def _season(resolved, by, *aggregates):
-    """Group by the keys; without the team as key, keep the latest week's team."""
-    extra = []
-    if "team_id" not in by:
-        extra = [F.max(F.struct("week", "team_id"))["team_id"].alias("team_id")]
-    return resolved.groupBy(*by).agg(_games(), *aggregates, *extra)
+
+def _season(resolved, by, totals, longest=(), means=()):
+    """Group by the keys; without the team as key, keep the latest week's team. A total
+    stays NULL when no week has a value.
+
+    Weeks are counted as bits of a number per 64 weeks, so that lines of a season are added
+    up before they move; a distinct count would move every week of every player.
+    """
+    latest, team = ({}, None) if "team_id" in by else _latest_team(resolved)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("week", F.lit(64)).cast("int"))
+    weeks = F.bit_or(bit)
+    sums = {c: column_or(resolved, c, dtype="long").cast("long") for c in totals}
+    sums |= {f"_sum_{c}": _exact(resolved, c) for c in means}
+    largest = {c: _longest(resolved, c) for c in longest} | latest
+    counts = {f"_n_{c}": _exact(resolved, c) for c in means}
+    parts = resolved.groupBy(*by, F.shiftright("week", 6).alias("_block")).agg(
+        F.bit_count(weeks).alias("_games"),
+        *[F.sum(value).alias(c) for c, value in sums.items()],
+        *[F.count(value).alias(c) for c, value in counts.items()],
+        *[F.max(value).alias(c) for c, value in largest.items()],
+    )
+    whole = parts.groupBy(*by).agg(
+        F.coalesce(F.sum("_games"), F.lit(0)).cast("long").alias("games_played"),
+        *[F.sum(c).alias(c) for c in [*sums, *counts]],
+        *[F.max(c).alias(c) for c in largest],
+    )
+    return whole.select(
+        *by, "games_played", *totals, *[_mean2(c) for c in means], *longest,
+        *([] if team is None else [team.alias("team_id")]),
+    )
 
 
 def box_passing(resolved, by=PLAYER_TEAM_SEASON):
@@ -49,24 +88,15 @@ def box_passing(resolved, by=PLAYER_TEAM_SEASON):
         "sacks", "sack_yards", "first_downs", "fourth_qtr_comebacks", "game_winning_drives",
     ]
     grouped = _season(
-        resolved,
-        by,
-        *[_total(resolved, c) for c in totals],
-        _mean2(resolved, "passer_rating"),
-        _mean2(resolved, "qbr"),
-        _longest(resolved, "longest_pass"),
+        resolved, by, totals, longest=["longest_pass"], means=["passer_rating", "qbr"]
     )
     pct = round_ratio(F.col("completions"), F.col("attempts"), 4)
     return grouped.withColumn("completion_pct", pct)
 
 
 def box_rushing(resolved, by=PLAYER_TEAM_SEASON):
-    grouped = _season(
-        resolved,
-        by,
-        *[_total(resolved, c) for c in ("carries", "rushing_yards", "rushing_tds")],
-        _longest(resolved, "longest_rush"),
-    )
+    totals = ["carries", "rushing_yards", "rushing_tds"]
+    grouped = _season(resolved, by, totals, longest=["longest_rush"])
     yards, games = F.col("rushing_yards"), F.col("games_played")
     return grouped.withColumns(
         {
@@ -77,15 +107,8 @@ def box_rushing(resolved, by=PLAYER_TEAM_SEASON):
 
 
 def box_receiving(resolved, by=PLAYER_TEAM_SEASON):
-    grouped = _season(
-        resolved,
-        by,
-        *[
-            _total(resolved, c)
-            for c in ("targets", "receptions", "receiving_yards", "receiving_tds")
-        ],
-        _longest(resolved, "longest_reception"),
-    )
+    totals = ["targets", "receptions", "receiving_yards", "receiving_tds"]
+    grouped = _season(resolved, by, totals, longest=["longest_reception"])
     yards, games = F.col("receiving_yards"), F.col("games_played")
     return grouped.withColumns(
         {

@@ -963,8 +963,12 @@ def weekly_update(spark, sf_dir):
     root = scratch_dir(spark, "weekly_update")
     people, squads = views.players(spark, sf_dir), views.teams(spark, sf_dir)
     rows = offense_plays(spark, sf_dir)
+    # The box scores of the weeks are there before the jobs, as their files would be.
+    scores = [
+        tables.materialize(df, f"weekly_{kind}") for kind, df in _weekly_tables(spark, sf_dir).items()
+    ]
     for until in (26, 53):
-        lines = [df.filter(F.col("week") <= until) for df in _weekly_tables(spark, sf_dir).values()]
+        lines = [df.filter(F.col("week") <= until) for df in scores]
         fresh = weekly.box_season_tables(
             *lines, people, squads, ("gsis_id", "player_id"), ("name", "team")
         )

@@ -87,7 +87,9 @@ def plays(spark, sf_dir, posteam=True, defteam=True):
         customers = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("defteam")
         )
-        line = line.join(owners, "l_orderkey", "left").join(customers, "o_custkey", "left")
+        # Orders meet their customers first, so that the many lines are moved once.
+        owners = owners.join(customers, "o_custkey", "left").select("l_orderkey", "defteam")
+        line = line.join(owners, "l_orderkey", "left")
 
     players_count = supplier.agg(F.count("*")).scalar()
     target, run = "l_returnflag = 'A'", "l_returnflag = 'R'"

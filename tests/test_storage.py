@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridledger import fixed_values as fv
 from gridledger import schemas
 from gridledger.operators import boxscore, clean, projection, quality, roles
-from gridledger.plans import views, weekly
+from gridledger.plans import registry, views, weekly
 from gridledger.sources import boxscores, html_tables, plays, tables
 from gridledger.streaming import weeks
 
@@ -483,6 +483,53 @@ def _fresh(spark, yards, team_week=1):
     return fresh, players
 
 
+def test_weekly_update_builds_its_box_scores_once(spark, monkeypatch):
+    built = []
+
+    def counted(function):
+        return lambda *args: built.append(function.__name__) or function(*args)
+
+    names = ["weekly_passing", "weekly_rushing", "weekly_receiving"]
+    for name in names:
+        monkeypatch.setattr(views, name, counted(getattr(views, name)))
+    assert registry.weekly_update(spark, "/root/testdata/sf0.001").count() > 0
+    assert built == names
+
+
+def test_season_box_scores_are_added_up_without_sorting(spark, rows):
+    fields = (
+        "player_id int, team_id int, season int, week int, completions int, attempts int, "
+        "passing_yards int, passing_tds int, interceptions int, sacks int, longest_pass int, "
+        "passer_rating double"
+    )
+    lines = [
+        (1, 7, 2024, 3, 1, 2, 10, 0, 0, 0, 9, 10.0), (1, 9, 2024, 3, 1, 2, 10, 0, 0, 0, 9, 10.5),
+        (1, 12, 2024, 2, 1, 2, None, 0, 0, 0, 9, None), (1, -4, 2024, 130, 1, 2, 5, 0, 0, 0, 30, 0.005),
+        (1, -6, 2024, 130, 0, 0, 5, 0, 0, 0, None, 0.0), (2, 5, 2024, None, 1, 1, 4, 0, 0, 0, 4, None),
+        (2, 8, 2024, None, 1, 1, 4, 0, 0, 0, 4, None), (3, 2**31 - 1, 2024, -1, 1, 1, 4, 0, 0, 0, 4, None),
+        (3, -(2**31), 2024, -65, 1, 1, 4, 0, 0, 0, 4, None), (4, None, 2024, 5, 1, 1, 4, 0, 0, 0, 4, 1.0),
+        (4, 3, 2024, 4, 1, 1, 4, 0, 0, 0, 4, 2.0),
+    ]
+    resolved = spark.createDataFrame(lines, fields)
+    got = boxscore.box_passing(resolved, boxscore.PLAYER_SEASON)
+    shown = ["player_id", "games_played", "attempts", "passing_yards", "longest_pass", "passer_rating",
+             "qbr", "team_id"]
+    assert rows(got, *shown) == [
+        (1, 3, 8, 30, 30, 5.13, None, -4), (2, 0, 2, 8, 4, None, None, 8),
+        (3, 2, 2, 8, 4, None, None, 2**31 - 1), (4, 2, 2, 8, 4, 1.5, None, None),
+    ]
+    old = resolved.groupBy("player_id", "season").agg(
+        F.countDistinct("week").alias("games"), F.max(F.struct("week", "team_id"))["team_id"].alias("team"),
+        F.round(F.avg(F.col("passer_rating").cast("decimal(18,4)")), 2).cast("double").alias("mean"),
+    )
+    assert rows(old, "player_id", "games", "team", "mean") == rows(
+        got, "player_id", "games_played", "team_id", "passer_rating"
+    )
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    wide = resolved.withColumn("team_id", F.col("team_id").cast("string"))
+    assert rows(boxscore.box_passing(wide, boxscore.PLAYER_SEASON), "player_id", "team_id")[0] == (1, "-6")
+
+
 def test_weekly_update_publishes_only_healthy_data(spark, tmp_path):
     rows_ = [play(passer="a1", passing_yards=50.0, week=3, posteam="ZZZ"),
              play(passer="a1", passing_yards=10.0, week=9, posteam="BBB", epa=0.7),
