@@ -1,8 +1,21 @@
-"""Character vocabulary and encoding of text lines in sequences of fixed length."""
+"""Character vocabulary and encoding of text lines in sequences of fixed length.
 
+Characters are looked up by numpy, an Arrow batch at a time; cutting, grouping and
+joining of lines is Spark's.
+"""
+
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+# The lookups travel with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAD = 0
 MAX_LEN = 64
 
@@ -27,41 +40,61 @@ def char_vocab(lines, text="value"):
     return letters.select("ch", F.row_number().over(Window.orderBy("ch")).alias("idx"))
 
 
-def _code_blocks(vocab):
-    """Ids by code point: block (code div 256) -> slot (code mod 256) -> id.
-
-    A two-step array lookup per character, however large the vocabulary. It is
-    bounded by the number of characters that exist, not by the text.
-    """
-    code = F.ascii("ch")
-    coded = vocab.select(
-        F.shiftright(code, 8).alias("block"), F.pmod(code, F.lit(256)).alias("slot"), "idx"
-    )
-    slots = F.map_from_entries(F.collect_list(F.struct("slot", "idx")))
-    blocks = coded.groupBy("block").agg(slots.alias("slots"))
-    blocks = blocks.select(
-        "block",
-        F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.col("slots")[i]).alias("ids"),
-    )
-    table = blocks.agg(
-        F.map_from_entries(F.collect_list(F.struct("block", "ids"))).alias("table"),
-        F.coalesce(F.max("block"), F.lit(0)).alias("last"),
-    )
-    dense = F.transform(F.sequence(F.lit(0), F.col("last")), lambda b: F.col("table")[b])
-    return table.select(dense).scalar()
+def _vocabulary(vocab):
+    """(code points, ids) in the order of the ids; bounded by the characters that exist."""
+    rows = vocab.select("idx", F.ascii("ch").alias("code")).orderBy("idx", "code").collect()
+    return np.array([r["code"] for r in rows], np.int64), np.array([r["idx"] for r in rows], np.int32)
+
+
+def _code_points(text):
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def _padded_ids(pieces, table, max_len):
+    """Ids of the characters of each piece, none longer than ``max_len``, padded to it.
+    ``table`` has the id of every code point up to its end; others are padding."""
+    codes = _code_points("".join(pieces.to_pylist()))
+    lengths = pc.utf8_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], PAD)
+    # The place of a character: its piece's, and how far it is from that piece's first.
+    firsts = np.cumsum(lengths) - lengths
+    places = np.repeat(np.arange(len(lengths)) * max_len - firsts, lengths) + np.arange(len(ids))
+    out = np.full(len(lengths) * max_len, PAD, np.int32)
+    out[places] = ids
+    ends = np.arange(len(lengths) + 1, dtype=np.int32) * np.int32(max_len)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out))
+
+
+def _texts_of(arrays, codes):
+    """The characters of arrays of ids, the n-th of ``codes`` for id n; other and missing
+    ids are nothing, a missing array has no text."""
+    lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+    ids = pc.fill_null(arrays.flatten(), PAD).to_numpy(zero_copy_only=False)
+    known = (ids > 0) & (ids <= len(codes))
+    letters = codes[ids[known] - 1].astype("<u4")
+    widths = np.zeros(len(ids) + 1, np.int64)
+    widths[1:][known] = 1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF)
+    ends = np.cumsum(widths)[np.concatenate([[0], np.cumsum(lengths)])]
+    text = letters.tobytes().decode("utf-32-le").encode()
+    texts = pa.LargeStringArray.from_buffers(
+        len(arrays), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text)
+    ).cast(pa.string())
+    return pc.if_else(arrays.is_valid(), texts, None) if arrays.null_count else texts
 
 
 def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded", truncate=False):
     """Ids of every line in consecutive sequences of ``max_len``, numbered by
     ``seq_no`` from 0; the last is padded with 0. An empty line is one sequence
-    of padding. ``truncate`` keeps the first sequence of a line only.
+    of padding. ``truncate`` keeps the first sequence of a line only. The vocabulary is
+    computed here; it should be stored if it is used more than once.
     """
-    blocks = F.col("_blocks")
+    codes, numbers = _vocabulary(vocab)
+    table = np.full(int(codes.max(initial=0)) + 1, PAD, np.int32)
+    table[codes] = numbers
 
-    def char_id(character):
-        code = F.ascii(character)
-        block = F.get(blocks, F.shiftright(code, 8))
-        return F.coalesce(F.get(block, F.pmod(code, F.lit(256))), F.lit(PAD))
+    @F.arrow_udf("array<int>")
+    def padded(pieces: pa.Array) -> pa.Array:
+        return _padded_ids(pieces, table, max_len)
 
     # One pass cuts a line, however long, into its pieces.
     pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{max_len}}}"), 0)
@@ -69,10 +102,7 @@ def encode(lines, vocab, max_len=MAX_LEN, text="value", out="encoded", truncate=
     if truncate:
         pieces = F.slice(pieces, 1, 1)
     cut = lines.select("*", F.posexplode(pieces).alias("seq_no", "_piece"))
-    ids = F.transform(F.array_remove(characters(F.col("_piece")), ""), char_id)
-    padded = F.concat(ids, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(ids)))
-    coded = cut.withColumn("_blocks", _code_blocks(vocab)).withColumn(out, padded)
-    return coded.drop("_blocks", "_piece")
+    return cut.withColumn(out, padded("_piece")).drop("_piece")
 
 
 def encode_shift(lines, vocab, max_len=MAX_LEN, text="value", truncate=False):
@@ -88,12 +118,13 @@ def encode_shift(lines, vocab, max_len=MAX_LEN, text="value", truncate=False):
 
 def decode(encoded, vocab, ids="encoded", out="decoded"):
     """Ids back to text, per sequence; unknown ids and padding become nothing."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("idx", "ch"))), lambda e: e["ch"])
-    table = encoded.withColumn("_chars", vocab.agg(ordered).scalar())
-    letters = F.transform(
-        F.col(ids), lambda i: F.coalesce(F.get(F.col("_chars"), i - 1), F.lit(""))
-    )
-    return table.withColumn(out, F.array_join(letters, "")).drop("_chars")
+    codes, _ = _vocabulary(vocab)
+
+    @F.arrow_udf("string")
+    def text(arrays: pa.Array) -> pa.Array:
+        return _texts_of(arrays, codes)
+
+    return encoded.withColumn(out, text(ids))
 
 
 def join_sequences(decoded, keys, text="decoded"):

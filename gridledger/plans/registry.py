@@ -659,7 +659,8 @@ def _ids_text(column):
 @query
 def encoded_text(spark, sf_dir):
     lines = _document_lines(spark, sf_dir)
-    encoded = corpus.encode_shift(lines, corpus.char_vocab(lines))
+    vocab = tables.materialize(corpus.char_vocab(lines), "vocab")
+    encoded = corpus.encode_shift(lines, vocab)
     return encoded.select(
         "doc_id", "line_no", "seq_no", _ids_text("input_ids").alias("input_ids"),
         _ids_text("target_ids").alias("target_ids"),
@@ -670,7 +671,7 @@ def encoded_text(spark, sf_dir):
 def decoded_text(spark, sf_dir):
     """Every line, encoded in sequences and put together again."""
     lines = _document_lines(spark, sf_dir)
-    vocab = corpus.char_vocab(lines)
+    vocab = tables.materialize(corpus.char_vocab(lines), "vocab")
     decoded = corpus.decode(corpus.encode(lines, vocab), vocab)
     return corpus.join_sequences(decoded, ["doc_id", "line_no"])
 

@@ -289,3 +289,22 @@ def test_vocab_encoding_and_decoding(spark):
     assert corpus.encode(unknown, vocab).first()["encoded"] == [0] * 64
     some = spark.createDataFrame([(1, [1, 9999, 0])], "n int, encoded array<int>")
     assert corpus.decode(some, vocab).first()["decoded"] == sorted(expected)[0]
+
+
+def test_characters_are_looked_up_by_batches(spark):
+    values = ["", "a", "é" * 130, "𝄞b" * 40, "q", None]
+    lines = spark.createDataFrame(list(enumerate(values)), "n int, value string")
+    vocab = corpus.char_vocab(lines.filter("n <> 4"))
+    encoded = corpus.encode(lines, vocab, max_len=50)
+    decoded = corpus.decode(encoded, vocab)
+    plan = decoded._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    whole = {r["n"]: r["decoded"] for r in corpus.join_sequences(decoded, ["n"]).collect()}
+    # A character outside the vocabulary is padding, as a line without text is.
+    assert whole == dict(enumerate(values)) | {4: "", 5: ""}
+    ids = [[1, None, 3, 0, -2, 99], None, [], [None], [2, 2]]
+    arrays = spark.createDataFrame(list(enumerate(ids)), "n int, encoded array<int>").coalesce(1)
+    got = {r["n"]: r["decoded"] for r in corpus.decode(arrays, vocab).collect()}
+    assert got == {0: "aé", 1: None, 2: "", 3: "", 4: "bb"}
+    assert corpus.decode(arrays, vocab.limit(0)).filter("decoded <> ''").count() == 0
+    assert corpus.encode(lines, vocab.limit(0)).filter("exists(encoded, i -> i <> 0)").count() == 0
